@@ -29,6 +29,7 @@ from ..operators.versions import (
 )
 from ..sources import fixtures
 from ..sources.tables import schema_report
+from ..sources.warehouse import materialize
 from . import gold, quality, silver
 from .corrections import generate_corrections
 from .reconcile import reconcile_counts
@@ -46,9 +47,14 @@ SECOND_CLOCK = "2024-01-16 00:00:00"
 class Domain:
     """Lazily built DataFrames of the layers for one test-data directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        # Several consumers of one routed frame (the check report) read it
+        # from a table written once in the checkpoint folder instead of
+        # recomputing the window per branch; single-consumer queries stay one
+        # lazy plan.
+        self.materialize = materialize
 
     # bronze
     @cached_property
@@ -78,7 +84,8 @@ class Domain:
 
     @cached_property
     def routed(self) -> DataFrame:
-        return silver.route_ratings(self.typed, self.catalogue)
+        routed = silver.route_ratings(self.typed, self.catalogue)
+        return materialize(self.spark, routed, "routed") if self.materialize else routed
 
     @cached_property
     def silver(self) -> DataFrame:
@@ -389,7 +396,7 @@ def _dq(select_name: str, layer: str):
 
 
 def q_dq_report(spark, sf_dir):
-    d = _d(spark, sf_dir)
+    d = Domain(spark, sf_dir, materialize=True)
     silver_rows = quality.check_frame("silver", **_silver_tables(d))
     gold_rows = quality.check_frame("gold", fact=d.fact)
     return silver_rows.unionByName(gold_rows).select(*_DQ_COLS)

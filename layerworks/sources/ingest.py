@@ -57,19 +57,24 @@ def stamp_provenance(
     batch_id: str,
     clock: str,
     source_key: str | None = None,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Attach file name, role, batch id, ingest time and source position.
 
     ``source_file=None`` takes the real file name of each row from the scan's
-    ``_metadata`` (multi-file input).  ``clock`` is an argument so reruns are
-    reproducible; the batch id and clock are the same for every source landed
-    in one run.  When the frame has no ``_source_key``/``_source_line`` yet
-    (text files) the position is the file offset of the row's split plus a
-    per-split ordinal: a total order for tie-breaks.
+    ``_metadata`` (multi-file input), or from ``file_column`` when the name
+    was captured earlier (streaming micro-batches); that column is consumed.
+    ``clock`` is an argument so reruns are reproducible; the batch id and
+    clock are the same for every source landed in one run.  When the frame
+    has no ``_source_key``/``_source_line`` yet (text files) the position is
+    ``monotonically_increasing_id()`` (split index in the high bits, row
+    ordinal within the split below): a total order for tie-breaks.
     """
     cols = df.columns
-    if source_file is None:
-        file_col = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    if file_column is not None:
+        file_col = F.col(file_column)
+    elif source_file is None:
+        file_col = F.col("_metadata.file_name")
     else:
         file_col = F.lit(source_file)
     if "_source_key" not in cols:
@@ -81,7 +86,7 @@ def stamp_provenance(
         df = df.withColumn("_source_key", key_col)
     if "_source_line" not in df.columns:
         df = df.withColumn("_source_line", F.lit(0))
-    data_cols = [c for c in df.columns if c not in ("_source_key", "_source_line")]
+    data_cols = [c for c in df.columns if c not in ("_source_key", "_source_line", file_column)]
     return df.select(
         *data_cols,
         file_col.alias("_source_file"),
