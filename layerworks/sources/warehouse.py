@@ -175,6 +175,8 @@ class ChangelogTable:
 
     def _latest_compaction(self, upto: int) -> int | None:
         log = self.wh.log(self.name)
+        if log is None:  # first version, not yet published
+            return None
         row = (
             log.filter((F.col("operation") == "COMPACT") & (F.col("num_rows").isNotNull()))
             .filter(F.col("version") <= upto)
