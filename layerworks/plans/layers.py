@@ -7,8 +7,9 @@ table visible and raises ``QualityGateFailed``; the check results are
 appended to ``dq_results`` first, pass or fail.
 
 The routed silver frame is written once partitioned by ``_route``; the kept
-rows and the quarantine are two partition reads of that one write, so the
-window and the catalogue probe run exactly once per run.
+rows (published as the new silver version by pointer, no copy) and the
+quarantine are partition reads of that one write, so the window and the
+catalogue probe run exactly once per run.
 """
 
 from __future__ import annotations
@@ -16,9 +17,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import config
-from ..operators.routing import ROUTE
+from ..operators.routing import ROUTE, ROUTE_CLEAN
 from ..sources.ingest import CORRUPT_COLUMN, SourceSpec, batch_id_now, clock_now, ingest
 from ..sources.warehouse import ChangelogTable, Warehouse
 from . import gold, quality, silver
@@ -121,11 +123,15 @@ def run_silver(
     corr = _bronze_or_none(wh, BRONZE_CORRECTIONS)
     if corr is not None:
         corr = corr.drop(CORRUPT_COLUMN)
-    routed = silver.route_ratings(silver.typed_ratings(feed, corr), items_staged)
-    routed_path, routed_staged = wh.stage(routed, SILVER_RATINGS + "_routed", partition_by=[ROUTE])
-
-    kept = silver.silver_from_routed(routed_staged)
-    silver_path, silver_staged = wh.stage(kept, SILVER_RATINGS)
+    routed = silver.enrich(silver.route_ratings(silver.typed_ratings(feed, corr), items_staged))
+    # ONE write of every deduplicated row, partitioned by route: the clean
+    # partition folder *is* the new silver version (published by pointer),
+    # the other partitions are this run's quarantine.
+    routed_path, routed_staged = wh.stage(
+        routed.select(*silver.SILVER_COLUMNS, ROUTE), SILVER_RATINGS, partition_by=[ROUTE]
+    )
+    silver_path = f"{routed_path}/{ROUTE}={ROUTE_CLEAN}"
+    silver_staged = routed_staged.filter(F.col(ROUTE) == ROUTE_CLEAN).select(*silver.SILVER_COLUMNS)
     quarantine = silver.quarantine_from_routed(routed_staged, clock)
 
     results = _gate(
@@ -155,7 +161,8 @@ def run_gold(
     """B4-B7 + gate: dimensions, fact merge, monthly aggregate."""
     items = wh.read(SILVER_ITEMS)
     ratings = wh.read(SILVER_RATINGS)
-    dim_item_path, dim_item = wh.stage(gold.dim_item(items), DIM_ITEM)
+    # sorted within files by natural key (file-level min/max pruning), no global sort
+    dim_item_path, dim_item = wh.stage(gold.dim_item(items).sortWithinPartitions("movie_natural_key"), DIM_ITEM)
     dim_user_path, dim_user = wh.stage(gold.dim_user(ratings), DIM_USER)
 
     staged = gold.fact_stage(ratings, dim_item)

@@ -39,7 +39,8 @@ from .reconcile import reconcile_counts
 VERSION_BASE_YEAR = 1995
 FEED_LAST_VERSION = 6
 AS_OF_VERSION = 3
-KEYS = list(config.FEED_KEYS)
+# (movie_id, user_id): the grain key, most selective column first for sorts.
+KEYS = ["movie_id", "user_id"]
 SECOND_BATCH = "20240116T000000Z"
 SECOND_CLOCK = "2024-01-16 00:00:00"
 

@@ -15,11 +15,11 @@ from .. import config
 from ..functions import invalid_rating
 from ..operators.dedup import rank_latest
 from ..operators.routing import mark_known
-from .silver import LATEST_ORDER, _solo_group
+from .silver import LATEST_ORDER, WINDOW_KEYS, _solo_group
 
 
 def reconcile_counts(typed: DataFrame, catalogue: DataFrame) -> DataFrame:
-    ranked = rank_latest(typed.withColumn("_solo", _solo_group()), ["user_id", "movie_id", "_solo"], LATEST_ORDER)
+    ranked = rank_latest(typed.withColumn("_solo", _solo_group()), WINDOW_KEYS, LATEST_ORDER)
     probed = mark_known(ranked, catalogue.select("movie_id"), "movie_id")
     win = F.col("_rank") == 1
     bad = invalid_rating()

@@ -39,6 +39,10 @@ from ..operators.routing import ROUTE, ROUTE_CLEAN, ROUTE_INVALID, ROUTE_ORPHAN,
 
 PROVENANCE = list(config.PROVENANCE)
 LATEST_ORDER = ("event_ts", "_ingested_at", "_source_key", "_source_line")
+# Window partition key, most selective column first: the sort before the
+# (partial and final) top-1 uses the first key as its prefix, so fewer prefix
+# ties means fewer full-row comparisons.
+WINDOW_KEYS = ["movie_id", "user_id", "_solo"]
 
 
 # --- ratings: text -> typed ---------------------------------------------------
@@ -94,13 +98,13 @@ def _solo_group():
 def latest_per_pair(typed: DataFrame) -> DataFrame:
     """Newest record per (user_id, movie_id); NULL-key rows kept one by one."""
     with_solo = typed.withColumn("_solo", _solo_group())
-    return latest_wins(with_solo, ["user_id", "movie_id", "_solo"], LATEST_ORDER).drop("_solo")
+    return latest_wins(with_solo, WINDOW_KEYS, LATEST_ORDER).drop("_solo")
 
 
 def latest_valid_per_pair(typed: DataFrame) -> DataFrame:
     """Alternative order: validate first, then keep the newest *valid* record."""
     valid = typed.filter(~invalid_rating())
-    return latest_wins(valid, list(config.FEED_KEYS), LATEST_ORDER)
+    return latest_wins(valid, ["movie_id", "user_id"], LATEST_ORDER)
 
 
 def enrich(df: DataFrame) -> DataFrame:

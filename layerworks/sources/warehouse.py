@@ -203,11 +203,15 @@ class ChangelogTable:
             changes = base.unionByName(changes.filter(F.col(VERSION) > base_v))
         return snapshot_as_of(changes, self.keys, upto).drop(VERSION)
 
-    def history(self) -> DataFrame:
-        """V3: per version counts joined with the log's operation and time."""
+    def history(self, limit: int | None = None) -> DataFrame:
+        """V3/K3: per version counts joined with the log's operation and time,
+        newest first; ``limit`` keeps the latest n entries."""
         hist = version_history(self._changes(None), self.keys).drop("operation")
         log = self.wh.log(self.name).filter(F.col("operation") != "COMPACT")
-        return hist.join(log.select("version", "operation", "committed_at"), "version", "left")
+        out = hist.join(log.select("version", "operation", "committed_at"), "version", "left").orderBy(
+            F.col("version").desc()
+        )
+        return out.limit(limit) if limit else out
 
     def diff(self, a: int, b: int | None, value: str) -> DataFrame:
         return version_diff(self._changes(b), self.keys, a, b, value)
