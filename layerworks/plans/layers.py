@@ -143,13 +143,12 @@ def run_silver(
         quarantine=quarantine,
         expect_quarantine=expect_quarantine,
     )
-    # publish only after the audit passed
+    # publish only after the audit passed; both silver tables in one commit
     wh.append(quarantine, QUARANTINE)
-    v_items = wh.publish_staged(SILVER_ITEMS, items_path)
-    v_silver = wh.publish_staged(SILVER_RATINGS, silver_path)
+    published = wh.publish_many([(SILVER_ITEMS, items_path, "WRITE", None), (SILVER_RATINGS, silver_path, "WRITE", None)])
     if report is not None:
         report.checks["silver"] = results
-        report.published.update({SILVER_ITEMS: v_items, SILVER_RATINGS: v_silver})
+        report.published.update(published)
 
 
 def run_gold(
@@ -169,16 +168,18 @@ def run_gold(
     fact = ChangelogTable(wh, FACT, config.FACT_KEYS)
     # write the merge as an unpublished version, audit it, then publish
     operation = "MERGE" if fact.exists() else "WRITE"
-    version = fact.merge(staged, mode="upsert", publish=False)
+    # silver passed its grain check and keys are a pure function of the
+    # natural ids, so the batch is unique on (user_key, movie_key) already
+    version = fact.merge(staged, mode="upsert", publish=False, validate_source=False)
     merged = fact.snapshot(version)
     results = _gate(spark, wh, "gold", fact=merged, expect_corrections=expect_corrections)
     monthly_path, _ = wh.stage(gold.monthly_agg(merged, dim_item), MONTHLY)
-    published = {
-        DIM_ITEM: wh.publish_staged(DIM_ITEM, dim_item_path),
-        DIM_USER: wh.publish_staged(DIM_USER, dim_user_path),
-        MONTHLY: wh.publish_staged(MONTHLY, monthly_path),
-        FACT: fact.publish(version, operation),
-    }
+    # dimensions, aggregate and the fact version become visible together
+    published = wh.publish_many(
+        [(DIM_ITEM, dim_item_path, "WRITE", None), (DIM_USER, dim_user_path, "WRITE", None), (MONTHLY, monthly_path, "WRITE", None)],
+        extra_entries=[fact.log_entry(version, operation)],
+    )
+    published[FACT] = version
     if report is not None:
         report.checks["gold"] = results
         report.published.update(published)

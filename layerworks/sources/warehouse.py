@@ -4,12 +4,14 @@ Layout under ``root`` (a folder every executor can reach):
 
 * ``tables/<name>/_ingest_batch=<id>/``  append-only landed batches (bronze);
   re-landing a batch id replaces that batch only (idempotent).
-* ``tables/<name>/_data/<token>/`` + ``tables/<name>/_versions/``  replaced
-  tables (silver, dimensions, aggregates).  A publish writes a fresh data
-  folder and then appends one row (version, path, rows, time) to the version
-  log; readers follow the highest logged version.  A failed or unaudited
-  write is never visible, and a path being read is never overwritten.
-* ``tables/<name>/changes/version=<n>/`` + ``_versions``  key-merged tables
+* ``tables/<name>/_data/<token>/``  replaced tables (silver, dimensions,
+  aggregates).  A publish writes a fresh data folder, then appends rows
+  (table, version, path, operation, rows, time) to the warehouse commit log
+  ``_catalog/``; readers follow the highest logged version of a table.  One
+  append can publish several tables at once (all or none visible).  A failed
+  or unaudited write is never visible, and a path being read is never
+  overwritten.
+* ``tables/<name>/changes/version=<n>/``  key-merged tables
   (the fact): each commit stores only the rows it wrote, partitioned by
   version, so time travel prunes partitions; ``snapshots/version=<n>/`` holds
   optional compacted full states so a read never replays the whole history.
@@ -35,6 +37,7 @@ from ..session import ensure_checkpoint_dir
 
 LOG_SCHEMA = T.StructType(
     [
+        T.StructField("table", T.StringType(), False),
         T.StructField("version", T.IntegerType(), False),
         T.StructField("path", T.StringType(), False),
         T.StructField("operation", T.StringType(), False),
@@ -76,29 +79,38 @@ class Warehouse:
                 return False
             raise
 
-    # --- version log -------------------------------------------------------
+    # --- commit log ----------------------------------------------------------
 
-    def log(self, name: str) -> DataFrame | None:
-        path = f"{self.path(name)}/_versions"
+    @property
+    def catalog_path(self) -> str:
+        return f"{self.root}/_catalog"
+
+    def catalog(self) -> DataFrame | None:
+        """Every commit of every table (small: one row per publish)."""
+        path = self.catalog_path
         return self.spark.read.schema(LOG_SCHEMA).parquet(path) if self._exists(path) else None
 
+    def log(self, name: str) -> DataFrame | None:
+        cat = self.catalog()
+        return None if cat is None else cat.filter(F.col("table") == name).drop("table")
+
     def current(self, name: str) -> dict | None:
         """Highest logged version of a table (one small row), or None."""
         log = self.log(name)
         if log is None:
             return None
-        row = log.orderBy(F.col("version").desc()).limit(1).collect()
+        row = log.orderBy(F.col("version").desc(), F.col("committed_at").desc()).limit(1).collect()
         return row[0].asDict() if row else None
 
     def current_version(self, name: str) -> int | None:
         cur = self.current(name)
         return None if cur is None else cur["version"]
 
-    def _append_log(self, name: str, version: int, path: str, operation: str, num_rows: int | None) -> None:
-        row = [(version, path, operation, num_rows, _now())]
-        self.spark.createDataFrame(row, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(
-            f"{self.path(name)}/_versions"
-        )
+    def _append_log(self, entries: list[tuple[str, int, str, str, int | None]]) -> None:
+        """One atomic append of (table, version, path, operation, rows) rows."""
+        now = _now()
+        rows = [(t, v, p, op, n, now) for t, v, p, op, n in entries]
+        self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.catalog_path)
 
     # --- append-only landing ----------------------------------------------
 
@@ -128,12 +140,32 @@ class Warehouse:
         writer.parquet(path)
         return path, self.spark.read.parquet(path)
 
+    def next_version(self, name: str) -> int:
+        cur = self.current_version(name)
+        return 0 if cur is None else cur + 1
+
     def publish_staged(self, name: str, path: str, operation: str = "WRITE", num_rows: int | None = None) -> int:
         """Make a staged folder the table's next version (one log row)."""
-        cur = self.current_version(name)
-        version = 0 if cur is None else cur + 1
-        self._append_log(name, version, path, operation, num_rows)
-        return version
+        return self.publish_many([(name, path, operation, num_rows)])[name]
+
+    def publish_many(
+        self,
+        items: list[tuple[str, str, str, int | None]],
+        extra_entries: Sequence[tuple[str, int, str, str, int | None]] = (),
+    ) -> dict[str, int]:
+        """Publish several staged folders in ONE log append (all or none).
+
+        ``extra_entries`` are ready log rows (e.g. a changelog version) that
+        become visible in the same append."""
+        cat = self.catalog()
+        current: dict[str, int] = {}
+        if cat is not None:
+            names = [n for n, *_ in items]
+            for r in cat.filter(F.col("table").isin(names)).groupBy("table").agg(F.max("version").alias("v")).collect():
+                current[r["table"]] = r["v"]
+        versions = {name: current.get(name, -1) + 1 for name, *_ in items}
+        self._append_log([(name, versions[name], path, op, n) for name, path, op, n in items] + list(extra_entries))
+        return versions
 
     def publish(self, df: DataFrame, name: str) -> int:
         path, _ = self.stage(df, name)
@@ -231,10 +263,21 @@ class ChangelogTable:
 
     def publish(self, version: int, operation: str) -> int:
         """Make a written version visible (one log row)."""
-        self.wh._append_log(self.name, version, f"{self.base}/changes/version={version}", operation, None)
+        self.wh._append_log([self.log_entry(version, operation)])
         return version
 
-    def merge(self, batch: DataFrame, mode: str = "upsert", guard_col: str | None = None, publish: bool = True) -> int:
+    def log_entry(self, version: int, operation: str) -> tuple[str, int, str, str, None]:
+        """The commit-log row publishing ``version`` (to batch with other tables)."""
+        return (self.name, version, f"{self.base}/changes/version={version}", operation, None)
+
+    def merge(
+        self,
+        batch: DataFrame,
+        mode: str = "upsert",
+        guard_col: str | None = None,
+        publish: bool = True,
+        validate_source: bool = True,
+    ) -> int:
         """Commit a batch: ``upsert`` (create on first use) or ``update_only``.
 
         Only the rows the merge writes are stored: upsert = the whole batch;
@@ -242,8 +285,11 @@ class ChangelogTable:
         rows not older than the current row of their key.  ``publish=False``
         writes the version without making it visible, so it can be audited
         with ``snapshot(version)`` first and published with ``publish()``.
+        ``validate_source=False`` skips the uniqueness job when the caller has
+        already proved the batch unique on the key (e.g. by a grain check).
         """
-        require_unique(batch, self.keys)
+        if validate_source:
+            require_unique(batch, self.keys)
         if not self.exists():
             if mode != "upsert":
                 raise FileNotFoundError(f"table {self.name!r} does not exist")
@@ -269,6 +315,6 @@ class ChangelogTable:
         path = f"{self.base}/snapshots/version={v}"
         state.write.mode("overwrite").parquet(path)
         n = self.spark.read.parquet(path).count()
-        self.wh._append_log(self.name, v, path, "COMPACT", n)
+        self.wh._append_log([(self.name, v, path, "COMPACT", n)])
         return v
 
