@@ -42,6 +42,7 @@ DQ_RESULTS = "dq_results"
 class RunReport:
     batch_id: str
     published: dict[str, int] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
     checks: dict[str, list[dict]] = field(default_factory=dict)
 
 
@@ -115,7 +116,7 @@ def run_silver(
 ) -> None:
     """B2 + B3 + gate: catalogue first, then the routed ratings, then publish."""
     items = silver.silver_catalogue(wh.read_landed(BRONZE_ITEMS))
-    items_path, items_staged = wh.stage(items, SILVER_ITEMS)
+    items_path, items_staged, n_items = wh.stage_counted(items, SILVER_ITEMS)
 
     # Malformed source lines stay rows (their NULL fields route them to
     # quarantine); the raw-line column itself is bronze-only evidence.
@@ -127,7 +128,7 @@ def run_silver(
     # ONE write of every deduplicated row, partitioned by route: the clean
     # partition folder *is* the new silver version (published by pointer),
     # the other partitions are this run's quarantine.
-    routed_path, routed_staged = wh.stage(
+    routed_path, routed_staged, _ = wh.stage_counted(
         routed.select(*silver.SILVER_COLUMNS, ROUTE), SILVER_RATINGS, partition_by=[ROUTE]
     )
     silver_path = f"{routed_path}/{ROUTE}={ROUTE_CLEAN}"
@@ -144,9 +145,13 @@ def run_silver(
         expect_quarantine=expect_quarantine,
     )
     # publish only after the audit passed; both silver tables in one commit
-    wh.append(quarantine, QUARANTINE)
-    published = wh.publish_many([(SILVER_ITEMS, items_path, "WRITE", None), (SILVER_RATINGS, silver_path, "WRITE", None)])
+    n_quarantined = wh.append(quarantine, QUARANTINE)
+    n_silver = next(r["observed"] for r in results if r["name"] == quality.NOT_EMPTY.name)
+    published = wh.publish_many(
+        [(SILVER_ITEMS, items_path, "WRITE", n_items), (SILVER_RATINGS, silver_path, "WRITE", n_silver)]
+    )
     if report is not None:
+        report.rows.update({SILVER_ITEMS: n_items, SILVER_RATINGS: n_silver, QUARANTINE: n_quarantined})
         report.checks["silver"] = results
         report.published.update(published)
 
@@ -161,8 +166,10 @@ def run_gold(
     items = wh.read(SILVER_ITEMS)
     ratings = wh.read(SILVER_RATINGS)
     # sorted within files by natural key (file-level min/max pruning), no global sort
-    dim_item_path, dim_item = wh.stage(gold.dim_item(items).sortWithinPartitions("movie_natural_key"), DIM_ITEM)
-    dim_user_path, dim_user = wh.stage(gold.dim_user(ratings), DIM_USER)
+    dim_item_path, dim_item, n_dim_item = wh.stage_counted(
+        gold.dim_item(items).sortWithinPartitions("movie_natural_key"), DIM_ITEM
+    )
+    dim_user_path, dim_user, n_dim_user = wh.stage_counted(gold.dim_user(ratings), DIM_USER)
 
     staged = gold.fact_stage(ratings, dim_item)
     fact = ChangelogTable(wh, FACT, config.FACT_KEYS)
@@ -173,14 +180,19 @@ def run_gold(
     version = fact.merge(staged, mode="upsert", publish=False, validate_source=False)
     merged = fact.snapshot(version)
     results = _gate(spark, wh, "gold", fact=merged, expect_corrections=expect_corrections)
-    monthly_path, _ = wh.stage(gold.monthly_agg(merged, dim_item), MONTHLY)
+    monthly_path, _, n_monthly = wh.stage_counted(gold.monthly_agg(merged, dim_item), MONTHLY)
     # dimensions, aggregate and the fact version become visible together
     published = wh.publish_many(
-        [(DIM_ITEM, dim_item_path, "WRITE", None), (DIM_USER, dim_user_path, "WRITE", None), (MONTHLY, monthly_path, "WRITE", None)],
+        [
+            (DIM_ITEM, dim_item_path, "WRITE", n_dim_item),
+            (DIM_USER, dim_user_path, "WRITE", n_dim_user),
+            (MONTHLY, monthly_path, "WRITE", n_monthly),
+        ],
         extra_entries=[fact.log_entry(version, operation)],
     )
     published[FACT] = version
     if report is not None:
+        report.rows.update({DIM_ITEM: n_dim_item, DIM_USER: n_dim_user, MONTHLY: n_monthly})
         report.checks["gold"] = results
         report.published.update(published)
 

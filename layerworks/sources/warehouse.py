@@ -27,7 +27,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,17 @@ from ..operators.merge import require_unique
 from ..operators.versions import VERSION, snapshot_as_of, version_diff, version_history
 from ..session import ensure_checkpoint_dir
 
+
+def assert_same_schema_loose(incoming: T.StructType, existing: T.StructType) -> None:
+    """Same column names, order and types (nullability may differ: parquet
+    reads every column back as nullable)."""
+    got = [(f.name, f.dataType.simpleString()) for f in incoming.fields]
+    want = [(f.name, f.dataType.simpleString()) for f in existing.fields]
+    if got != want:
+        missing = [c for c in want if c not in got]
+        extra = [c for c in got if c not in want]
+        raise ValueError(f"schema mismatch on append: missing={missing} extra={extra}")
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType(), False),
@@ -114,8 +125,23 @@ class Warehouse:
 
     # --- append-only landing ----------------------------------------------
 
+    def _enforce_schema(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
+        """An append must match the existing table's columns and types.
+
+        Reads only the existing schema (file footers), never the data.  On
+        read, partition columns come last, so compare in that layout.
+        """
+        path = self.path(name)
+        if not self._exists(path):
+            return
+        existing = self.spark.read.parquet(path).schema
+        data = [c for c in df.columns if c not in partition_by]
+        incoming = df.select(*data, *partition_by).schema
+        assert_same_schema_loose(incoming, existing)
+
     def land(self, df: DataFrame, name: str) -> None:
         """Append a batch (partitioned by ``_ingest_batch``; re-landing replaces it)."""
+        self._enforce_schema(df, name, ["_ingest_batch"])
         (
             df.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -126,19 +152,33 @@ class Warehouse:
     def read_landed(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def append(self, df: DataFrame, name: str) -> None:
-        df.write.mode("append").parquet(self.path(name))
+    def append(self, df: DataFrame, name: str) -> int:
+        """Append rows (schema-checked); returns the rows written, observed
+        during the write itself (no second pass over the data)."""
+        self._enforce_schema(df, name)
+        obs = Observation(f"append_{name}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(self.path(name))
+        return int(obs.get["rows"])
 
     # --- replaced tables: stage, audit, publish ------------------------------
 
     def stage(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> tuple[str, DataFrame]:
         """Write ``df`` to a fresh, unpublished folder; return (path, re-read frame)."""
+        path, staged, _ = self.stage_counted(df, name, partition_by)
+        return path, staged
+
+    def stage_counted(
+        self, df: DataFrame, name: str, partition_by: Sequence[str] = ()
+    ) -> tuple[str, DataFrame, int]:
+        """As ``stage`` plus the number of rows written, taken by an
+        ``Observation`` during the write (A7: counts without re-execution)."""
         path = f"{self.path(name)}/_data/{uuid.uuid4().hex}"
-        writer = df.write.mode("error")
+        obs = Observation(f"stage_{name}")
+        writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("error")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        return path, self.spark.read.parquet(path)
+        return path, self.spark.read.parquet(path), int(obs.get["rows"])
 
     def next_version(self, name: str) -> int:
         cur = self.current_version(name)

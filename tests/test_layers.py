@@ -130,3 +130,23 @@ def test_pipeline_from_csv_files(spark, tmp_root):
     layers.land_files(spark, wh2, ratings, movies, os.path.join(tmp_root, "missing.csv"), batch_id="b1", clock=CLOCK)
     layers.run_layers(spark, wh2, clock=CLOCK, expect_corrections=False)
     assert wh2.read(layers.SILVER_RATINGS).count() == 3
+
+
+def test_report_counts_come_from_the_writes(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    land_fixture(spark, wh)
+    report = layers.run_layers(spark, wh, clock=CLOCK)
+    d = Domain(spark, SF_SMALL)
+    assert report.rows[layers.SILVER_RATINGS] == d.silver.count()
+    assert report.rows[layers.QUARANTINE] == d.quarantine.count()
+    assert report.rows[layers.DIM_USER] == d.dim_user.count()
+    logged = {r.table: r.num_rows for r in wh.catalog().filter(F.col("num_rows").isNotNull()).collect()}
+    assert logged[layers.SILVER_RATINGS] == report.rows[layers.SILVER_RATINGS]
+
+
+def test_append_with_another_schema_is_rejected(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    wh.append(spark.createDataFrame([(1, "a")], "id long, name string"), "t")
+    with pytest.raises(ValueError):
+        wh.append(spark.createDataFrame([(1, "a", 2)], "id long, name string, extra int"), "t")
+    assert wh.append(spark.createDataFrame([(2, "b")], "id long, name string"), "t") == 1
