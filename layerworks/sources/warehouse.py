@@ -62,15 +62,18 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def materialize(spark: SparkSession, df: DataFrame, label: str = "frame") -> DataFrame:
+def materialize(
+    spark: SparkSession, df: DataFrame, label: str = "frame", partition_by: Sequence[str] = ()
+) -> DataFrame:
     """Write ``df`` once as parquet under the session's checkpoint folder and
     read it back: cuts the lineage for frames with several consumers and
     survives executor loss (the data lives on shared storage, not in memory).
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/materialized/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return spark.read.parquet(path).select(*df.columns)
 
 
 class Warehouse:
