@@ -92,7 +92,7 @@ routed AS (
     FROM flagged f
 ),
 silver AS (
-    SELECT user_id, movie_id, rating, event_ts, rating_source, source_role, src_key, src_line,
+    SELECT user_id, movie_id, rating, event_ts, rating_source, source_role, source_file, src_key, src_line,
            CASE WHEN rating >= 4.5 THEN 'high' WHEN rating >= 3.0 THEN 'medium' ELSE 'low' END AS rating_tier,
            strftime(event_ts, '%Y-%m') AS rated_month
     FROM routed WHERE route = 'clean'
@@ -373,3 +373,31 @@ for _key, (_check, _observed) in DQ.items():
     SQL[_key] = _with() + _dq(_check, _observed)
 
 SQL["dq_report"] = _with() + "\nUNION ALL\n".join(_dq(c, o) for c, o in DQ.values())
+
+# Silver's columns and their Spark type names (fixed by the silver schema).
+SILVER_SCHEMA = [
+    ("user_id", "bigint"),
+    ("movie_id", "bigint"),
+    ("rating", "double"),
+    ("event_ts", "timestamp_ntz"),
+    ("rating_source", "string"),
+    ("rating_tier", "string"),
+    ("rated_month", "string"),
+    ("_source_file", "string"),
+    ("_source_role", "string"),
+    ("_ingest_batch", "string"),
+    ("_ingested_at", "timestamp_ntz"),
+    ("_source_key", "bigint"),
+    ("_source_line", "int"),
+]
+_SILVER_AS_LAYER = f"""silver_layer AS (
+    SELECT user_id, movie_id, rating, event_ts, rating_source, rating_tier, rated_month,
+           source_file AS _source_file, source_role AS _source_role, '{BATCH}' AS _ingest_batch,
+           TIMESTAMP '{CLOCK}' AS _ingested_at, src_key AS _source_key, src_line AS _source_line
+    FROM silver
+)"""
+SQL["schema_report"] = _with(_SILVER_AS_LAYER) + "\nUNION ALL\n".join(
+    f"SELECT CAST({i} AS INTEGER) AS position, '{name}' AS column_name, '{typ}' AS data_type, "
+    f"count(*) FILTER (WHERE {name} IS NULL) AS null_count FROM silver_layer"
+    for i, (name, typ) in enumerate(SILVER_SCHEMA, start=1)
+)

@@ -404,7 +404,7 @@ def q_dq_report(spark, sf_dir):
 
 
 def q_schema_report(spark, sf_dir):
-    return schema_report(spark, _d(spark, sf_dir).silver)
+    return schema_report(_d(spark, sf_dir).silver)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -71,5 +71,6 @@ def test_schema_enforcement_and_report(spark):
     assert_same_schema(a, a.schema)
     with pytest.raises(ValueError):
         assert_same_schema(b, a.schema)
-    rep = [tuple(r) for r in schema_report(spark, b).collect()]
-    assert rep == [(1, "id", "bigint", True), (2, "name", "string", True), (3, "extra", "int", True)]
+    c = spark.createDataFrame([(1, None, 3), (2, "y", None), (3, None, None)], "id long, name string, extra int")
+    rep = [tuple(r) for r in schema_report(c).collect()]
+    assert rep == [(1, "id", "bigint", 0), (2, "name", "string", 2), (3, "extra", "int", 2)]

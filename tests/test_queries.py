@@ -41,9 +41,8 @@ def _rows(df):
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-def test_every_query_has_an_oracle_or_is_rows_only():
-    assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == {"schema_report"}
+def test_every_query_has_an_oracle():
+    assert set(ORACLE) == set(QUERIES)
     assert len(QUERIES) == 51
 
 
