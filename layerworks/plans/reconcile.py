@@ -1,9 +1,13 @@
 """Row-count reconciliation of the silver layer.
 
 input = feed + corrections; input - superseded = latest;
-latest = invalid + orphans + silver.  All counts come from ONE plan: every
-input row is ranked within its key (rank 1 = the record that won), probed
-against the catalogue once, and counted by a single aggregation.
+latest = invalid + orphans + silver.
+
+Skew-safe by construction: the input side is a plain partial aggregation over
+the typed rows, and the routed side counts the output of the latest-wins
+top-1 (whose partial ``WindowGroupLimit`` runs before the shuffle), so no task
+ever receives all rows of a hot key.  The two one-row aggregates are combined
+by a union and a final aggregation - no join.
 """
 
 from __future__ import annotations
@@ -12,29 +16,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
-from ..functions import invalid_rating
-from ..operators.dedup import rank_latest
-from ..operators.routing import mark_known
-from .silver import LATEST_ORDER, WINDOW_KEYS, _solo_group
+from ..operators.routing import ROUTE, ROUTE_CLEAN, ROUTE_INVALID, ROUTE_ORPHAN
+from .silver import route_ratings
+
+INPUT_COUNTS = ("feed_rows", "correction_rows", "input_rows")
+ROUTE_COUNTS = ("latest_rows", "invalid_rows", "orphan_rows", "silver_rows")
 
 
 def reconcile_counts(typed: DataFrame, catalogue: DataFrame) -> DataFrame:
-    ranked = rank_latest(typed.withColumn("_solo", _solo_group()), WINDOW_KEYS, LATEST_ORDER)
-    probed = mark_known(ranked, catalogue.select("movie_id"), "movie_id")
-    win = F.col("_rank") == 1
-    bad = invalid_rating()
     src = F.col("rating_source")
-    counts = probed.agg(
+    inputs = typed.agg(
         F.count_if(src == config.SOURCE_PRIMARY).alias("feed_rows"),
         F.count_if(src == config.SOURCE_CORRECTION).alias("correction_rows"),
         F.count(F.lit(1)).alias("input_rows"),
-        F.count_if(~win).alias("superseded_rows"),
-        F.count_if(win).alias("latest_rows"),
-        F.count_if(win & bad).alias("invalid_rows"),
-        F.count_if(win & ~bad & ~F.col("_known")).alias("orphan_rows"),
-        F.count_if(win & ~bad & F.col("_known")).alias("silver_rows"),
     )
-    return counts.withColumn(
+    route = F.col(ROUTE)
+    routed = route_ratings(typed, catalogue).agg(
+        F.count(F.lit(1)).alias("latest_rows"),
+        F.count_if(route == ROUTE_INVALID).alias("invalid_rows"),
+        F.count_if(route == ROUTE_ORPHAN).alias("orphan_rows"),
+        F.count_if(route == ROUTE_CLEAN).alias("silver_rows"),
+    )
+    none = F.lit(None).cast("bigint")
+    both = inputs.select(*INPUT_COUNTS, *[none.alias(c) for c in ROUTE_COUNTS]).unionByName(
+        routed.select(*[none.alias(c) for c in INPUT_COUNTS], *ROUTE_COUNTS)
+    )
+    counts = both.agg(*[F.max(c).alias(c) for c in (*INPUT_COUNTS, *ROUTE_COUNTS)])
+    return counts.select(
+        *INPUT_COUNTS,
+        (F.col("input_rows") - F.col("latest_rows")).alias("superseded_rows"),
+        *ROUTE_COUNTS,
+    ).withColumn(
         "balanced",
         (F.col("input_rows") - F.col("superseded_rows") == F.col("latest_rows"))
         & (F.col("latest_rows") == F.col("invalid_rows") + F.col("orphan_rows") + F.col("silver_rows")),
