@@ -14,7 +14,7 @@ time travel, history and diffs are plain DataFrame queries:
   versions (partial aggregation, so a hot key is combined map-side).
 
 Update-only merges and guarded merges must record only the rows they actually
-changed (see ``effective_changes``) to keep the same invariant.
+wrote (``ChangelogTable.merge`` does) to keep the same invariant.
 """
 
 from __future__ import annotations
@@ -111,15 +111,6 @@ def version_diff(
     return per_key.withColumn("change", change)
 
 
-def effective_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``after`` that differ from ``before`` (new key or changed values).
-
-    Used to record update-only and guarded merges in a changelog so that
-    ``snapshot_as_of`` stays "newest version per key".
-    """
-    return after.exceptAll(before.select(*after.columns))
-
-
 def fact_not_in_stage(fact: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """V5: keys the fact still holds but the current stage no longer has."""
     return fact.select(*keys).join(stage.select(*keys), on=list(keys), how="left_anti")

@@ -24,6 +24,7 @@ needs, expressed with DataFrame reads and writes.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -129,18 +130,29 @@ class Warehouse:
     # --- append-only landing ----------------------------------------------
 
     def _enforce_schema(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-        """An append must match the existing table's columns and types.
+        """An append must match the table's columns and types.
 
-        Reads only the existing schema (file footers), never the data.  On
-        read, partition columns come last, so compare in that layout.
+        The schema is recorded once, in ``tables/<name>/_schema`` (one small
+        JSON text file), when the table is first written; later appends are
+        compared with it.  Nothing lists or reads the table's data files, which
+        matters when a landed table has millions of them.
         """
-        path = self.path(name)
-        if not self._exists(path):
-            return
-        existing = self.spark.read.parquet(path).schema
         data = [c for c in df.columns if c not in partition_by]
         incoming = df.select(*data, *partition_by).schema
-        assert_same_schema_loose(incoming, existing)
+        path = f"{self.path(name)}/_schema"
+        if self._exists_text(path):
+            stored = T.StructType.fromJson(json.loads(self.spark.read.text(path).first()[0]))
+            assert_same_schema_loose(incoming, stored)
+        else:
+            self.spark.createDataFrame([(incoming.json(),)], "value string").coalesce(1).write.text(path)
+
+    def _exists_text(self, path: str) -> bool:
+        try:
+            return self.spark.read.text(path).limit(1).count() > 0
+        except Exception as error:  # noqa: BLE001
+            if "PATH_NOT_FOUND" in str(error):
+                return False
+            raise
 
     def land(self, df: DataFrame, name: str) -> None:
         """Append a batch (partitioned by ``_ingest_batch``; re-landing replaces it)."""
