@@ -63,7 +63,8 @@ def generate_corrections(
 
     ``feed`` must have user_id, movie_id, rating, event_ts, _source_key,
     _source_line.  One scan of the feed; the three kinds are one ``explode``
-    of the matching slices, so no branch re-reads the input.
+    of the matching slices (NULL slots dropped), so no branch re-reads the
+    input and every expression stays inside whole-stage codegen.
     """
     h = sample_hash(seed)
     rerate = F.struct(
@@ -86,16 +87,16 @@ def generate_corrections(
         F.lit(config.OUT_OF_RANGE_RATING).alias("rating"),
         F.lit(OUT_OF_RANGE_SHIFT_DAYS).alias("shift"),
     )
-    sampled = feed.withColumn("_h", h).filter(F.col("_h") < hex_threshold(rerate_fraction))
-    kinds = F.filter(
-        F.array(
-            F.when(F.col("_h") < hex_threshold(rerate_fraction), rerate),
-            F.when(F.col("_h") < hex_threshold(unknown_fraction), unknown),
-            F.when(F.col("_h") < hex_threshold(out_of_range_fraction), out_of_range),
-        ),
-        lambda k: k.isNotNull(),
+    widest = max(rerate_fraction, unknown_fraction, out_of_range_fraction)
+    sampled = feed.withColumn("_h", h).filter(F.col("_h") < hex_threshold(widest))
+    kinds = F.array(
+        F.when(F.col("_h") < hex_threshold(rerate_fraction), rerate),
+        F.when(F.col("_h") < hex_threshold(unknown_fraction), unknown),
+        F.when(F.col("_h") < hex_threshold(out_of_range_fraction), out_of_range),
     )
-    exploded = sampled.select("user_id", "event_ts", "_source_key", "_source_line", F.explode(kinds).alias("c"))
+    exploded = sampled.select(
+        "user_id", "event_ts", "_source_key", "_source_line", F.explode(kinds).alias("c")
+    ).filter(F.col("c").isNotNull())
     return exploded.select(
         "user_id",
         F.col("c.movie_id").alias("movie_id"),

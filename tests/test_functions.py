@@ -129,3 +129,23 @@ def test_within_dates_half_open(spark):
     got = [r[0] for r in df.select(LF.is_within_dates("ts", "1990-01-01", "2030-01-01")).collect()]
     assert got == [True, True, False, False]
     assert F is not None
+
+
+def test_correction_sample_is_nested_and_deterministic(spark):
+    from layerworks.plans.corrections import generate_corrections, hex_threshold
+    from layerworks.sources.fixtures import feed_typed
+
+    feed = feed_typed(spark, "/root/testdata/sf0.001")
+    a = generate_corrections(feed).collect()
+    b = generate_corrections(feed).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    kinds = {}
+    for r in a:
+        kinds.setdefault(r.kind, set()).add((r._source_key, r._source_line))
+    assert kinds["out_of_range"] <= kinds["re_rating"] and kinds["unknown_item"] <= kinds["re_rating"]
+    assert all(r.rating == 9.9 for r in a if r.kind == "out_of_range")
+    assert all(r.movie_id == 99999999 for r in a if r.kind == "unknown_item")
+    assert hex_threshold(0.0) == "00000000" and hex_threshold(1.0) == "ffffffff"
+    # a wider unknown-item slice than the re-rating slice still yields its rows
+    wide = generate_corrections(feed, rerate_fraction=0.001, unknown_fraction=0.01, out_of_range_fraction=0.0)
+    assert wide.filter("kind = 'unknown_item'").count() > wide.filter("kind = 're_rating'").count()
