@@ -161,8 +161,13 @@ def run_gold(
     wh: Warehouse,
     expect_corrections: bool = True,
     report: RunReport | None = None,
+    compact_every: int | None = 8,
 ) -> None:
-    """B4-B7 + gate: dimensions, fact merge, monthly aggregate."""
+    """B4-B7 + gate: dimensions, fact merge, monthly aggregate.
+
+    Every ``compact_every`` fact versions the full state is materialised, so
+    reading the fact never replays more than that many versions of changes.
+    """
     items = wh.read(SILVER_ITEMS)
     ratings = wh.read(SILVER_RATINGS)
     # sorted within files by natural key (file-level min/max pruning), no global sort
@@ -191,6 +196,8 @@ def run_gold(
         extra_entries=[fact.log_entry(version, operation)],
     )
     published[FACT] = version
+    if compact_every and version > 0 and (version + 1) % compact_every == 0:
+        fact.compact(version)
     if report is not None:
         report.rows.update({DIM_ITEM: n_dim_item, DIM_USER: n_dim_user, MONTHLY: n_monthly})
         report.checks["gold"] = results

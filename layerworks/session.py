@@ -31,7 +31,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
 }
 
@@ -74,15 +73,48 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
     is.  Only when it is unset (unit tests, a laptop) do we create our own.
+    Works with a classic session and, without ``sparkContext``, with a
+    Spark Connect session (configuration only).
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="layerworks-ckpt-")
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
+
+
+def session_key(spark: SparkSession) -> str:
+    """Identity of a running session (application id when available)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect
+        return f"connect-{id(spark)}"
+
+
+def recommended_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
+    """Scale-dependent settings for a cluster run over ``input_bytes``.
+
+    Shuffle partitions start at about one per ``partition_bytes`` of input
+    (at least 3 waves of the cores) so no reducer's share has to spill badly;
+    AQE then coalesces small ones.  Scan splits stay at 256 MB.
+    """
+    shuffle = max(3 * total_cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+    }
 
 
 def local_session(cores: int | None = None, shuffle_partitions: int = 8) -> SparkSession:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import session_key
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
@@ -21,7 +23,7 @@ _SOURCES: dict[tuple[str, str], DataFrame] = {}
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet table by logical name; projections and filters reach the scan."""
     path = table_path(sf_dir, name)
-    key = (spark.sparkContext.applicationId, path)
+    key = (session_key(spark), path)
     df = _SOURCES.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)

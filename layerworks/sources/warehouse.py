@@ -28,7 +28,7 @@ import json
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -293,10 +293,21 @@ class ChangelogTable:
     def history(self, limit: int | None = None) -> DataFrame:
         """V3/K3: per version counts joined with the log's operation and time,
         newest first; ``limit`` keeps the latest n entries."""
-        hist = version_history(self._changes(None), self.keys).drop("operation")
-        log = self.wh.log(self.name).filter(F.col("operation") != "COMPACT")
-        out = hist.join(log.select("version", "operation", "committed_at"), "version", "left").orderBy(
-            F.col("version").desc()
+        counts = ["num_written", "num_inserted", "num_updated"]
+        hist = version_history(self._changes(None), self.keys).select(VERSION, *counts)
+        commits = self.wh.log(self.name).filter(F.col("operation") != "COMPACT")
+        # driven by the log: a commit that wrote no rows still has an entry
+        out = (
+            commits.select(VERSION, "operation", "committed_at")
+            .join(hist, VERSION, "left")
+            .fillna(0, counts)
+            .withColumn(
+                "num_rows",
+                F.sum("num_inserted").over(
+                    Window.orderBy(VERSION).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+                ),
+            )
+            .orderBy(F.col(VERSION).desc())
         )
         return out.limit(limit) if limit else out
 

@@ -149,3 +149,12 @@ def test_correction_sample_is_nested_and_deterministic(spark):
     # a wider unknown-item slice than the re-rating slice still yields its rows
     wide = generate_corrections(feed, rerate_fraction=0.001, unknown_fraction=0.01, out_of_range_fraction=0.0)
     assert wide.filter("kind = 'unknown_item'").count() > wide.filter("kind = 're_rating'").count()
+
+
+def test_recommended_conf_scales_with_input():
+    from layerworks.session import recommended_conf
+
+    small = recommended_conf(10 * 1024**2, total_cores=8)
+    big = recommended_conf(100 * 1024**4, total_cores=8000)
+    assert small["spark.sql.shuffle.partitions"] == "24"
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)

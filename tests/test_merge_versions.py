@@ -128,3 +128,13 @@ def test_unpublished_version_is_invisible(spark, tmp_root):
     assert rows(table.snapshot(v)) == [(1, "a", 2)]
     table.publish(v, "MERGE")
     assert rows(table.snapshot()) == [(1, "a", 2)]
+
+
+def test_history_lists_a_commit_that_wrote_nothing(spark, tmp_root):
+    table = ChangelogTable(Warehouse(spark, tmp_root), "h", ["id"])
+    table.merge(people(spark, [(1, "a", 1)]))
+    table.merge(people(spark, [(9, "z", 9)]), mode="update_only")  # matches nothing
+    table.merge(people(spark, [(2, "b", 2)]))
+    hist = [(r.version, r.operation, r.num_written, r.num_rows) for r in table.history().collect()]
+    assert hist == [(2, "MERGE", 1, 2), (1, "MERGE", 0, 1), (0, "WRITE", 1, 1)]
+    assert [r.version for r in table.history(limit=1).collect()] == [2]
