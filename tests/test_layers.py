@@ -150,3 +150,49 @@ def test_append_with_another_schema_is_rejected(spark, tmp_root):
     with pytest.raises(ValueError):
         wh.append(spark.createDataFrame([(1, "a", 2)], "id long, name string, extra int"), "t")
     assert wh.append(spark.createDataFrame([(2, "b")], "id long, name string"), "t") == 1
+
+
+def test_update_only_correction_of_one_fact_row_with_time_travel(spark, tmp_root):
+    """Pick the lowest-rated fact row, correct it to 5.0 with an update-only
+    merge, check the row count holds, the old value is still readable at the
+    previous version, and the history lists both commits."""
+    wh = Warehouse(spark, tmp_root)
+    land_fixture(spark, wh)
+    layers.run_layers(spark, wh, clock=CLOCK)
+    fact = ChangelogTable(wh, layers.FACT, config.FACT_KEYS)
+    before_v, before_n = fact.current_version(), fact.snapshot().count()
+    target = fact.snapshot().filter(F.col("rating") < 4.0).orderBy("rating", "movie_key", "user_key").limit(1)
+    staged = target.withColumn("rating", F.lit(5.0)).withColumn("rating_tier", F.lit("high")).withColumn(
+        "rating_source", F.lit("correction")
+    )
+    old = target.first()
+    v = fact.merge(staged, mode="update_only")
+    assert v == before_v + 1
+    assert fact.snapshot().count() == before_n
+    key = (F.col("user_key") == old.user_key) & (F.col("movie_key") == old.movie_key)
+    assert fact.snapshot().filter(key).first().rating == 5.0
+    assert fact.snapshot(before_v).filter(key).first().rating == old.rating
+    hist = {r.version: (r.operation, r.num_written) for r in fact.history().collect()}
+    assert hist[v] == ("MERGE", 1)
+
+
+def test_command_line_runs_all_stages_and_signals_a_gate_failure(spark, tmp_root):
+    from layerworks.__main__ import main
+
+    def write(name, text):
+        path = os.path.join(tmp_root, name)
+        with open(path, "w", encoding="utf-8") as fh:
+            fh.write(text)
+        return path
+
+    ratings = write("ratings.csv", "userId,movieId,rating,timestamp\n1,1,4.0,964982703\n2,1,9.0,964982703\n")
+    movies = write("movies.csv", "movieId,title,genres\n1,Toy Story (1995),Adventure\n")
+    root = os.path.join(tmp_root, "wh")
+    # no corrections: the gold gate's corrections check must block publication
+    assert main(["--root", root, "--ratings", ratings, "--movies", movies]) == 2
+    from layerworks.session import get_session
+
+    s = get_session()
+    assert Warehouse(s, root).current_version(layers.SILVER_RATINGS) == 0
+    assert ChangelogTable(Warehouse(s, root), layers.FACT, config.FACT_KEYS).current_version() is None
+    assert main(["--root", root, "--stage", "gold", "--no-expect-corrections"]) == 0
