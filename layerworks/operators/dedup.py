@@ -31,16 +31,6 @@ def latest_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
-def rank_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "_rank") -> DataFrame:
-    """All rows, each with its rank within its key (1 = the winner).
-
-    Unlike ``latest_wins`` there is no limit, so every row of a key meets in
-    one task: use only where keys are known to be small (tests, diagnostics).
-    """
-    w = Window.partitionBy(*keys).orderBy(*_order(order))
-    return df.withColumn(name, F.row_number().over(w))
-
-
 def dedup_natural_key(
     df: DataFrame,
     keys: Sequence[str],

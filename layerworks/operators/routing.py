@@ -18,18 +18,6 @@ ROUTE_ORPHAN = "orphan"
 _KNOWN = "_known"
 
 
-def flag(df: DataFrame, flag_col: Column, name: str = "_is_invalid") -> DataFrame:
-    return df.withColumn(name, flag_col)
-
-
-def split_on_flag(df: DataFrame, flag_col: Column) -> tuple[DataFrame, DataFrame]:
-    """(kept, rejected) halves of one frame by a total boolean flag."""
-    flagged = df.withColumn("_flag", flag_col)
-    kept = flagged.filter(~F.col("_flag")).drop("_flag")
-    rejected = flagged.filter(F.col("_flag")).drop("_flag")
-    return kept, rejected
-
-
 def mark_known(df: DataFrame, reference: DataFrame, key: str) -> DataFrame:
     """Add ``_known``: does ``key`` exist in ``reference``?  One probe per row.
 

@@ -218,13 +218,3 @@ def run_layers(
     run_silver(spark, wh, clock, expect_quarantine, report)
     run_gold(spark, wh, expect_corrections, report)
     return report
-
-
-def silver_counts(wh: Warehouse) -> dict[str, int]:
-    """Row counts of the published silver layer (for reports and tests)."""
-    out = {}
-    for name in (SILVER_RATINGS, SILVER_ITEMS):
-        out[name] = wh.read(name).count()
-    out[QUARANTINE] = wh.read_landed(QUARANTINE).count()
-    return out
-

@@ -1,4 +1,4 @@
-"""Bronze landing: raw text files in, append-only text tables out.
+"""Bronze landing: raw text files in as all-text rows with provenance.
 
 Every value lands as a string with provenance attached, so a malformed value is
 kept as evidence and only conformed in silver.  The CSV reader binds by header
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import config
-from .tables import assert_same_schema
 
 CORRUPT_COLUMN = "_corrupt_record"
 
@@ -119,20 +118,3 @@ def ingest(spark: SparkSession, spec: SourceSpec, batch_id: str, clock: str | No
             return None
         raise
     return stamp_provenance(raw, None, spec.role, batch_id, clock or clock_now())
-
-
-def land_batch(df: DataFrame, table_path: str, target_schema: T.StructType | None = None) -> None:
-    """Append one batch to a bronze table, idempotently per batch id.
-
-    The table is partitioned by ``_ingest_batch``; with dynamic partition
-    overwrite, re-landing the same batch replaces that batch only, and other
-    batches are never touched.
-    """
-    if target_schema is not None:
-        assert_same_schema(df, target_schema)
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_ingest_batch")
-        .parquet(table_path)
-    )

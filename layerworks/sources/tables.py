@@ -31,12 +31,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
-    """Expose DataFrames to SQL text by name (the path-relation use case)."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-
-
 def schema_report(df: DataFrame) -> DataFrame:
     """One row per column: position, name, simpleString type, NULL count.
 
@@ -60,9 +54,12 @@ def schema_report(df: DataFrame) -> DataFrame:
     return counts.select(F.explode(rows).alias("c")).select("c.*")
 
 
-def assert_same_schema(df: DataFrame, target: T.StructType) -> None:
-    """Append-time schema enforcement (S10): names, order and types must match."""
-    got = [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+def assert_same_schema(incoming: DataFrame | T.StructType, target: T.StructType) -> None:
+    """Append-time schema enforcement (S10): same column names, order and
+    types.  Nullability is not compared: parquet reads every column back as
+    nullable."""
+    schema = incoming.schema if isinstance(incoming, DataFrame) else incoming
+    got = [(f.name, f.dataType.simpleString()) for f in schema.fields]
     want = [(f.name, f.dataType.simpleString()) for f in target.fields]
     if got != want:
         missing = [c for c in want if c not in got]

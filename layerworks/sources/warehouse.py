@@ -35,18 +35,9 @@ from pyspark.sql import types as T
 from ..operators.merge import require_unique
 from ..operators.versions import VERSION, snapshot_as_of, version_diff, version_history
 from ..session import ensure_checkpoint_dir
+from .tables import assert_same_schema
 
 
-def assert_same_schema_loose(incoming: T.StructType, existing: T.StructType) -> None:
-    """Same column names, order and types (nullability may differ: parquet
-    reads every column back as nullable)."""
-    got = [(f.name, f.dataType.simpleString()) for f in incoming.fields]
-    want = [(f.name, f.dataType.simpleString()) for f in existing.fields]
-    if got != want:
-        missing = [c for c in want if c not in got]
-        extra = [c for c in got if c not in want]
-        raise ValueError(f"schema mismatch on append: missing={missing} extra={extra}")
-
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType(), False),
@@ -142,7 +133,7 @@ class Warehouse:
         path = f"{self.path(name)}/_schema"
         if self._exists_text(path):
             stored = T.StructType.fromJson(json.loads(self.spark.read.text(path).first()[0]))
-            assert_same_schema_loose(incoming, stored)
+            assert_same_schema(incoming, stored)
         else:
             self.spark.createDataFrame([(incoming.json(),)], "value string").coalesce(1).write.text(path)
 
@@ -195,10 +186,6 @@ class Warehouse:
         writer.parquet(path)
         return path, self.spark.read.parquet(path), int(obs.get["rows"])
 
-    def next_version(self, name: str) -> int:
-        cur = self.current_version(name)
-        return 0 if cur is None else cur + 1
-
     def publish_staged(self, name: str, path: str, operation: str = "WRITE", num_rows: int | None = None) -> int:
         """Make a staged folder the table's next version (one log row)."""
         return self.publish_many([(name, path, operation, num_rows)])[name]

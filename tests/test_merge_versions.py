@@ -138,3 +138,11 @@ def test_history_lists_a_commit_that_wrote_nothing(spark, tmp_root):
     hist = [(r.version, r.operation, r.num_written, r.num_rows) for r in table.history().collect()]
     assert hist == [(2, "MERGE", 1, 2), (1, "MERGE", 0, 1), (0, "WRITE", 1, 1)]
     assert [r.version for r in table.history(limit=1).collect()] == [2]
+
+
+def test_current_version_operator(spark):
+    from layerworks.operators.versions import current_version
+
+    changelog = spark.createDataFrame([(1, 0), (1, 3), (2, 2)], "id long, version int")
+    assert current_version(changelog).first()[0] == 3
+    assert current_version(changelog.limit(0)).first()[0] is None
