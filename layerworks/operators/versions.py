@@ -41,6 +41,31 @@ def stage_versions(
     return latest_wins(tagged, [*keys, VERSION], order)
 
 
+def snapshot_from_batches(
+    rows: DataFrame,
+    keys: Sequence[str],
+    version: Column,
+    order: Sequence[Column | str],
+    upto: int | None = None,
+    since: int | None = None,
+) -> DataFrame:
+    """``snapshot_as_of(stage_versions(rows, ...), n)`` in ONE window.
+
+    "Newest version per key, and within it the first row under ``order``" is
+    the first row per key under the lexicographic order (version DESC,
+    *order), so the two windows fuse into one shuffle.  ``since`` keeps only
+    versions >= since (a batch of later versions).  Filters on the version
+    run before the shuffle.
+    """
+    tagged = rows.withColumn(VERSION, version.cast("int"))
+    if upto is not None:
+        tagged = tagged.filter(F.col(VERSION) <= F.lit(upto))
+    if since is not None:
+        tagged = tagged.filter(F.col(VERSION) >= F.lit(since))
+    lead = [F.col(VERSION).desc()] + [F.col(c).desc() if isinstance(c, str) else c for c in order]
+    return latest_wins(tagged, list(keys), lead)
+
+
 def snapshot_as_of(changelog: DataFrame, keys: Sequence[str], n: int | None = None) -> DataFrame:
     """V2: table state at version ``n`` (``None`` = current)."""
     scoped = changelog if n is None else changelog.filter(F.col(VERSION) <= F.lit(n))

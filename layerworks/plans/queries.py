@@ -23,6 +23,7 @@ from ..operators.versions import (
     VERSION,
     fact_not_in_stage,
     snapshot_as_of,
+    snapshot_from_batches,
     stage_versions,
     version_diff,
     version_history,
@@ -117,15 +118,22 @@ class Domain:
         staged = stage_versions(valid, KEYS, version, silver.LATEST_ORDER)
         return staged.select(*KEYS, "rating", "event_ts", "rating_source", VERSION)
 
+    def _valid(self) -> DataFrame:
+        return self.typed.filter(~invalid_rating())
+
+    def _state(self, upto: int | None = None, since: int | None = None) -> DataFrame:
+        version = F.year("event_ts") - VERSION_BASE_YEAR
+        state = snapshot_from_batches(self._valid(), KEYS, version, silver.LATEST_ORDER, upto, since)
+        return state.select(*KEYS, "rating", "event_ts", "rating_source", VERSION)
+
     def snapshot(self, n: int | None) -> DataFrame:
-        return snapshot_as_of(self.changelog, KEYS, n)
+        """State at version ``n``: equal to ``snapshot_as_of(self.changelog, n)``,
+        computed from the batches in one window."""
+        return self._state(upto=n)
 
     def batch(self, lo: int, hi: int | None = None) -> DataFrame:
         """Staged rows of versions in [lo, hi], one per key (newest version)."""
-        c = self.changelog.filter(F.col(VERSION) >= lo)
-        if hi is not None:
-            c = c.filter(F.col(VERSION) <= hi)
-        return snapshot_as_of(c, KEYS, None)
+        return self._state(upto=hi, since=lo)
 
 
 STATE_COLUMNS = [*KEYS, "rating", "event_ts", "rating_source", VERSION]
@@ -311,8 +319,9 @@ def q_merge_guarded(spark, sf_dir):
     """Replay of an old batch plus the corrections, guarded on event time."""
     d = _d(spark, sf_dir)
     target = d.snapshot(FEED_LAST_VERSION).select(*STATE_COLUMNS)
-    replay = d.changelog.filter((F.col(VERSION) == AS_OF_VERSION) | (F.col(VERSION) > FEED_LAST_VERSION))
-    source = snapshot_as_of(replay, KEYS, None).select(*STATE_COLUMNS)
+    version = F.year("event_ts") - VERSION_BASE_YEAR
+    replay = d._valid().filter((version == AS_OF_VERSION) | (version > FEED_LAST_VERSION))
+    source = snapshot_from_batches(replay, KEYS, version, silver.LATEST_ORDER).select(*STATE_COLUMNS)
     return merge_upsert(target, source, KEYS, guard_col="event_ts", validate_source=False)
 
 

@@ -146,3 +146,13 @@ def test_current_version_operator(spark):
     changelog = spark.createDataFrame([(1, 0), (1, 3), (2, 2)], "id long, version int")
     assert current_version(changelog).first()[0] == 3
     assert current_version(changelog.limit(0)).first()[0] is None
+
+
+def test_fused_snapshot_equals_changelog_snapshot(spark):
+    from layerworks.plans.queries import KEYS, Domain
+
+    d = Domain(spark, "/root/testdata/sf0.001")
+    for n in (0, 3, 6, None):
+        fused = d.snapshot(n)
+        staged = snapshot_as_of(d.changelog, KEYS, n).select(*fused.columns)
+        assert fused.exceptAll(staged).count() == 0 and staged.exceptAll(fused).count() == 0
