@@ -48,6 +48,12 @@ def dim_item(catalogue: DataFrame) -> DataFrame:
     )
 
 
+def item_keys(ids: DataFrame) -> DataFrame:
+    """(movie_key, movie_natural_key) for a set of ids: the part of the item
+    dimension a fact join needs (the key is a function of the id alone)."""
+    return ids.select(item_key("movie_id").alias("movie_key"), F.col("movie_id").alias("movie_natural_key"))
+
+
 def dim_user(silver: DataFrame) -> DataFrame:
     """User dimension (Type 1) with lifetime stats; mean rounded exactly."""
     agg = silver.groupBy("user_id").agg(

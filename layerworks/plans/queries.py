@@ -84,9 +84,14 @@ class Domain:
     def catalogue(self) -> DataFrame:
         return silver.silver_catalogue(self.catalogue_text)
 
+    @cached_property
+    def catalogue_ids(self) -> DataFrame:
+        return silver.catalogue_ids(self.catalogue_text)
+
     @cached_property
     def routed(self) -> DataFrame:
-        routed = silver.route_ratings(self.typed, self.catalogue)
+        # existence probe: the id set is all it needs (no dedup window)
+        routed = silver.route_ratings(self.typed, self.catalogue_ids)
         return materialize(self.spark, routed, "routed") if self.materialize else routed
 
     @cached_property
@@ -108,7 +113,8 @@ class Domain:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return gold.fact_stage(self.silver, self.dim_item)
+        # the fact join needs (movie_key, natural key) only: derived from the id set
+        return gold.fact_stage(self.silver, gold.item_keys(self.catalogue_ids))
 
     # versions
     @cached_property

@@ -187,3 +187,14 @@ def silver_catalogue(bronze_items: DataFrame) -> DataFrame:
         "release_year", release_year("title")
     )
     return dedup_natural_key(enriched, ["movie_id"])
+
+
+def catalogue_ids(bronze_items: DataFrame) -> DataFrame:
+    """The set of known movie_ids, without choosing a winning row per id.
+
+    Deduplication keeps exactly one row per id, so the *set* of ids is the
+    same with or without it; consumers that only test existence or derive the
+    surrogate key (which depends on the id alone) use this hash aggregation
+    instead of the catalogue's sort-based dedup window.
+    """
+    return bronze_items.select(to_long("movieId").alias("movie_id")).filter(F.col("movie_id").isNotNull()).distinct()
