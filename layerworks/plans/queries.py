@@ -18,11 +18,10 @@ from .. import config
 from ..functions import decade, invalid_rating, item_key, user_key
 from ..operators.dedup import dedup_natural_key
 from ..operators.merge import duplicate_keys, merge_update_only, merge_upsert
-from ..operators.routing import ROUTE, ROUTE_CLEAN, ROUTE_INVALID, ROUTE_ORPHAN, attach_reason
+from ..operators.routing import ROUTE, ROUTE_INVALID, ROUTE_ORPHAN, attach_reason
 from ..operators.versions import (
     VERSION,
     fact_not_in_stage,
-    snapshot_as_of,
     snapshot_from_batches,
     stage_versions,
     version_diff,
@@ -133,8 +132,8 @@ class Domain:
         return state.select(*KEYS, "rating", "event_ts", "rating_source", VERSION)
 
     def snapshot(self, n: int | None) -> DataFrame:
-        """State at version ``n``: equal to ``snapshot_as_of(self.changelog, n)``,
-        computed from the batches in one window."""
+        """State at version ``n``: equal to ``snapshot_as_of(self.changelog, n)``
+        (see tests), computed from the batches in one window."""
         return self._state(upto=n)
 
     def batch(self, lo: int, hi: int | None = None) -> DataFrame:
