@@ -128,8 +128,13 @@ def run_silver(
     # ONE write of every deduplicated row, partitioned by route: the clean
     # partition folder *is* the new silver version (published by pointer),
     # the other partitions are this run's quarantine.
+    # Sorted within each task by (route, key): the writer needs the route
+    # order anyway, and the key order clusters each file for min/max skipping
+    # on point lookups.  No global sort.
     routed_path, routed_staged, _ = wh.stage_counted(
-        routed.select(*silver.SILVER_COLUMNS, ROUTE), SILVER_RATINGS, partition_by=[ROUTE]
+        routed.select(*silver.SILVER_COLUMNS, ROUTE).sortWithinPartitions(ROUTE, "movie_id", "user_id"),
+        SILVER_RATINGS,
+        partition_by=[ROUTE],
     )
     silver_path = f"{routed_path}/{ROUTE}={ROUTE_CLEAN}"
     silver_staged = routed_staged.filter(F.col(ROUTE) == ROUTE_CLEAN).select(*silver.SILVER_COLUMNS)
