@@ -30,6 +30,7 @@ BRONZE_ITEMS = "bronze_movies"
 BRONZE_CORRECTIONS = "bronze_rating_corrections"
 SILVER_RATINGS = "silver_ratings"
 SILVER_ITEMS = "silver_movies"
+SILVER_STATE = "silver_ratings@state"
 QUARANTINE = "quarantine_ratings"
 DIM_ITEM = "dim_movie"
 DIM_USER = "dim_user"
@@ -107,27 +108,62 @@ def _gate(spark: SparkSession, wh: Warehouse, layer: str, **tables) -> list[dict
     return results
 
 
+def _cursor_table(bronze: str) -> str:
+    return f"{SILVER_RATINGS}@cursor:{bronze}"
+
+
+def _read_new(wh: Warehouse, bronze: str, state: bool) -> tuple[DataFrame | None, tuple | None]:
+    """Bronze rows to (re)process and the cursor entry that marks them done.
+
+    Without a state: every landed batch.  With one: only batches landed
+    after the cursor of the previous run (partition pruning on the batch id).
+    """
+    table = _bronze_or_none(wh, bronze)
+    if table is None:
+        return None, None
+    cursor = wh.current_version(_cursor_table(bronze)) if state else None
+    ids, newest = wh.landed_since(bronze, cursor)
+    rows = table.drop(CORRUPT_COLUMN)
+    if state:
+        rows = rows.filter(F.col("_ingest_batch").isin(ids)) if ids else rows.limit(0)
+    entry = (_cursor_table(bronze), newest, "", "CURSOR", None) if newest is not None else None
+    return rows, entry
+
+
 def run_silver(
     spark: SparkSession,
     wh: Warehouse,
     clock: str,
     expect_quarantine: bool = True,
     report: RunReport | None = None,
+    incremental: bool = True,
 ) -> None:
-    """B2 + B3 + gate: catalogue first, then the routed ratings, then publish."""
+    """B2 + B3 + gate: catalogue first, then the routed ratings, then publish.
+
+    Incremental by default: the routed rows of the previous run (every key's
+    latest record, quarantined winners included) are the state, and only the
+    batches landed since then are read.  Latest-wins is associative, so
+    latest(state + new) equals latest(all batches) exactly; validity and the
+    catalogue probe are re-evaluated for every latest row.  Re-landing a batch
+    id with *different* content needs ``incremental=False`` (full rebuild).
+    """
     items = silver.silver_catalogue(wh.read_landed(BRONZE_ITEMS))
     items_path, items_staged, n_items = wh.stage_counted(items, SILVER_ITEMS)
 
+    state = wh.current(SILVER_STATE) if incremental else None
     # Malformed source lines stay rows (their NULL fields route them to
     # quarantine); the raw-line column itself is bronze-only evidence.
-    feed = wh.read_landed(BRONZE_RATINGS).drop(CORRUPT_COLUMN)
-    corr = _bronze_or_none(wh, BRONZE_CORRECTIONS)
-    if corr is not None:
-        corr = corr.drop(CORRUPT_COLUMN)
-    routed = silver.enrich(silver.route_ratings(silver.typed_ratings(feed, corr), items_staged))
+    feed, feed_cursor = _read_new(wh, BRONZE_RATINGS, state is not None)
+    corr, corr_cursor = _read_new(wh, BRONZE_CORRECTIONS, state is not None)
+    typed = silver.typed_ratings(feed, corr)
+    if state is not None:
+        previous = spark.read.parquet(state["path"]).select(*typed.columns)
+        typed = previous.unionByName(typed)
+    routed = silver.enrich(silver.route_ratings(typed, items_staged))
     # ONE write of every deduplicated row, partitioned by route: the clean
     # partition folder *is* the new silver version (published by pointer),
-    # the other partitions are this run's quarantine.
+    # the other partitions are this run's quarantine, and the whole folder is
+    # the state of the next incremental run.
     # Sorted within each task by (route, key): the writer needs the route
     # order anyway, and the key order clusters each file for min/max skipping
     # on point lookups.  No global sort.
@@ -149,11 +185,17 @@ def run_silver(
         quarantine=quarantine,
         expect_quarantine=expect_quarantine,
     )
-    # publish only after the audit passed; both silver tables in one commit
+    # publish only after the audit passed: both silver tables, the state and
+    # the bronze cursors in one commit
     n_quarantined = wh.append(quarantine, QUARANTINE)
     n_silver = next(r["observed"] for r in results if r["name"] == quality.NOT_EMPTY.name)
     published = wh.publish_many(
-        [(SILVER_ITEMS, items_path, "WRITE", n_items), (SILVER_RATINGS, silver_path, "WRITE", n_silver)]
+        [
+            (SILVER_ITEMS, items_path, "WRITE", n_items),
+            (SILVER_RATINGS, silver_path, "WRITE", n_silver),
+            (SILVER_STATE, routed_path, "STATE", None),
+        ],
+        extra_entries=[c for c in (feed_cursor, corr_cursor) if c is not None],
     )
     if report is not None:
         report.rows.update({SILVER_ITEMS: n_items, SILVER_RATINGS: n_silver, QUARANTINE: n_quarantined})

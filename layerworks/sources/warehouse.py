@@ -38,6 +38,8 @@ from ..session import ensure_checkpoint_dir
 from .tables import assert_same_schema
 
 
+LAND = "LAND"
+
 LOG_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType(), False),
@@ -145,15 +147,43 @@ class Warehouse:
                 return False
             raise
 
-    def land(self, df: DataFrame, name: str) -> None:
-        """Append a batch (partitioned by ``_ingest_batch``; re-landing replaces it)."""
+    def land(self, df: DataFrame, name: str) -> list[str]:
+        """Append a batch (partitioned by ``_ingest_batch``; re-landing replaces it).
+
+        Each landed batch id is recorded in the commit log (operation LAND),
+        taken by an ``Observation`` during the write, so incremental consumers
+        can read exactly the batches that arrived since their last run.
+        """
         self._enforce_schema(df, name, ["_ingest_batch"])
+        obs = Observation(f"land_{name}")
+        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set("_ingest_batch").alias("batches"))
         (
-            df.write.mode("overwrite")
+            observed.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("_ingest_batch")
             .parquet(self.path(name))
         )
+        metrics = obs.get
+        batches = sorted(metrics["batches"] or [])
+        rows = int(metrics["rows"]) if len(batches) == 1 else None
+        if batches:
+            self.publish_many([(name, f"{self.path(name)}/_ingest_batch={b}", LAND, rows) for b in batches])
+        return batches
+
+    def landed_since(self, name: str, after_version: int | None) -> tuple[list[str], int | None]:
+        """Batch ids landed in ``name`` after a log version, and the newest
+        such version (one small row per landed batch)."""
+        log = self.log(name)
+        if log is None:
+            return [], after_version
+        new = log.filter(F.col("operation") == LAND)
+        if after_version is not None:
+            new = new.filter(F.col("version") > after_version)
+        rows = new.select("version", "path").collect()
+        if not rows:
+            return [], after_version
+        ids = sorted({r["path"].rsplit("_ingest_batch=", 1)[1] for r in rows})
+        return ids, max(r["version"] for r in rows)
 
     def read_landed(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
@@ -205,8 +235,13 @@ class Warehouse:
             names = [n for n, *_ in items]
             for r in cat.filter(F.col("table").isin(names)).groupBy("table").agg(F.max("version").alias("v")).collect():
                 current[r["table"]] = r["v"]
-        versions = {name: current.get(name, -1) + 1 for name, *_ in items}
-        self._append_log([(name, versions[name], path, op, n) for name, path, op, n in items] + list(extra_entries))
+        versions: dict[str, int] = {}
+        entries = []
+        for name, path, op, n in items:  # several items of one table get consecutive versions
+            current[name] = current.get(name, -1) + 1
+            versions[name] = current[name]
+            entries.append((name, current[name], path, op, n))
+        self._append_log(entries + list(extra_entries))
         return versions
 
     def publish(self, df: DataFrame, name: str) -> int:

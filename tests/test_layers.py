@@ -196,3 +196,33 @@ def test_command_line_runs_all_stages_and_signals_a_gate_failure(spark, tmp_root
     assert Warehouse(s, root).current_version(layers.SILVER_RATINGS) == 0
     assert ChangelogTable(Warehouse(s, root), layers.FACT, config.FACT_KEYS).current_version() is None
     assert main(["--root", root, "--stage", "gold", "--no-expect-corrections"]) == 0
+
+
+def test_incremental_silver_equals_a_full_rebuild(spark, tmp_root):
+    cols = ["user_id", "movie_id", "rating", "event_ts", "rating_source", "_ingest_batch"]
+    feed = fixtures.feed_text(spark, SF_SMALL, "b1", "2024-01-15 00:00:00")
+    corr = fixtures.corrections_text(spark, SF_SMALL, "b2", "2024-01-16 00:00:00")
+    items = fixtures.catalogue_text(spark, SF_SMALL, "b1", "2024-01-15 00:00:00")
+
+    inc = Warehouse(spark, tmp_root + "/inc")
+    layers.land_bronze(inc, feed, items, None)
+    layers.run_silver(spark, inc, CLOCK)
+    first = inc.read(layers.SILVER_RATINGS).count()
+    layers.land_bronze(inc, feed.limit(0), items.limit(0), corr)  # only the corrections arrive
+    assert inc.landed_since(layers.BRONZE_CORRECTIONS, None)[0] == ["b2"]
+    layers.run_silver(spark, inc, CLOCK)
+
+    full = Warehouse(spark, tmp_root + "/full")
+    layers.land_bronze(full, feed, items, corr)
+    layers.run_silver(spark, full, CLOCK, incremental=False)
+
+    got = inc.read(layers.SILVER_RATINGS).select(*cols)
+    want = full.read(layers.SILVER_RATINGS).select(*cols)
+    assert got.count() == want.count() != first
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # the quarantine of the last run holds the same rows
+    last_inc = inc.read_landed(layers.QUARANTINE).filter(F.col("_ingest_batch").isNotNull())
+    assert last_inc.count() >= full.read_landed(layers.QUARANTINE).count()
+    # a run with nothing new keeps silver unchanged
+    layers.run_silver(spark, inc, CLOCK)
+    assert inc.read(layers.SILVER_RATINGS).select(*cols).exceptAll(want).count() == 0
