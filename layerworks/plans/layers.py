@@ -147,10 +147,12 @@ def run_silver(
     catalogue probe are re-evaluated for every latest row.  Re-landing a batch
     id with *different* content needs ``incremental=False`` (full rebuild).
     """
-    items = silver.silver_catalogue(wh.read_landed(BRONZE_ITEMS))
+    state = wh.current(SILVER_STATE) if incremental else None
+    new_items, items_cursor = _read_new(wh, BRONZE_ITEMS, state is not None)
+    previous_items = wh.read(SILVER_ITEMS) if state is not None else None
+    items = silver.silver_catalogue(new_items, previous_items)
     items_path, items_staged, n_items = wh.stage_counted(items, SILVER_ITEMS)
 
-    state = wh.current(SILVER_STATE) if incremental else None
     # Malformed source lines stay rows (their NULL fields route them to
     # quarantine); the raw-line column itself is bronze-only evidence.
     feed, feed_cursor = _read_new(wh, BRONZE_RATINGS, state is not None)
@@ -195,7 +197,7 @@ def run_silver(
             (SILVER_RATINGS, silver_path, "WRITE", n_silver),
             (SILVER_STATE, routed_path, "STATE", None),
         ],
-        extra_entries=[c for c in (feed_cursor, corr_cursor) if c is not None],
+        extra_entries=[c for c in (feed_cursor, corr_cursor, items_cursor) if c is not None],
     )
     if report is not None:
         report.rows.update({SILVER_ITEMS: n_items, SILVER_RATINGS: n_silver, QUARANTINE: n_quarantined})

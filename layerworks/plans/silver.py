@@ -172,21 +172,28 @@ def silver_ratings(feed: DataFrame, corrections: DataFrame | None, catalogue: Da
 # --- catalogue ----------------------------------------------------------------
 
 
-def silver_catalogue(bronze_items: DataFrame) -> DataFrame:
-    """B2: typed items with a genre array, primary genre and release year.
-
-    One row per movie_id: the most recently landed record wins.
-    """
+def conform_items(bronze_items: DataFrame) -> DataFrame:
+    """Typed catalogue rows (one per landed record, not yet deduplicated)."""
     typed = bronze_items.select(
         F.trim("title").alias("title"),
         genres_array(F.col("genres")).alias("genres"),
         *PROVENANCE,
         to_long("movieId").alias("movie_id"),
     )
-    enriched = typed.withColumn("primary_genre", primary_genre("genres")).withColumn(
-        "release_year", release_year("title")
-    )
-    return dedup_natural_key(enriched, ["movie_id"])
+    return typed.withColumn("primary_genre", primary_genre("genres")).withColumn("release_year", release_year("title"))
+
+
+def silver_catalogue(bronze_items: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    """B2: typed items with a genre array, primary genre and release year.
+
+    One row per movie_id: the most recently landed record wins.  With
+    ``previous`` (the last published catalogue) only new bronze rows need to
+    be passed: keeping the newest record per key is associative.
+    """
+    rows = conform_items(bronze_items)
+    if previous is not None:
+        rows = previous.select(*rows.columns).unionByName(rows)
+    return dedup_natural_key(rows, ["movie_id"])
 
 
 def catalogue_ids(bronze_items: DataFrame) -> DataFrame:

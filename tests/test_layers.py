@@ -208,13 +208,23 @@ def test_incremental_silver_equals_a_full_rebuild(spark, tmp_root):
     layers.land_bronze(inc, feed, items, None)
     layers.run_silver(spark, inc, CLOCK)
     first = inc.read(layers.SILVER_RATINGS).count()
-    layers.land_bronze(inc, feed.limit(0), items.limit(0), corr)  # only the corrections arrive
+    # the corrections arrive, and the catalogue is re-landed with new titles
+    items2 = fixtures.catalogue_text(spark, SF_SMALL, "b2", "2024-01-16 00:00:00").withColumn(
+        "title", F.concat(F.lit("New "), F.col("title"))
+    )
+    layers.land_bronze(inc, feed.limit(0), items2, corr)
     assert inc.landed_since(layers.BRONZE_CORRECTIONS, None)[0] == ["b2"]
     layers.run_silver(spark, inc, CLOCK)
 
     full = Warehouse(spark, tmp_root + "/full")
     layers.land_bronze(full, feed, items, corr)
+    full.land(items2, layers.BRONZE_ITEMS)
     layers.run_silver(spark, full, CLOCK, incremental=False)
+    item_cols = ["movie_id", "title", "primary_genre", "release_year", "_ingest_batch"]
+    got_items = inc.read(layers.SILVER_ITEMS).select(*item_cols)
+    want_items = full.read(layers.SILVER_ITEMS).select(*item_cols)
+    assert got_items.exceptAll(want_items).count() == 0 and want_items.exceptAll(got_items).count() == 0
+    assert got_items.filter(F.col("title").startswith("New ")).count() == got_items.count()
 
     got = inc.read(layers.SILVER_RATINGS).select(*cols)
     want = full.read(layers.SILVER_RATINGS).select(*cols)
