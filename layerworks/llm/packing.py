@@ -25,6 +25,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layerworks.llm.bpe import byte_symbols
 from layerworks.llm.common import text_slices, written
 
 CACHE = 200_000
@@ -53,17 +54,23 @@ class _PieceCache(dict):
 
 
 class ByteEncoder:
-    """Ids of byte-level BPE as packed bytes.  Common texts are split here and their
-    pre-tokens cached; a text with rarer characters or a special token goes to the library whole."""
+    """Ids of byte-level BPE as packed bytes.  Common texts are split here and their pre-tokens
+    merged once and cached; a text with rarer characters or a special token goes to the library whole."""
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.cache = _PieceCache(lambda w: self.library.encode(w, add_special_tokens=False).ids)
+        # ids follow the order of merges in such files, so they are the ranks of the same merges
+        shown = {c: b for b, c in byte_symbols().items()}
+        vocab = self.library.get_vocab(with_added_tokens=False)
+        ranks = {bytes(map(shown.__getitem__, t)): i for t, i in vocab.items() if t not in self.special}
+        words = tiktoken.Encoding("words", pat_str=_SPLIT.pattern, mergeable_ranks=ranks, special_tokens={})
+        self.cache = _PieceCache(words.encode_ordinary)
 
     def encode(self, text: str) -> bytes:
         if _OTHER.search(text) or any(s in text for s in self.special):
