@@ -21,7 +21,6 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,7 +29,10 @@ from layerworks.llm.common import text_slices, written
 
 CACHE = 200_000
 _OTHER = re.compile("[^\t-\r -~\xa0-ſ]")
-_SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# The byte-level pattern over those characters, with its classes spelled out.
+_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼½¾", "\t-\r \xa0"
+_SPLIT = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -69,7 +71,7 @@ class ByteEncoder:
         shown = {c: b for b, c in byte_symbols().items()}
         vocab = self.library.get_vocab(with_added_tokens=False)
         ranks = {bytes(map(shown.__getitem__, t)): i for t, i in vocab.items() if t not in self.special}
-        words = tiktoken.Encoding("words", pat_str=_SPLIT.pattern, mergeable_ranks=ranks, special_tokens={})
+        words = tiktoken.Encoding("words", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.cache = _PieceCache(words.encode_ordinary)
 
     def encode(self, text: str) -> bytes:

@@ -46,6 +46,15 @@ def test_awkward_and_small_groups(spark):
     assert packing.pack_documents(cases(spark).limit(0), PATH).count() == 0
 
 
+def test_ids_equal_the_library_on_any_mix_of_common_characters():
+    rng = np.random.default_rng(3)
+    e = packing.encoder(PATH)
+    chars = [*map(chr, [*range(9, 14), *range(32, 127), *range(160, 384)]), " ", " ", "\n", "'s", "'re", " a", "x"]
+    for _ in range(400):
+        text = "".join(rng.choice(chars, 60))
+        assert e.encode(text) == np.array(e.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_every_capacity_holds(rule):
     rng = np.random.default_rng(1)
