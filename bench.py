@@ -9,7 +9,7 @@ BENCH_QUERIES (comma list, default the headline set; "all" = every query),
 BENCH_REPEAT (default 1; the best of N runs is reported per query),
 BENCH_LAYERS (default 1): also time one end-to-end run of the layers (land
 bronze, silver + gate, gold + gate, publish) into a fresh warehouse under the
-session's checkpoint folder, reported as ``layers_end_to_end`` (outside the
+local temporary folder, reported as ``layers_end_to_end`` (outside the
 headline total, for comparison with the published full-run wall time).
 """
 
@@ -43,15 +43,13 @@ HEADLINE = [
 
 
 def run_layers_once(spark, sf_dir: str) -> float:
-    import uuid
+    import tempfile
 
     from layerworks.plans import layers
-    from layerworks.session import ensure_checkpoint_dir
     from layerworks.sources import fixtures
     from layerworks.sources.warehouse import Warehouse
 
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bench-warehouse-{uuid.uuid4().hex}"
-    wh = Warehouse(spark, root)
+    wh = Warehouse(spark, tempfile.mkdtemp(prefix="bench-warehouse-"))
     t0 = time.perf_counter()
     layers.land_bronze(
         wh,

@@ -18,7 +18,7 @@ import time
 from pyspark.sql import SparkSession
 
 from .plans import layers
-from .plans.quality import QualityGateFailed
+from .plans.quality import GateBlocked
 from .session import get_session
 from .sources.ingest import batch_id_now, clock_now
 from .sources.warehouse import Warehouse
@@ -53,7 +53,7 @@ def main(argv: list[str] | None = None) -> int:
             else:
                 layers.run_gold(spark, wh, expect_corrections=not args.no_expect_corrections)
             print(f"{stage}: {time.time() - t0:.1f}s")
-    except QualityGateFailed as failure:
+    except GateBlocked as failure:
         print(f"quality gate failed, nothing published: {failure}", file=sys.stderr)
         return 2
     finally:

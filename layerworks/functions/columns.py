@@ -34,14 +34,20 @@ def to_int(text: Column | str) -> Column:
     return col(text).try_cast("int")
 
 
+# 0001-01-01 00:00:00 and 9999-12-31 23:59:59
+EPOCH_RANGE = (-62_135_596_800, 253_402_300_799)
+
+
 def epoch_seconds_to_ts(text: Column | str) -> Column:
     """Epoch-seconds text -> wall-clock UTC timestamp (TIMESTAMP_NTZ).
 
     Two steps on purpose: text -> integer seconds -> timestamp.  Parsing the
     text directly as a timestamp literal yields NULL for every epoch value.
+    NULL outside the years 1 to 9999: an epoch in milli-, micro- or nanoseconds
+    must neither end the job nor pass for a date.
     """
     seconds = to_long(text)
-    return F.timestamp_seconds(seconds).cast("timestamp_ntz")
+    return F.when(seconds.between(*EPOCH_RANGE), F.timestamp_seconds(seconds)).cast("timestamp_ntz")
 
 
 def ts_to_epoch_seconds(ts: Column | str) -> Column:
@@ -128,27 +134,25 @@ def user_key(user_id: Column | str = "user_id") -> Column:
 # --- exact rounded mean (T30) -------------------------------------------------
 
 
-def mean_half_up(value: Column | str, grid_digits: int = 1, out_digits: int = 3) -> Column:
+def mean_half_up(value: Column | str, digits: int = 9, out_digits: int = 3) -> Column:
     """Mean rounded half-up to ``out_digits`` places, exactly and order-free.
 
-    ``round(avg(double), 3)`` depends on summation order when the true mean is
-    a tie.  For non-negative values on a ``10**-grid_digits`` grid the mean is
-    a ratio of integers, so it is rounded in integer arithmetic:
-    ``floor((2 * t * 10**(out-grid) + n) / (2 * n))`` with ``t`` the integer
-    sum and ``n`` the non-NULL count.  Aggregate expression; use inside ``agg``.
+    Values are taken as decimals of ``digits`` places, so the sum is exact in any order; the
+    mean is one ratio of integers, rounded once: ``floor((2 * t * 10**out + n * 10**digits) /
+    (2 * n * 10**digits))`` with ``t`` the sum in units of the last place and ``n`` the
+    non-NULL count.  For values of at most 10**10 and 10**13 rows.  Non-negative values only.
+    Aggregate expression; use inside ``agg``.
     """
-    if out_digits < grid_digits:
-        raise ValueError("out_digits must be >= grid_digits")
     v = col(value)
-    t = F.sum(F.round(v * (10**grid_digits)).cast("bigint"))
-    n = F.count(v)
-    num = t * (2 * 10 ** (out_digits - grid_digits)) + n
-    den = n * 2
-    # Integer floor division: subtract the remainder first, so the quotient of
-    # the (exact multiple) division is an integer and round() recovers it even
-    # when the operands exceed 2**53 on the way through double.
-    scaled = F.round((num - F.pmod(num, den)) / den).cast("bigint")
-    return F.when(n > 0, scaled.cast("double") / (10**out_digits))
+    unit = F.lit(10**digits).cast(f"decimal({digits + 1},0)")
+    places = (v.cast(f"decimal({digits + 11},{digits})") * unit).cast(f"decimal({digits + 11},0)")
+    total = F.sum(places).cast("decimal(33,0)")
+    n = F.count(v).cast("decimal(14,0)")
+    ratio_top = (total * F.lit(2 * 10**out_digits).cast("decimal(4,0)") + n * unit).cast("decimal(38,0)")
+    ratio_bottom = (n * F.lit(2 * 10**digits).cast(f"decimal({digits + 1},0)")).cast("decimal(38,0)")
+    # taking off the remainder first leaves a quotient without a fraction
+    whole = ((ratio_top - ratio_top % ratio_bottom) / ratio_bottom).cast("bigint")
+    return F.when(F.count(v) > 0, whole.cast("double") / (10**out_digits))
 
 
 def is_within_dates(ts: Column | str, start: str, until: str) -> Column:

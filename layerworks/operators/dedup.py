@@ -17,11 +17,17 @@ _RN = "_rn"
 
 
 def _order(order: Sequence[Column | str]) -> list[Column]:
-    return [F.col(c).desc() if isinstance(c, str) else c for c in order]
+    def one(c: Column | str) -> Column:
+        if not isinstance(c, str):
+            return c
+        name, _, way = c.partition(" ")
+        return F.col(name).asc_nulls_last() if way == "asc" else F.col(name).desc()
+
+    return [one(c) for c in order]
 
 
 def latest_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Keep the first row per ``keys`` under ``order`` (strings mean DESC).
+    """Keep the first row per ``keys`` under ``order`` (strings mean DESC, "name asc" ASC).
 
     DESC puts NULLs last, so a row with an unparsed timestamp never wins over
     one with a value.  Pass a total order (end with source-position columns)
@@ -34,7 +40,7 @@ def latest_wins(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
 def dedup_natural_key(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column | str] = ("_ingested_at", "_ingest_batch", "_source_key", "_source_line"),
+    order: Sequence[Column | str] = ("_ingested_at", "_ingest_batch", "_source_file", "_source_key", "_source_line"),
 ) -> DataFrame:
     """One row per natural key, the most recently landed one (deterministic)."""
     return latest_wins(df, keys, order)

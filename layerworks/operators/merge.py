@@ -1,15 +1,18 @@
 """Key-based MERGE as DataFrame operators.
 
 Parquet has no row-level update, so a merge is computed as the new table
-state.  Shapes are chosen so the usual case - a small batch into a large
-table - lets the planner broadcast the *batch* and stream the table once:
+state, from one join that reads each operand once:
 
 * upsert (update-all on match, insert-all otherwise, never delete):
-  ``target ANTI JOIN batch-keys  UNION ALL  batch``;
+  ``target FULL JOIN batch``, the batch row where present.  Operands that are
+  partitioned by the key already (say by a latest-wins window) are not shuffled again;
+* guarded upsert: the same join, the batch row unless it is older on ``guard_col``;
 * update-only (unmatched batch rows ignored): ``target LEFT JOIN batch`` and
-  take the batch value where present;
-* guarded upsert (update only when the batch row is not older on
-  ``guard_col``): one window over ``target UNION ALL batch`` per key.
+  take the batch value where present.
+
+For a *stored* batch that is small beside the target, ``small_batch=True`` computes an upsert as
+``target ANTI JOIN batch-keys UNION ALL batch``, or for a guard as a left join plus the
+batch's new keys: the planner can then broadcast the batch and stream the target.
 
 The batch must be unique on the key (a MERGE with several source rows per
 target row is ambiguous); ``validate_source`` checks that with one distributed
@@ -23,8 +26,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dedup import latest_wins
-
 
 class DuplicateSourceKeys(ValueError):
     pass
@@ -53,6 +54,7 @@ def merge_upsert(
     keys: Sequence[str],
     guard_col: str | None = None,
     validate_source: bool = True,
+    small_batch: bool = False,
 ) -> DataFrame:
     """New state after an upsert of ``source`` into ``target``.
 
@@ -66,12 +68,27 @@ def merge_upsert(
     if target is None:
         return source
     src = _align(source, target)
-    if guard_col is None:
-        kept = target.join(src.select(*keys), on=keys, how="left_anti")
-        return kept.unionByName(src)
-    tagged = target.withColumn("_side", F.lit(0)).unionByName(src.withColumn("_side", F.lit(1)))
-    winner = latest_wins(tagged, keys, [F.col(guard_col).desc_nulls_last(), F.col("_side").desc()])
-    return winner.drop("_side")
+    values = [c for c in target.columns if c not in keys]
+    if small_batch:
+        if guard_col is None:
+            return target.join(src.select(*keys), on=keys, how="left_anti").unionByName(src)
+        fresh = src.join(target.select(*keys), on=keys, how="left_anti")
+        return _picked(target, src, keys, values, guard_col, "left", target.columns).unionByName(fresh)
+    return _picked(target, src, keys, values, guard_col, "full", target.columns)
+
+
+def _picked(
+    target: DataFrame, src: DataFrame, keys: list[str], values: list[str], guard_col: str | None, how: str, columns: list[str]
+) -> DataFrame:
+    """Rows of the join, each with the source's values where the source wins."""
+    t = target.select(*keys, F.struct(*values).alias("_t"), F.lit(True).alias("_in_t"))
+    s = src.select(*keys, F.struct(*values).alias("_s"), F.lit(True).alias("_in_s"))
+    wins = F.col("_in_s").isNotNull()
+    if guard_col is not None:
+        newer = F.col("_t")[guard_col].isNull() | F.coalesce(F.col("_s")[guard_col] >= F.col("_t")[guard_col], F.lit(False))
+        wins = wins & (F.col("_in_t").isNull() | newer)
+    row = F.when(wins, F.col("_s")).otherwise(F.col("_t"))
+    return t.join(s, on=keys, how=how).withColumn("_row", row).select(*[c if c in keys else F.col("_row")[c].alias(c) for c in columns])
 
 
 def merge_update_only(

@@ -9,10 +9,13 @@ time travel, history and diffs are plain DataFrame queries:
 * ``snapshot_as_of``: filter ``version <= n`` (partition pruning when the
   changelog is stored partitioned by version) + newest row per key;
 * ``version_history``: per version, rows written / inserted / updated and the
-  running table size, from two partial aggregations (no per-key sort);
+  running table size, from each key's set of versions (one shuffle, no sort);
 * ``version_diff``: one grouped pass computing each key's state at both
   versions (partial aggregation, so a hot key is combined map-side).
 
+All three also take raw batches with several rows per key and version: ``order``
+then says which of them the version wrote, and no changelog is staged before.
+
 Update-only merges and guarded merges must record only the rows they actually
 wrote (``ChangelogTable.merge`` does) to keep the same invariant.
 """
@@ -41,35 +44,17 @@ def stage_versions(
     return latest_wins(tagged, [*keys, VERSION], order)
 
 
-def snapshot_from_batches(
-    rows: DataFrame,
-    keys: Sequence[str],
-    version: Column,
-    order: Sequence[Column | str],
-    upto: int | None = None,
-    since: int | None = None,
+def snapshot_as_of(
+    changelog: DataFrame, keys: Sequence[str], n: int | None = None, order: Sequence[Column | str] = (), since: int | None = None
 ) -> DataFrame:
-    """``snapshot_as_of(stage_versions(rows, ...), n)`` in ONE window.
-
-    "Newest version per key, and within it the first row under ``order``" is
-    the first row per key under the lexicographic order (version DESC,
-    *order), so the two windows fuse into one shuffle.  ``since`` keeps only
-    versions >= since (a batch of later versions).  Filters on the version
-    run before the shuffle.
-    """
-    tagged = rows.withColumn(VERSION, version.cast("int"))
-    if upto is not None:
-        tagged = tagged.filter(F.col(VERSION) <= F.lit(upto))
+    """V2: table state at version ``n`` (``None`` = current), in one window: per key the first
+    row under (version DESC, *order).  ``since`` keeps versions from there on (a batch of
+    later versions).  Version bounds apply before the shuffle."""
+    if n is not None:
+        changelog = changelog.filter(F.col(VERSION) <= F.lit(n))
     if since is not None:
-        tagged = tagged.filter(F.col(VERSION) >= F.lit(since))
-    lead = [F.col(VERSION).desc()] + [F.col(c).desc() if isinstance(c, str) else c for c in order]
-    return latest_wins(tagged, list(keys), lead)
-
-
-def snapshot_as_of(changelog: DataFrame, keys: Sequence[str], n: int | None = None) -> DataFrame:
-    """V2: table state at version ``n`` (``None`` = current)."""
-    scoped = changelog if n is None else changelog.filter(F.col(VERSION) <= F.lit(n))
-    return latest_wins(scoped, list(keys), [F.col(VERSION).desc()])
+        changelog = changelog.filter(F.col(VERSION) >= F.lit(since))
+    return latest_wins(changelog, list(keys), [VERSION, *order])
 
 
 def current_version(changelog: DataFrame) -> DataFrame:
@@ -80,19 +65,16 @@ def current_version(changelog: DataFrame) -> DataFrame:
 def version_history(changelog: DataFrame, keys: Sequence[str]) -> DataFrame:
     """V3: per version: operation, rows written, inserted, updated, table size.
 
-    Inserted = keys whose first version is this one; updated = the rest of
-    the rows written.  Both are hash aggregations with map-side combine; the
-    running total is a window over one row per version (bounded by the number
-    of commits, never by data size).
+    One shuffle of the changelog: each key's set of versions (bounded by the number of
+    commits), whose least is the insert and whose others are updates.  What follows has one
+    row for each task and version; the running total is a window over one row per version.
     """
-    written = changelog.groupBy(VERSION).agg(F.count(F.lit(1)).alias("num_written"))
-    first_seen = (
-        changelog.groupBy(*keys)
-        .agg(F.min(VERSION).alias(VERSION))
+    seen = changelog.groupBy(*keys).agg(F.sort_array(F.collect_set(VERSION)).alias("_versions"))
+    per_version = (
+        seen.select(F.posexplode("_versions").alias("_pos", VERSION))
         .groupBy(VERSION)
-        .agg(F.count(F.lit(1)).alias("num_inserted"))
+        .agg(F.count(F.lit(1)).alias("num_written"), F.count_if(F.col("_pos") == 0).alias("num_inserted"))
     )
-    per_version = written.join(first_seen, VERSION, "left").fillna(0, ["num_inserted"])
     ordered = Window.orderBy(VERSION).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     first = F.min(VERSION).over(Window.partitionBy(F.lit(0)))
     return per_version.select(
@@ -111,21 +93,24 @@ def version_diff(
     a: int,
     b: int | None,
     value: str,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """V4: each key's state at versions ``a`` and ``b`` (None = current) and the change class.
 
     change: inserted (absent at a), updated (a different version wrote it),
     unchanged (same writing version), deleted (absent at b; impossible for
-    upsert-only histories but reported if the changelog says so).
+    upsert-only histories but reported if the changelog says so).  ``order`` names the
+    columns, greatest first, that pick a version's row where several are given.
     """
     lo, hi = (a, b) if b is None else (min(a, b), max(a, b))
     scoped = changelog if hi is None else changelog.filter(F.col(VERSION) <= F.lit(hi))
-    at_lo = F.when(F.col(VERSION) <= F.lit(lo), F.col(VERSION))
+    place = F.struct(VERSION, *[c for c in order if c != VERSION])
+    at_lo = F.when(F.col(VERSION) <= F.lit(lo), place)
     per_key = scoped.groupBy(*keys).agg(
-        F.max(at_lo).alias("version_before"),
+        F.max(at_lo)[VERSION].alias("version_before"),
         F.max_by(F.col(value), at_lo).alias(f"{value}_before"),
         F.max(VERSION).alias("version_after"),
-        F.max_by(F.col(value), F.col(VERSION)).alias(f"{value}_after"),
+        F.max_by(F.col(value), place).alias(f"{value}_after"),
     )
     change = (
         F.when(F.col("version_before").isNull(), F.lit("inserted"))
@@ -139,3 +124,10 @@ def version_diff(
 def fact_not_in_stage(fact: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
     """V5: keys the fact still holds but the current stage no longer has."""
     return fact.select(*keys).join(stage.select(*keys), on=list(keys), how="left_anti")
+
+
+def keys_lost(rows: DataFrame, keys: Sequence[str], invalid: Column, place: Column) -> DataFrame:
+    """Both sides of V5 from the raw rows at once: keys with a valid row (the fact has them),
+    and ``_kept``: whether the row that is last by ``place`` is valid (a stage keeps them)."""
+    flags = rows.groupBy(*keys).agg(F.bool_or(~invalid).alias("_held"), F.max_by(~invalid, place).alias("_kept"))
+    return flags.filter("_held").drop("_held")

@@ -30,11 +30,14 @@ RERATE_SHIFT_DAYS = 3650
 OUT_OF_RANGE_SHIFT_DAYS = 7300
 
 
-def hex_threshold(fraction: float) -> str:
-    """8-hex-digit bound: ``hash_prefix < bound`` keeps ``fraction`` of rows."""
+def in_sample(hash_prefix, fraction: float):
+    """Whether an 8-hex-digit prefix falls in the first ``fraction`` of all prefixes;
+    a fraction of 1 keeps every row."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be in [0, 1]")
-    return format(min(int(fraction * 2**32), 2**32 - 1), "08x")
+    if fraction == 1.0:
+        return F.lit(True)
+    return hash_prefix < format(int(fraction * 2**32), "08x")
 
 
 def sample_hash(seed: str = config.CORRECTION_SEED):
@@ -88,11 +91,11 @@ def generate_corrections(
         F.lit(OUT_OF_RANGE_SHIFT_DAYS).alias("shift"),
     )
     widest = max(rerate_fraction, unknown_fraction, out_of_range_fraction)
-    sampled = feed.withColumn("_h", h).filter(F.col("_h") < hex_threshold(widest))
+    sampled = feed.withColumn("_h", h).filter(in_sample(F.col("_h"), widest))
     kinds = F.array(
-        F.when(F.col("_h") < hex_threshold(rerate_fraction), rerate),
-        F.when(F.col("_h") < hex_threshold(unknown_fraction), unknown),
-        F.when(F.col("_h") < hex_threshold(out_of_range_fraction), out_of_range),
+        F.when(in_sample(F.col("_h"), rerate_fraction), rerate),
+        F.when(in_sample(F.col("_h"), unknown_fraction), unknown),
+        F.when(in_sample(F.col("_h"), out_of_range_fraction), out_of_range),
     )
     exploded = sampled.select(
         "user_id", "event_ts", "_source_key", "_source_line", F.explode(kinds).alias("c")

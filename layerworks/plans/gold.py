@@ -21,7 +21,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import decade, item_key, mean_half_up, user_key
+from ..operators.merge import merge_upsert
 
+# --- fixed values: columns of the fact, in order -----------------------------------
 FACT_COLUMNS = [
     "user_key",
     "movie_key",
@@ -33,6 +35,7 @@ FACT_COLUMNS = [
     "_source_role",
     "_ingest_batch",
 ]
+# --- end of fixed values -----------------------------------------------------
 
 
 def dim_item(catalogue: DataFrame) -> DataFrame:
@@ -78,30 +81,47 @@ def attach_key(df: DataFrame, dim: DataFrame, fact_col: str, natural_col: str, k
     return df.join(d, df[fact_col] == d[natural_col], "inner").drop(natural_col)
 
 
-def fact_stage(silver: DataFrame, items: DataFrame, users: DataFrame | None = None) -> DataFrame:
+def merged_rows(previous: DataFrame, silver: DataFrame) -> DataFrame:
+    """Silver rows of the fact after upserting ``silver`` into the rows it holds.  The fact's
+    keys are functions of the natural ones, so merging on these gives the same rows, and
+    operands that latest-wins has partitioned by them are joined without a shuffle."""
+    return merge_upsert(previous, silver, ["movie_id", "user_id"], validate_source=False)
+
+
+def fact_stage(
+    silver: DataFrame, items: DataFrame | None = None, users: DataFrame | None = None, keep_natural: bool = False
+) -> DataFrame:
     """Silver rows keyed for the fact (grain: user_key x movie_key).
 
-    ``items`` is joined (inner) so a rating without a dimension member is
-    dropped.  ``users`` is joined only when given; by default the key is
-    derived, which is exact when the user dimension was built from ``silver``.
+    ``items`` and ``users`` are joined (inner) only when given.  By default both keys are
+    derived, which is exact for routed silver: its rows have passed the catalogue probe, and
+    the user dimension is built from them.  ``keep_natural`` adds movie_id and user_id.
     """
-    staged = attach_key(silver, items, "movie_id", "movie_natural_key", "movie_key")
+    if items is None:
+        staged = silver.filter(F.col("movie_id").isNotNull()).withColumn("movie_key", item_key("movie_id"))
+    else:
+        staged = attach_key(silver, items, "movie_id", "movie_natural_key", "movie_key")
     if users is None:
         staged = staged.filter(F.col("user_id").isNotNull()).withColumn("user_key", user_key("user_id"))
     else:
         staged = attach_key(staged, users, "user_id", "user_natural_key", "user_key")
-    return staged.select(*FACT_COLUMNS)
+    return staged.select(*FACT_COLUMNS, *(["movie_id", "user_id"] if keep_natural else []))
 
 
 def monthly_agg(fact: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per (movie, month) with count, exact mean, distinct raters."""
-    per_month = fact.groupBy("movie_key", "rated_month").agg(
+    """One row per (movie, month) with count, exact mean, distinct raters.
+
+    ``fact`` holds movie_key and user_key, or the natural movie_id and user_id in their place:
+    8-byte ids then cross the shuffles, and keys come from the dimension afterwards."""
+    natural = "movie_id" in fact.columns
+    movie, user = ("movie_id", "user_id") if natural else ("movie_key", "user_key")
+    per_month = fact.groupBy(movie, "rated_month").agg(
         F.count(F.lit(1)).alias("rating_count"),
         mean_half_up("rating").alias("avg_rating"),
-        F.countDistinct("user_key").alias("distinct_raters"),
+        F.countDistinct(user).alias("distinct_raters"),
     )
-    attrs = items.select("movie_key", "title", "primary_genre", "release_year")
-    return per_month.join(attrs, "movie_key", "inner").select(
+    attrs = items.select("movie_key", F.col("movie_natural_key").alias("movie_id"), "title", "primary_genre", "release_year")
+    return per_month.join(attrs, movie, "inner").select(
         "movie_key",
         "rated_month",
         "title",

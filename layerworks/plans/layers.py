@@ -1,15 +1,9 @@
 """Stage order bronze -> silver -> gate -> gold -> gate, write-audit-publish.
 
-Every layer is computed, written ONCE to an unpublished folder, audited by
-its quality gate on what was written, and only then published (one version
-log row).  A failing gate leaves the previous version of every downstream
-table visible and raises ``QualityGateFailed``; the check results are
-appended to ``dq_results`` first, pass or fail.
-
-The routed silver frame is written once partitioned by ``_route``; the kept
-rows (published as the new silver version by pointer, no copy) and the
-quarantine are partition reads of that one write, so the window and the
-catalogue probe run exactly once per run.
+Each run of a layer writes its tables whole into new folders, is audited by its quality
+gate on what was written, and only then listed.  A failing gate leaves the previous run
+visible everywhere and raises ``GateBlocked``; check results and this run's rejected rows
+are stored before that, pass or fail.  A run that finds nothing new writes nothing.
 """
 
 from __future__ import annotations
@@ -22,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..operators.routing import ROUTE, ROUTE_CLEAN
 from ..sources.ingest import CORRUPT_COLUMN, SourceSpec, batch_id_now, clock_now, ingest
-from ..sources.warehouse import ChangelogTable, Warehouse
+from ..sources.warehouse import Warehouse
 from . import gold, quality, silver
 
 BRONZE_RATINGS = "bronze_ratings"
@@ -30,13 +24,14 @@ BRONZE_ITEMS = "bronze_movies"
 BRONZE_CORRECTIONS = "bronze_rating_corrections"
 SILVER_RATINGS = "silver_ratings"
 SILVER_ITEMS = "silver_movies"
-SILVER_STATE = "silver_ratings@state"
 QUARANTINE = "quarantine_ratings"
 DIM_ITEM = "dim_movie"
 DIM_USER = "dim_user"
 FACT = "fct_rating"
 MONTHLY = "agg_monthly_movie_ratings"
 DQ_RESULTS = "dq_results"
+SILVER, GOLD = "silver", "gold"
+_RUN = "_run"
 
 
 @dataclass
@@ -47,12 +42,7 @@ class RunReport:
     checks: dict[str, list[dict]] = field(default_factory=dict)
 
 
-def land_bronze(
-    wh: Warehouse,
-    ratings: DataFrame,
-    items: DataFrame,
-    corrections: DataFrame | None,
-) -> None:
+def land_bronze(wh: Warehouse, ratings: DataFrame, items: DataFrame, corrections: DataFrame | None) -> None:
     """B1: append the three sources (already stamped with one batch id)."""
     wh.land(ratings, BRONZE_RATINGS)
     wh.land(items, BRONZE_ITEMS)
@@ -86,48 +76,25 @@ def land_files(
     return batch_id
 
 
-def _bronze_or_none(wh: Warehouse, name: str) -> DataFrame | None:
-    try:
-        return wh.read_landed(name)
-    except Exception as error:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(error):
-            return None
-        raise
-
-
-def _persist_checks(spark: SparkSession, wh: Warehouse, results: list[dict]) -> None:
-    quality.results_frame(spark, results).write.mode("append").parquet(wh.path(DQ_RESULTS))
-
+def _gate(wh: Warehouse, layer: str, **tables) -> list[dict]:
+    return quality.run_gate(wh.spark, layer, wh.path(DQ_RESULTS), **tables)
 
-def _gate(spark: SparkSession, wh: Warehouse, layer: str, **tables) -> list[dict]:
-    results = quality.evaluate(layer, **tables)
-    _persist_checks(spark, wh, results)
-    failures = [r for r in results if r["blocking"] and not r["passed"]]
-    if failures:
-        raise quality.QualityGateFailed(layer, failures)
-    return results
 
+def read_silver(wh: Warehouse, run: int | None = None) -> DataFrame:
+    """The kept rows of a silver run (the newest by default)."""
+    run = wh.last_run(SILVER).run if run is None else run
+    routed = wh.read(SILVER_RATINGS, run)
+    return routed.filter(F.col(ROUTE) == ROUTE_CLEAN).select(*silver.SILVER_COLUMNS)
 
-def _cursor_table(bronze: str) -> str:
-    return f"{SILVER_RATINGS}@cursor:{bronze}"
 
-
-def _read_new(wh: Warehouse, bronze: str, state: bool) -> tuple[DataFrame | None, tuple | None]:
-    """Bronze rows to (re)process and the cursor entry that marks them done.
-
-    Without a state: every landed batch.  With one: only batches landed
-    after the cursor of the previous run (partition pruning on the batch id).
-    """
-    table = _bronze_or_none(wh, bronze)
+def _new_rows(wh: Warehouse, name: str, through) -> DataFrame | None:
+    """Bronze rows ingested after ``through`` (all, without one).  Ingest times must rise
+    from landing to landing; the filter reaches the files' statistics."""
+    table = wh.read_landed(name)
     if table is None:
-        return None, None
-    cursor = wh.current_version(_cursor_table(bronze)) if state else None
-    ids, newest = wh.landed_since(bronze, cursor)
+        return None
     rows = table.drop(CORRUPT_COLUMN)
-    if state:
-        rows = rows.filter(F.col("_ingest_batch").isin(ids)) if ids else rows.limit(0)
-    entry = (_cursor_table(bronze), newest, "", "CURSOR", None) if newest is not None else None
-    return rows, entry
+    return rows if through is None else rows.filter(F.col("_ingested_at") > F.lit(through))
 
 
 def run_silver(
@@ -140,117 +107,80 @@ def run_silver(
 ) -> None:
     """B2 + B3 + gate: catalogue first, then the routed ratings, then publish.
 
-    Incremental by default: the routed rows of the previous run (every key's
-    latest record, quarantined winners included) are the state, and only the
-    batches landed since then are read.  Latest-wins is associative, so
-    latest(state + new) equals latest(all batches) exactly; validity and the
-    catalogue probe are re-evaluated for every latest row.  Re-landing a batch
-    id with *different* content needs ``incremental=False`` (full rebuild).
-    """
-    state = wh.current(SILVER_STATE) if incremental else None
-    new_items, items_cursor = _read_new(wh, BRONZE_ITEMS, state is not None)
-    previous_items = wh.read(SILVER_ITEMS) if state is not None else None
-    items = silver.silver_catalogue(new_items, previous_items)
-    items_path, items_staged, n_items = wh.stage_counted(items, SILVER_ITEMS)
-
-    # Malformed source lines stay rows (their NULL fields route them to
-    # quarantine); the raw-line column itself is bronze-only evidence.
-    feed, feed_cursor = _read_new(wh, BRONZE_RATINGS, state is not None)
-    corr, corr_cursor = _read_new(wh, BRONZE_CORRECTIONS, state is not None)
-    typed = silver.typed_ratings(feed, corr)
-    if state is not None:
-        previous = spark.read.parquet(state["path"]).select(*typed.columns)
-        typed = previous.unionByName(typed)
-    routed = silver.enrich(silver.route_ratings(typed, items_staged))
-    # ONE write of every deduplicated row, partitioned by route: the clean
-    # partition folder *is* the new silver version (published by pointer),
-    # the other partitions are this run's quarantine, and the whole folder is
-    # the state of the next incremental run.
-    # Sorted within each task by (route, key): the writer needs the route
-    # order anyway, and the key order clusters each file for min/max skipping
-    # on point lookups.  No global sort.
-    routed_path, routed_staged, _ = wh.stage_counted(
-        routed.select(*silver.SILVER_COLUMNS, ROUTE).sortWithinPartitions(ROUTE, "movie_id", "user_id"),
-        SILVER_RATINGS,
-        partition_by=[ROUTE],
-    )
-    silver_path = f"{routed_path}/{ROUTE}={ROUTE_CLEAN}"
-    silver_staged = routed_staged.filter(F.col(ROUTE) == ROUTE_CLEAN).select(*silver.SILVER_COLUMNS)
-    quarantine = silver.quarantine_from_routed(routed_staged, clock)
+    Incremental by default: the routed rows of the previous run (every key's latest
+    record, rejected winners included) are the state, and only bronze rows ingested since
+    are added.  Latest-wins is associative, so latest(state + new) equals latest(all)
+    exactly; validity and the catalogue probe are evaluated again for every latest row.
+    Re-landing a batch with *different* content needs ``incremental=False``.
 
-    results = _gate(
-        spark,
-        wh,
-        "silver",
-        silver=silver_staged,
-        catalogue=items_staged,
-        quarantine=quarantine,
-        expect_quarantine=expect_quarantine,
-    )
-    # publish only after the audit passed: both silver tables, the state and
-    # the bronze cursors in one commit
-    n_quarantined = wh.append(quarantine, QUARANTINE)
-    n_silver = next(r["observed"] for r in results if r["name"] == quality.NOT_EMPTY.name)
-    published = wh.publish_many(
-        [
-            (SILVER_ITEMS, items_path, "WRITE", n_items),
-            (SILVER_RATINGS, silver_path, "WRITE", n_silver),
-            (SILVER_STATE, routed_path, "STATE", None),
-        ],
-        extra_entries=[c for c in (feed_cursor, corr_cursor, items_cursor) if c is not None],
-    )
+    The quarantine gets the rejected rows among those this run has newly read, in its own
+    partition, before the gate: a second attempt replaces them.
+    """
+    last = wh.last_run(SILVER) if incremental else None
+    through = None if last is None else last.through
+    new = {name: _new_rows(wh, name, through) for name in (BRONZE_RATINGS, BRONZE_CORRECTIONS, BRONZE_ITEMS)}
+    times = [t.agg(F.max("_ingested_at")).first()[0] for t in new.values() if t is not None]
+    newest = max((t for t in times if t is not None), default=None)
+    if newest is None and last is not None:
+        if report is not None:
+            report.rows.update({QUARANTINE: 0})
+        return
+    run = wh.next_run(SILVER)
+
+    previous_items = wh.read(SILVER_ITEMS, last.run) if last is not None else None
+    items, n_items = wh.write_run(silver.silver_catalogue(new[BRONZE_ITEMS], previous_items), SILVER_ITEMS, run)
+
+    # Malformed source lines stay rows (their NULL fields route them to quarantine); the
+    # raw-line column itself is bronze-only evidence.
+    typed = silver.typed_ratings(new[BRONZE_RATINGS], new[BRONZE_CORRECTIONS])
+    if last is not None:
+        typed = wh.read(SILVER_RATINGS, last.run).select(*typed.columns).unionByName(typed)
+    routed = silver.enrich(silver.route_ratings(typed, items)).select(*silver.SILVER_COLUMNS, ROUTE)
+    # ONE write of every latest row, partitioned by route: the clean partition is silver, and
+    # the whole folder is the next run's state.  Sorted within tasks by (route, key), which
+    # clusters each file for skipping on point lookups; no global sort.
+    routed, _ = wh.write_run(routed.sortWithinPartitions(ROUTE, "movie_id", "user_id"), SILVER_RATINGS, run, [ROUTE])
+    rejected = silver.quarantine_from_routed(routed, clock)
+    fresh = rejected if through is None else rejected.filter(F.col("_ingested_at") > F.lit(through))
+    n_quarantined = wh.land(fresh.withColumn(_RUN, F.lit(run)), QUARANTINE, by=_RUN)
+
+    kept = routed.filter(F.col(ROUTE) == ROUTE_CLEAN).select(*silver.SILVER_COLUMNS)
+    results = _gate(wh, SILVER, silver=kept, catalogue=items, quarantine=rejected, expect_quarantine=expect_quarantine)
+    wh.publish(SILVER, run, newest or through)
     if report is not None:
+        n_silver = next(r["observed"] for r in results if r["name"] == quality.NOT_EMPTY.name)
         report.rows.update({SILVER_ITEMS: n_items, SILVER_RATINGS: n_silver, QUARANTINE: n_quarantined})
-        report.checks["silver"] = results
-        report.published.update(published)
-
-
-def run_gold(
-    spark: SparkSession,
-    wh: Warehouse,
-    expect_corrections: bool = True,
-    report: RunReport | None = None,
-    compact_every: int | None = 8,
-) -> None:
-    """B4-B7 + gate: dimensions, fact merge, monthly aggregate.
-
-    Every ``compact_every`` fact versions the full state is materialised, so
-    reading the fact never replays more than that many versions of changes.
-    """
-    items = wh.read(SILVER_ITEMS)
-    ratings = wh.read(SILVER_RATINGS)
+        report.checks[SILVER] = results
+        report.published[SILVER] = run
+
+
+def run_gold(spark: SparkSession, wh: Warehouse, expect_corrections: bool = True, report: RunReport | None = None) -> None:
+    """B4-B7 + gate: dimensions, fact merge, monthly aggregate of the merged fact.
+
+    The fact keeps natural ids beside its nine columns, so the merge joins on 8-byte keys.
+    A silver run that is merged already is not merged again: nothing is written."""
+    source, last = wh.last_run(SILVER), wh.last_run(GOLD)
+    if last is not None and last.source_run == source.run:
+        if report is not None:
+            report.rows.update({FACT: 0})
+        return
+    run = wh.next_run(GOLD)
+    ratings = read_silver(wh, source.run)
+    items = gold.dim_item(wh.read(SILVER_ITEMS, source.run))
     # sorted within files by natural key (file-level min/max pruning), no global sort
-    dim_item_path, dim_item, n_dim_item = wh.stage_counted(
-        gold.dim_item(items).sortWithinPartitions("movie_natural_key"), DIM_ITEM
-    )
-    dim_user_path, dim_user, n_dim_user = wh.stage_counted(gold.dim_user(ratings), DIM_USER)
-
-    staged = gold.fact_stage(ratings, dim_item)
-    fact = ChangelogTable(wh, FACT, config.FACT_KEYS)
-    # write the merge as an unpublished version, audit it, then publish
-    operation = "MERGE" if fact.exists() else "WRITE"
-    # silver passed its grain check and keys are a pure function of the
-    # natural ids, so the batch is unique on (user_key, movie_key) already
-    version = fact.merge(staged, mode="upsert", publish=False, validate_source=False)
-    merged = fact.snapshot(version)
-    results = _gate(spark, wh, "gold", fact=merged, expect_corrections=expect_corrections)
-    monthly_path, _, n_monthly = wh.stage_counted(gold.monthly_agg(merged, dim_item), MONTHLY)
-    # dimensions, aggregate and the fact version become visible together
-    published = wh.publish_many(
-        [
-            (DIM_ITEM, dim_item_path, "WRITE", n_dim_item),
-            (DIM_USER, dim_user_path, "WRITE", n_dim_user),
-            (MONTHLY, monthly_path, "WRITE", n_monthly),
-        ],
-        extra_entries=[fact.log_entry(version, operation)],
-    )
-    published[FACT] = version
-    if compact_every and version > 0 and (version + 1) % compact_every == 0:
-        fact.compact(version)
+    dim_item, n_dim_item = wh.write_run(items.sortWithinPartitions("movie_natural_key"), DIM_ITEM, run)
+    _, n_dim_user = wh.write_run(gold.dim_user(ratings), DIM_USER, run)
+
+    keyed = gold.fact_stage(ratings, keep_natural=True)
+    merged = keyed if last is None else gold.merged_rows(wh.read(FACT, last.run), keyed)
+    fact, n_fact = wh.write_run(merged, FACT, run)
+    results = _gate(wh, GOLD, fact=fact, expect_corrections=expect_corrections)
+    _, n_monthly = wh.write_run(gold.monthly_agg(fact, dim_item), MONTHLY, run)
+    wh.publish(GOLD, run, source_run=source.run)
     if report is not None:
-        report.rows.update({DIM_ITEM: n_dim_item, DIM_USER: n_dim_user, MONTHLY: n_monthly})
-        report.checks["gold"] = results
-        report.published.update(published)
+        report.rows.update({DIM_ITEM: n_dim_item, DIM_USER: n_dim_user, FACT: n_fact, MONTHLY: n_monthly})
+        report.checks[GOLD] = results
+        report.published[GOLD] = run
 
 
 def run_layers(

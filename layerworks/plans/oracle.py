@@ -10,15 +10,6 @@ from __future__ import annotations
 
 from .. import config
 from ..sources import fixtures
-from . import quality
-from .corrections import (
-    OUT_OF_RANGE_FRACTION,
-    OUT_OF_RANGE_SHIFT_DAYS,
-    RERATE_FRACTION,
-    RERATE_SHIFT_DAYS,
-    UNKNOWN_ITEM_FRACTION,
-    hex_threshold,
-)
 from .queries import AS_OF_VERSION, FEED_LAST_VERSION, SECOND_BATCH, SECOND_CLOCK, VERSION_BASE_YEAR
 
 BATCH = fixtures.FIXTURE_BATCH
@@ -27,6 +18,11 @@ LO, HI = config.RATING_MIN, config.RATING_MAX
 
 INVALID = f"coalesce(user_id IS NULL OR movie_id IS NULL OR rating IS NULL OR rating < {LO} OR rating > {HI}, true)"
 
+def _first(fraction: float) -> str:
+    """The first ``fraction`` of all 8-digit hash prefixes, compared as numbers."""
+    return f"CAST('0x' || h AS BIGINT) < {int(fraction * 2**32)}"
+
+
 BASE = f"""
 feed AS (
     SELECT l_suppkey AS user_id, l_partkey AS movie_id, l_quantity / 10.0 AS rating,
@@ -41,16 +37,16 @@ sampled AS (
 corr AS (
     SELECT user_id, movie_id,
            CAST(CASE WHEN rating < {config.CORRECTION_SPLIT} THEN {config.CORRECTED_LOW} ELSE {config.CORRECTED_HIGH} END AS DOUBLE) AS rating,
-           event_ts + INTERVAL {RERATE_SHIFT_DAYS} DAY AS event_ts, 're_rating' AS kind, src_key, src_line
-    FROM sampled WHERE h < '{hex_threshold(RERATE_FRACTION)}'
+           event_ts + INTERVAL 3650 DAY AS event_ts, 're_rating' AS kind, src_key, src_line
+    FROM sampled WHERE {_first(0.02)}
     UNION ALL
     SELECT user_id, CAST({config.UNKNOWN_ITEM_ID} AS BIGINT), CAST({config.UNKNOWN_ITEM_RATING} AS DOUBLE),
-           event_ts + INTERVAL {RERATE_SHIFT_DAYS} DAY, 'unknown_item', src_key, src_line
-    FROM sampled WHERE h < '{hex_threshold(UNKNOWN_ITEM_FRACTION)}'
+           event_ts + INTERVAL 3650 DAY, 'unknown_item', src_key, src_line
+    FROM sampled WHERE {_first(0.002)}
     UNION ALL
     SELECT user_id, movie_id, CAST({config.OUT_OF_RANGE_RATING} AS DOUBLE),
-           event_ts + INTERVAL {OUT_OF_RANGE_SHIFT_DAYS} DAY, 'out_of_range', src_key, src_line
-    FROM sampled WHERE h < '{hex_threshold(OUT_OF_RANGE_FRACTION)}'
+           event_ts + INTERVAL 7300 DAY, 'out_of_range', src_key, src_line
+    FROM sampled WHERE {_first(0.001)}
 ),
 ratings AS (
     SELECT user_id, movie_id, rating, event_ts, 'primary' AS rating_source, 'primary' AS source_role,
@@ -69,7 +65,7 @@ items AS (
     SELECT p_partkey AS movie_id,
            trim(p_name) || ' (' || CAST(p_size + 1950 AS VARCHAR) || ')' AS title,
            CASE WHEN p_type = 'ECONOMY' THEN '{config.GENRE_SENTINEL}' ELSE replace(p_name, ' ', '|') END AS genres_raw
-    FROM part WHERE p_size <= 45
+    FROM part
 ),
 catalogue AS (
     SELECT movie_id, trim(title) AS title,
@@ -102,6 +98,27 @@ dim_item AS (
            primary_genre, genres, release_year, CAST(floor(release_year / 10) AS INTEGER) * 10 AS decade
     FROM catalogue_full
 ),
+before AS (
+    SELECT user_id, movie_id, rating, event_ts, src_key, src_line, {INVALID} AS is_invalid FROM feed
+    QUALIFY row_number() OVER (PARTITION BY user_id, movie_id ORDER BY event_ts DESC, src_key DESC, src_line DESC) = 1
+),
+held AS (
+    SELECT user_id, movie_id, rating, event_ts, 'primary' AS rating_source, 'primary' AS source_role,
+           CASE WHEN rating >= 4.5 THEN 'high' WHEN rating >= 3.0 THEN 'medium' ELSE 'low' END AS rating_tier,
+           strftime(event_ts, '%Y-%m') AS rated_month
+    FROM before WHERE NOT is_invalid AND movie_id IN (SELECT movie_id FROM catalogue)
+),
+merged AS (
+    SELECT user_id, movie_id, rating, event_ts, rating_source, source_role, rating_tier, rated_month FROM silver
+    UNION ALL
+    SELECT user_id, movie_id, rating, event_ts, rating_source, source_role, rating_tier, rated_month FROM held h
+    WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.user_id = h.user_id AND s.movie_id = h.movie_id)
+),
+fact_merged AS (
+    SELECT md5('user|' || CAST(s.user_id AS VARCHAR)) AS user_key, d.movie_key, s.rating, s.rating_tier,
+           s.event_ts, s.rated_month, s.rating_source, s.source_role AS _source_role, '{BATCH}' AS _ingest_batch
+    FROM merged s JOIN dim_item d ON s.movie_id = d.movie_natural_key
+),
 fact AS (
     SELECT md5('user|' || CAST(s.user_id AS VARCHAR)) AS user_key, d.movie_key, s.rating, s.rating_tier,
            s.event_ts, s.rated_month, s.rating_source, s.source_role AS _source_role, '{BATCH}' AS _ingest_batch
@@ -133,48 +150,83 @@ def _snapshot(name: str, where: str) -> str:
 
 
 def _mean_half_up(col: str) -> str:
-    t = f"CAST(sum(CAST(round({col} * 10) AS BIGINT)) AS BIGINT)"
-    n = f"count({col})"
-    return f"CAST(({t} * 200 + {n}) // (2 * {n}) AS DOUBLE) / 1000"
+    """Exact: the values as DECIMAL, their sum in billionths, one integer division."""
+    t = f"CAST(CAST(sum(CAST({col} AS DECIMAL(18, 9))) AS DECIMAL(38, 9)) * 1000000000 AS HUGEINT)"
+    n = f"CAST(count({col}) AS HUGEINT)"
+    return f"CAST(CAST(2000 * {t} + 1000000000 * {n} AS HUGEINT) // (2000000000 * {n}) AS DOUBLE) / 1000"
 
 
-def _dq(check: quality.Check, observed_sql: str) -> str:
-    cond = "observed = 0" if check.expect == quality.EXPECT_ZERO else "observed > 0"
+def _dq(name: str, layer: str, passes: str, expectation: str, observed_sql: str) -> str:
     return (
-        f"SELECT '{check.name}' AS name, '{check.layer}' AS layer, coalesce({cond}, false) AS passed, "
-        f"observed, {str(check.blocking).lower()} AS blocking FROM (SELECT CAST(({observed_sql}) AS BIGINT) AS observed)"
+        f"SELECT '{name}' AS name, '{layer}' AS layer, coalesce(observed {passes}, false) AS passed, observed, "
+        f"'{expectation}' AS expectation, true AS blocking FROM (SELECT CAST(({observed_sql}) AS BIGINT) AS observed)"
     )
 
 
 DQ = {
-    "dq_not_empty": (quality.NOT_EMPTY, "SELECT count(*) FROM silver"),
+    "dq_not_empty": ("silver_ratings_not_empty", "silver", "> 0", "at least one row", "SELECT count(*) FROM silver"),
     "dq_silver_grain": (
-        quality.SILVER_GRAIN,
+        "silver_ratings_grain_unique",
+        "silver",
+        "= 0",
+        "every (user_id, movie_id) once",
         "SELECT count(*) FROM (SELECT user_id, movie_id FROM silver GROUP BY 1, 2 HAVING count(*) > 1)",
     ),
-    "dq_in_range": (quality.IN_RANGE, f"SELECT count(*) FROM silver WHERE rating < {LO} OR rating > {HI}"),
+    "dq_in_range": (
+        "ratings_in_range",
+        "silver",
+        "= 0",
+        "all ratings within [0.5, 5.0]",
+        "SELECT count(*) FROM silver WHERE rating < 0.5 OR rating > 5.0",
+    ),
     "dq_not_null": (
-        quality.NOT_NULL,
+        "ratings_not_null",
+        "silver",
+        "= 0",
+        "no NULL among user_id, movie_id, rating",
         "SELECT count(*) FROM silver WHERE user_id IS NULL OR movie_id IS NULL OR rating IS NULL",
     ),
-    "dq_event_ts_not_null": (quality.TS_NOT_NULL, "SELECT count(*) FROM silver WHERE event_ts IS NULL"),
+    "dq_event_ts_not_null": (
+        "ratings_event_ts_not_null",
+        "silver",
+        "= 0",
+        "no NULL event time",
+        "SELECT count(*) FROM silver WHERE event_ts IS NULL",
+    ),
     "dq_date_range": (
-        quality.DATE_RANGE,
-        f"SELECT count(*) FROM silver WHERE event_ts IS NOT NULL AND (CAST(event_ts AS DATE) < DATE '{config.SANE_DATE_FROM}' "
-        f"OR CAST(event_ts AS DATE) >= DATE '{config.SANE_DATE_UNTIL}')",
+        "ratings_in_sane_date_range",
+        "silver",
+        "= 0",
+        "event dates since 1990-01-01 and before 2030-01-01",
+        "SELECT count(*) FROM silver WHERE event_ts < TIMESTAMP '1990-01-01' OR event_ts >= TIMESTAMP '2030-01-01'",
     ),
     "dq_fk_exists": (
-        quality.FK_EXISTS,
+        "fk_movie_exists",
+        "silver",
+        "= 0",
+        "every movie_id is catalogued",
         "SELECT count(*) FROM silver r ANTI JOIN catalogue m ON r.movie_id = m.movie_id",
     ),
-    "dq_quarantine_kept": (quality.QUARANTINE_KEPT, "SELECT count(*) FROM routed WHERE route <> 'clean'"),
+    "dq_quarantine_kept": (
+        "quarantine_retained_bad_rows",
+        "silver",
+        "> 0",
+        "rejected rows are kept",
+        "SELECT count(*) FROM routed WHERE route <> 'clean'",
+    ),
     "dq_fact_grain": (
-        quality.FACT_GRAIN,
-        "SELECT count(*) FROM (SELECT user_key, movie_key FROM fact GROUP BY 1, 2 HAVING count(*) > 1)",
+        "gold_fact_grain_unique",
+        "gold",
+        "= 0",
+        "every (user_key, movie_key) once",
+        "SELECT count(*) FROM (SELECT user_key, movie_key FROM fact_merged GROUP BY 1, 2 HAVING count(*) > 1)",
     ),
     "dq_corrections_applied": (
-        quality.CORRECTIONS_APPLIED,
-        f"SELECT count(*) FROM fact WHERE rating_source = '{config.SOURCE_CORRECTION}'",
+        "corrections_applied",
+        "gold",
+        "> 0",
+        "some rows come from corrections",
+        "SELECT count(*) FROM fact_merged WHERE rating_source = 'correction'",
     ),
 }
 
@@ -265,8 +317,36 @@ FROM silver GROUP BY user_id""",
     + f"""SELECT f.movie_key, f.rated_month, d.title, d.primary_genre, d.release_year,
        count(*) AS rating_count, {_mean_half_up('f.rating')} AS avg_rating,
        count(DISTINCT f.user_key) AS distinct_raters
-FROM fact f JOIN dim_item d ON f.movie_key = d.movie_key
+FROM fact_merged f JOIN dim_item d ON f.movie_key = d.movie_key
 GROUP BY f.movie_key, f.rated_month, d.title, d.primary_genre, d.release_year""",
+    "fact_merged": _with() + "SELECT * FROM fact_merged",
+    "point_before_after": _with(
+        _snapshot("tgt", f"version <= {FEED_LAST_VERSION}"),
+        _snapshot("src", f"version > {FEED_LAST_VERSION}"),
+        """both_sides AS (
+    SELECT t.user_id, t.movie_id, t.rating AS rating_before,
+           CASE WHEN s.user_id IS NOT NULL THEN s.rating ELSE t.rating END AS rating_after
+    FROM tgt t LEFT JOIN src s ON t.user_id = s.user_id AND t.movie_id = s.movie_id
+)""",
+    )
+    + """SELECT movie_id, user_id, rating_before, rating_after, (SELECT count(*) FROM tgt) AS rows_before,
+       (SELECT count(*) FROM both_sides) AS rows_after
+FROM both_sides WHERE rating_before <> rating_after ORDER BY movie_id, user_id, rating_before, rating_after LIMIT 1""",
+    "csv_lines": _with(
+        """lines AS (
+    SELECT src_key, src_line, src_key % 10 AS kind, CAST(user_id AS VARCHAR) AS u, CAST(movie_id AS VARCHAR) AS m,
+           CAST(rating AS VARCHAR) AS r, CAST(CAST(epoch(event_ts) AS BIGINT) AS VARCHAR) AS t
+    FROM feed
+)"""
+    )
+    + """SELECT src_key AS _source_key, src_line AS _source_line,
+       CASE WHEN kind = 9 THEN u || ',' || m || ',' || r || ',' || t ELSE u END AS "userId",
+       CASE WHEN kind = 9 THEN NULL ELSE m END AS "movieId",
+       CASE WHEN kind = 9 THEN NULL ELSE r END AS rating,
+       CASE WHEN kind IN (7, 9) THEN NULL ELSE t END AS "timestamp",
+       CASE kind WHEN 7 THEN u || ',' || m || ',' || r WHEN 8 THEN u || ',' || m || ',' || r || ',' || t || ',extra'
+                 WHEN 9 THEN '"' || u || ',' || m || ',' || r || ',' || t END AS _corrupt
+FROM lines""",
     "merge_upsert": _with(
         _snapshot("tgt", f"version <= {FEED_LAST_VERSION}"),
         _snapshot("src", f"version > {FEED_LAST_VERSION}"),
@@ -369,10 +449,10 @@ FROM (
 )""",
 }
 
-for _key, (_check, _observed) in DQ.items():
-    SQL[_key] = _with() + _dq(_check, _observed)
+for _key, _check in DQ.items():
+    SQL[_key] = _with() + _dq(*_check)
 
-SQL["dq_report"] = _with() + "\nUNION ALL\n".join(_dq(c, o) for c, o in DQ.values())
+SQL["dq_report"] = _with() + "\nUNION ALL\n".join(_dq(*c) for c in DQ.values())
 
 # Silver's columns and their Spark type names (fixed by the silver schema).
 SILVER_SCHEMA = [

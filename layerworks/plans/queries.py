@@ -18,18 +18,17 @@ from .. import config
 from ..functions import decade, invalid_rating, item_key, user_key
 from ..operators.dedup import dedup_natural_key
 from ..operators.merge import duplicate_keys, merge_update_only, merge_upsert
-from ..operators.routing import ROUTE, ROUTE_INVALID, ROUTE_ORPHAN, attach_reason
+from ..operators.routing import ROUTE, ROUTE_INVALID, ROUTE_ORPHAN, attach_reason, mark_known
 from ..operators.versions import (
     VERSION,
-    fact_not_in_stage,
-    snapshot_from_batches,
+    keys_lost,
+    snapshot_as_of,
     stage_versions,
     version_diff,
     version_history,
 )
 from ..sources import fixtures
 from ..sources.tables import schema_report
-from ..sources.warehouse import materialize
 from . import gold, quality, silver
 from .corrections import generate_corrections
 from .reconcile import reconcile_counts
@@ -48,14 +47,9 @@ SECOND_CLOCK = "2024-01-16 00:00:00"
 class Domain:
     """Lazily built DataFrames of the layers for one test-data directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        # Several consumers of one routed frame (the check report) read it
-        # from a table written once in the checkpoint folder instead of
-        # recomputing the window per branch; single-consumer queries stay one
-        # lazy plan.
-        self.materialize = materialize
 
     # bronze
     @cached_property
@@ -90,8 +84,7 @@ class Domain:
     @cached_property
     def routed(self) -> DataFrame:
         # existence probe: the id set is all it needs (no dedup window)
-        routed = silver.route_ratings(self.typed, self.catalogue_ids)
-        return materialize(self.spark, routed, "routed") if self.materialize else routed
+        return silver.route_ratings(self.typed, self.catalogue_ids)
 
     @cached_property
     def silver(self) -> DataFrame:
@@ -112,23 +105,34 @@ class Domain:
 
     @cached_property
     def fact(self) -> DataFrame:
-        # the fact join needs (movie_key, natural key) only: derived from the id set
-        return gold.fact_stage(self.silver, gold.item_keys(self.catalogue_ids))
+        return gold.fact_stage(self.silver)
+
+    @cached_property
+    def merged(self) -> DataFrame:
+        """Rows of the fact after two runs: that of the feed alone, then that of feed and
+        corrections, merged into it.  Keys that left silver in the second run stay."""
+        first = silver.typed_ratings(self.feed_text)
+        before = silver.silver_from_routed(silver.route_ratings(first, self.catalogue_ids))
+        return gold.merged_rows(before, self.silver)
 
     # versions
+    def versioned(self, upto: int | None = None, since: int | None = None) -> DataFrame:
+        """Valid typed rows of versions since..upto, whose scans are pruned by event time."""
+        rows = fixtures.typed_ratings(
+            self.spark,
+            self.sf_dir,
+            None if since is None else f"{VERSION_BASE_YEAR + since}-01-01",
+            None if upto is None else f"{VERSION_BASE_YEAR + upto + 1}-01-01",
+        )
+        return rows.filter(~invalid_rating()).withColumn(VERSION, (F.year("event_ts") - VERSION_BASE_YEAR).cast("int"))
+
     @cached_property
     def changelog(self) -> DataFrame:
-        valid = self.typed.filter(~invalid_rating())
-        version = F.year("event_ts") - VERSION_BASE_YEAR
-        staged = stage_versions(valid, KEYS, version, silver.LATEST_ORDER)
+        staged = stage_versions(self.versioned(), KEYS, F.col(VERSION), silver.LATEST_ORDER)
         return staged.select(*KEYS, "rating", "event_ts", "rating_source", VERSION)
 
-    def _valid(self) -> DataFrame:
-        return self.typed.filter(~invalid_rating())
-
     def _state(self, upto: int | None = None, since: int | None = None) -> DataFrame:
-        version = F.year("event_ts") - VERSION_BASE_YEAR
-        state = snapshot_from_batches(self._valid(), KEYS, version, silver.LATEST_ORDER, upto, since)
+        state = snapshot_as_of(self.versioned(upto, since), KEYS, upto, silver.LATEST_ORDER, since)
         return state.select(*KEYS, "rating", "event_ts", "rating_source", VERSION)
 
     def snapshot(self, n: int | None) -> DataFrame:
@@ -306,7 +310,12 @@ def q_fact_stage(spark, sf_dir):
 
 def q_monthly_agg(spark, sf_dir):
     d = _d(spark, sf_dir)
-    return gold.monthly_agg(d.fact, d.dim_item)
+    return gold.monthly_agg(d.merged, d.dim_item)
+
+
+def q_fact_merged(spark, sf_dir):
+    """The fact after its second run: all nine columns, one row per (user_key, movie_key)."""
+    return gold.fact_stage(_d(spark, sf_dir).merged)
 
 
 # --- merges and versions --------------------------------------------------------
@@ -324,9 +333,8 @@ def q_merge_guarded(spark, sf_dir):
     """Replay of an old batch plus the corrections, guarded on event time."""
     d = _d(spark, sf_dir)
     target = d.snapshot(FEED_LAST_VERSION).select(*STATE_COLUMNS)
-    version = F.year("event_ts") - VERSION_BASE_YEAR
-    replay = d._valid().filter((version == AS_OF_VERSION) | (version > FEED_LAST_VERSION))
-    source = snapshot_from_batches(replay, KEYS, version, silver.LATEST_ORDER).select(*STATE_COLUMNS)
+    replay = d.versioned(AS_OF_VERSION, AS_OF_VERSION).unionByName(d.versioned(since=FEED_LAST_VERSION + 1))
+    source = snapshot_as_of(replay, KEYS, order=silver.LATEST_ORDER).select(*STATE_COLUMNS)
     return merge_upsert(target, source, KEYS, guard_col="event_ts", validate_source=False)
 
 
@@ -337,9 +345,21 @@ def q_merge_update_only(spark, sf_dir):
     return merge_update_only(target, source, KEYS, validate_source=False)
 
 
+# Columns by which the greatest row of a key is its latest one: LATEST_ORDER for max_by.
+_PLACE = ["event_ts", "_ingested_at", "_correction", "_ingest_batch", "_source_file", "_source_key", "_source_line", "rating"]
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("_correction", (F.col("rating_source") == config.SOURCE_CORRECTION).cast("int"))
+
+
 def q_fact_not_in_stage(spark, sf_dir):
+    """Keys the fact holds (some version had a valid row) whose latest row silver rejects."""
     d = _d(spark, sf_dir)
-    return fact_not_in_stage(d.snapshot(None), d.silver, KEYS)
+    rows = fixtures.typed_ratings(spark, sf_dir)
+    keys = keys_lost(_placed(rows), KEYS, invalid_rating(), F.struct(*_PLACE))
+    known = mark_known(keys, d.catalogue_ids, "movie_id")
+    return known.filter(~(F.col("_kept") & F.col("_known"))).select(*KEYS)
 
 
 def q_snapshot_as_of(spark, sf_dir):
@@ -347,11 +367,11 @@ def q_snapshot_as_of(spark, sf_dir):
 
 
 def q_version_history(spark, sf_dir):
-    return version_history(_d(spark, sf_dir).changelog, KEYS)
+    return version_history(_d(spark, sf_dir).versioned(), KEYS)
 
 
 def q_version_diff(spark, sf_dir):
-    return version_diff(_d(spark, sf_dir).changelog, KEYS, AS_OF_VERSION, None, "rating")
+    return version_diff(_placed(_d(spark, sf_dir).versioned()), KEYS, AS_OF_VERSION, None, "rating", _PLACE)
 
 
 # --- aggregates, lookups ------------------------------------------------------------
@@ -379,11 +399,35 @@ def q_point_lookup(spark, sf_dir):
     """History of the lowest-rated pair of the feed state across all versions."""
     d = _d(spark, sf_dir)
     pair = _top1(d.snapshot(FEED_LAST_VERSION), ["rating", "movie_id", "user_id"]).select(*KEYS)
-    # One row by construction (limit 1): a proven bound for the broadcast.
-    hits = d.changelog.join(F.broadcast(pair), on=KEYS, how="inner")
+    # One row by construction (limit 1): a proven bound for the broadcast.  The key meets the
+    # rows before the window, so that only its own rows are sorted.
+    rows = d.versioned().join(F.broadcast(pair), on=KEYS, how="left_semi")
+    hits = stage_versions(rows, KEYS, F.col(VERSION), silver.LATEST_ORDER)
     return hits.select(VERSION, *KEYS, "rating", "event_ts", "rating_source")
 
 
+def q_point_before_after(spark, sf_dir):
+    """One key before and after the corrections are merged without inserts: the first
+    corrected pair, its rating at both versions, and the table's row counts, which agree."""
+    d = _d(spark, sf_dir)
+    before = d.snapshot(FEED_LAST_VERSION).select(*STATE_COLUMNS)
+    after = merge_update_only(before, d.batch(FEED_LAST_VERSION + 1).select(*STATE_COLUMNS), KEYS, validate_source=False)
+    sides = before.select(*KEYS, "rating", F.lit(0).alias("side")).unionByName(after.select(*KEYS, "rating", F.lit(1).alias("side")))
+    pairs = sides.groupBy(*KEYS).agg(
+        F.max(F.when(F.col("side") == 0, F.col("rating"))).alias("rating_before"),
+        F.max(F.when(F.col("side") == 1, F.col("rating"))).alias("rating_after"),
+        F.count_if(F.col("side") == 0).alias("n0"),
+        F.count_if(F.col("side") == 1).alias("n1"),
+    )
+    pick = F.struct(*KEYS, "rating_before", "rating_after")
+    first = pairs.agg(
+        F.min(F.when(F.col("rating_before") != F.col("rating_after"), pick)).alias("r"),
+        F.sum("n0").alias("rows_before"),
+        F.sum("n1").alias("rows_after"),
+    )
+    return first.select("r.*", "rows_before", "rows_after")
+
+
 def q_reconcile_counts(spark, sf_dir):
     d = _d(spark, sf_dir)
     return reconcile_counts(d.typed, d.catalogue)
@@ -391,7 +435,7 @@ def q_reconcile_counts(spark, sf_dir):
 
 # --- quality ------------------------------------------------------------------------
 
-_DQ_COLS = ["name", "layer", "passed", "observed", "blocking"]
+_DQ_COLS = ["name", "layer", "passed", "observed", "expectation", "blocking"]
 
 
 def _silver_tables(d: Domain) -> dict:
@@ -401,7 +445,7 @@ def _silver_tables(d: Domain) -> dict:
 def _dq(select_name: str, layer: str):
     def run(spark, sf_dir):
         d = _d(spark, sf_dir)
-        tables = _silver_tables(d) if layer == "silver" else {"fact": d.fact}
+        tables = _silver_tables(d) if layer == "silver" else {"fact": gold.fact_stage(d.merged)}
         groups = dict(quality.check_groups(layer, **tables))
         # Build only the group that owns the check (row checks share one scan).
         frame = groups[select_name]() if select_name in groups else groups["silver_rows"]()
@@ -411,10 +455,16 @@ def _dq(select_name: str, layer: str):
 
 
 def q_dq_report(spark, sf_dir):
-    d = Domain(spark, sf_dir, materialize=True)
-    silver_rows = quality.check_frame("silver", **_silver_tables(d))
-    gold_rows = quality.check_frame("gold", fact=d.fact)
-    return silver_rows.unionByName(gold_rows).select(*_DQ_COLS)
+    """All checks as one lazy plan: the silver part counts on the routed rows where the window
+    left them, the gold part on the merged fact."""
+    d = _d(spark, sf_dir)
+    routed = silver.route_ratings(d.typed, d.catalogue_ids, keep_known=True)
+    return quality.silver_report(routed).unionByName(quality.gold_report(d.merged, KEYS)).select(*_DQ_COLS)
+
+
+def q_csv_lines(spark, sf_dir):
+    """The feed as CSV text, some lines short, long or broken, parsed with corrupt lines kept."""
+    return fixtures.parsed_lines(spark, sf_dir)
 
 
 def q_schema_report(spark, sf_dir):
@@ -456,6 +506,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "version_history": q_version_history,
     "version_diff": q_version_diff,
     "monthly_agg": q_monthly_agg,
+    "fact_merged": q_fact_merged,
+    "point_before_after": q_point_before_after,
+    "csv_lines": q_csv_lines,
     "grain_duplicates": q_grain_duplicates,
     "event_range": q_event_range,
     "top1_lowest": q_top1_lowest,

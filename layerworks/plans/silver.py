@@ -10,10 +10,10 @@ Semantics kept from the layered design: dedup happens *before* validation, so
 a newer invalid record evicts an older valid one and the key leaves silver
 (it is quarantined with the newer record).  Deliberate deviations:
 
-* rows with a NULL key are never merged with each other by the window: each
-  is its own group and reaches quarantine (nothing vanishes before the split);
-* the latest-wins order is total (event time, ingest time, then the source
-  position), so reruns pick the same winner;
+* rows with a NULL key go round the window and reach quarantine one by one
+  (nothing vanishes before the split);
+* the latest-wins order is total (event time, ingest time, corrections before the
+  feed, batch, file, source position), so reruns pick the same winner;
 * catalogue dedup keeps the most recently landed row per item, not any row.
 """
 
@@ -38,11 +38,15 @@ from ..operators.dedup import dedup_natural_key, latest_wins
 from ..operators.routing import ROUTE, ROUTE_CLEAN, ROUTE_INVALID, ROUTE_ORPHAN, attach_reason, mark_known
 
 PROVENANCE = list(config.PROVENANCE)
-LATEST_ORDER = ("event_ts", "_ingested_at", "_source_key", "_source_line")
+# Total over all sources: a correction beats the feed at the same event and ingest time
+# ("correction" sorts before "primary"); source positions count within one file only.
+LATEST_ORDER = (
+    "event_ts", "_ingested_at", "rating_source asc", "_ingest_batch", "_source_file", "_source_key", "_source_line", "rating",
+)
 # Window partition key, most selective column first: the sort before the
 # (partial and final) top-1 uses the first key as its prefix, so fewer prefix
 # ties means fewer full-row comparisons.
-WINDOW_KEYS = ["movie_id", "user_id", "_solo"]
+WINDOW_KEYS = ["movie_id", "user_id"]
 
 
 # --- ratings: text -> typed ---------------------------------------------------
@@ -87,24 +91,21 @@ def typed_ratings(feed: DataFrame, corrections: DataFrame | None = None) -> Data
 # --- ratings: latest wins + routing -------------------------------------------
 
 
-def _solo_group():
-    """Own window group for a row with a NULL key (its source position)."""
-    return F.when(
-        F.col("user_id").isNull() | F.col("movie_id").isNull(),
-        F.concat_ws("|", "_source_file", "_ingest_batch", F.col("_source_key").cast("string"), F.col("_source_line").cast("string")),
-    )
+def _has_key():
+    return F.col("user_id").isNotNull() & F.col("movie_id").isNotNull()
 
 
 def latest_per_pair(typed: DataFrame) -> DataFrame:
-    """Newest record per (user_id, movie_id); NULL-key rows kept one by one."""
-    with_solo = typed.withColumn("_solo", _solo_group())
-    return latest_wins(with_solo, WINDOW_KEYS, LATEST_ORDER).drop("_solo")
+    """Newest record per (user_id, movie_id); NULL-key rows go round the window, one by
+    one, so what follows finds the rows partitioned by exactly their key."""
+    latest = latest_wins(typed.filter(_has_key()), WINDOW_KEYS, LATEST_ORDER)
+    return latest.unionByName(typed.filter(~_has_key()))
 
 
 def latest_valid_per_pair(typed: DataFrame) -> DataFrame:
     """Alternative order: validate first, then keep the newest *valid* record."""
     valid = typed.filter(~invalid_rating())
-    return latest_wins(valid, ["movie_id", "user_id"], LATEST_ORDER)
+    return latest_wins(valid, WINDOW_KEYS, LATEST_ORDER)
 
 
 def enrich(df: DataFrame) -> DataFrame:
@@ -112,20 +113,24 @@ def enrich(df: DataFrame) -> DataFrame:
     return df.withColumn("rating_tier", rating_tier()).withColumn("rated_month", month_bucket())
 
 
-def route_ratings(typed: DataFrame, catalogue: DataFrame) -> DataFrame:
+def route_ratings(typed: DataFrame, catalogue: DataFrame, keep_known: bool = False) -> DataFrame:
     """Every deduplicated row with ``_route`` in {clean, invalid, orphan}.
 
     Invalid wins over orphan (validity is checked first); orphan = a valid row
-    whose movie_id is not in the catalogue.
+    whose movie_id is not in the catalogue.  ``keep_known`` leaves the probe's
+    answer in ``_known``.
     """
-    latest = latest_per_pair(typed)
+    latest = latest_wins(typed.filter(_has_key()), WINDOW_KEYS, LATEST_ORDER)
     probed = mark_known(latest, catalogue.select("movie_id"), "movie_id")
     route = (
         F.when(invalid_rating(), F.lit(ROUTE_INVALID))
         .when(~F.col("_known"), F.lit(ROUTE_ORPHAN))
         .otherwise(F.lit(ROUTE_CLEAN))
     )
-    return probed.withColumn(ROUTE, route).drop("_known")
+    keyed = probed.withColumn(ROUTE, route)
+    keyless = typed.filter(~_has_key()).withColumns({"_known": F.lit(False), ROUTE: F.lit(ROUTE_INVALID)})
+    routed = keyed.unionByName(keyless)
+    return routed if keep_known else routed.drop("_known")
 
 
 def silver_from_routed(routed: DataFrame) -> DataFrame:

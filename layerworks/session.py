@@ -10,7 +10,6 @@ dirty text goes through explicit ``try_*`` conversions.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -24,7 +23,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # The planner broadcasts a join side only when its estimated size is below
     # this bound; AQE re-checks with the real shuffle size at runtime.
     "spark.sql.autoBroadcastJoinThreshold": "64m",
@@ -45,7 +43,6 @@ def get_session(
     active = SparkSession.getActiveSession()
     if active is not None:
         require_utc(active)
-        ensure_checkpoint_dir(active)
         return active
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -58,7 +55,6 @@ def get_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -68,39 +64,6 @@ def require_utc(spark: SparkSession) -> None:
         raise RuntimeError(f"session time zone must be UTC, found {zone!r}")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster, or a private one.
-
-    On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is.  Only when it is unset (unit tests, a laptop) do we create our own.
-    Works with a classic session and, without ``sparkContext``, with a
-    Spark Connect session (configuration only).
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        sc = None
-    if sc is not None and sc.getCheckpointDir():
-        return sc.getCheckpointDir()
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="layerworks-ckpt-")
-        if sc is None:
-            spark.conf.set("spark.checkpoint.dir", configured)
-    if sc is not None:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir() or configured
-    return configured
-
-
-def session_key(spark: SparkSession) -> str:
-    """Identity of a running session (application id when available)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - Spark Connect
-        return f"connect-{id(spark)}"
-
-
 def recommended_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
     """Scale-dependent settings for a cluster run over ``input_bytes``.
 

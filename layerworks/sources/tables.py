@@ -6,29 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import session_key
-
 
 def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-# Read-only source tables: the DataFrame (file listing + footer schema) is
-# resolved once per session and path and reused by every plan that scans the
-# table.  Only the lazy DataFrame is kept, never data.  Warehouse tables, which
-# change between commits, are not read through this.
-_SOURCES: dict[tuple[str, str], DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table by logical name; projections and filters reach the scan."""
-    path = table_path(sf_dir, name)
-    key = (session_key(spark), path)
-    df = _SOURCES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _SOURCES[key] = df
-    return df
+    """Parquet table by logical name; projections and filters reach the scan.
+    The folder is listed anew for each call, so files that came since are read."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def schema_report(df: DataFrame) -> DataFrame:

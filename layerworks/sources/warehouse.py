@@ -1,73 +1,32 @@
-"""Path-addressed tables on shared storage: landing, versioned publish, changelog.
+"""Path-addressed Parquet tables on shared storage: landing, appends, new folders.
 
 Layout under ``root`` (a folder every executor can reach):
 
-* ``tables/<name>/_ingest_batch=<id>/``  append-only landed batches (bronze);
-  re-landing a batch id replaces that batch only (idempotent).
-* ``tables/<name>/_data/<token>/``  replaced tables (silver, dimensions,
-  aggregates).  A publish writes a fresh data folder, then appends rows
-  (table, version, path, operation, rows, time) to the warehouse commit log
-  ``_catalog/``; readers follow the highest logged version of a table.  One
-  append can publish several tables at once (all or none visible).  A failed
-  or unaudited write is never visible, and a path being read is never
-  overwritten.
-* ``tables/<name>/changes/version=<n>/``  key-merged tables
-  (the fact): each commit stores only the rows it wrote, partitioned by
-  version, so time travel prunes partitions; ``snapshots/version=<n>/`` holds
-  optional compacted full states so a read never replays the whole history.
+* ``<name>/_ingest_batch=<id>/``  landed batches (bronze).  Landing a batch id again
+  replaces that batch only, so a replayed batch is not duplicated.
+* ``<name>/run=<n>/``  replaced tables (silver, dimensions, fact, aggregate): a run writes
+  each of its tables whole into a new folder, and nobody reads it before its run is listed.
+* ``_runs/``  one row for each published run of a layer.  Readers take the newest run, or an
+  older one by number; an unlisted folder left by a failed attempt is written over.
 
-Single writer per table; commits are ordered by the version log.  This is not
-a transactional table format; it is the part of one that a batch pipeline
-needs, expressed with DataFrame reads and writes.
+This is no table format: one writer, whole-table replacement, no row-level files.  Where
+these do not suffice, write the same DataFrames to a format that has them.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import json
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.merge import require_unique
-from ..operators.versions import VERSION, snapshot_as_of, version_diff, version_history
-from ..session import ensure_checkpoint_dir
 from .tables import assert_same_schema
 
-
-LAND = "LAND"
-
-LOG_SCHEMA = T.StructType(
-    [
-        T.StructField("table", T.StringType(), False),
-        T.StructField("version", T.IntegerType(), False),
-        T.StructField("path", T.StringType(), False),
-        T.StructField("operation", T.StringType(), False),
-        T.StructField("num_rows", T.LongType(), True),
-        T.StructField("committed_at", T.TimestampNTZType(), False),
-    ]
-)
-
-
-def _now() -> dt.datetime:
-    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-
-
-def materialize(
-    spark: SparkSession, df: DataFrame, label: str = "frame", partition_by: Sequence[str] = ()
-) -> DataFrame:
-    """Write ``df`` once as parquet under the session's checkpoint folder and
-    read it back: cuts the lineage for frames with several consumers and
-    survives executor loss (the data lives on shared storage, not in memory).
-    """
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/materialized/{label}-{uuid.uuid4().hex}"
-    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
-    writer.parquet(path)
-    return spark.read.parquet(path).select(*df.columns)
+RUN_SCHEMA = "layer string, run int, through timestamp_ntz, source_run int, published_at timestamp_ntz"
 
 
 class Warehouse:
@@ -76,333 +35,80 @@ class Warehouse:
         self.root = root.rstrip("/")
 
     def path(self, name: str) -> str:
-        return f"{self.root}/tables/{name}"
+        return f"{self.root}/{name}"
 
-    def _exists(self, path: str) -> bool:
+    def _or_none(self, read) -> DataFrame | None:
         try:
-            self.spark.read.parquet(path).schema  # noqa: B018 - resolves the listing
-            return True
-        except Exception as error:  # noqa: BLE001
-            if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-                return False
+            return read()
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return None
             raise
 
-    # --- commit log ----------------------------------------------------------
-
-    @property
-    def catalog_path(self) -> str:
-        return f"{self.root}/_catalog"
-
-    def catalog(self) -> DataFrame | None:
-        """Every commit of every table (small: one row per publish)."""
-        path = self.catalog_path
-        return self.spark.read.schema(LOG_SCHEMA).parquet(path) if self._exists(path) else None
-
-    def log(self, name: str) -> DataFrame | None:
-        cat = self.catalog()
-        return None if cat is None else cat.filter(F.col("table") == name).drop("table")
-
-    def current(self, name: str) -> dict | None:
-        """Highest logged version of a table (one small row), or None."""
-        log = self.log(name)
-        if log is None:
-            return None
-        row = log.orderBy(F.col("version").desc(), F.col("committed_at").desc()).limit(1).collect()
-        return row[0].asDict() if row else None
-
-    def current_version(self, name: str) -> int | None:
-        cur = self.current(name)
-        return None if cur is None else cur["version"]
-
-    def _append_log(self, entries: list[tuple[str, int, str, str, int | None]]) -> None:
-        """One atomic append of (table, version, path, operation, rows) rows."""
-        now = _now()
-        rows = [(t, v, p, op, n, now) for t, v, p, op, n in entries]
-        self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.catalog_path)
+    # --- appends ----------------------------------------------------------------
 
-    # --- append-only landing ----------------------------------------------
-
-    def _enforce_schema(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-        """An append must match the table's columns and types.
-
-        The schema is recorded once, in ``tables/<name>/_schema`` (one small
-        JSON text file), when the table is first written; later appends are
-        compared with it.  Nothing lists or reads the table's data files, which
-        matters when a landed table has millions of them.
-        """
-        data = [c for c in df.columns if c not in partition_by]
-        incoming = df.select(*data, *partition_by).schema
+    def _enforce_schema(self, df: DataFrame, name: str) -> None:
+        """An append must match the columns and types of the table's first write, which
+        are kept as one JSON line beside the data (no data file is listed for it)."""
         path = f"{self.path(name)}/_schema"
-        if self._exists_text(path):
-            stored = T.StructType.fromJson(json.loads(self.spark.read.text(path).first()[0]))
-            assert_same_schema(incoming, stored)
+        stored = self._or_none(lambda: self.spark.read.text(path))
+        if stored is None:
+            self.spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.text(path)
         else:
-            self.spark.createDataFrame([(incoming.json(),)], "value string").coalesce(1).write.text(path)
-
-    def _exists_text(self, path: str) -> bool:
-        try:
-            return self.spark.read.text(path).limit(1).count() > 0
-        except Exception as error:  # noqa: BLE001
-            if "PATH_NOT_FOUND" in str(error):
-                return False
-            raise
-
-    def land(self, df: DataFrame, name: str) -> list[str]:
-        """Append a batch (partitioned by ``_ingest_batch``; re-landing replaces it).
+            assert_same_schema(df.schema, T.StructType.fromJson(json.loads(stored.first()[0])))
 
-        Each landed batch id is recorded in the commit log (operation LAND),
-        taken by an ``Observation`` during the write, so incremental consumers
-        can read exactly the batches that arrived since their last run.
-        """
-        self._enforce_schema(df, name, ["_ingest_batch"])
-        obs = Observation(f"land_{name}")
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"), F.collect_set("_ingest_batch").alias("batches"))
-        (
-            observed.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_ingest_batch")
-            .parquet(self.path(name))
-        )
-        metrics = obs.get
-        batches = sorted(metrics["batches"] or [])
-        rows = int(metrics["rows"]) if len(batches) == 1 else None
-        if batches:
-            self.publish_many([(name, f"{self.path(name)}/_ingest_batch={b}", LAND, rows) for b in batches])
-        return batches
-
-    def landed_since(self, name: str, after_version: int | None) -> tuple[list[str], int | None]:
-        """Batch ids landed in ``name`` after a log version, and the newest
-        such version (one small row per landed batch)."""
-        log = self.log(name)
-        if log is None:
-            return [], after_version
-        new = log.filter(F.col("operation") == LAND)
-        if after_version is not None:
-            new = new.filter(F.col("version") > after_version)
-        rows = new.select("version", "path").collect()
-        if not rows:
-            return [], after_version
-        ids = sorted({r["path"].rsplit("_ingest_batch=", 1)[1] for r in rows})
-        return ids, max(r["version"] for r in rows)
-
-    def read_landed(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+    def land(self, df: DataFrame, name: str, by: str = "_ingest_batch") -> int:
+        """Append rows partitioned by ``by``; a value landed again replaces its own rows.
+        Returns the rows written, observed during the write."""
+        self._enforce_schema(df, name)
+        seen = Observation()
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(self.path(name))
+        return int(seen.get["rows"])
 
     def append(self, df: DataFrame, name: str) -> int:
-        """Append rows (schema-checked); returns the rows written, observed
-        during the write itself (no second pass over the data)."""
+        """Append rows (schema-checked); returns the rows written."""
         self._enforce_schema(df, name)
-        obs = Observation(f"append_{name}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(self.path(name))
-        return int(obs.get["rows"])
-
-    # --- replaced tables: stage, audit, publish ------------------------------
-
-    def stage(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> tuple[str, DataFrame]:
-        """Write ``df`` to a fresh, unpublished folder; return (path, re-read frame)."""
-        path, staged, _ = self.stage_counted(df, name, partition_by)
-        return path, staged
-
-    def stage_counted(
-        self, df: DataFrame, name: str, partition_by: Sequence[str] = ()
-    ) -> tuple[str, DataFrame, int]:
-        """As ``stage`` plus the number of rows written, taken by an
-        ``Observation`` during the write (A7: counts without re-execution)."""
-        path = f"{self.path(name)}/_data/{uuid.uuid4().hex}"
-        obs = Observation(f"stage_{name}")
-        writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("error")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
-        return path, self.spark.read.parquet(path), int(obs.get["rows"])
-
-    def publish_staged(self, name: str, path: str, operation: str = "WRITE", num_rows: int | None = None) -> int:
-        """Make a staged folder the table's next version (one log row)."""
-        return self.publish_many([(name, path, operation, num_rows)])[name]
-
-    def publish_many(
-        self,
-        items: list[tuple[str, str, str, int | None]],
-        extra_entries: Sequence[tuple[str, int, str, str, int | None]] = (),
-    ) -> dict[str, int]:
-        """Publish several staged folders in ONE log append (all or none).
-
-        ``extra_entries`` are ready log rows (e.g. a changelog version) that
-        become visible in the same append."""
-        cat = self.catalog()
-        current: dict[str, int] = {}
-        if cat is not None:
-            names = [n for n, *_ in items]
-            for r in cat.filter(F.col("table").isin(names)).groupBy("table").agg(F.max("version").alias("v")).collect():
-                current[r["table"]] = r["v"]
-        versions: dict[str, int] = {}
-        entries = []
-        for name, path, op, n in items:  # several items of one table get consecutive versions
-            current[name] = current.get(name, -1) + 1
-            versions[name] = current[name]
-            entries.append((name, current[name], path, op, n))
-        self._append_log(entries + list(extra_entries))
-        return versions
-
-    def publish(self, df: DataFrame, name: str) -> int:
-        path, _ = self.stage(df, name)
-        return self.publish_staged(name, path)
-
-    def read(self, name: str, version: int | None = None) -> DataFrame:
-        """A replaced table at its current (or a given) version."""
-        log = self.log(name)
-        if log is None:
-            raise FileNotFoundError(f"table {name!r} has no published version")
-        if version is not None:
-            log = log.filter(F.col("version") == version)
-        row = log.orderBy(F.col("version").desc()).limit(1).collect()
-        if not row:
-            raise FileNotFoundError(f"table {name!r} has no version {version}")
-        return self.spark.read.parquet(row[0]["path"])
-
-
-class ChangelogTable:
-    """A key-merged table stored as per-version changes."""
-
-    def __init__(self, warehouse: Warehouse, name: str, keys: Sequence[str]):
-        self.wh = warehouse
-        self.spark = warehouse.spark
-        self.name = name
-        self.keys = list(keys)
-        self.base = warehouse.path(name)
-
-    def current_version(self) -> int | None:
-        return self.wh.current_version(self.name)
-
-    def exists(self) -> bool:
-        return self.current_version() is not None
-
-    def _changes(self, upto: int | None) -> DataFrame:
-        changes = self.spark.read.parquet(f"{self.base}/changes")
-        limit = self.current_version() if upto is None else upto
-        return changes.filter(F.col(VERSION) <= F.lit(limit))
-
-    def _latest_compaction(self, upto: int) -> int | None:
-        log = self.wh.log(self.name)
-        if log is None:  # first version, not yet published
-            return None
-        row = (
-            log.filter((F.col("operation") == "COMPACT") & (F.col("num_rows").isNotNull()))
-            .filter(F.col("version") <= upto)
-            .agg(F.max("version").alias("v"))
-            .collect()
-        )
-        return row[0]["v"] if row else None
-
-    def changelog(self, upto: int | None = None) -> DataFrame:
-        return self._changes(upto)
-
-    def snapshot(self, version: int | None = None) -> DataFrame:
-        """V2: state at ``version``: compacted state (if any) + later changes."""
-        upto = self.current_version() if version is None else version
-        if upto is None:
-            raise FileNotFoundError(f"table {self.name!r} is empty")
-        base_v = self._latest_compaction(upto)
-        changes = self._changes(upto)
-        if base_v is not None:
-            # compacted rows keep the version that wrote them in ``_written``
-            base = self.spark.read.parquet(f"{self.base}/snapshots/version={base_v}").withColumnRenamed(
-                "_written", VERSION
-            )
-            changes = base.unionByName(changes.filter(F.col(VERSION) > base_v))
-        return snapshot_as_of(changes, self.keys, upto).drop(VERSION)
-
-    def history(self, limit: int | None = None) -> DataFrame:
-        """V3/K3: per version counts joined with the log's operation and time,
-        newest first; ``limit`` keeps the latest n entries."""
-        counts = ["num_written", "num_inserted", "num_updated"]
-        hist = version_history(self._changes(None), self.keys).select(VERSION, *counts)
-        commits = self.wh.log(self.name).filter(F.col("operation") != "COMPACT")
-        # driven by the log: a commit that wrote no rows still has an entry
-        out = (
-            commits.select(VERSION, "operation", "committed_at")
-            .join(hist, VERSION, "left")
-            .fillna(0, counts)
-            .withColumn(
-                "num_rows",
-                F.sum("num_inserted").over(
-                    Window.orderBy(VERSION).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-                ),
-            )
-            .orderBy(F.col(VERSION).desc())
-        )
-        return out.limit(limit) if limit else out
-
-    def diff(self, a: int, b: int | None, value: str) -> DataFrame:
-        return version_diff(self._changes(b), self.keys, a, b, value)
-
-    def _write_changes(self, rows: DataFrame) -> int:
-        """Write a version's rows (not yet visible: readers stop at the log)."""
-        cur = self.current_version()
-        version = 0 if cur is None else cur + 1
-        out = rows.withColumn(VERSION, F.lit(version).cast("int"))
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(VERSION)
-            .parquet(f"{self.base}/changes")
-        )
-        return version
-
-    def publish(self, version: int, operation: str) -> int:
-        """Make a written version visible (one log row)."""
-        self.wh._append_log([self.log_entry(version, operation)])
-        return version
-
-    def log_entry(self, version: int, operation: str) -> tuple[str, int, str, str, None]:
-        """The commit-log row publishing ``version`` (to batch with other tables)."""
-        return (self.name, version, f"{self.base}/changes/version={version}", operation, None)
-
-    def merge(
-        self,
-        batch: DataFrame,
-        mode: str = "upsert",
-        guard_col: str | None = None,
-        publish: bool = True,
-        validate_source: bool = True,
-    ) -> int:
-        """Commit a batch: ``upsert`` (create on first use) or ``update_only``.
-
-        Only the rows the merge writes are stored: upsert = the whole batch;
-        update-only = batch rows whose key exists; with ``guard_col`` = batch
-        rows not older than the current row of their key.  ``publish=False``
-        writes the version without making it visible, so it can be audited
-        with ``snapshot(version)`` first and published with ``publish()``.
-        ``validate_source=False`` skips the uniqueness job when the caller has
-        already proved the batch unique on the key (e.g. by a grain check).
-        """
-        if validate_source:
-            require_unique(batch, self.keys)
-        if not self.exists():
-            if mode != "upsert":
-                raise FileNotFoundError(f"table {self.name!r} does not exist")
-            written, operation = batch, "WRITE"
-        else:
-            operation = "MERGE"
-            current = self.snapshot()
-            if mode == "update_only":
-                written = batch.join(current.select(*self.keys), self.keys, "left_semi")
-            elif guard_col is None:
-                written = batch
-            else:
-                cur = current.select(*self.keys, F.col(guard_col).alias("_cur_guard"))
-                wins = F.col("_cur_guard").isNull() | (F.col(guard_col) >= F.col("_cur_guard"))
-                written = batch.join(cur, self.keys, "left").filter(wins).drop("_cur_guard")
-        version = self._write_changes(written)
-        return self.publish(version, operation) if publish else version
-
-    def compact(self, version: int | None = None) -> int:
-        """Materialise the full state at ``version`` so reads stop replaying history."""
-        v = self.current_version() if version is None else version
-        state = snapshot_as_of(self._changes(v), self.keys, v).withColumnRenamed(VERSION, "_written")
-        path = f"{self.base}/snapshots/version={v}"
-        state.write.mode("overwrite").parquet(path)
-        n = self.spark.read.parquet(path).count()
-        self.wh._append_log([(self.name, v, path, "COMPACT", n)])
-        return v
-
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(self.path(name))
+        return int(seen.get["rows"])
+
+    def read_landed(self, name: str) -> DataFrame | None:
+        """All rows of an appended table, None before its first append."""
+        return self._or_none(lambda: self.spark.read.parquet(self.path(name)))
+
+    # --- replaced tables ---------------------------------------------------------
+
+    def write_run(self, df: DataFrame, name: str, run: int, partition_by: Sequence[str] = ()) -> tuple[DataFrame, int]:
+        """Write a table whole into its folder of ``run``; (the rows read again, their count)."""
+        path = f"{self.path(name)}/run={run}"
+        seen = Observation()
+        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns), int(seen.get["rows"])
+
+    def runs(self, layer: str, limit: int | None = None) -> DataFrame:
+        """K3: published runs of a layer, newest first."""
+        found = self._or_none(lambda: self.spark.read.schema(RUN_SCHEMA).parquet(self.path("_runs")))
+        if found is None:
+            found = self.spark.createDataFrame([], RUN_SCHEMA)
+        newest = found.filter(F.col("layer") == layer).orderBy(F.desc("run"))
+        return newest.limit(limit) if limit else newest
+
+    def last_run(self, layer: str) -> Row | None:
+        """V1: the newest published run of a layer."""
+        return self.runs(layer, 1).first()
+
+    def next_run(self, layer: str) -> int:
+        last = self.last_run(layer)
+        return 0 if last is None else last.run + 1
+
+    def publish(self, layer: str, run: int, through: dt.datetime | None = None, source_run: int | None = None) -> None:
+        """List a run: all tables that it wrote become visible together.  ``through``: the
+        newest ingest time that it has read; ``source_run``: the run of the layer before."""
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        self.spark.createDataFrame([(layer, run, through, source_run, now)], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path("_runs"))
+
+    def read(self, name: str, run: int) -> DataFrame:
+        """V2: a table as ``run`` wrote it."""
+        return self.spark.read.parquet(f"{self.path(name)}/run={run}")

@@ -115,6 +115,25 @@ def test_mean_half_up_is_exact(spark, tenths):
     assert df.agg(LF.mean_half_up("rating")).first()[0] == _expected_mean(vals)
 
 
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from([4.25, 3.333, 2.0005, 0.5]), st.integers(0, 5000).map(lambda t: t / 1000)), min_size=1, max_size=30))
+def test_mean_half_up_off_the_grid(spark, vals):
+    df = spark.createDataFrame([(v,) for v in vals], "rating double")
+    assert df.agg(LF.mean_half_up("rating")).first()[0] == _expected_mean(vals)
+
+
+def test_mean_half_up_of_two_decimals(spark):
+    df = spark.createDataFrame([(4.25,), (4.25,)], "rating double")
+    assert df.agg(LF.mean_half_up("rating")).first()[0] == 4.25
+
+
+def test_an_overlong_epoch_is_null(spark):
+    texts = ["964982703", "99999999999999999", "1700000000000000", "1700000000000000000", "-99999999999999999", "abc", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(LF.epoch_seconds_to_ts("t")).collect()]
+    assert got == [dt.datetime(2000, 7, 30, 18, 45, 3)] + [None] * 6
+
+
 def test_mean_half_up_ignores_nulls_and_empty(spark):
     df = spark.createDataFrame([(1, 1.0), (1, None), (2, None)], "k int, rating double")
     got = dict(df.groupBy("k").agg(LF.mean_half_up("rating").alias("m")).collect())
@@ -132,7 +151,7 @@ def test_within_dates_half_open(spark):
 
 
 def test_correction_sample_is_nested_and_deterministic(spark):
-    from layerworks.plans.corrections import generate_corrections, hex_threshold
+    from layerworks.plans.corrections import generate_corrections
     from layerworks.sources.fixtures import feed_typed
 
     feed = feed_typed(spark, "/root/testdata/sf0.001")
@@ -145,7 +164,8 @@ def test_correction_sample_is_nested_and_deterministic(spark):
     assert kinds["out_of_range"] <= kinds["re_rating"] and kinds["unknown_item"] <= kinds["re_rating"]
     assert all(r.rating == 9.9 for r in a if r.kind == "out_of_range")
     assert all(r.movie_id == 99999999 for r in a if r.kind == "unknown_item")
-    assert hex_threshold(0.0) == "00000000" and hex_threshold(1.0) == "ffffffff"
+    every = generate_corrections(feed, rerate_fraction=1.0)
+    assert every.filter("kind = 're_rating'").count() == feed.count()
     # a wider unknown-item slice than the re-rating slice still yields its rows
     wide = generate_corrections(feed, rerate_fraction=0.001, unknown_fraction=0.01, out_of_range_fraction=0.0)
     assert wide.filter("kind = 'unknown_item'").count() > wide.filter("kind = 're_rating'").count()

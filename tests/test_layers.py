@@ -6,10 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from layerworks import config
-from layerworks.plans import layers, quality
+from layerworks.plans import gold, layers, quality, silver
 from layerworks.plans.queries import Domain
 from layerworks.sources import fixtures
-from layerworks.sources.warehouse import ChangelogTable, Warehouse
+from layerworks.sources.warehouse import Warehouse
 
 from .conftest import SF_SMALL
 
@@ -25,79 +25,90 @@ def land_fixture(spark, wh, with_corrections=True, batch=fixtures.FIXTURE_BATCH,
     )
 
 
-def test_full_run_matches_queries_and_reruns_merge(spark, tmp_root):
+def test_full_run_matches_queries_and_reruns_write_nothing(spark, tmp_root):
     wh = Warehouse(spark, tmp_root)
     land_fixture(spark, wh)
     report = layers.run_layers(spark, wh, clock=CLOCK)
     assert all(r["passed"] for r in report.checks["silver"] + report.checks["gold"])
 
     d = Domain(spark, SF_SMALL)
-    silver_pub = wh.read(layers.SILVER_RATINGS)
-    assert silver_pub.count() == d.silver.count()
-    assert wh.read_landed(layers.QUARANTINE).count() == d.quarantine.count()
-    assert silver_pub.filter(F.col("event_ts").isNull()).count() == 0
-    first, last = silver_pub.agg(F.min("event_ts"), F.max("event_ts")).first()
+    kept = layers.read_silver(wh)
+    assert report.rows[layers.SILVER_RATINGS] == kept.count() == d.silver.count()
+    assert report.rows[layers.QUARANTINE] == wh.read_landed(layers.QUARANTINE).count() == d.quarantine.count()
+    assert kept.filter(F.col("event_ts").isNull()).count() == 0
+    first, last = kept.agg(F.min("event_ts"), F.max("event_ts")).first()
     assert first.year == 1995 and 2001 <= last.year <= 2030
+    fact = wh.read(layers.FACT, 0)
+    assert report.rows[layers.FACT] == fact.count() == d.fact.count()
+    assert wh.read(layers.MONTHLY, 0).count() == d.fact.groupBy("movie_key", "rated_month").count().count()
 
-    fact = ChangelogTable(wh, layers.FACT, config.FACT_KEYS)
-    n0, v0 = fact.snapshot().count(), fact.current_version()
-    assert n0 == d.fact.count()
-    assert wh.read(layers.MONTHLY).count() == d.fact.groupBy("movie_key", "rated_month").count().count()
+    # nothing new: no fact row, no quarantined row, no run
+    again = layers.run_layers(spark, wh, clock=CLOCK)
+    assert again.rows == {layers.QUARANTINE: 0, layers.FACT: 0} and not again.published
+    assert wh.read_landed(layers.QUARANTINE).count() == report.rows[layers.QUARANTINE]
+    assert wh.last_run(layers.GOLD).run == 0
+    assert spark.read.parquet(wh.path(layers.DQ_RESULTS)).count() == 8 + 2
 
-    # re-run gold: MERGE, not append
-    layers.run_gold(spark, wh)
-    assert fact.snapshot().count() == n0
-    assert fact.current_version() == v0 + 1
-    dups = fact.snapshot().groupBy(*config.FACT_KEYS).count().filter("count > 1").count()
-    assert dups == 0
-    # the previous version is still readable
-    assert fact.snapshot(v0).count() == n0
-    assert spark.read.parquet(wh.path(layers.DQ_RESULTS)).count() == 8 + 2 + 2
+
+def test_second_gold_run_merges_and_keeps_keys_that_left_silver(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    land_fixture(spark, wh, with_corrections=False)
+    layers.run_layers(spark, wh, clock=CLOCK, expect_corrections=False, expect_quarantine=False)
+    corrections = fixtures.corrections_text(spark, SF_SMALL, "20240116T000000Z", "2024-01-16 00:00:00")
+    wh.land(corrections, layers.BRONZE_CORRECTIONS)
+    layers.run_layers(spark, wh, clock=CLOCK)
+    fact, d = wh.read(layers.FACT, 1), Domain(spark, SF_SMALL)
+    want = gold.fact_stage(d.merged).drop("_ingest_batch")
+    got = fact.select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert fact.count() > layers.read_silver(wh).count()  # rejected winners left silver, not the fact
+    assert fact.groupBy(*config.FACT_KEYS).count().filter("count > 1").count() == 0
+    # the run before is still readable, and both are listed
+    assert wh.read(layers.FACT, 0).filter("rating_source = 'correction'").count() == 0
+    assert [r.run for r in wh.runs(layers.GOLD).collect()] == [1, 0]
+    assert [r.run for r in wh.runs(layers.GOLD, 1).collect()] == [1]
 
 
 def test_relanding_the_feed_keeps_silver_stable(spark, tmp_root):
     wh = Warehouse(spark, tmp_root)
     land_fixture(spark, wh)
     layers.run_silver(spark, wh, CLOCK)
-    n1 = wh.read(layers.SILVER_RATINGS).count()
+    n1 = layers.read_silver(wh).count()
     land_fixture(spark, wh, batch="20240116T000000Z", clock="2024-01-16 00:00:00")
     layers.run_silver(spark, wh, CLOCK)
-    assert wh.read(layers.SILVER_RATINGS).count() == n1
-    assert wh.current_version(layers.SILVER_RATINGS) == 1
+    assert layers.read_silver(wh).count() == n1
+    assert wh.last_run(layers.SILVER).run == 1
 
 
 def test_failing_gold_gate_publishes_nothing(spark, tmp_root):
     wh = Warehouse(spark, tmp_root)
     land_fixture(spark, wh, with_corrections=False)
-    layers.run_silver(spark, wh, CLOCK)
-    with pytest.raises(quality.QualityGateFailed) as info:
+    layers.run_silver(spark, wh, CLOCK, expect_quarantine=False)
+    with pytest.raises(quality.GateBlocked) as info:
         layers.run_gold(spark, wh, expect_corrections=True)
     assert [f["name"] for f in info.value.failures] == ["corrections_applied"]
-    assert ChangelogTable(wh, layers.FACT, config.FACT_KEYS).current_version() is None
-    assert wh.current_version(layers.DIM_ITEM) is None
+    assert wh.last_run(layers.GOLD) is None
     # results were persisted before the raise
     assert spark.read.parquet(wh.path(layers.DQ_RESULTS)).filter(~F.col("passed")).count() == 1
     layers.run_gold(spark, wh, expect_corrections=False)
-    assert ChangelogTable(wh, layers.FACT, config.FACT_KEYS).current_version() == 0
+    assert wh.last_run(layers.GOLD).run == 0
 
 
-def test_failing_silver_gate_keeps_previous_silver(spark, tmp_root):
-    wh = Warehouse(spark, tmp_root)
-    land_fixture(spark, wh)
-    layers.run_silver(spark, wh, CLOCK)
-    before = wh.current_version(layers.SILVER_RATINGS)
-    # a run whose catalogue knows none of the rated items: every rating is an
-    # orphan, silver would be empty -> the silver gate fails, nothing published
+def test_failing_silver_gate_keeps_the_rejected_rows(spark, tmp_root):
+    # a catalogue that knows none of the rated items: every rating is an orphan, silver would
+    # be empty, nothing is published, and the rejected rows can be read
     foreign_items = fixtures.catalogue_text(spark, SF_SMALL).withColumn(
         "movieId", (F.col("movieId").cast("bigint") + 10**9).cast("string")
     )
-    wh2 = Warehouse(spark, tmp_root + "/other")
-    layers.land_bronze(wh2, fixtures.feed_text(spark, SF_SMALL), foreign_items, None)
-    with pytest.raises(quality.QualityGateFailed) as info:
-        layers.run_silver(spark, wh2, CLOCK)
-    assert "silver_ratings_not_empty" in [f["name"] for f in info.value.failures]
-    assert wh2.current_version(layers.SILVER_RATINGS) is None
-    assert wh.current_version(layers.SILVER_RATINGS) == before
+    wh = Warehouse(spark, tmp_root)
+    layers.land_bronze(wh, fixtures.feed_text(spark, SF_SMALL), foreign_items, None)
+    for _ in range(2):  # a second attempt replaces the rows of the first
+        with pytest.raises(quality.GateBlocked) as info:
+            layers.run_silver(spark, wh, CLOCK)
+        assert "silver_ratings_not_empty" in [f["name"] for f in info.value.failures]
+        assert wh.last_run(layers.SILVER) is None
+        parked = wh.read_landed(layers.QUARANTINE)
+        assert parked.count() == silver.latest_per_pair(Domain(spark, SF_SMALL).typed.filter("rating_source = 'primary'")).count()
 
 
 def test_pipeline_from_csv_files(spark, tmp_root):
@@ -119,17 +130,17 @@ def test_pipeline_from_csv_files(spark, tmp_root):
     wh = Warehouse(spark, os.path.join(tmp_root, "wh"))
     layers.land_files(spark, wh, ratings, movies, corrections, batch_id="b1", clock=CLOCK)
     layers.run_layers(spark, wh, clock=CLOCK)
-    silver = {(r.user_id, r.movie_id): (r.rating, r.rating_source) for r in wh.read(layers.SILVER_RATINGS).collect()}
-    assert silver == {(1, 1): (1.0, "correction"), (1, 2): (3.5, "primary"), (2, 2): (5.0, "primary")}
+    kept = {(r.user_id, r.movie_id): (r.rating, r.rating_source) for r in layers.read_silver(wh).collect()}
+    assert kept == {(1, 1): (1.0, "correction"), (1, 2): (3.5, "primary"), (2, 2): (5.0, "primary")}
     reasons = sorted(r.quarantine_reason for r in wh.read_landed(layers.QUARANTINE).collect())
     assert reasons == sorted([config.REASON_INVALID, config.REASON_ORPHAN])
-    dim = {r.movie_natural_key: (r.primary_genre, r.release_year, r.decade) for r in wh.read(layers.DIM_ITEM).collect()}
+    dim = {r.movie_natural_key: (r.primary_genre, r.release_year, r.decade) for r in wh.read(layers.DIM_ITEM, 0).collect()}
     assert dim == {1: ("Adventure", 1995, 1990), 2: ("Unknown", 1995, 1990)}
     # no corrections file at all is allowed at ingest
     wh2 = Warehouse(spark, os.path.join(tmp_root, "wh2"))
     layers.land_files(spark, wh2, ratings, movies, os.path.join(tmp_root, "missing.csv"), batch_id="b1", clock=CLOCK)
     layers.run_layers(spark, wh2, clock=CLOCK, expect_corrections=False)
-    assert wh2.read(layers.SILVER_RATINGS).count() == 3
+    assert layers.read_silver(wh2).count() == 3
 
 
 def test_report_counts_come_from_the_writes(spark, tmp_root):
@@ -140,8 +151,7 @@ def test_report_counts_come_from_the_writes(spark, tmp_root):
     assert report.rows[layers.SILVER_RATINGS] == d.silver.count()
     assert report.rows[layers.QUARANTINE] == d.quarantine.count()
     assert report.rows[layers.DIM_USER] == d.dim_user.count()
-    logged = {r.table: r.num_rows for r in wh.catalog().filter(F.col("num_rows").isNotNull()).collect()}
-    assert logged[layers.SILVER_RATINGS] == report.rows[layers.SILVER_RATINGS]
+    assert report.published == {"silver": 0, "gold": 0}
 
 
 def test_append_with_another_schema_is_rejected(spark, tmp_root):
@@ -152,30 +162,6 @@ def test_append_with_another_schema_is_rejected(spark, tmp_root):
     assert wh.append(spark.createDataFrame([(2, "b")], "id long, name string"), "t") == 1
 
 
-def test_update_only_correction_of_one_fact_row_with_time_travel(spark, tmp_root):
-    """Pick the lowest-rated fact row, correct it to 5.0 with an update-only
-    merge, check the row count holds, the old value is still readable at the
-    previous version, and the history lists both commits."""
-    wh = Warehouse(spark, tmp_root)
-    land_fixture(spark, wh)
-    layers.run_layers(spark, wh, clock=CLOCK)
-    fact = ChangelogTable(wh, layers.FACT, config.FACT_KEYS)
-    before_v, before_n = fact.current_version(), fact.snapshot().count()
-    target = fact.snapshot().filter(F.col("rating") < 4.0).orderBy("rating", "movie_key", "user_key").limit(1)
-    staged = target.withColumn("rating", F.lit(5.0)).withColumn("rating_tier", F.lit("high")).withColumn(
-        "rating_source", F.lit("correction")
-    )
-    old = target.first()
-    v = fact.merge(staged, mode="update_only")
-    assert v == before_v + 1
-    assert fact.snapshot().count() == before_n
-    key = (F.col("user_key") == old.user_key) & (F.col("movie_key") == old.movie_key)
-    assert fact.snapshot().filter(key).first().rating == 5.0
-    assert fact.snapshot(before_v).filter(key).first().rating == old.rating
-    hist = {r.version: (r.operation, r.num_written) for r in fact.history().collect()}
-    assert hist[v] == ("MERGE", 1)
-
-
 def test_command_line_runs_all_stages_and_signals_a_gate_failure(spark, tmp_root):
     from layerworks.__main__ import main
 
@@ -193,8 +179,8 @@ def test_command_line_runs_all_stages_and_signals_a_gate_failure(spark, tmp_root
     from layerworks.session import get_session
 
     s = get_session()
-    assert Warehouse(s, root).current_version(layers.SILVER_RATINGS) == 0
-    assert ChangelogTable(Warehouse(s, root), layers.FACT, config.FACT_KEYS).current_version() is None
+    assert Warehouse(s, root).last_run(layers.SILVER).run == 0
+    assert Warehouse(s, root).last_run(layers.GOLD) is None
     assert main(["--root", root, "--stage", "gold", "--no-expect-corrections"]) == 0
 
 
@@ -206,14 +192,13 @@ def test_incremental_silver_equals_a_full_rebuild(spark, tmp_root):
 
     inc = Warehouse(spark, tmp_root + "/inc")
     layers.land_bronze(inc, feed, items, None)
-    layers.run_silver(spark, inc, CLOCK)
-    first = inc.read(layers.SILVER_RATINGS).count()
+    layers.run_silver(spark, inc, CLOCK, expect_quarantine=False)
+    first = layers.read_silver(inc).count()
     # the corrections arrive, and the catalogue is re-landed with new titles
     items2 = fixtures.catalogue_text(spark, SF_SMALL, "b2", "2024-01-16 00:00:00").withColumn(
         "title", F.concat(F.lit("New "), F.col("title"))
     )
     layers.land_bronze(inc, feed.limit(0), items2, corr)
-    assert inc.landed_since(layers.BRONZE_CORRECTIONS, None)[0] == ["b2"]
     layers.run_silver(spark, inc, CLOCK)
 
     full = Warehouse(spark, tmp_root + "/full")
@@ -221,18 +206,23 @@ def test_incremental_silver_equals_a_full_rebuild(spark, tmp_root):
     full.land(items2, layers.BRONZE_ITEMS)
     layers.run_silver(spark, full, CLOCK, incremental=False)
     item_cols = ["movie_id", "title", "primary_genre", "release_year", "_ingest_batch"]
-    got_items = inc.read(layers.SILVER_ITEMS).select(*item_cols)
-    want_items = full.read(layers.SILVER_ITEMS).select(*item_cols)
+    got_items = inc.read(layers.SILVER_ITEMS, 1).select(*item_cols)
+    want_items = full.read(layers.SILVER_ITEMS, 0).select(*item_cols)
     assert got_items.exceptAll(want_items).count() == 0 and want_items.exceptAll(got_items).count() == 0
     assert got_items.filter(F.col("title").startswith("New ")).count() == got_items.count()
 
-    got = inc.read(layers.SILVER_RATINGS).select(*cols)
-    want = full.read(layers.SILVER_RATINGS).select(*cols)
+    got = layers.read_silver(inc).select(*cols)
+    want = layers.read_silver(full).select(*cols)
     assert got.count() == want.count() != first
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    # the quarantine of the last run holds the same rows
-    last_inc = inc.read_landed(layers.QUARANTINE).filter(F.col("_ingest_batch").isNotNull())
-    assert last_inc.count() >= full.read_landed(layers.QUARANTINE).count()
+    # each rejected row is parked once, by the run that read it
+    parked = [w.read_landed(layers.QUARANTINE).select(*cols) for w in (inc, full)]
+    assert parked[1].exceptAll(parked[0]).count() == 0
     # a run with nothing new keeps silver unchanged
     layers.run_silver(spark, inc, CLOCK)
-    assert inc.read(layers.SILVER_RATINGS).select(*cols).exceptAll(want).count() == 0
+    assert wh_runs(inc) == [1, 0]
+    assert layers.read_silver(inc).select(*cols).exceptAll(want).count() == 0
+
+
+def wh_runs(wh):
+    return [r.run for r in wh.runs(layers.SILVER).collect()]

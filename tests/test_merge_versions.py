@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from layerworks.operators.merge import DuplicateSourceKeys, merge_update_only, merge_upsert
 from layerworks.operators.versions import snapshot_as_of, version_diff, version_history
-from layerworks.sources.warehouse import ChangelogTable, Warehouse
 
 from .conftest import rows
 
@@ -16,20 +15,6 @@ def people(spark, data):
     return spark.createDataFrame(data, PEOPLE)
 
 
-def test_upsert_probe_example(spark, tmp_root):
-    """Write -> merge -> time travel on a three-row table."""
-    wh = Warehouse(spark, tmp_root)
-    table = ChangelogTable(wh, "probe", ["id"])
-    v0 = table.merge(people(spark, [(1, "alice", 10), (2, "bob", 20), (3, "carol", 30)]))
-    v1 = table.merge(people(spark, [(1, "alice", 999), (4, "dave", 40)]))
-    assert (v0, v1) == (0, 1)
-    assert rows(table.snapshot()) == [(1, "alice", 999), (2, "bob", 20), (3, "carol", 30), (4, "dave", 40)]
-    assert rows(table.snapshot(0)) == [(1, "alice", 10), (2, "bob", 20), (3, "carol", 30)]
-    hist = {r.version: r for r in table.history().collect()}
-    assert (hist[0].operation, hist[0].num_inserted, hist[0].num_rows) == ("WRITE", 3, 3)
-    assert (hist[1].operation, hist[1].num_inserted, hist[1].num_updated, hist[1].num_rows) == ("MERGE", 1, 1, 4)
-
-
 def test_upsert_operator_matches_full_outer_semantics(spark):
     target = people(spark, [(1, "alice", 10), (2, "bob", 20), (3, "carol", 30)])
     source = people(spark, [(1, "alice", 999), (4, "dave", 40)])
@@ -38,13 +23,11 @@ def test_upsert_operator_matches_full_outer_semantics(spark):
     assert rows(merge_upsert(None, source, ["id"])) == rows(source)
 
 
-def test_duplicate_source_keys_are_rejected(spark, tmp_root):
+def test_duplicate_source_keys_are_rejected(spark):
     target = people(spark, [(1, "alice", 10)])
     dup = people(spark, [(1, "a", 1), (1, "b", 2)])
     with pytest.raises(DuplicateSourceKeys):
         merge_upsert(target, dup, ["id"])
-    with pytest.raises(DuplicateSourceKeys):
-        ChangelogTable(Warehouse(spark, tmp_root), "t", ["id"]).merge(dup)
 
 
 def test_guard_keeps_newer_target(spark):
@@ -56,24 +39,21 @@ def test_guard_keeps_newer_target(spark):
     assert unguarded == [(1, 1.0, 150), (2, 4.0, 100), (3, 2.0, 50)]
 
 
-def test_update_only_ignores_unmatched(spark, tmp_root):
+def test_small_batch_forms_equal_the_full_join(spark):
+    schema = "id long, v double, ts long"
+    target = spark.createDataFrame([(1, 5.0, 200), (2, 3.0, None), (3, 1.0, 10), (None, 7.0, 1)], schema)
+    batch = spark.createDataFrame([(1, 1.0, 150), (2, 4.0, 100), (3, 2.0, None), (9, 9.0, 9), (None, 8.0, 2)], schema)
+    for guard in (None, "ts"):
+        one = merge_upsert(target, batch, ["id"], guard_col=guard)
+        two = merge_upsert(target, batch, ["id"], guard_col=guard, small_batch=True)
+        assert rows(one) == rows(two)
+        assert one.columns == target.columns
+
+
+def test_update_only_ignores_unmatched(spark):
     target = people(spark, [(1, "alice", 10), (2, "bob", 20)])
     source = people(spark, [(2, "bob", 99), (7, "zed", 70)])
     assert rows(merge_update_only(target, source, ["id"])) == [(1, "alice", 10), (2, "bob", 99)]
-    table = ChangelogTable(Warehouse(spark, tmp_root), "u", ["id"])
-    table.merge(target)
-    table.merge(source, mode="update_only")
-    assert rows(table.snapshot()) == [(1, "alice", 10), (2, "bob", 99)]
-    assert rows(table.snapshot(0)) == [(1, "alice", 10), (2, "bob", 20)]
-
-
-def test_guarded_changelog_records_only_winning_rows(spark, tmp_root):
-    table = ChangelogTable(Warehouse(spark, tmp_root), "g", ["id"])
-    schema = "id long, v double, ts long"
-    table.merge(spark.createDataFrame([(1, 5.0, 200), (2, 3.0, 100)], schema))
-    table.merge(spark.createDataFrame([(1, 1.0, 150), (2, 4.0, 120)], schema), guard_col="ts")
-    assert rows(table.snapshot()) == [(1, 5.0, 200), (2, 4.0, 120)]
-    assert table.changelog().filter(F.col("version") == 1).count() == 1
 
 
 def test_merge_fold_equals_sequential_merges(spark):
@@ -107,39 +87,6 @@ def test_history_and_diff_operators(spark):
     assert diff == {1: ("updated", 10.0, 11.0), 2: ("unchanged", 20.0, 20.0), 3: ("inserted", None, 30.0)}
 
 
-def test_compaction_preserves_every_snapshot(spark, tmp_root):
-    table = ChangelogTable(Warehouse(spark, tmp_root), "c", ["id"])
-    table.merge(people(spark, [(1, "a", 1), (2, "b", 2)]))
-    table.merge(people(spark, [(2, "b", 20)]))
-    before = {v: rows(table.snapshot(v)) for v in (0, 1)}
-    table.compact()
-    table.merge(people(spark, [(3, "c", 3)]))
-    assert rows(table.snapshot(1)) == before[1]
-    assert rows(table.snapshot(0)) == before[0]
-    assert rows(table.snapshot()) == [(1, "a", 1), (2, "b", 20), (3, "c", 3)]
-
-
-def test_unpublished_version_is_invisible(spark, tmp_root):
-    table = ChangelogTable(Warehouse(spark, tmp_root), "p", ["id"])
-    table.merge(people(spark, [(1, "a", 1)]))
-    v = table.merge(people(spark, [(1, "a", 2)]), publish=False)
-    assert table.current_version() == 0
-    assert rows(table.snapshot()) == [(1, "a", 1)]
-    assert rows(table.snapshot(v)) == [(1, "a", 2)]
-    table.publish(v, "MERGE")
-    assert rows(table.snapshot()) == [(1, "a", 2)]
-
-
-def test_history_lists_a_commit_that_wrote_nothing(spark, tmp_root):
-    table = ChangelogTable(Warehouse(spark, tmp_root), "h", ["id"])
-    table.merge(people(spark, [(1, "a", 1)]))
-    table.merge(people(spark, [(9, "z", 9)]), mode="update_only")  # matches nothing
-    table.merge(people(spark, [(2, "b", 2)]))
-    hist = [(r.version, r.operation, r.num_written, r.num_rows) for r in table.history().collect()]
-    assert hist == [(2, "MERGE", 1, 2), (1, "MERGE", 0, 1), (0, "WRITE", 1, 1)]
-    assert [r.version for r in table.history(limit=1).collect()] == [2]
-
-
 def test_current_version_operator(spark):
     from layerworks.operators.versions import current_version
 

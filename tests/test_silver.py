@@ -125,3 +125,11 @@ def test_union_requires_same_columns(spark):
         assert "NUM_COLUMNS_MISMATCH" in str(error) or "UNION" in str(error).upper()
     else:
         raise AssertionError("union by name accepted an extra column")
+
+
+def test_a_correction_wins_a_full_tie_whatever_the_union_order(spark):
+    feed = silver.tag_source(silver.rename_raw(bronze(spark, [("1", "10", "1.0", "1000", 0, 0)], file="a.csv")), config.SOURCE_PRIMARY)
+    corr = silver.tag_source(silver.rename_raw(bronze(spark, [("1", "10", "5.0", "1000", 0, 0)], file="b.csv")), config.SOURCE_CORRECTION)
+    for both in (feed.unionByName(corr), corr.unionByName(feed)):
+        out = silver.latest_per_pair(silver.conform_types(both))
+        assert rows(out, "rating", "rating_source") == [(5.0, "correction")]
