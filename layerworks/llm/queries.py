@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from layerworks.llm import ann, bpe, html, lines, lm, packing, quality, repeats, simhash, toxicity
 from layerworks.llm.common import read_documents
+from layerworks.llm.oracle import SQL  # noqa: F401 - registered with the queries
 
 
 def tokenizer_path(name: str) -> str:
@@ -103,5 +104,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         pipeline,
     )
 }
-
-SQL: dict[str, str] = {}

@@ -126,20 +126,24 @@ class Scorer:
     """Scores texts with a folded model; a word's number is kept in a bounded cache."""
 
     def __init__(self, weights: np.ndarray, offset: float):
-        self.weights, self.offset = weights, offset
+        self.weights, self.offset = weights.tolist(), offset
         self.cache: dict[str, float] = {}
+        self.old: dict[str, float] = {}
 
     def word(self, word: str) -> float:
+        """A word's number; words met since the cache was last renewed stay in it."""
         if (found := self.cache.get(word)) is None:
+            if (found := self.old.get(word)) is None:
+                grams = buckets(word)
+                found = sum(self.weights[g] for g in grams) / len(grams)
             if len(self.cache) > CACHE:
-                self.cache.clear()
-            found = self.cache[word] = float(self.weights[buckets(word)].mean())
+                self.cache, self.old = {}, self.cache
+            self.cache[word] = found
         return found
 
     def score(self, text: str | None) -> float:
         words = set(words_of(text or ""))
-        get = self.cache.get
-        odds = [x if (x := get(w)) is not None else self.word(w) for w in words]
+        odds = [x if (x := self.cache.get(w)) is not None else self.word(w) for w in words]
         z = self.offset + (math.fsum(odds) / len(odds) if odds else self.word(""))
         return 1 / (1 + np.exp(-min(max(z, -500.0), 500.0)))
 
