@@ -10,14 +10,15 @@ from layerworks.llm.common import written
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Connects neighbours of each node to the smallest of node and neighbours: the larger
-    neighbours (``large``), or the smaller ones with the node itself."""
+    neighbours (``large``), or the smaller ones with the node itself.  Minima are written before
+    the join, which can then split the links of a node that has very many."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if large:
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = written(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
         out = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         down = both.filter("b < a")
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        least = written(down.groupBy("a").agg(F.min("b").alias("m")), "least")
         out = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         out = out.union(least.select("a", F.col("m").alias("b")))
     return out.filter("a <> b").distinct()

@@ -110,7 +110,9 @@ def duplicate_lines(df: DataFrame, min_words: int = 10) -> DataFrame:
     distinct = written(lines.groupBy(*LINE).agg(F.min(place).alias("place"), F.any_value("halves").alias("halves")), "distinct")
 
     half = distinct.select(*LINE, F.explode("halves").alias("half"))
-    shared = half.groupBy("half").agg(F.count("*").alias("_c")).filter("_c > 1").select("half")
+    # aggregates are written before a join needs them: a side that is a plain shuffle of its
+    # rows lets Spark split a hot key among tasks, an aggregate or join beside it would not
+    shared = written(half.groupBy("half").agg(F.count("*").alias("_c")).filter("_c > 1").select("half"), "shared")
     near = half.join(shared, "half").select(*LINE).distinct()
     asked = (
         distinct.join(near, LINE)
@@ -150,7 +152,7 @@ def duplicate_lines(df: DataFrame, min_words: int = 10) -> DataFrame:
     cut = written(cut.filter(F.col("n") >= min_words), "variants")
     me = F.struct(F.col("at").alias("_llm_id"), "line", *LINE)
     same = ["v1", "v2", "pos", "n"]
-    least = cut.groupBy(*same).agg(F.min(me).alias("first"), F.count("*").alias("_c")).filter("_c > 1").drop("_c")
+    least = written(cut.groupBy(*same).agg(F.min(me).alias("first"), F.count("*").alias("_c")).filter("_c > 1").drop("_c"), "least")
     replaced = cut.join(least, same).select(me.alias("b"), F.col("first").alias("a")).filter("a <> b")
     shorter = some.select(F.col("k1").alias("v1"), F.col("k2").alias("v2"), me.alias("s"))
     longer = cut.filter(F.col("n") > min_words).join(shorter, ["v1", "v2"]).select(me.alias("b"), F.col("s").alias("a"))
@@ -169,7 +171,7 @@ def duplicate_lines(df: DataFrame, min_words: int = 10) -> DataFrame:
 
     later = F.greatest("a", "b")
     late = both.select("wa", "wb", later["k1"].alias("k1"), later["k2"].alias("k2")).mapInArrow(verify, "k1 long, k2 long").distinct()
-    known = distinct.select(*LINE, "place").join(late.withColumn("near", F.lit(True)), LINE, "left")
+    known = written(distinct.select(*LINE, "place").join(late.withColumn("near", F.lit(True)), LINE, "left"), "known")
     gone = lines.select(*KEY, "line", *LINE).join(known, LINE).filter("near or _llm_id <> place._llm_id or line <> place.line")
     return written(gone.groupBy(*KEY).agg(F.sort_array(F.collect_set("line")).alias("_llm_gone")), "gone")
 

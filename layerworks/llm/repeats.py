@@ -87,13 +87,15 @@ def repeated_spans(df: DataFrame, window: int = 35) -> DataFrame:
                 )
 
     found = docs.mapInArrow(emit, "label long, path long, _llm_id long, _llm_th long, first int, n int")
-    twice = found.groupBy("label").agg(F.count("*").alias("_c")).filter("_c > 1").select("label")
+    # counts are written before a join needs them: a side that is a plain shuffle of its rows
+    # lets Spark split a hot label among tasks, an aggregate beside it would not
+    twice = written(found.groupBy("label").agg(F.count("*").alias("_c")).filter("_c > 1").select("label"), "twice")
     held = written(found.join(twice, "label"), "paths")
 
     kinds = written(
         held.groupBy("label", "path").agg(F.count("*").alias("times"), F.min(F.struct(*KEY, "first", "n")).alias("at")), "kinds"
     )
-    branching = kinds.groupBy("label").agg(F.min("times").alias("_m")).filter("_m = 1").select("label")
+    branching = written(kinds.groupBy("label").agg(F.min("times").alias("_m")).filter("_m = 1").select("label"), "branching")
     unroll = (
         kinds.join(branching, "label")
         .select("label", "path", "times", "at.*")
@@ -133,7 +135,7 @@ def repeated_spans(df: DataFrame, window: int = 35) -> DataFrame:
         docs.join(unroll, KEY).select(*KEY, "text", "asked").mapInArrow(edges, "label long, edge long, times long, _llm_id long, _llm_th long, first int"),
         "edges",
     )
-    often = single.groupBy("label", "edge").agg(F.sum("times").alias("_c")).filter("_c > 1").select("label", "edge")
+    often = written(single.groupBy("label", "edge").agg(F.sum("times").alias("_c")).filter("_c > 1").select("label", "edge"), "often")
     by_edge = single.filter("times = 1").join(often, ["label", "edge"]).select(*KEY, "first", F.lit(1).alias("n"))
     by_path = held.join(kinds.filter("times > 1").select("label", "path"), ["label", "path"]).select(*KEY, "first", "n")
     spans = by_path.unionByName(by_edge).select(*KEY, F.struct(F.col("first").alias("start"), (F.col("n") + window - 1).alias("n")).alias("span"))

@@ -180,6 +180,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     distinct = written(prints.groupBy("_fp").agg(F.min("doc_id").alias("least")), "distinct")
     reach = components(links(distinct, radius))
     classes = distinct.join(reach, distinct["_fp"] == reach["node"], "left").select("_fp", "least", F.coalesce("root", "_fp").alias("root"))
-    least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = written(classes, "classes")
+    least = written(classes.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     known = classes.join(least, "root").select("_fp", "component_id")
     return prints.join(known, "_fp").select("doc_id", F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id")
