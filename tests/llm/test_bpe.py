@@ -61,3 +61,13 @@ def test_tree_concatenation_equals_one_merge():
 
 def test_empty_table(spark):
     assert bpe.encode_documents(cases(spark).limit(0), PATH).count() == 0
+
+
+def test_equals_library_on_any_mix_of_common_characters():
+    rng = random.Random(4)
+    chars = [*map(chr, [*range(1, 384)]), " ", " ", "'s", "'RE", "a", "The", "<|endoftext|>", "<|STARTOFTEXT|>"]
+    pairs = [(i, "".join(rng.choices(chars, k=60))) for i in range(400)]
+    t = bpe.tokenizer(PATH)
+    want = {d: (ids, text) for d, _, ids, text in expected(pairs)}
+    for d, text in pairs:
+        assert t.encode(text) == want[d]
