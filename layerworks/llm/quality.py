@@ -31,7 +31,7 @@ from layerworks.llm.common import tag_hash, text_bytes, text_slices, window_hash
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOLS = "#*$%&|<>"
-FLOOR = (0.25, 0.04, 0.08, 0.10, 0.10)
+FLOOR = (0.25, 0.04, 0.05, 0.15, 0.15)
 K = len(FLOOR)
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[[ord(c) for c in SYMBOLS]] = 1
@@ -165,7 +165,7 @@ def mcd(rows: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
     return written(final.join(scale.select("g", "rows"), "g").select("g", F.col("rows").alias("n"), "mu", "inv"), "fit")
 
 
-def quality_rules(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", confidence: float = 1 - 1e-9, min_rows: int = 200, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def quality_rules(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", confidence: float = 1 - 1e-6, min_rows: int = 200, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per row of ``df``: the columns ``keep``, the five counts, base_failed, d2 (squared
     Mahalanobis distance; null if base_failed or no group is large enough) and kept.
 
