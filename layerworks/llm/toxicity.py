@@ -16,7 +16,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from layerworks.llm.common import text_slices
+from layerworks.llm.common import mix, text_slices
 
 BUCKETS = 1 << 17
 DIM = 4
 CACHE = 200_000
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -36,11 +36,24 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def buckets(word: str, low: int = 3, high: int = 6) -> list[int]:
-    """Buckets of a word's character n-grams between marks, and of the whole word."""
-    raw = f"<{word}>".encode("utf-32-le")
-    grams = {crc32(raw[i : i + 4 * n]) for n in range(low, high + 1) for i in range(0, len(raw) - 4 * n + 1, 4)}
-    return sorted({g % BUCKETS for g in grams | {crc32(raw)}})
+def grams_of(words: list[str], low: int = 3, high: int = 6) -> tuple[np.ndarray, np.ndarray]:
+    """(word index, bucket) of all character n-grams of the words between marks, and of each
+    whole word; for all words at once, from hashes that grow by a character."""
+    sizes = np.array([len(w) + 2 for w in words], np.int64)
+    codes = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    end = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    room = np.repeat(end, sizes) - np.arange(len(codes))  # characters from here to the word's end
+    whole = np.add.reduceat(mix(codes + room.astype(np.uint64) * _STEP), end - sizes) if len(words) else codes
+    who, out = [np.arange(len(words))], [mix(whole)]
+    h = codes * _STEP
+    for n in range(2, high + 1):
+        h = h[:-1] * _STEP + codes[n - 1 :] if len(h) > 1 else h[:0]
+        if n >= low:
+            inside = room[: len(h)] >= n
+            who.append(owner[: len(h)][inside])
+            out.append(mix(h[inside] + np.uint64(n)))
+    return np.concatenate(who), (np.concatenate(out) % np.uint64(BUCKETS)).astype(np.int32)
 
 
 class Model:
@@ -57,24 +70,26 @@ class Model:
 def _bags(texts: list[str], min_share: float, max_share: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """(buckets, weights) of each text: a bucket's share in the mean over distinct words.  Buckets
     in too few texts to learn from, or in so many that they tell nothing, are left out."""
-    known: dict[str, np.ndarray] = {}
+    number: dict[str, int] = {}
+    docs = [np.array([number.setdefault(w, len(number)) for w in sorted(set(words_of(t)) or {""})]) for t in texts]
+    who, flat = grams_of(list(number))
+    order = np.argsort(who, kind="stable")
+    flat, size = flat[order], np.bincount(who, minlength=len(number))
+    begin = np.cumsum(size) - size
     bags = []
     often = np.zeros(BUCKETS, np.int64)
-    for t in texts:
-        words = set(words_of(t)) or {""}
-        for w in words - known.keys():
-            known[w] = np.array(buckets(w), np.int32)
-        of = [known[w] for w in sorted(words)]
-        ids, inverse = np.unique(np.concatenate(of), return_inverse=True)
-        share = np.concatenate([np.full(len(x), 1 / len(of) / len(x)) for x in of])
-        bags.append((ids, np.bincount(inverse, share).astype(np.float32)))
+    for d in docs:
+        n = size[d]
+        at = np.repeat(begin[d], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        ids, inverse = np.unique(flat[at], return_inverse=True)
+        bags.append((ids, np.bincount(inverse, np.repeat(1 / (len(d) * n), n)).astype(np.float32)))
         often[ids] += 1
     use = (often >= max(3, min_share * len(texts))) & (often <= max(3, max_share * len(texts)))
     return [(ids[use[ids]], share[use[ids]]) for ids, share in bags]
 
 
 def train(
-    texts: list[str], labels: np.ndarray, prior: float | None = None, epochs: int = 16, batch: int = 64, rate: float = 0.02, scale: float = 30.0, penalty: float = 0.1, min_share: float = 0.008, max_share: float = 0.4, seed: int = 7
+    texts: list[str], labels: np.ndarray, prior: float | None = None, steps: int = 700, batch: int = 64, rate: float = 0.02, scale: float = 30.0, penalty: float = 0.1, min_share: float = 0.008, max_share: float = 0.4, seed: int = 7
 ) -> Model:
     """Joint fit of embeddings and softmax by Adam, with a proximal step on each embedding's norm
     (a group penalty, so that n-grams of single texts stay at zero).  Labels are balanced by
@@ -90,6 +105,7 @@ def train(
         return Model(emb, soft, bias)
     weights = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share))
     step = 0
+    epochs = max(8, min(60, -(-steps * batch // len(bags))))
     for epoch in range(epochs):
         order = rng.permutation(len(bags))
         r = rate * (1.05 - epoch / epochs)
@@ -126,26 +142,35 @@ class Scorer:
     """Scores texts with a folded model; a word's number is kept in a bounded cache."""
 
     def __init__(self, weights: np.ndarray, offset: float):
-        self.weights, self.offset = weights.tolist(), offset
+        self.weights, self.offset = weights, offset
         self.cache: dict[str, float] = {}
         self.old: dict[str, float] = {}
 
-    def word(self, word: str) -> float:
-        """A word's number; words met since the cache was last renewed stay in it."""
-        if (found := self.cache.get(word)) is None:
-            if (found := self.old.get(word)) is None:
-                grams = buckets(word)
-                found = sum(self.weights[g] for g in grams) / len(grams)
-            if len(self.cache) > CACHE:
-                self.cache, self.old = {}, self.cache
-            self.cache[word] = found
-        return found
+    def _learn(self, words: set[str]) -> None:
+        """Puts the numbers of words into the cache; those in use lately come from the last one."""
+        if len(self.cache) > CACHE:
+            self.cache, self.old = {}, self.cache
+        missing = []
+        for w in words:
+            if w not in self.cache:
+                if (x := self.old.get(w)) is not None:
+                    self.cache[w] = x
+                else:
+                    missing.append(w)
+        if missing:
+            who, grams = grams_of(missing)
+            n = len(missing)
+            self.cache.update(zip(missing, (np.bincount(who, self.weights[grams], n) / np.bincount(who, minlength=n)).tolist(), strict=True))
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        words = [set(words_of(t or "")) or {""} for t in texts]
+        self._learn(set().union(*words))
+        get = self.cache.__getitem__
+        odds = [self.offset + math.fsum(map(get, w)) / len(w) for w in words]
+        return (1 / (1 + np.exp(-np.clip(odds, -500, 500)))).tolist()
 
     def score(self, text: str | None) -> float:
-        words = set(words_of(text or ""))
-        odds = [x if (x := self.cache.get(w)) is not None else self.word(w) for w in words]
-        z = self.offset + (math.fsum(odds) / len(odds) if odds else self.word(""))
-        return 1 / (1 + np.exp(-min(max(z, -500.0), 500.0)))
+        return self.scores([text])[0]
 
 
 def _known(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
@@ -187,7 +212,7 @@ def score(df: DataFrame, model: Model, text: str = "text", keep_text: bool = Tru
         scorer = Scorer(sent.value.astype(np.float64), offset)
         for whole in batches:
             for b in text_slices(whole, text):
-                found = [scorer.score(t) for t in b.column(text).to_pylist()]
+                found = scorer.scores(b.column(text).to_pylist())
                 yield pa.RecordBatch.from_arrays([*map(b.column, own), pa.array(found, pa.float64())], names=[*own, "score"])
 
     fields = [f for f in base.schema.fields if f.name in own]

@@ -27,7 +27,7 @@ def test_misspelling_shares_vectors():
             w[int(rng.integers(12))] = "worthless"
         texts.append(" ".join(w))
         labels.append(i % 2)
-    s = toxicity.Scorer(*toxicity.train(texts, np.array(labels), epochs=12, max_share=0.6).folded())
+    s = toxicity.Scorer(*toxicity.train(texts, np.array(labels), max_share=0.6).folded())
     clean = s.score(" ".join(plain))
     assert s.score("table chair wurthless garden river") > clean
     assert s.score("table chair worthless garden river") > 0.5 > clean
