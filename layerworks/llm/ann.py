@@ -66,6 +66,7 @@ class Block:
         self.rows = np.full((len(found), width), -1)
         for i, r in enumerate(found):
             self.rows[i, : len(r)] = np.sort(r)
+        self.leaves = vectors[self.rows]
 
     def search(self, ids: np.ndarray, queries: np.ndarray, k: int, confidence: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(query index, vec_id, score) of the best k rows found for each query, its own id left out."""
@@ -89,13 +90,19 @@ class Block:
             if not len(live):
                 break
             rows = self.rows[leaf]
-            score = np.einsum("qd,qld->ql", queries[live], self.vectors[rows])
+            score = np.empty(rows.shape)
+            turn = np.argsort(leaf, kind="stable")  # queries whose turn is the same leaf share a product
+            for part in np.split(turn, np.flatnonzero(np.diff(leaf[turn])) + 1):
+                # einsum adds in one order for every pair, so equal vectors tie exactly
+                score[part] = np.einsum("qd,ld->ql", queries[live[part]], self.leaves[leaf[part[0]]])
             score[(rows < 0) | (self.ids[rows] == ids[live][:, None])] = -np.inf
-            all_score = np.concatenate([best[live], score], 1)
-            all_rows = np.concatenate([who[live], rows], 1)
+            better = (score >= best[live, -1:]).any(1)
+            some, new = live[better], score[better]
+            all_score = np.concatenate([best[some], new], 1)
+            all_rows = np.concatenate([who[some], rows[better]], 1)
             rank = np.lexsort((np.where(all_rows < 0, np.iinfo(np.int64).max, self.ids[all_rows]), -all_score), axis=1)[:, :k]
-            best[live] = np.take_along_axis(all_score, rank, 1)
-            who[live] = np.take_along_axis(all_rows, rank, 1)
+            best[some] = np.take_along_axis(all_score, rank, 1)
+            who[some] = np.take_along_axis(all_rows, rank, 1)
         q, j = np.nonzero(np.isfinite(best))
         return q, self.ids[who[q, j]], best[q, j]
 
@@ -148,9 +155,8 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "vec_id
                     ids, vectors = (b.column(c)[i].as_py() for c in ("ids", "vectors"))
                     key, block = (r["dim"], r["block"]), Block(np.frombuffer(ids, "<i8"), np.frombuffer(vectors, "<f8").reshape(-1, r["dim"]), r["most"])
                 ids, vectors = np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["q_vectors"], "<f8").reshape(-1, r["dim"])
-                for a in range(0, len(ids), 128):
-                    q, found, score = block.search(ids[a : a + 128], vectors[a : a + 128], k, confidence)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids[a : a + 128][q]), pa.array(found), pa.array(score)], names=["query_id", "vec_id", "score"])
+                q, found, score = block.search(ids, vectors, k, confidence)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(found), pa.array(score)], names=["query_id", "vec_id", "score"])
 
     found = sent.join(index, ["dim", "block"]).mapInArrow(run, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -56,3 +56,16 @@ def test_awkward(spark):
         found.setdefault(r.query_id, []).append((r.vec_id, r.score))
     assert found == {0: [(1, 2.0), (2, 2.0), (20, 1.0)], 20: [(1, 2.0), (2, 2.0), (0, 1.0)]}
     assert ann.search(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_equal_vectors_tie_by_id():
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((1500, 64))
+    v[rng.choice(1500, 700, replace=False)] = v[7]
+    ids = rng.permutation(5000)[:1500]
+    b = ann.Block(ids, v, float(np.sqrt((v**2).sum(1)).max()))
+    queries = np.concatenate([v[7:8], v[7:8] + 0.01 * rng.standard_normal((40, 64))])
+    q, found, score = b.search(np.arange(10000, 10041), queries, 20, 0.97)
+    same = sorted(ids[(v == v[7]).all(1)])[:20]
+    for i in range(41):
+        assert found[q == i].tolist() == same and len(set(score[q == i])) == 1
