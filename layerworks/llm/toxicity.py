@@ -72,9 +72,14 @@ def _bags(texts: list[str], min_share: float, max_share: float) -> list[tuple[np
     in too few texts to learn from, or in so many that they tell nothing, are left out."""
     number: dict[str, int] = {}
     docs = [np.array([number.setdefault(w, len(number)) for w in sorted(set(words_of(t)) or {""})]) for t in texts]
-    who, flat = grams_of(list(number))
-    order = np.argsort(who, kind="stable")
-    flat, size = flat[order], np.bincount(who, minlength=len(number))
+    if not number:
+        return []
+    flats, sizes, words = [], [], list(number)
+    for i in range(0, len(words), 10_000):  # the hashes of all words at once would take far more room
+        who, grams = grams_of(words[i : i + 10_000])
+        flats.append(grams[np.argsort(who, kind="stable")])
+        sizes.append(np.bincount(who))
+    flat, size = np.concatenate(flats), np.concatenate(sizes)
     begin = np.cumsum(size) - size
     bags = []
     often = np.zeros(BUCKETS, np.int64)
@@ -85,7 +90,9 @@ def _bags(texts: list[str], min_share: float, max_share: float) -> list[tuple[np
         bags.append((ids, np.bincount(inverse, np.repeat(1 / (len(d) * n), n)).astype(np.float32)))
         often[ids] += 1
     use = (often >= max(3, min_share * len(texts))) & (often <= max(3, max_share * len(texts)))
-    return [(ids[use[ids]], share[use[ids]]) for ids, share in bags]
+    for i, (ids, share) in enumerate(bags):
+        bags[i] = ids[use[ids]], share[use[ids]]
+    return bags
 
 
 def train(
@@ -190,7 +197,7 @@ def labelled_sample(df: DataFrame, one: DataFrame, doc_id: str, text: str, max_p
     return df.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "_id").select("text", "_y")
 
 
-def fit(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_per_label: int = 3000, **options) -> Model:
+def fit(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_per_label: int = 2500, **options) -> Model:
     """Trains on ``labels`` (doc_id, label) of ``df``.  Without two labels the model scores all texts alike."""
     one = _known(labels, doc_id, label)
     prior = one.agg(F.avg("_y")).first()[0]
