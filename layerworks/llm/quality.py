@@ -140,7 +140,9 @@ def mcd(rows: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
     (columns g, x0..x4): g, n (all its rows), mu, inv."""
     xs = [f"x{i}" for i in range(K)]
     rows = rows.select("g", *xs)
-    halves = rows.groupBy("g").agg(F.count("*").alias("rows"), F.array(*[F.percentile_approx(x, 0.5, 2000) for x in xs]).alias("mid"))
+    # a row for each group is written before rows join it: small tables are then sent to the
+    # rows, and where they are not, a large group's rows can be split
+    halves = written(rows.groupBy("g").agg(F.count("*").alias("rows"), F.array(*[F.percentile_approx(x, 0.5, 2000) for x in xs]).alias("mid")), "middles")
     away = rows.join(halves, "g").select("g", *[F.abs(F.col(x) - F.col("mid")[i]).alias(x) for i, x in enumerate(xs)])
     spread = away.groupBy("g").agg(F.array(*[F.greatest(1.4826 * F.percentile_approx(x, 0.5, 2000), F.lit(FLOOR[i])) for i, x in enumerate(xs)]).alias("mad"))
     scale = written(halves.join(spread, "g"), "scale")
@@ -156,10 +158,10 @@ def mcd(rows: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
     fit = written(fit0.unionByName(fit1), "start")
     for _ in range(steps):
         near = rows.join(fit.select("g", "start", "mu", "inv"), "g").select("g", "start", *xs, _distance().alias("d2"))
-        limit = near.groupBy("g", "start").agg(F.percentile_approx("d2", share, 2000).alias("limit"))
+        limit = written(near.groupBy("g", "start").agg(F.percentile_approx("d2", share, 2000).alias("limit")), "limit")
         kept = near.join(limit, ["g", "start"]).filter("d2 <= limit")
         fit = written(_estimates(_moments(kept, ["g", "start"]), share), "step")
-    best = fit.groupBy("g").agg(F.min_by(F.struct("mu", "inv"), F.struct("logdet", "start")).alias("f")).select("g", "f.*")
+    best = written(fit.groupBy("g").agg(F.min_by(F.struct("mu", "inv"), F.struct("logdet", "start")).alias("f")).select("g", "f.*"), "best")
     near = rows.join(best, "g").select("g", *xs, _distance().alias("d2")).filter(F.col("d2") <= chi2_quantile(0.975, K))
     final = _estimates(_moments(near.withColumn("start", F.lit(0)), ["g", "start"]), 0.975)
     return written(final.join(scale.select("g", "rows"), "g").select("g", F.col("rows").alias("n"), "mu", "inv"), "fit")
@@ -179,7 +181,7 @@ def quality_rules(df: DataFrame, text: str = "text", lang: str = "lang", source:
     fits = mcd(rows.filter(~F.col("base_failed")).select(F.explode(_levels()).alias("g"), *vectors)).filter(F.col("n") >= min_rows)
     # a group's widening is settled on group names, which are few beside the rows
     groups = rows.select(_levels().alias("gs")).distinct().select(F.col("gs")[0].alias("own"), F.explode("gs").alias("g"))
-    fits = groups.join(fits, "g").groupBy("own").agg(F.min_by(F.struct("mu", "inv"), "g").alias("f")).select("own", "f.*")
+    fits = written(groups.join(fits, "g").groupBy("own").agg(F.min_by(F.struct("mu", "inv"), "g").alias("f")).select("own", "f.*"), "fits")
     judged = rows.select("*", *vectors, _levels()[0].alias("own")).join(fits, "own", "left")
     d2 = F.when(~F.col("base_failed"), _distance())
     limit = chi2_quantile(confidence, K)
