@@ -40,14 +40,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints: that with the smallest doc_id.  A row
-    without an id stays only if no row of its group has one; rows that share id and
-    fingerprint are one document, of which one row stays."""
-    classes = simhash.near_duplicates(docs)
-    keep = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "fingerprint").distinct()
-    first = docs.withColumn("_llm_key", F.coalesce("doc_id", F.lit(-(2**63))))
-    ids = keep.groupBy(F.coalesce("doc_id", F.lit(-(2**63))).alias("_llm_key")).agg(F.count("*").alias("_n"))
-    return first.join(ids, "_llm_key", "left_semi").select(*docs.columns)
+    """One row of each group of linked fingerprints: that with the smallest doc_id, a row
+    without an id only if no row of its group has one.  Rows that share an id are told apart by
+    fingerprint and content; of repeated rows one stays."""
+    return simhash.first_rows(docs)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

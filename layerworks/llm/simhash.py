@@ -177,10 +177,28 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     Null and empty text: fingerprint zero, linked like any other.  Rows whose id is null
     take part; a component of nulls only has a null component_id.  Repeated rows are kept."""
     prints = written(fingerprints(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", width), "fingerprints")
-    distinct = written(prints.groupBy("_fp").agg(F.min("doc_id").alias("least")), "distinct")
-    reach = components(links(distinct, radius))
-    classes = distinct.join(reach, distinct["_fp"] == reach["node"], "left").select("_fp", "least", F.coalesce("root", "_fp").alias("root"))
-    classes = written(classes, "classes")
+    classes = rooted(written(prints.groupBy("_fp").agg(F.min("doc_id").alias("least")), "distinct"), radius)
     least = written(classes.groupBy("root").agg(F.min("least").alias("component_id")), "least")
     known = classes.join(least, "root").select("_fp", "component_id")
     return prints.join(known, "_fp").select("doc_id", F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def rooted(distinct: DataFrame, radius: int = 2) -> DataFrame:
+    """The rows of ``distinct`` (one for each fingerprint ``_fp``) and ``root``, which names their component."""
+    reach = components(links(distinct, radius))
+    found = distinct.join(reach, distinct["_fp"] == reach["node"], "left").select(*distinct.columns, F.coalesce("root", "_fp").alias("root"))
+    return written(found, "classes")
+
+
+def first_rows(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, radius: int = 2) -> DataFrame:
+    """One row of ``df`` for each component: that with the smallest (id, fingerprint, hash of all
+    columns), rows without an id last; of rows equal in all columns one."""
+    # the hash passes over nulls, so they are hashed as flags
+    row = F.xxhash64(*[F.col(c) for c in df.columns], *[F.col(c).isNull() for c in df.columns])
+    key = F.coalesce(F.col(doc_id), F.lit(-(2**63)))
+    prints = fingerprints(df.select(F.col(doc_id).alias("doc_id"), row.alias("_row"), F.col(text).alias("text")), "text", width)
+    place = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "_fp", "_row")
+    classes = rooted(written(prints.groupBy("_fp").agg(F.min(place).alias("place")), "distinct"), radius)
+    places = classes.groupBy("root").agg(F.min("place").alias("p")).select(F.coalesce("p.doc_id", F.lit(-(2**63))).alias("_llm_key"), F.col("p._row").alias("_llm_row"))
+    kept = df.withColumns({"_llm_key": key, "_llm_row": row}).join(written(places, "places"), ["_llm_key", "_llm_row"], "left_semi")
+    return kept.dropDuplicates(["_llm_key", "_llm_row"]).select(*df.columns)

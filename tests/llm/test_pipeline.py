@@ -39,3 +39,39 @@ def test_awkward(spark):
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     assert len(CASES)
+
+
+def test_one_row_stays_of_each_near_duplicate_group(spark):
+    own = [" ".join(f"{name}{i}" for i in range(60)) for name in ("a", "b", "c", "d")]
+    rows = [
+        (1, own[0], "en", None),  # repeated whole, and with another source
+        (1, own[0], "en", None),
+        (1, own[0], None, "en"),
+        (None, own[0], "en", None),  # a copy without an id
+        (2, own[0], "en", None),
+        (1, own[1], "en", None),  # the kept id of another group, in one with a smaller id
+        (0, own[1], "en", None),
+        (None, own[2], "en", None),  # a group without ids
+        (None, own[2], "en", None),
+        (1, own[3], "en", None),  # two groups whose smallest id is 1
+        (3, own[3], "en", None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    near = written(corpus_pipeline.drop_near_duplicates(spark, docs, SF))
+    assert sorted(pairs(near), key=str) == sorted([(1, own[0]), (0, own[1]), (None, own[2]), (1, own[3])], key=str)
+    # no passage is lost to a copy of itself
+    assert sorted(pairs(corpus_pipeline.drop_repeats(spark, near, SF)), key=str) == sorted(pairs(near), key=str)
+
+
+def test_near_dedup_against_brute_force_groups(spark):
+    from layerworks.llm.simhash import fingerprint
+
+    docs = cases(spark).union(cases(spark))
+    prints = [(d, t, fingerprint(t)) for d, t in CASES]
+    groups: list[list] = []
+    for r in prints:
+        linked = [g for g in groups if any((r[2] ^ x[2]).bit_count() <= 2 for x in g)]
+        groups = [g for g in groups if g not in linked] + [[r, *[x for g in linked for x in g]]]
+    least = sorted((min((r[0] is None, r[0] or 0) for r in g) for g in groups))
+    got = pairs(corpus_pipeline.drop_near_duplicates(spark, docs, SF))
+    assert sorted((d is None, d or 0) for d, _ in got) == least
