@@ -22,6 +22,7 @@ from . import gold, quality, silver
 BRONZE_RATINGS = "bronze_ratings"
 BRONZE_ITEMS = "bronze_movies"
 BRONZE_CORRECTIONS = "bronze_rating_corrections"
+SILVER_BATCHES = "silver_batches"
 SILVER_RATINGS = "silver_ratings"
 SILVER_ITEMS = "silver_movies"
 QUARANTINE = "quarantine_ratings"
@@ -87,14 +88,30 @@ def read_silver(wh: Warehouse, run: int | None = None) -> DataFrame:
     return routed.filter(F.col(ROUTE) == ROUTE_CLEAN).select(*silver.SILVER_COLUMNS)
 
 
-def _new_rows(wh: Warehouse, name: str, through) -> DataFrame | None:
-    """Bronze rows ingested after ``through`` (all, without one).  Ingest times must rise
-    from landing to landing; the filter reaches the files' statistics."""
-    table = wh.read_landed(name)
+def _landed_batches(wh: Warehouse, landed: dict[str, DataFrame | None]) -> DataFrame:
+    """(table, batch) of everything landed; reads partition values only."""
+    found = wh.spark.createDataFrame([], "table string, batch string")
+    for name, table in landed.items():
+        if table is not None:
+            found = found.unionByName(table.select(F.lit(name).alias("table"), F.col("_ingest_batch").cast("string").alias("batch")).distinct())
+    return found
+
+
+def _rows_of(table: DataFrame | None, name: str, batches: DataFrame | None) -> DataFrame | None:
+    """Bronze rows of the listed batches (all, without a list)."""
     if table is None:
         return None
     rows = table.drop(CORRUPT_COLUMN)
-    return rows if through is None else rows.filter(F.col("_ingested_at") > F.lit(through))
+    if batches is None:
+        return rows
+    listed = batches.filter(F.col("table") == name).select("batch")
+    return rows.join(listed, F.col("_ingest_batch").cast("string") == F.col("batch"), "left_semi")
+
+
+def _of_batches(rejected: DataFrame, batches: DataFrame) -> DataFrame:
+    """Rejected rows that came with the listed batches; feed and corrections may share batch ids."""
+    table = F.when(F.col("rating_source") == config.SOURCE_CORRECTION, BRONZE_CORRECTIONS).otherwise(BRONZE_RATINGS)
+    return rejected.join(batches, (F.col("table") == table) & (F.col("batch") == F.col("_ingest_batch").cast("string")), "left_semi")
 
 
 def run_silver(
@@ -108,24 +125,32 @@ def run_silver(
     """B2 + B3 + gate: catalogue first, then the routed ratings, then publish.
 
     Incremental by default: the routed rows of the previous run (every key's latest
-    record, rejected winners included) are the state, and only bronze rows ingested since
-    are added.  Latest-wins is associative, so latest(state + new) equals latest(all)
-    exactly; validity and the catalogue probe are evaluated again for every latest row.
-    Re-landing a batch with *different* content needs ``incremental=False``.
+    record, rejected winners included) are the state, and only batches of each bronze table
+    that no run before has read are added, whatever their ingest times: each run lists the
+    batches that its state holds.  A run without such a list is followed by a full one.
+    Latest-wins is associative, so latest(state + new) equals latest(all) exactly; validity
+    and the catalogue probe are evaluated again for every latest row.  Re-landing a batch
+    with *different* content needs ``incremental=False``.
 
     The quarantine gets the rejected rows among those this run has newly read, in its own
     partition, before the gate: a second attempt replaces them.
     """
     last = wh.last_run(SILVER) if incremental else None
-    through = None if last is None else last.through
-    new = {name: _new_rows(wh, name, through) for name in (BRONZE_RATINGS, BRONZE_CORRECTIONS, BRONZE_ITEMS)}
-    times = [t.agg(F.max("_ingested_at")).first()[0] for t in new.values() if t is not None]
-    newest = max((t for t in times if t is not None), default=None)
-    if newest is None and last is not None:
-        if report is not None:
-            report.rows.update({QUARANTINE: 0})
-        return
+    read = None if last is None else wh.read_or_none(SILVER_BATCHES, last.run)
+    last = None if read is None else last
+    landed = {name: wh.read_landed(name) for name in (BRONZE_RATINGS, BRONZE_CORRECTIONS, BRONZE_ITEMS)}
+    batches = _landed_batches(wh, landed)
+    if read is not None:
+        batches = batches.join(read, ["table", "batch"], "left_anti")
+        if batches.isEmpty():
+            if report is not None:
+                report.rows.update({QUARANTINE: 0})
+            return
     run = wh.next_run(SILVER)
+    batches = batches.withColumn("first_run", F.lit(run))
+    listed, _ = wh.write_run(batches if read is None else batches.unionByName(read), SILVER_BATCHES, run)
+    unread = None if read is None else listed.filter(F.col("first_run") == run)
+    new = {name: _rows_of(table, name, unread) for name, table in landed.items()}
 
     previous_items = wh.read(SILVER_ITEMS, last.run) if last is not None else None
     items, n_items = wh.write_run(silver.silver_catalogue(new[BRONZE_ITEMS], previous_items), SILVER_ITEMS, run)
@@ -141,12 +166,12 @@ def run_silver(
     # clusters each file for skipping on point lookups; no global sort.
     routed, _ = wh.write_run(routed.sortWithinPartitions(ROUTE, "movie_id", "user_id"), SILVER_RATINGS, run, [ROUTE])
     rejected = silver.quarantine_from_routed(routed, clock)
-    fresh = rejected if through is None else rejected.filter(F.col("_ingested_at") > F.lit(through))
+    fresh = rejected if unread is None else _of_batches(rejected, unread)
     n_quarantined = wh.land(fresh.withColumn(_RUN, F.lit(run)), QUARANTINE, by=_RUN)
 
     kept = routed.filter(F.col(ROUTE) == ROUTE_CLEAN).select(*silver.SILVER_COLUMNS)
     results = _gate(wh, SILVER, silver=kept, catalogue=items, quarantine=rejected, expect_quarantine=expect_quarantine)
-    wh.publish(SILVER, run, newest or through)
+    wh.publish(SILVER, run)
     if report is not None:
         n_silver = next(r["observed"] for r in results if r["name"] == quality.NOT_EMPTY.name)
         report.rows.update({SILVER_ITEMS: n_items, SILVER_RATINGS: n_silver, QUARANTINE: n_quarantined})

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from .tables import assert_same_schema
 
-RUN_SCHEMA = "layer string, run int, through timestamp_ntz, source_run int, published_at timestamp_ntz"
+RUN_SCHEMA = "layer string, run int, source_run int, published_at timestamp_ntz"
 
 
 class Warehouse:
@@ -103,12 +103,16 @@ class Warehouse:
         last = self.last_run(layer)
         return 0 if last is None else last.run + 1
 
-    def publish(self, layer: str, run: int, through: dt.datetime | None = None, source_run: int | None = None) -> None:
-        """List a run: all tables that it wrote become visible together.  ``through``: the
-        newest ingest time that it has read; ``source_run``: the run of the layer before."""
+    def publish(self, layer: str, run: int, source_run: int | None = None) -> None:
+        """List a run: all tables that it wrote become visible together.  ``source_run``: the
+        run of the layer before."""
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        self.spark.createDataFrame([(layer, run, through, source_run, now)], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path("_runs"))
+        self.spark.createDataFrame([(layer, run, source_run, now)], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path("_runs"))
 
     def read(self, name: str, run: int) -> DataFrame:
         """V2: a table as ``run`` wrote it."""
         return self.spark.read.parquet(f"{self.path(name)}/run={run}")
+
+    def read_or_none(self, name: str, run: int) -> DataFrame | None:
+        """A table as ``run`` wrote it, None if it did not."""
+        return self._or_none(lambda: self.read(name, run))

@@ -9,6 +9,7 @@ from layerworks import config
 from layerworks.plans import gold, layers, quality, silver
 from layerworks.plans.queries import Domain
 from layerworks.sources import fixtures
+from layerworks.sources.ingest import stamp_provenance
 from layerworks.sources.warehouse import Warehouse
 
 from .conftest import SF_SMALL
@@ -226,3 +227,31 @@ def test_incremental_silver_equals_a_full_rebuild(spark, tmp_root):
 
 def wh_runs(wh):
     return [r.run for r in wh.runs(layers.SILVER).collect()]
+
+
+def test_batches_with_older_or_equal_ingest_times_are_read(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+
+    def land(table, batch, clock, values):
+        names = "userId string, movieId string, rating string, timestamp string" if table != layers.BRONZE_ITEMS else "movieId string, title string, genres string"
+        raw = spark.createDataFrame(values, names).withColumns({layers.CORRUPT_COLUMN: F.lit(None).cast("string"), "_source_key": F.lit(0)})
+        wh.land(stamp_provenance(raw, "f.csv", "primary", batch, clock), table)
+
+    def run():
+        layers.run_silver(spark, wh, CLOCK, expect_quarantine=False)
+        return {(r.user_id, r.movie_id) for r in layers.read_silver(wh).collect()}
+
+    def parked():
+        return sorted(r.user_id for r in wh.read_landed(layers.QUARANTINE).collect())
+
+    land(layers.BRONZE_RATINGS, "b0", "2024-01-15 10:01:00", [("1", "1", "4.0", "964982703"), ("2", "1", "9.0", "964982703")])
+    land(layers.BRONZE_ITEMS, "b2", "2024-01-15 10:05:00", [("1", "Toy Story (1995)", "Adventure")])
+    assert run() == {(1, 1)} and parked() == [2]
+    # stamped before what the first run read, finished after it, and of a batch id it knows from another table
+    land(layers.BRONZE_RATINGS, "b1", "2024-01-15 10:00:00", [("3", "1", "4.0", "964982703"), ("4", "1", "9.0", "964982703")])
+    land(layers.BRONZE_CORRECTIONS, "b0", "2024-01-15 10:01:00", [("1", "1", "5.0", "964982709"), ("6", "1", "9.0", "964982703")])
+    assert run() == {(1, 1), (3, 1)} and parked() == [2, 4, 6]
+    # a second landing in the same second
+    land(layers.BRONZE_RATINGS, "b3", "2024-01-15 10:05:00", [("5", "1", "4.0", "964982703")])
+    assert run() == {(1, 1), (3, 1), (5, 1)} and parked() == [2, 4, 6]
+    assert run() == {(1, 1), (3, 1), (5, 1)} and wh_runs(wh) == [2, 1, 0]
