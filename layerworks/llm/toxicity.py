@@ -67,9 +67,9 @@ class Model:
         return (self.embedding @ (self.softmax[:, 1] - self.softmax[:, 0])).astype(np.float64), float(self.bias[1] - self.bias[0])
 
 
-def _bags(texts: list[str], min_share: float, max_share: float) -> list[tuple[np.ndarray, np.ndarray]]:
+def _bags(texts: list[str], min_texts: int, max_share: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """(buckets, weights) of each text: a bucket's share in the mean over distinct words.  Buckets
-    in too few texts to learn from, or in so many that they tell nothing, are left out."""
+    in fewer than ``min_texts`` texts are left out, and those in more than ``max_share`` of them."""
     number: dict[str, int] = {}
     docs = [np.array([number.setdefault(w, len(number)) for w in sorted(set(words_of(t)) or {""})]) for t in texts]
     if not number:
@@ -89,21 +89,24 @@ def _bags(texts: list[str], min_share: float, max_share: float) -> list[tuple[np
         ids, inverse = np.unique(flat[at], return_inverse=True)
         bags.append((ids, np.bincount(inverse, np.repeat(1 / (len(d) * n), n)).astype(np.float32)))
         often[ids] += 1
-    use = (often >= max(3, min_share * len(texts))) & (often <= max(3, max_share * len(texts)))
+    use = (often >= min_texts) & (often <= max(min_texts, max_share * len(texts)))
     for i, (ids, share) in enumerate(bags):
         bags[i] = ids[use[ids]], share[use[ids]]
     return bags
 
 
 def train(
-    texts: list[str], labels: np.ndarray, prior: float | None = None, steps: int = 700, batch: int = 64, rate: float = 0.02, scale: float = 30.0, penalty: float = 0.1, min_share: float = 0.008, max_share: float = 0.4, seed: int = 7
+    texts: list[str], labels: np.ndarray, prior: float | None = None, steps: int = 700, batch: int = 64, rate: float = 0.02, scale: float = 30.0, penalty: float = 0.1, min_texts: int = 3, max_share: float = 1.0, seed: int = 7
 ) -> Model:
     """Joint fit of embeddings and softmax by Adam, with a proximal step on each embedding's norm
     (a group penalty, so that n-grams of single texts stay at zero).  Labels are balanced by
     weights; ``prior`` (share of label 1 where texts come from, else that of ``labels``) then
-    shifts the offset by half its log odds, between a balanced and a calibrated rule."""
+    shifts the offset by half its log odds, between a balanced and a calibrated rule.
+
+    N-grams of three texts are learned from, however many texts there are, and none is too
+    frequent: one that stands in most texts of one label and in none of the other tells most."""
     rng = np.random.default_rng(seed)
-    bags = _bags(texts, min_share, max_share)
+    bags = _bags(texts, min_texts, max_share)
     emb, soft, bias = np.zeros((BUCKETS, DIM), np.float32), rng.choice([-0.5, 0.5], (DIM, 1)) * np.array([[-1.0, 1.0]]), np.zeros(2)
     mean, square = np.zeros_like(emb), np.zeros_like(emb)
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (soft, bias)]

@@ -41,3 +41,19 @@ def test_awkward(spark):
     assert toxicity.score(cases(spark).limit(0), model).count() == 0
     none = toxicity.fit(cases(spark).limit(0), labels.limit(0))
     assert len({r.score for r in toxicity.score(cases(spark), none).collect()}) >= 1
+
+
+def test_frequent_and_rare_words_of_toxic_texts_are_learned():
+    """With the defaults: a word in nearly all toxic texts, and one in 6 of 1,000 texts."""
+    rng = np.random.default_rng(1)
+    plain = "table chair window garden river mountain paper music".split()
+    texts, labels = [], []
+    for i in range(1000):
+        w = list(rng.choice(plain, 12))
+        if i % 2:
+            w[int(rng.integers(12))] = "despicable" if i < 12 else "worthless"
+        texts.append(" ".join(w))
+        labels.append(i % 2)
+    s = toxicity.Scorer(*toxicity.train(texts, np.array(labels)).folded())
+    for word in ("worthless", "wurthless", "despicable"):
+        assert s.score(f"table chair {word} garden river") > 0.5 > s.score("table chair garden river")
