@@ -95,15 +95,16 @@ def text_bytes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def word_table(text: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_table(text: pa.Array, lower: bool = False, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, hash, start, end) of every word of the texts; start and end count bytes
-    over the joined texts.  ``lower`` folds A-Z before hashing."""
+    over the joined texts.  ``lower`` folds A-Z before hashing; ``space`` marks the bytes
+    between words (white space among them)."""
     data, offsets = text_bytes(text)
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z.astype(np.uint64), z, z
-    inside = ~_SPACE[data]
+    inside = ~space[data]
     first = np.zeros(n + 1, bool)
     first[offsets] = True
     begin = inside.copy()
@@ -120,7 +121,8 @@ def word_table(text: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndar
     at = np.arange(start[0], n) - np.repeat(start, np.diff(np.append(start, n)))
     # bytes between words have weight zero, so a word's sum ends where the word does
     weights = _IN_WORD.up(int(at.max()) + 1)
-    sums = np.add.reduceat(_BYTE[data[start[0] :]] * weights[at], start - start[0])
+    value = _BYTE if space is _SPACE else np.where(space, np.uint64(0), _BYTE)
+    sums = np.add.reduceat(value[data[start[0] :]] * weights[at], start - start[0])
     return row, mix(sums + (end - start).astype(np.uint64)), start, end
 
 
@@ -176,7 +178,16 @@ def written(df: DataFrame, name: str = "part") -> DataFrame:
     path = f"{shared_folder(spark)}/{name}"
     df.write.parquet(path)
     release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._llm_folder = path
+    return out
+
+
+def forget(df: DataFrame) -> None:
+    """Deletes the folder of rows that ``written`` returned; nothing may read them any more."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._llm_folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path.getParent(), True)
 
 
 def release(spark: SparkSession) -> None:

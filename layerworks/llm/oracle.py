@@ -22,4 +22,47 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce
 FROM docs LEFT JOIN kept USING (r)
 """
 
-SQL: dict[str, str] = {"op4_substring_dedup": OP4}
+
+
+def _op11(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Plain rounds: every part against every entry, one coordinate a row."""
+    steps = [
+        f"""
+kept AS (
+    SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+cells AS (
+    SELECT r, i // (len(v) // {parts}) AS p, i % (len(v) // {parts}) AS j, v[i + 1] AS x FROM (SELECT r, v, unnest(range(len(v))) AS i FROM kept)
+),
+firsts AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT {entries}),
+book0 AS (SELECT p, e, j, x FROM cells JOIN firsts USING (r))"""
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"""
+near{n} AS (
+    SELECT r, p, min(d * {entries} + e) AS de
+    FROM (SELECT r, p, e, sum((c.x - b.x) * (c.x - b.x)) AS d FROM cells AS c JOIN book{n} AS b USING (p, j) GROUP BY r, p, e) GROUP BY r, p
+)""")
+        if n < rounds:
+            steps.append(f"""
+book{n + 1} AS (
+    SELECT p, e, j, CASE WHEN s IS NULL THEN x ELSE (s - ((s % c) + c) % c) // c END AS x
+    FROM book{n} LEFT JOIN (
+        SELECT p, de % {entries} AS e, j, sum(x) AS s, count(*) AS c FROM near{n} JOIN cells USING (r, p) GROUP BY ALL
+    ) USING (p, e, j)
+)""")
+    return f"""
+WITH {",".join(steps)},
+coded AS (
+    SELECT vec_id, label, string_agg(format('{{:02x}}', CAST(de % {entries} AS BIGINT)), '' ORDER BY p) AS code, CAST(sum(de // {entries}) AS BIGINT) AS error
+    FROM near{rounds} JOIN kept USING (r) GROUP BY r, vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, j)) FROM book{rounds}) AS codebooks_sha256
+FROM coded
+"""
+
+
+SQL: dict[str, str] = {"op4_substring_dedup": OP4, "op11_vector_codes": _op11()}

@@ -6,6 +6,7 @@ derives the contract's columns from what the operator returns.
 
 from __future__ import annotations
 
+import hashlib
 import importlib.util
 import os
 from collections.abc import Callable
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from layerworks.llm import ann, bpe, html, lines, lm, packing, quality, repeats, simhash, toxicity
+from layerworks.llm import ann, bpe, codes, html, lines, lm, packing, quality, repeats, simhash, toxicity
 from layerworks.llm.common import read_documents
 from layerworks.llm.oracle import SQL  # noqa: F401 - registered with the queries
 
@@ -84,6 +85,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = codes.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label"))
+    books = hashlib.sha256(",".join(map(str, found.codebooks.ravel().tolist())).encode()).hexdigest()
+    out = codes.label_errors(found.rows)
+    return out.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books).alias("codebooks_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -101,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_nearest_neighbours,
         op9_html_extraction,
         op10_simhash_near_dedup,
+        op11_vector_codes,
         pipeline,
     )
 }
