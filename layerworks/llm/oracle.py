@@ -29,9 +29,9 @@ def _op11(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096)
     steps = [
         f"""
 kept AS (
-    SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, x -> CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    SELECT row_number() OVER () AS r, vec_id, label, [CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS v
     FROM embeddings
-    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ),
 cells AS (
     SELECT r, i // (len(v) // {parts}) AS p, i % (len(v) // {parts}) AS j, v[i + 1] AS x FROM (SELECT r, v, unnest(range(len(v))) AS i FROM kept)
