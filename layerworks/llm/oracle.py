@@ -65,4 +65,31 @@ FROM coded
 """
 
 
-SQL: dict[str, str] = {"op4_substring_dedup": OP4, "op11_vector_codes": _op11()}
+OP12 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+),
+items AS (
+    SELECT row_number() OVER () AS i, item_id, unnest(
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM (SELECT DISTINCT item_id, text FROM benchmark)
+),
+asked AS (SELECT i, item_id, term, count(*) AS times FROM items GROUP BY ALL),
+size AS (SELECT count(*) AS n, CAST(sum(len(terms)) AS BIGINT) AS l FROM docs WHERE len(terms) > 0),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) GROUP BY ALL),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM held SEMI JOIN asked USING (term) GROUP BY term), size
+),
+lengths AS (SELECT r, doc_id, 100 - 25 + (25 * len(terms) * n) // l AS m FROM docs, size WHERE len(terms) > 0),
+factors AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * m)) AS f FROM held JOIN weights USING (term) JOIN lengths USING (r)),
+scored AS (SELECT i, item_id, r, doc_id, CAST(sum(times * f) AS BIGINT) AS score FROM asked JOIN factors USING (term) GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 20
+"""
+
+
+SQL: dict[str, str] = {"op4_substring_dedup": OP4, "op11_vector_codes": _op11(), "op12_lexical_search": OP12}

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from layerworks.llm import ann, bpe, codes, html, lines, lm, packing, quality, repeats, simhash, toxicity
+from layerworks.llm import ann, bpe, codes, html, lexical, lines, lm, packing, quality, repeats, simhash, toxicity
 from layerworks.llm.common import read_documents
 from layerworks.llm.oracle import SQL  # noqa: F401 - registered with the queries
 
@@ -92,6 +92,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(books).alias("codebooks_sha256"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=20)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -110,6 +114,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_html_extraction,
         op10_simhash_near_dedup,
         op11_vector_codes,
+        op12_lexical_search,
         pipeline,
     )
 }
