@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from layerworks.llm import ann, bpe, codes, html, lexical, lines, lm, packing, quality, repeats, simhash, toxicity
+from layerworks.llm import ann, bpe, codes, html, lexical, lines, lm, packing, pii, quality, repeats, simhash, toxicity
 from layerworks.llm.common import read_documents
 from layerworks.llm.oracle import SQL  # noqa: F401 - registered with the queries
 
@@ -96,6 +96,16 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=20)
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts are of base spans, whose digest they go with."""
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    out = pii.find(docs, pii.fit(docs), keep_text=False)
+    base = F.filter("spans", lambda s: s["base"])
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    counts = [F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return out.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -115,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_simhash_near_dedup,
         op11_vector_codes,
         op12_lexical_search,
+        op13_personal_data,
         pipeline,
     )
 }
