@@ -6,8 +6,8 @@ follow.  Embeddings and softmax are trained jointly in numpy (Adam).  A misspell
 that was never seen shares n-grams with words that were.
 
 The fit uses at most ``max_per_label`` labelled texts of each label, those with the smallest
-hash of the id: a bounded sample of labelled rows, the only thing that reaches the
-driver.  Scoring is linear in a text's words: embeddings and softmax fold to one number for
+hash of the id, and of them at most ``max_bytes``: a bounded sample of labelled rows, the only thing that
+reaches the driver.  Scoring is linear in a text's words: embeddings and softmax fold to one number for
 each bucket, sent to the tasks as an array of fixed size.
 """
 
@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from layerworks.llm.common import mix, text_slices
 
@@ -189,30 +190,39 @@ def _known(labels: DataFrame, doc_id: str, label: str) -> DataFrame:
     return known.groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_z")).filter("_y = _z").drop("_z")
 
 
-def labelled_sample(df: DataFrame, one: DataFrame, doc_id: str, text: str, max_per_label: int) -> DataFrame:
-    """(text, label): for each label the rows of ``one`` with the smallest hashes, at most
-    ``max_per_label`` (chosen on ids; texts are fetched for those alone)."""
+def labelled_sample(df: DataFrame, one: DataFrame, doc_id: str, text: str, max_per_label: int, max_bytes: int) -> DataFrame:
+    """(text, label): for each label the ids of ``one`` with the smallest hashes, at most
+    ``max_per_label`` (chosen on ids; texts are fetched for those alone) with one text each, that of the smallest
+    hash; of these, in the same order, those whose texts add up to ``max_bytes`` at most."""
     chosen = None
     for y in (0, 1):
         part = one.filter(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(max_per_label)
         chosen = part if chosen is None else chosen.unionByName(part)
     # 2 * max_per_label rows of two numbers: broadcast, so that texts stay where they are
-    return df.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "_id").select("text", "_y")
+    rows = df.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(chosen), "_id")
+    each = rows.groupBy("_id", "_y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least")).select("_id", "_y", "least.text")
+    order = Window.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id").rowsBetween(Window.unboundedPreceding, 0)
+    return each.withColumn("_bytes", F.sum(F.octet_length("text")).over(order)).filter(F.col("_bytes") <= max_bytes).select("text", "_y")
 
 
-def fit(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_per_label: int = 2500, **options) -> Model:
-    """Trains on ``labels`` (doc_id, label) of ``df``.  Without two labels the model scores all texts alike."""
+def fit(df: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_per_label: int = 2500, max_bytes: int = 48 << 20, **options) -> Model:
+    """Trains on ``labels`` (doc_id, label) of ``df``.  Without two labels the model scores all texts alike.
+
+    The sample is bounded in rows and bytes for each label, whatever the tables hold; an id counts
+    once, however many rows have it, and null texts count as empty."""
     one = _known(labels, doc_id, label)
     prior = one.agg(F.avg("_y")).first()[0]
-    rows = labelled_sample(df, one, doc_id, text, max_per_label).toPandas()
-    rows["text"] = rows["text"].fillna("")
+    rows = labelled_sample(df, one, doc_id, text, max_per_label, max_bytes).toPandas()
     rows = rows.sort_values(["_y", "text"], ignore_index=True)  # the fit does not depend on how rows came
     return train(rows["text"].tolist(), rows["_y"].to_numpy(np.int64), prior, **options)
 
 
 def score(df: DataFrame, model: Model, text: str = "text", keep_text: bool = True) -> DataFrame:
     """Adds ``score`` (0 to 1) to the rows of ``df``; null and empty texts get the score of a
-    text without words.  A column of this name is replaced."""
+    text without words.  A column of this name is replaced.
+
+    Whole texts of any length are scored, repeated rows alike; an empty table stays empty.  A score equal to a
+    caller's threshold is that caller's to decide (``op3_toxicity`` predicts 1 from 0.3 on)."""
     base = df.drop("score")
     own = [c for c in base.columns if keep_text or c != text]
     weights, offset = model.folded()

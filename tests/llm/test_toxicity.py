@@ -57,3 +57,21 @@ def test_frequent_and_rare_words_of_toxic_texts_are_learned():
     s = toxicity.Scorer(*toxicity.train(texts, np.array(labels)).folded())
     for word in ("worthless", "wurthless", "despicable"):
         assert s.score(f"table chair {word} garden river") > 0.5 > s.score("table chair garden river")
+
+
+def test_sample_is_bounded_in_rows_and_bytes(spark):
+    """Repeated rows of an id count once, and long texts stop the sample at its bytes."""
+    rows = [(1, f"bad words {i}") for i in range(10_000)] + [(2, f"good words {i}") for i in range(10_000)] + [(i, "x" * 1000) for i in range(3, 103)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] + [(i, 0) for i in range(2, 103)], "doc_id long, toxic int")
+    one = toxicity._known(labels, "doc_id", "toxic")
+    sample = toxicity.labelled_sample(docs, one, "doc_id", "text", 2500, 10_050).collect()
+    assert [r._y for r in sample].count(1) == 1 and 9 <= [r._y for r in sample].count(0) <= 11
+    assert sum(len(r.text) for r in sample if r._y == 0) <= 10_050
+    assert len(toxicity.labelled_sample(docs, one, "doc_id", "text", 40, 1 << 30).collect()) == 41
+
+
+def test_rows_at_the_threshold():
+    """A text whose log odds are those of 0.3 scores 0.3 or the next numbers beside it."""
+    s = toxicity.Scorer(np.zeros(toxicity.BUCKETS), float(np.log(0.3 / 0.7)))
+    assert abs(s.score("any text at all") - 0.3) < 1e-15 and s.score("") == s.score(None)
