@@ -56,6 +56,7 @@ class Block:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, most: float):
         self.ids, self.vectors, self.most = ids, vectors, most
+        self.repeated = len(np.unique(ids)) < len(ids)
         rest = np.sqrt(np.maximum(most**2 - (vectors**2).sum(1), 0))
         self.directions = directions(vectors.shape[1])
         points = np.column_stack([vectors, rest]) @ self.directions
@@ -100,7 +101,14 @@ class Block:
             some, new = live[better], score[better]
             all_score = np.concatenate([best[some], new], 1)
             all_rows = np.concatenate([who[some], rows[better]], 1)
-            rank = np.lexsort((np.where(all_rows < 0, np.iinfo(np.int64).max, self.ids[all_rows]), -all_score), axis=1)[:, :k]
+            all_ids = np.where(all_rows < 0, np.iinfo(np.int64).max, self.ids[all_rows])
+            if self.repeated:  # an id's best row stands for it; its other rows take no place among the k
+                by = np.lexsort((-all_score, all_ids), axis=1)
+                sorted_ids = np.take_along_axis(all_ids, by, 1)
+                again = np.zeros(all_ids.shape, bool)
+                np.put_along_axis(again, by[:, 1:], sorted_ids[:, 1:] == sorted_ids[:, :-1], 1)
+                all_score = np.where(again, -np.inf, all_score)
+            rank = np.lexsort((all_ids, -all_score), axis=1)[:, :k]
             best[some] = np.take_along_axis(all_score, rank, 1)
             who[some] = np.take_along_axis(all_rows, rank, 1)
         q, j = np.nonzero(np.isfinite(best))
@@ -133,7 +141,8 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "vec_id
 
     Rows with a null id, or a vector that is null, zero or holds null or non-finite
     components, take no part; so do rows of another dimension than the query's.  Rows with the query's id are its own.
-    Repeated rows count once; an empty table gives an empty result."""
+    Repeated rows count once; an id with several vectors counts once, by its best score (an asked id's vectors
+    are all asked); an empty table gives an empty result."""
     rows = written(usable(df, vec_id, embedding).withColumn("dim", F.size("v")), "vectors")
     asked = usable(queries, vec_id, embedding).withColumn("dim", F.size("v"))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
@@ -160,4 +169,5 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "vec_id
 
     found = sent.join(index, ["dim", "block"]).mapInArrow(run, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.dropDuplicates(["query_id", "vec_id"]).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

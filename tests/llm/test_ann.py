@@ -69,3 +69,25 @@ def test_equal_vectors_tie_by_id():
     same = sorted(ids[(v == v[7]).all(1)])[:20]
     for i in range(41):
         assert found[q == i].tolist() == same and len(set(score[q == i])) == 1
+
+
+def test_ids_with_several_vectors(spark, monkeypatch):
+    """An id takes one place, with its best score, in one block and over several."""
+    rows = [(0, [1.0, 0.0])] + [(1, [5.0 - i / 100, 1.0]) for i in range(300)] + [(2, [2.0, 0.0]), (2, [0.5, 0.0]), (3, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for block in (4096, 100):
+        monkeypatch.setattr(ann, "BLOCK_ROWS", block)
+        out = ann.search(df, df.filter("vec_id = 0"), 3).orderBy("rank").collect()
+        assert [(r.vec_id, r.score) for r in out] == [(1, 5.0), (2, 2.0), (3, 1.0)]
+    rng = np.random.default_rng(4)
+    v = rng.standard_normal((900, 6))
+    rows = [(int(i), x.tolist()) for i, x in zip(rng.integers(0, 200, 900), v)]
+    out = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), spark.createDataFrame(rows, "vec_id long, embedding array<double>").filter("vec_id % 20 = 0"), 10).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    ids, s = np.array([i for i, _ in rows]), v @ v.T
+    for q in got:
+        best = {int(i): max(s[a, b] for a in np.flatnonzero(ids == q) for b in np.flatnonzero(ids == i)) for i in set(ids.tolist()) - {q}}
+        want = dict(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:10])
+        assert len(got[q]) == 10 and all(abs(best[i] - x) < 1e-12 for i, x in got[q].items()) and len(got[q].keys() & want.keys()) >= 9
