@@ -27,6 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# What a merge did to a row, in the column that ``change`` names.
+CHANGE = "_change"
+CHANGES = ("inserted", "updated", "kept")
+
+
 class DuplicateSourceKeys(ValueError):
     pass
 
@@ -55,18 +60,22 @@ def merge_upsert(
     guard_col: str | None = None,
     validate_source: bool = True,
     small_batch: bool = False,
+    change: str | None = None,
 ) -> DataFrame:
     """New state after an upsert of ``source`` into ``target``.
 
     ``target=None`` is the first run (create = the source itself).  With
     ``guard_col`` a matched row is replaced only when the source value of that
     column is >= the target's (a replayed older batch cannot revert newer facts).
+    ``change`` names a column to add that tells what became of each row (one of ``CHANGES``).
     """
     keys = list(keys)
+    if small_batch and change:
+        raise ValueError("changes are told by the full join only")
     if validate_source:
         require_unique(source, keys)
     if target is None:
-        return source
+        return source.withColumn(change, F.lit(CHANGES[0])) if change else source
     src = _align(source, target)
     values = [c for c in target.columns if c not in keys]
     if small_batch:
@@ -74,11 +83,11 @@ def merge_upsert(
             return target.join(src.select(*keys), on=keys, how="left_anti").unionByName(src)
         fresh = src.join(target.select(*keys), on=keys, how="left_anti")
         return _picked(target, src, keys, values, guard_col, "left", target.columns).unionByName(fresh)
-    return _picked(target, src, keys, values, guard_col, "full", target.columns)
+    return _picked(target, src, keys, values, guard_col, "full", target.columns, change)
 
 
 def _picked(
-    target: DataFrame, src: DataFrame, keys: list[str], values: list[str], guard_col: str | None, how: str, columns: list[str]
+    target: DataFrame, src: DataFrame, keys: list[str], values: list[str], guard_col: str | None, how: str, columns: list[str], change: str | None = None
 ) -> DataFrame:
     """Rows of the join, each with the source's values where the source wins."""
     t = target.select(*keys, F.struct(*values).alias("_t"), F.lit(True).alias("_in_t"))
@@ -88,7 +97,9 @@ def _picked(
         newer = F.col("_t")[guard_col].isNull() | F.coalesce(F.col("_s")[guard_col] >= F.col("_t")[guard_col], F.lit(False))
         wins = wins & (F.col("_in_t").isNull() | newer)
     row = F.when(wins, F.col("_s")).otherwise(F.col("_t"))
-    return t.join(s, on=keys, how=how).withColumn("_row", row).select(*[c if c in keys else F.col("_row")[c].alias(c) for c in columns])
+    inserted, updated, kept = map(F.lit, CHANGES)
+    told = [F.when(F.col("_in_t").isNull(), inserted).when(wins, updated).otherwise(kept).alias(change)] if change else []
+    return t.join(s, on=keys, how=how).withColumn("_row", row).select(*[c if c in keys else F.col("_row")[c].alias(c) for c in columns], *told)
 
 
 def merge_update_only(

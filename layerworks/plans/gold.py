@@ -21,9 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import decade, item_key, mean_half_up, user_key
-from ..operators.merge import merge_upsert
+from .silver import enrich, valid_state
 
-# --- fixed values: columns of the fact, in order -----------------------------------
+# --- fixed values: columns of the tables, in order ----------------------------------
+DIM_ITEM_COLUMNS = ["movie_key", "movie_natural_key", "title", "primary_genre", "genres", "release_year", "decade"]
+DIM_USER_COLUMNS = ["user_key", "user_natural_key", "rating_count", "first_rating_at", "last_rating_at", "avg_rating_given"]
+MONTHLY_COLUMNS = ["movie_key", "rated_month", "title", "primary_genre", "release_year", "rating_count", "avg_rating", "distinct_raters"]
 FACT_COLUMNS = [
     "user_key",
     "movie_key",
@@ -40,15 +43,8 @@ FACT_COLUMNS = [
 
 def dim_item(catalogue: DataFrame) -> DataFrame:
     """Item dimension (Type 1) with a hashed surrogate key and decade."""
-    return catalogue.select(
-        item_key("movie_id").alias("movie_key"),
-        F.col("movie_id").alias("movie_natural_key"),
-        "title",
-        "primary_genre",
-        "genres",
-        "release_year",
-        decade("release_year").alias("decade"),
-    )
+    keyed = catalogue.withColumns({"movie_key": item_key("movie_id"), "movie_natural_key": F.col("movie_id"), "decade": decade("release_year")})
+    return keyed.select(*DIM_ITEM_COLUMNS)
 
 
 def item_keys(ids: DataFrame) -> DataFrame:
@@ -65,14 +61,7 @@ def dim_user(silver: DataFrame) -> DataFrame:
         F.max("event_ts").alias("last_rating_at"),
         mean_half_up("rating").alias("avg_rating_given"),
     )
-    return agg.select(
-        user_key("user_id").alias("user_key"),
-        F.col("user_id").alias("user_natural_key"),
-        "rating_count",
-        "first_rating_at",
-        "last_rating_at",
-        "avg_rating_given",
-    )
+    return agg.withColumns({"user_key": user_key("user_id"), "user_natural_key": F.col("user_id")}).select(*DIM_USER_COLUMNS)
 
 
 def attach_key(df: DataFrame, dim: DataFrame, fact_col: str, natural_col: str, key_col: str) -> DataFrame:
@@ -81,11 +70,14 @@ def attach_key(df: DataFrame, dim: DataFrame, fact_col: str, natural_col: str, k
     return df.join(d, df[fact_col] == d[natural_col], "inner").drop(natural_col)
 
 
-def merged_rows(previous: DataFrame, silver: DataFrame) -> DataFrame:
-    """Silver rows of the fact after upserting ``silver`` into the rows it holds.  The fact's
-    keys are functions of the natural ones, so merging on these gives the same rows, and
-    operands that latest-wins has partitioned by them are joined without a shuffle."""
-    return merge_upsert(previous, silver, ["movie_id", "user_id"], validate_source=False)
+def merged_states(states: DataFrame) -> DataFrame:
+    """Rows of a fact that held the feed's state when all records' state was upserted into it,
+    from ``silver.keyed_states``: the row of now if it is valid, else that of before if that one
+    is.  The fact's keys are functions of the natural ones, so merging on these gives the same rows.  Items
+    that are not catalogued are still among them."""
+    row = F.when(valid_state("now"), F.col("now")).otherwise(F.col("before"))
+    held = states.filter(valid_state("now") | valid_state("before")).withColumn("_row", row)
+    return enrich(held.select("movie_id", "user_id", "_row.*"))
 
 
 def fact_stage(
@@ -121,13 +113,4 @@ def monthly_agg(fact: DataFrame, items: DataFrame) -> DataFrame:
         F.countDistinct(user).alias("distinct_raters"),
     )
     attrs = items.select("movie_key", F.col("movie_natural_key").alias("movie_id"), "title", "primary_genre", "release_year")
-    return per_month.join(attrs, movie, "inner").select(
-        "movie_key",
-        "rated_month",
-        "title",
-        "primary_genre",
-        "release_year",
-        "rating_count",
-        "avg_rating",
-        "distinct_raters",
-    )
+    return per_month.join(attrs, movie, "inner").select(*MONTHLY_COLUMNS)

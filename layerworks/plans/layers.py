@@ -1,7 +1,7 @@
 """Stage order bronze -> silver -> gate -> gold -> gate, write-audit-publish.
 
-Each run of a layer writes its tables whole into new folders, is audited by its quality
-gate on what was written, and only then listed.  A failing gate leaves the previous run
+Each run of a layer writes its tables into new folders (the fact: the buckets of keys that
+changed), is audited by its quality gate on what it wrote, and only then listed.  A failing gate leaves the previous run
 visible everywhere and raises ``GateBlocked``; check results and this run's rejected rows
 are stored before that, pass or fail.  A run that finds nothing new writes nothing.
 """
@@ -33,6 +33,11 @@ MONTHLY = "agg_monthly_movie_ratings"
 DQ_RESULTS = "dq_results"
 SILVER, GOLD = "silver", "gold"
 _RUN = "_run"
+BATCHES_SCHEMA = "table string, batch string, first_run int"
+FACT_IDS = ["movie_id", "user_id"]
+# Key buckets of the fact: fixed for a warehouse's life, at most some GB of the fact each.  A run
+# rewrites those that its batch touches.
+FACT_BUCKETS = 64
 
 
 @dataclass
@@ -81,6 +86,11 @@ def _gate(wh: Warehouse, layer: str, **tables) -> list[dict]:
     return quality.run_gate(wh.spark, layer, wh.path(DQ_RESULTS), **tables)
 
 
+def read_fact(wh: Warehouse, run: int | None = None) -> DataFrame:
+    """V2: the fact as of a gold run (the newest by default)."""
+    return wh.read_buckets(FACT, wh.last_run(GOLD).run if run is None else run, GOLD)
+
+
 def read_silver(wh: Warehouse, run: int | None = None) -> DataFrame:
     """The kept rows of a silver run (the newest by default)."""
     run = wh.last_run(SILVER).run if run is None else run
@@ -88,30 +98,34 @@ def read_silver(wh: Warehouse, run: int | None = None) -> DataFrame:
     return routed.filter(F.col(ROUTE) == ROUTE_CLEAN).select(*silver.SILVER_COLUMNS)
 
 
-def _landed_batches(wh: Warehouse, landed: dict[str, DataFrame | None]) -> DataFrame:
-    """(table, batch) of everything landed; reads partition values only."""
-    found = wh.spark.createDataFrame([], "table string, batch string")
-    for name, table in landed.items():
-        if table is not None:
-            found = found.unionByName(table.select(F.lit(name).alias("table"), F.col("_ingest_batch").cast("string").alias("batch")).distinct())
-    return found
+Batches = dict[str, list[str]]  # ids by bronze table
+
+
+def landed_batches(wh: Warehouse) -> Batches:
+    """Ids of all landed batches, from folder names alone."""
+    return {name: wh.landed_values(name) for name in (BRONZE_RATINGS, BRONZE_CORRECTIONS, BRONZE_ITEMS)}
 
 
-def _rows_of(table: DataFrame | None, name: str, batches: DataFrame | None) -> DataFrame | None:
-    """Bronze rows of the listed batches (all, without a list)."""
-    if table is None:
-        return None
-    rows = table.drop(CORRUPT_COLUMN)
-    if batches is None:
-        return rows
-    listed = batches.filter(F.col("table") == name).select("batch")
-    return rows.join(listed, F.col("_ingest_batch").cast("string") == F.col("batch"), "left_semi")
+def rows_of(table: DataFrame | None, batches: list[str]) -> DataFrame | None:
+    """Bronze rows of the given batches: a filter on partition values, by which the scan skips the
+    folders of all others."""
+    return None if table is None else table.drop(CORRUPT_COLUMN).filter(F.col("_ingest_batch").isin(batches))
 
 
-def _of_batches(rejected: DataFrame, batches: DataFrame) -> DataFrame:
-    """Rejected rows that came with the listed batches; feed and corrections may share batch ids."""
-    table = F.when(F.col("rating_source") == config.SOURCE_CORRECTION, BRONZE_CORRECTIONS).otherwise(BRONZE_RATINGS)
-    return rejected.join(batches, (F.col("table") == table) & (F.col("batch") == F.col("_ingest_batch").cast("string")), "left_semi")
+def of_batches(rows: DataFrame, batches: Batches) -> DataFrame:
+    """Rating rows that came with the given batches; feed and corrections may share batch ids."""
+    corrected = F.col("rating_source") == config.SOURCE_CORRECTION
+    batch = F.col("_ingest_batch")
+    return rows.filter((corrected & batch.isin(batches[BRONZE_CORRECTIONS])) | (~corrected & batch.isin(batches[BRONZE_RATINGS])))
+
+
+def batches_since(wh: Warehouse, run: int, since: int | None) -> Batches:
+    """Batches that silver runs after ``since`` and up to ``run`` were the first to read."""
+    out: Batches = {BRONZE_RATINGS: [], BRONZE_CORRECTIONS: [], BRONZE_ITEMS: []}
+    listed = wh.read(SILVER_BATCHES, run)
+    for r in (listed if since is None else listed.filter(F.col("first_run") > since)).collect():  # one row for each landing
+        out[r.table].append(r.batch)
+    return out
 
 
 def run_silver(
@@ -133,27 +147,25 @@ def run_silver(
     with *different* content needs ``incremental=False``.
 
     The quarantine gets the rejected rows among those this run has newly read, in its own
-    partition, before the gate: a second attempt replaces them.
+    partition, before the gate: a second attempt replaces them, also by none.
     """
     last = wh.last_run(SILVER) if incremental else None
     read = None if last is None else wh.read_or_none(SILVER_BATCHES, last.run)
     last = None if read is None else last
-    landed = {name: wh.read_landed(name) for name in (BRONZE_RATINGS, BRONZE_CORRECTIONS, BRONZE_ITEMS)}
-    batches = _landed_batches(wh, landed)
-    if read is not None:
-        batches = batches.join(read, ["table", "batch"], "left_anti")
-        if batches.isEmpty():
-            if report is not None:
-                report.rows.update({QUARANTINE: 0})
-            return
+    known = set() if read is None else {(r.table, r.batch) for r in read.collect()}  # one row for each landing
+    unread = {name: [b for b in ids if (name, b) not in known] for name, ids in landed_batches(wh).items()}
+    if read is not None and not any(unread.values()):
+        if report is not None:
+            report.rows.update({QUARANTINE: 0})
+        return
     run = wh.next_run(SILVER)
-    batches = batches.withColumn("first_run", F.lit(run))
-    listed, _ = wh.write_run(batches if read is None else batches.unionByName(read), SILVER_BATCHES, run)
-    unread = None if read is None else listed.filter(F.col("first_run") == run)
-    new = {name: _rows_of(table, name, unread) for name, table in landed.items()}
+    first = spark.createDataFrame([(name, b, run) for name, ids in unread.items() for b in ids], BATCHES_SCHEMA)
+    wh.write_run(first if read is None else first.unionByName(read), SILVER_BATCHES, run)
+    new = {name: rows_of(wh.read_landed(name), ids) for name, ids in unread.items()}
 
     previous_items = wh.read(SILVER_ITEMS, last.run) if last is not None else None
-    items, n_items = wh.write_run(silver.silver_catalogue(new[BRONZE_ITEMS], previous_items), SILVER_ITEMS, run)
+    items, counts = wh.write_run(silver.silver_catalogue(new[BRONZE_ITEMS], previous_items), SILVER_ITEMS, run)
+    n_items = counts["rows"]
 
     # Malformed source lines stay rows (their NULL fields route them to quarantine); the
     # raw-line column itself is bronze-only evidence.
@@ -162,12 +174,12 @@ def run_silver(
         typed = wh.read(SILVER_RATINGS, last.run).select(*typed.columns).unionByName(typed)
     routed = silver.enrich(silver.route_ratings(typed, items)).select(*silver.SILVER_COLUMNS, ROUTE)
     # ONE write of every latest row, partitioned by route: the clean partition is silver, and
-    # the whole folder is the next run's state.  Sorted within tasks by (route, key), which
-    # clusters each file for skipping on point lookups; no global sort.
-    routed, _ = wh.write_run(routed.sortWithinPartitions(ROUTE, "movie_id", "user_id"), SILVER_RATINGS, run, [ROUTE])
+    # the whole folder is the next run's state.  Clustered by ranges of (route, key), so that a point
+    # lookup opens the few files whose range holds it.
+    routed, _ = wh.write_run(routed, SILVER_RATINGS, run, [ROUTE], cluster_by=[ROUTE, "movie_id", "user_id"])
     rejected = silver.quarantine_from_routed(routed, clock)
-    fresh = rejected if unread is None else _of_batches(rejected, unread)
-    n_quarantined = wh.land(fresh.withColumn(_RUN, F.lit(run)), QUARANTINE, by=_RUN)
+    fresh = rejected if last is None else of_batches(rejected, unread)
+    n_quarantined = wh.replace_part(fresh, QUARANTINE, _RUN, run)
 
     kept = routed.filter(F.col(ROUTE) == ROUTE_CLEAN).select(*silver.SILVER_COLUMNS)
     results = _gate(wh, SILVER, silver=kept, catalogue=items, quarantine=rejected, expect_quarantine=expect_quarantine)
@@ -182,7 +194,9 @@ def run_silver(
 def run_gold(spark: SparkSession, wh: Warehouse, expect_corrections: bool = True, report: RunReport | None = None) -> None:
     """B4-B7 + gate: dimensions, fact merge, monthly aggregate of the merged fact.
 
-    The fact keeps natural ids beside its nine columns, so the merge joins on 8-byte keys.
+    The fact keeps natural ids beside its nine columns, so the merge joins on 8-byte keys.  Merged are the
+    silver rows of batches that silver has read since the last gold run (all, if the catalogue
+    has changed: rows parked before may be known now), into the buckets of their keys.
     A silver run that is merged already is not merged again: nothing is written."""
     source, last = wh.last_run(SILVER), wh.last_run(GOLD)
     if last is not None and last.source_run == source.run:
@@ -192,16 +206,16 @@ def run_gold(spark: SparkSession, wh: Warehouse, expect_corrections: bool = True
     run = wh.next_run(GOLD)
     ratings = read_silver(wh, source.run)
     items = gold.dim_item(wh.read(SILVER_ITEMS, source.run))
-    # sorted within files by natural key (file-level min/max pruning), no global sort
-    dim_item, n_dim_item = wh.write_run(items.sortWithinPartitions("movie_natural_key"), DIM_ITEM, run)
+    dim_item, n_dim_item = wh.write_run(items, DIM_ITEM, run, cluster_by=["movie_natural_key"])
     _, n_dim_user = wh.write_run(gold.dim_user(ratings), DIM_USER, run)
 
-    keyed = gold.fact_stage(ratings, keep_natural=True)
-    merged = keyed if last is None else gold.merged_rows(wh.read(FACT, last.run), keyed)
-    fact, n_fact = wh.write_run(merged, FACT, run)
+    new = batches_since(wh, source.run, None if last is None else last.source_run)
+    batch = ratings if last is None or new[BRONZE_ITEMS] else of_batches(ratings, new)
+    fact, counts = wh.merge_run(gold.fact_stage(batch, keep_natural=True), FACT, run, GOLD, FACT_IDS, FACT_BUCKETS)
     results = _gate(wh, GOLD, fact=fact, expect_corrections=expect_corrections)
     _, n_monthly = wh.write_run(gold.monthly_agg(fact, dim_item), MONTHLY, run)
-    wh.publish(GOLD, run, source_run=source.run)
+    wh.publish(GOLD, run, source_run=source.run, counts=counts)
+    n_dim_item, n_dim_user, n_fact, n_monthly = n_dim_item["rows"], n_dim_user["rows"], counts["rows"], n_monthly["rows"]
     if report is not None:
         report.rows.update({DIM_ITEM: n_dim_item, DIM_USER: n_dim_user, FACT: n_fact, MONTHLY: n_monthly})
         report.checks[GOLD] = results

@@ -332,6 +332,47 @@ GROUP BY f.movie_key, f.rated_month, d.title, d.primary_genre, d.release_year"""
     + """SELECT movie_id, user_id, rating_before, rating_after, (SELECT count(*) FROM tgt) AS rows_before,
        (SELECT count(*) FROM both_sides) AS rows_after
 FROM both_sides WHERE rating_before <> rating_after ORDER BY movie_id, user_id, rating_before, rating_after LIMIT 1""",
+    "csv_files": _with(
+        """lines AS (
+    SELECT src_key % 10 AS kind, CAST(user_id AS VARCHAR) AS u, CAST(movie_id AS VARCHAR) AS m,
+           CAST(rating AS VARCHAR) AS r, CAST(CAST(epoch(event_ts) AS BIGINT) AS VARCHAR) AS t
+    FROM feed WHERE src_key % 10 <> 5
+)"""
+    )
+    + """SELECT u AS "userId", m AS "movieId", CASE WHEN kind = 9 THEN r || chr(10) || 'stars' ELSE r END AS rating,
+       CASE WHEN kind = 7 THEN NULL ELSE t END AS "timestamp",
+       CASE kind WHEN 7 THEN u || ',' || m || ',' || r WHEN 8 THEN u || ',' || m || ',' || r || ',' || t || ',extra' END AS _corrupt_record,
+       CASE WHEN kind = 9 THEN 'breaks' ELSE 'plain' END AS folder
+FROM lines""",
+    "csv_headers": """SELECT folder, CASE WHEN folder = 'swapped' THEN 'movieId,userId,rating,timestamp' ELSE 'userId,movieId,rating,timestamp' END AS header,
+       folder <> 'swapped' AS header_ok, CAST(sum(n) AS BIGINT) AS num_lines
+FROM (SELECT CASE l_orderkey % 10 WHEN 9 THEN 'breaks' WHEN 5 THEN 'swapped' ELSE 'plain' END AS folder,
+             CASE WHEN l_orderkey % 10 = 9 THEN 2 ELSE 1 END AS n FROM lineitem)
+GROUP BY folder""",
+    "append_relanded": _with()
+    + f"""SELECT '01' AS _ingest_batch, 'primary' AS _source_role, TIMESTAMP '{SECOND_CLOCK}' AS _ingested_at,
+       count(*) AS row_count, CAST(sum(src_key) AS BIGINT) AS key_sum FROM feed
+UNION ALL SELECT '1', 'corrections', TIMESTAMP '{CLOCK}', count(*), CAST(sum(src_key) AS BIGINT) FROM corr""",
+    "append_schema_changes": _with()
+    + """SELECT 'timestamp' AS column_name, 'missing' AS change, NULL::VARCHAR AS incoming_type, 'string' AS table_type, (SELECT count(*) FROM feed) AS num_values
+UNION ALL SELECT 'device', 'extra', 'string', NULL, (SELECT count(*) FROM feed WHERE src_key % 2 = 1)
+UNION ALL SELECT '_source_key', 'retyped', 'string', 'bigint', (SELECT count(*) FROM feed WHERE src_key % 2 = 1)""",
+    "run_history": _with(
+        f"""batches AS (
+    SELECT DISTINCT user_id, movie_id,
+           CASE WHEN version <= {AS_OF_VERSION} THEN 0 WHEN version <= {FEED_LAST_VERSION} THEN 1 ELSE 2 END AS run
+    FROM changelog
+)""",
+        """firsts AS (SELECT *, min(run) OVER (PARTITION BY user_id, movie_id) AS first FROM batches)""",
+        """counts AS (
+    SELECT run, count(*) AS num_written, count(*) FILTER (WHERE run = first) AS num_inserted FROM firsts GROUP BY run
+)""",
+    )
+    + """SELECT CAST(run AS INTEGER) AS version, CASE WHEN run = 0 THEN 'WRITE' ELSE 'MERGE' END AS operation, num_written, num_inserted,
+       num_written - num_inserted AS num_updated, CAST(sum(num_inserted) OVER (ORDER BY run) AS BIGINT) AS num_rows,
+       run = max(run) OVER () AS is_current
+FROM counts""",
+    "fact_bucketed": _with() + "SELECT * FROM fact_merged",
     "csv_lines": _with(
         """lines AS (
     SELECT src_key, src_line, src_key % 10 AS kind, CAST(user_id AS VARCHAR) AS u, CAST(movie_id AS VARCHAR) AS m,

@@ -18,7 +18,7 @@ from .. import config
 from ..functions import decade, invalid_rating, item_key, user_key
 from ..operators.dedup import dedup_natural_key
 from ..operators.merge import duplicate_keys, merge_update_only, merge_upsert
-from ..operators.routing import ROUTE, ROUTE_INVALID, ROUTE_ORPHAN, attach_reason, mark_known
+from ..operators.routing import ROUTE, ROUTE_INVALID, ROUTE_ORPHAN, attach_reason, mark_known, semi_reference
 from ..operators.versions import (
     VERSION,
     keys_lost,
@@ -27,8 +27,11 @@ from ..operators.versions import (
     version_diff,
     version_history,
 )
+from ..session import scratch_folder
 from ..sources import fixtures
-from ..sources.tables import schema_report
+from ..sources.ingest import CORRUPT_COLUMN, header_report, read_csv_text
+from ..sources.tables import schema_changes, schema_report
+from ..sources.warehouse import Warehouse
 from . import gold, quality, silver
 from .corrections import generate_corrections
 from .reconcile import reconcile_counts
@@ -40,6 +43,7 @@ FEED_LAST_VERSION = 6
 AS_OF_VERSION = 3
 # (movie_id, user_id): the grain key, most selective column first for sorts.
 KEYS = ["movie_id", "user_id"]
+FACT_BUCKETS = 64
 SECOND_BATCH = "20240116T000000Z"
 SECOND_CLOCK = "2024-01-16 00:00:00"
 
@@ -88,7 +92,8 @@ class Domain:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return silver.silver_from_routed(self.routed)
+        # no rejected row is needed: those without a key are left out before the window
+        return silver.silver_from_routed(silver.route_ratings(self.typed, self.catalogue_ids, keyless=False))
 
     @cached_property
     def quarantine(self) -> DataFrame:
@@ -107,13 +112,16 @@ class Domain:
     def fact(self) -> DataFrame:
         return gold.fact_stage(self.silver)
 
+    @cached_property
+    def states(self) -> DataFrame:
+        """The latest row of each key now, and before the corrections."""
+        return silver.keyed_states(self.typed)
+
     @cached_property
     def merged(self) -> DataFrame:
         """Rows of the fact after two runs: that of the feed alone, then that of feed and
         corrections, merged into it.  Keys that left silver in the second run stay."""
-        first = silver.typed_ratings(self.feed_text)
-        before = silver.silver_from_routed(silver.route_ratings(first, self.catalogue_ids))
-        return gold.merged_rows(before, self.silver)
+        return semi_reference(gold.merged_states(self.states), self.catalogue_ids, "movie_id")
 
     # versions
     def versioned(self, upto: int | None = None, since: int | None = None) -> DataFrame:
@@ -232,10 +240,8 @@ def q_quarantine_all(spark, sf_dir):
 
 def q_ref_integrity_semi(spark, sf_dir):
     d = _d(spark, sf_dir)
-    valid = silver.latest_per_pair(d.typed).filter(~invalid_rating())
-    from ..operators.routing import semi_reference
-
-    kept = semi_reference(valid, d.catalogue, "movie_id")
+    valid = silver.latest_keyed(d.typed).filter(~invalid_rating())
+    kept = semi_reference(valid, d.catalogue_ids, "movie_id")
     return kept.select("movie_id", "user_id", "rating", "event_ts", "rating_source")
 
 
@@ -310,7 +316,8 @@ def q_fact_stage(spark, sf_dir):
 
 def q_monthly_agg(spark, sf_dir):
     d = _d(spark, sf_dir)
-    return gold.monthly_agg(d.merged, d.dim_item)
+    # the join with the dimension leaves out items that are not catalogued
+    return gold.monthly_agg(gold.merged_states(d.states), d.dim_item)
 
 
 def q_fact_merged(spark, sf_dir):
@@ -408,29 +415,31 @@ def q_point_lookup(spark, sf_dir):
 
 def q_point_before_after(spark, sf_dir):
     """One key before and after the corrections are merged without inserts: the first
-    corrected pair, its rating at both versions, and the table's row counts, which agree."""
-    d = _d(spark, sf_dir)
-    before = d.snapshot(FEED_LAST_VERSION).select(*STATE_COLUMNS)
-    after = merge_update_only(before, d.batch(FEED_LAST_VERSION + 1).select(*STATE_COLUMNS), KEYS, validate_source=False)
-    sides = before.select(*KEYS, "rating", F.lit(0).alias("side")).unionByName(after.select(*KEYS, "rating", F.lit(1).alias("side")))
-    pairs = sides.groupBy(*KEYS).agg(
-        F.max(F.when(F.col("side") == 0, F.col("rating"))).alias("rating_before"),
-        F.max(F.when(F.col("side") == 1, F.col("rating"))).alias("rating_after"),
-        F.count_if(F.col("side") == 0).alias("n0"),
-        F.count_if(F.col("side") == 1).alias("n1"),
+    corrected pair, its rating at both versions, and the table's row counts, which agree.
+
+    A pair's row at either version comes from one grouped pass over the raw batches, from which the
+    pair and the counts are one aggregate more."""
+    rows = _placed(_d(spark, sf_dir).versioned())
+    place = F.struct(VERSION, *_PLACE)
+    in_feed = F.col(VERSION) <= FEED_LAST_VERSION
+    pairs = rows.groupBy(*KEYS).agg(
+        F.max_by("rating", F.when(in_feed, place)).alias("rating_before"),
+        F.max_by("rating", F.when(~in_feed, place)).alias("rating_corrected"),
+        F.bool_or(in_feed).alias("held"),
     )
+    held = pairs.filter("held").withColumn("rating_after", F.coalesce("rating_corrected", "rating_before"))
     pick = F.struct(*KEYS, "rating_before", "rating_after")
-    first = pairs.agg(
+    first = held.agg(
         F.min(F.when(F.col("rating_before") != F.col("rating_after"), pick)).alias("r"),
-        F.sum("n0").alias("rows_before"),
-        F.sum("n1").alias("rows_after"),
+        F.count(F.lit(1)).alias("rows_before"),
+        F.count("rating_after").alias("rows_after"),
     )
     return first.select("r.*", "rows_before", "rows_after")
 
 
 def q_reconcile_counts(spark, sf_dir):
     d = _d(spark, sf_dir)
-    return reconcile_counts(d.typed, d.catalogue)
+    return reconcile_counts(d.typed, d.catalogue_ids)
 
 
 # --- quality ------------------------------------------------------------------------
@@ -455,11 +464,10 @@ def _dq(select_name: str, layer: str):
 
 
 def q_dq_report(spark, sf_dir):
-    """All checks as one lazy plan: the silver part counts on the routed rows where the window
-    left them, the gold part on the merged fact."""
+    """All checks as one lazy plan over one grouped pass: both states of a key, hence its silver
+    row, its row of the merged fact and its rejected rows."""
     d = _d(spark, sf_dir)
-    routed = silver.route_ratings(d.typed, d.catalogue_ids, keep_known=True)
-    return quality.silver_report(routed).unionByName(quality.gold_report(d.merged, KEYS)).select(*_DQ_COLS)
+    return quality.report(mark_known(d.states, d.catalogue_ids, "movie_id"), KEYS).select(*_DQ_COLS)
 
 
 def q_csv_lines(spark, sf_dir):
@@ -467,6 +475,83 @@ def q_csv_lines(spark, sf_dir):
     return fixtures.parsed_lines(spark, sf_dir)
 
 
+def q_csv_files(spark, sf_dir):
+    """S1 end to end: the feed's CSV files scanned, short and long lines kept as corrupt, quoted
+    values and line breaks read, each row with the folder that its file is in."""
+    path = scratch_folder(spark, "csv")
+    fixtures.write_csv_files(spark, sf_dir, path)
+    columns = ["userId", "movieId", "rating", "timestamp", CORRUPT_COLUMN]
+    folder = F.regexp_extract("_metadata.file_path", "/folder=([a-z]+)/", 1).alias("folder")
+    plain, breaks = (read_csv_text(spark, f"{path}/folder={name}", config.RATINGS_TEXT_DDL, name == "breaks").select(*columns, folder) for name in ("plain", "breaks"))
+    return plain.unionByName(breaks)
+
+
+def q_csv_headers(spark, sf_dir):
+    """The headers of the feed's CSV files before they are read, and how many lines follow."""
+    path = scratch_folder(spark, "csv")
+    fixtures.write_csv_files(spark, sf_dir, path)
+    files = header_report(spark, path, config.RATINGS_TEXT_DDL)
+    folder = F.regexp_extract("file", "/folder=([a-z]+)/", 1).alias("folder")
+    return files.groupBy(folder, "header", "header_ok").agg(F.sum(F.col("num_lines") - 1).alias("num_lines"))
+
+
+def q_append_relanded(spark, sf_dir):
+    """Batches "01" and "1" landed, then "01" again an hour later: its rows are
+    replaced, those of "1" stay, and both ids stay as they are."""
+    d = _d(spark, sf_dir)
+    wh = Warehouse(spark, scratch_folder(spark, "append"))
+    stamped = lambda rows, batch, clock: rows.withColumns({"_ingest_batch": F.lit(batch), "_ingested_at": F.lit(clock).cast("timestamp_ntz")})
+    for rows, batch, clock in ((d.feed_text, "01", fixtures.FIXTURE_CLOCK), (d.corrections_text, "1", fixtures.FIXTURE_CLOCK), (d.feed_text, "01", SECOND_CLOCK)):
+        wh.land(stamped(rows, batch, clock), "ratings")
+    landed = wh.read_landed("ratings").groupBy("_ingest_batch", "_source_role", "_ingested_at")
+    return landed.agg(F.count(F.lit(1)).alias("row_count"), F.sum("_source_key").alias("key_sum"))
+
+
+def q_append_schema_changes(spark, sf_dir):
+    """A batch with a column too many, one too few and one of another type is not appended;
+    the differences, and the values they concern, are the result."""
+    d = _d(spark, sf_dir)
+    wh = Warehouse(spark, scratch_folder(spark, "append"))
+    wh.land(d.corrections_text, "ratings")
+    odd = F.col("_source_key") % 2 == 1
+    batch = d.feed_text.drop("timestamp").withColumns(
+        {"device": F.when(odd, "phone"), "_source_key": F.when(odd, F.concat(F.lit("key "), "_source_key")).otherwise(F.col("_source_key").cast("string"))}
+    )
+    try:
+        wh.land(batch, "ratings")
+    except ValueError:
+        return schema_changes(batch, wh.stored_schema("ratings"))
+    raise AssertionError("a batch of another schema was appended")
+
+
+HISTORY_BOUNDS = ((0, AS_OF_VERSION), (AS_OF_VERSION + 1, FEED_LAST_VERSION), (FEED_LAST_VERSION + 1, None))
+
+
+def q_run_history(spark, sf_dir):
+    """K3, V1, V3, D3: three batches of versions merged by as many runs of a stored table, the first
+    of which creates it; the history is what the merges observed while writing."""
+    d = _d(spark, sf_dir)
+    wh = Warehouse(spark, scratch_folder(spark, "history"))
+    for run, (low, high) in enumerate(HISTORY_BOUNDS):
+        _, counts = wh.merge_run(d.batch(low, high), "state", run, "gold", KEYS, FACT_BUCKETS)
+        wh.publish("gold", run, counts=counts)
+    current = wh.last_run("gold").run
+    return wh.history("gold").withColumn("is_current", F.col("version") == current)
+
+
+def q_fact_bucketed(spark, sf_dir):
+    """The fact of the feed stored in key buckets, then the corrected rows of silver merged
+    into the buckets that they touch."""
+    d = _d(spark, sf_dir)
+    wh = Warehouse(spark, scratch_folder(spark, "fact"))
+    before = silver.silver_from_routed(silver.route_ratings(silver.typed_ratings(d.feed_text), d.catalogue_ids, keyless=False))
+    corrected = d.silver.filter(F.col("rating_source") == config.SOURCE_CORRECTION)
+    for run, rows in enumerate((before, corrected)):
+        fact, counts = wh.merge_run(gold.fact_stage(rows, keep_natural=True), "fact", run, "gold", KEYS, FACT_BUCKETS)
+        wh.publish("gold", run, counts=counts)
+    return fact.select(*gold.FACT_COLUMNS)
+
+
 def q_schema_report(spark, sf_dir):
     return schema_report(_d(spark, sf_dir).silver)
 
@@ -525,5 +610,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_fact_grain": _dq(quality.FACT_GRAIN.name, "gold"),
     "dq_corrections_applied": _dq(quality.CORRECTIONS_APPLIED.name, "gold"),
     "dq_report": q_dq_report,
+    "csv_files": q_csv_files,
+    "csv_headers": q_csv_headers,
+    "append_relanded": q_append_relanded,
+    "append_schema_changes": q_append_schema_changes,
+    "run_history": q_run_history,
+    "fact_bucketed": q_fact_bucketed,
     "schema_report": q_schema_report,
 }

@@ -3,11 +3,10 @@
 input = feed + corrections; input - superseded = latest;
 latest = invalid + orphans + silver.
 
-Skew-safe by construction: the input side is a plain partial aggregation over
-the typed rows, and the routed side counts the output of the latest-wins
-top-1 (whose partial ``WindowGroupLimit`` runs before the shuffle), so no task
-ever receives all rows of a hot key.  The two one-row aggregates are combined
-by a union and a final aggregation - no join.
+One grouped pass gives each key's latest row and its number of records; the
+catalogue is probed once for each key, and all counts are sums of that.  Map-side combination
+leaves one row for each task and key, so a hot key does not meet in one task.  Rows with
+a NULL key supersede nothing: each is a latest row, and invalid.
 """
 
 from __future__ import annotations
@@ -15,39 +14,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import config
-from ..operators.routing import ROUTE, ROUTE_CLEAN, ROUTE_INVALID, ROUTE_ORPHAN
-from .silver import route_ratings
-
-INPUT_COUNTS = ("feed_rows", "correction_rows", "input_rows")
-ROUTE_COUNTS = ("latest_rows", "invalid_rows", "orphan_rows", "silver_rows")
+from ..operators.routing import mark_known
+from .silver import has_key, keyed_states, valid_state
 
 
 def reconcile_counts(typed: DataFrame, catalogue: DataFrame) -> DataFrame:
-    src = F.col("rating_source")
-    inputs = typed.agg(
-        F.count_if(src == config.SOURCE_PRIMARY).alias("feed_rows"),
-        F.count_if(src == config.SOURCE_CORRECTION).alias("correction_rows"),
-        F.count(F.lit(1)).alias("input_rows"),
-    )
-    route = F.col(ROUTE)
-    routed = route_ratings(typed, catalogue).agg(
-        F.count(F.lit(1)).alias("latest_rows"),
-        F.count_if(route == ROUTE_INVALID).alias("invalid_rows"),
-        F.count_if(route == ROUTE_ORPHAN).alias("orphan_rows"),
-        F.count_if(route == ROUTE_CLEAN).alias("silver_rows"),
-    )
-    none = F.lit(None).cast("bigint")
-    both = inputs.select(*INPUT_COUNTS, *[none.alias(c) for c in ROUTE_COUNTS]).unionByName(
-        routed.select(*[none.alias(c) for c in INPUT_COUNTS], *ROUTE_COUNTS)
+    keys = mark_known(keyed_states(typed).withColumn("valid", valid_state("now")).drop("now", "before"), catalogue, "movie_id")
+    records = F.col("feed_rows") + F.col("correction_rows")
+    latest = F.when(has_key(), F.lit(1)).otherwise(records)
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    counts = keys.agg(
+        total("feed_rows").alias("feed_rows"),
+        total("correction_rows").alias("correction_rows"),
+        total(records).alias("input_rows"),
+        total(records - latest).alias("superseded_rows"),
+        total(latest).alias("latest_rows"),
+        total(F.when(~F.col("valid"), latest)).alias("invalid_rows"),
+        total(F.when(F.col("valid") & ~F.col("_known"), latest)).alias("orphan_rows"),
+        total(F.when(F.col("valid") & F.col("_known"), latest)).alias("silver_rows"),
     )
-    counts = both.agg(*[F.max(c).alias(c) for c in (*INPUT_COUNTS, *ROUTE_COUNTS)])
-    return counts.select(
-        *INPUT_COUNTS,
-        (F.col("input_rows") - F.col("latest_rows")).alias("superseded_rows"),
-        *ROUTE_COUNTS,
-    ).withColumn(
+    return counts.withColumn(
         "balanced",
-        (F.col("input_rows") - F.col("superseded_rows") == F.col("latest_rows"))
+        (F.col("input_rows") == F.col("feed_rows") + F.col("correction_rows"))
+        & (F.col("input_rows") - F.col("superseded_rows") == F.col("latest_rows"))
         & (F.col("latest_rows") == F.col("invalid_rows") + F.col("orphan_rows") + F.col("silver_rows")),
     )

@@ -10,8 +10,8 @@ Semantics kept from the layered design: dedup happens *before* validation, so
 a newer invalid record evicts an older valid one and the key leaves silver
 (it is quarantined with the newer record).  Deliberate deviations:
 
-* rows with a NULL key go round the window and reach quarantine one by one
-  (nothing vanishes before the split);
+* rows with a NULL key pass through the window one by one and reach quarantine (nothing
+  vanishes before the split); what needs no rejected row leaves them out before it;
 * the latest-wins order is total (event time, ingest time, corrections before the
   feed, batch, file, source position), so reruns pick the same winner;
 * catalogue dedup keeps the most recently landed row per item, not any row.
@@ -91,15 +91,25 @@ def typed_ratings(feed: DataFrame, corrections: DataFrame | None = None) -> Data
 # --- ratings: latest wins + routing -------------------------------------------
 
 
-def _has_key():
+def has_key():
     return F.col("user_id").isNotNull() & F.col("movie_id").isNotNull()
 
 
+_ALONE = "_alone"
+
+
 def latest_per_pair(typed: DataFrame) -> DataFrame:
-    """Newest record per (user_id, movie_id); NULL-key rows go round the window, one by
-    one, so what follows finds the rows partitioned by exactly their key."""
-    latest = latest_wins(typed.filter(_has_key()), WINDOW_KEYS, LATEST_ORDER)
-    return latest.unionByName(typed.filter(~_has_key()))
+    """Newest record per (user_id, movie_id); rows with a NULL key all stay.
+
+    Each of these is a window partition of its own, told apart by a row id that is NULL for all others:
+    one reading of the input serves both, and however many they are, they are dealt evenly."""
+    alone = typed.withColumn(_ALONE, F.when(~has_key(), F.monotonically_increasing_id()))
+    return latest_wins(alone, [*WINDOW_KEYS, _ALONE], LATEST_ORDER).drop(_ALONE)
+
+
+def latest_keyed(typed: DataFrame) -> DataFrame:
+    """W1 without rows that have a NULL key: partitioned by exactly the key for what follows."""
+    return latest_wins(typed.filter(has_key()), WINDOW_KEYS, LATEST_ORDER)
 
 
 def latest_valid_per_pair(typed: DataFrame) -> DataFrame:
@@ -113,24 +123,43 @@ def enrich(df: DataFrame) -> DataFrame:
     return df.withColumn("rating_tier", rating_tier()).withColumn("rated_month", month_bucket())
 
 
-def route_ratings(typed: DataFrame, catalogue: DataFrame, keep_known: bool = False) -> DataFrame:
+def route_ratings(typed: DataFrame, catalogue: DataFrame, keyless: bool = True) -> DataFrame:
     """Every deduplicated row with ``_route`` in {clean, invalid, orphan}.
 
     Invalid wins over orphan (validity is checked first); orphan = a valid row
-    whose movie_id is not in the catalogue.  ``keep_known`` leaves the probe's
-    answer in ``_known``.
+    whose movie_id is not in the catalogue.  ``keyless=False`` leaves out rows with a NULL
+    key: no clean row is lost, and the others stay partitioned by their key.
     """
-    latest = latest_wins(typed.filter(_has_key()), WINDOW_KEYS, LATEST_ORDER)
+    latest = latest_per_pair(typed) if keyless else latest_keyed(typed)
     probed = mark_known(latest, catalogue.select("movie_id"), "movie_id")
     route = (
         F.when(invalid_rating(), F.lit(ROUTE_INVALID))
         .when(~F.col("_known"), F.lit(ROUTE_ORPHAN))
         .otherwise(F.lit(ROUTE_CLEAN))
     )
-    keyed = probed.withColumn(ROUTE, route)
-    keyless = typed.filter(~_has_key()).withColumns({"_known": F.lit(False), ROUTE: F.lit(ROUTE_INVALID)})
-    routed = keyed.unionByName(keyless)
-    return routed if keep_known else routed.drop("_known")
+    return probed.withColumn(ROUTE, route).drop("_known")
+
+
+def keyed_states(typed: DataFrame) -> DataFrame:
+    """Per (movie_id, user_id) the latest row of all records (``now``) and of the primary feed alone
+    (``before``, NULL without one), and how many records of either source there were.
+
+    One grouped pass, combined in each map task: a merge of two states, its checks and
+    its reconciliation read the input once.  Rows with a NULL key meet in groups whose counts count."""
+    correction = F.col("rating_source") == config.SOURCE_CORRECTION
+    place = F.struct("event_ts", "_ingested_at", correction.alias("_correction"), "_ingest_batch", "_source_file", "_source_key", "_source_line", "rating")
+    row = F.struct("rating", "event_ts", "rating_source", "_source_role", "_ingest_batch")
+    return typed.groupBy(*WINDOW_KEYS).agg(
+        F.max_by(row, place).alias("now"),
+        F.max_by(row, F.when(~correction, place)).alias("before"),
+        F.count_if(~correction).alias("feed_rows"),
+        F.count_if(correction).alias("correction_rows"),
+    )
+
+
+def valid_state(state: str):
+    """Whether a state of ``keyed_states`` holds a valid row."""
+    return F.col(state).isNotNull() & ~invalid_rating("user_id", "movie_id", F.col(state)["rating"])
 
 
 def silver_from_routed(routed: DataFrame) -> DataFrame:
@@ -171,7 +200,7 @@ QUARANTINE_COLUMNS = [
 
 def silver_ratings(feed: DataFrame, corrections: DataFrame | None, catalogue: DataFrame) -> DataFrame:
     """The silver ratings layer (kept rows only)."""
-    return silver_from_routed(route_ratings(typed_ratings(feed, corrections), catalogue))
+    return silver_from_routed(route_ratings(typed_ratings(feed, corrections), catalogue, keyless=False))
 
 
 # --- catalogue ----------------------------------------------------------------

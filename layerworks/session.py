@@ -10,6 +10,8 @@ dirty text goes through explicit ``try_*`` conversions.
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +66,18 @@ def require_utc(spark: SparkSession) -> None:
         raise RuntimeError(f"session time zone must be UTC, found {zone!r}")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under ``spark.checkpoint.dir``, which driver and executors share.  Only a
+    ``local`` session without that setting gets a folder of its own."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="layerworks-scratch-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def recommended_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024**2) -> dict[str, str]:
     """Scale-dependent settings for a cluster run over ``input_bytes``.
 

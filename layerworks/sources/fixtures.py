@@ -100,6 +100,39 @@ def parsed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("_source_key", "_source_line", F.from_csv("line", schema, options).alias("r")).select("_source_key", "_source_line", "r.*")
 
 
+CSV_HEADER = "userId,movieId,rating,timestamp"
+CSV_FOLDERS = ("plain", "breaks", "swapped")
+
+
+def write_csv_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The feed as CSV files with headers (S1), in folders by the order key's last digit: ``breaks`` (9)
+    holds ratings with a quoted line break, ``swapped`` (5) has its first two columns the other way
+    round, ``plain`` all others, of which 6 is quoted, 7 lacks its last field and 8 has one too many."""
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    feed = feed_typed(spark, sf_dir)
+    last = F.col("_source_key") % 10
+    u, m, r = (F.col(c).cast("string") for c in ("user_id", "movie_id", "rating"))
+    t = ts_to_epoch_seconds("event_ts").cast("string")
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    line = (
+        F.when(last == 5, F.concat_ws(",", m, u, r, t))
+        .when(last == 6, F.concat_ws(",", quoted(u), quoted(m), quoted(r), t))
+        .when(last == 7, F.concat_ws(",", u, m, r))
+        .when(last == 8, F.concat_ws(",", u, m, r, t, F.lit("extra")))
+        .when(last == 9, F.concat_ws(",", u, m, quoted(F.concat(r, F.lit("\nstars"))), t))
+        .otherwise(F.concat_ws(",", u, m, r, t))
+    )
+    folder = F.when(last == 9, "breaks").when(last == 5, "swapped").otherwise("plain")
+    part = F.pmod(F.xxhash64("_source_key", "_source_line"), F.lit(files))
+    rows = feed.select(folder.alias("folder"), part.alias("part"), F.lit(1).alias("place"), line.alias("line"))
+    swapped = ",".join([*reversed(CSV_HEADER.split(",")[:2]), *CSV_HEADER.split(",")[2:]])
+    headers = spark.range(files).select(F.explode(F.array(*map(F.lit, CSV_FOLDERS))).alias("folder"), F.col("id").alias("part"), F.lit(0).alias("place"))
+    headers = headers.withColumn("line", F.when(F.col("folder") == "swapped", swapped).otherwise(CSV_HEADER))
+    # one file for each folder and part, its header first
+    dealt = rows.unionByName(headers).repartition("folder", "part").sortWithinPartitions("folder", "part", "place")
+    dealt.drop("place").write.partitionBy("folder", "part").text(path)
+
+
 def ratings_as_text(typed: DataFrame) -> DataFrame:
     """Render typed rating rows in the raw text layout of the source files."""
     return typed.select(

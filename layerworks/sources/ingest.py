@@ -37,18 +37,31 @@ def text_schema(ddl: str) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
 
 
-def read_csv_text(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """Header CSV, PERMISSIVE, explicit all-string schema, header checked."""
+def read_csv_text(spark: SparkSession, path: str, ddl: str, multi_line: bool = False) -> DataFrame:
+    """Header CSV, PERMISSIVE, explicit all-string schema, header checked.  ``multi_line``
+    lets quoted values hold line breaks; such files are not split among tasks."""
     return (
         spark.read.schema(text_schema(ddl))
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        .option("multiLine", multi_line)
         .csv(path)
     )
 
 
+def header_report(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Per file of a folder its first line, whether that is the header of ``ddl`` (names in order,
+    any case or quoting), and its number of lines: what to look at before landing."""
+    names = ",".join(f.name.lower() for f in T._parse_datatype_string(ddl))
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place")
+    )
+    per_file = lines.groupBy("file").agg(F.min_by("value", "place").alias("header"), F.count(F.lit(1)).alias("num_lines"))
+    return per_file.withColumn("header_ok", F.lower(F.regexp_replace("header", '["\\s]', "")) == names)
+
+
 def stamp_provenance(
     df: DataFrame,
     source_file: str | None,

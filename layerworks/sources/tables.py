@@ -40,6 +40,30 @@ def schema_report(df: DataFrame) -> DataFrame:
     return counts.select(F.explode(rows).alias("c")).select("c.*")
 
 
+def schema_changes(incoming: DataFrame, target: T.StructType) -> DataFrame:
+    """S10 as rows: columns of ``incoming`` that keep it from being appended to ``target``.
+
+    change: missing, extra, or retyped; num_values: what an append by force would cost, as
+    the rows left without a value, the values dropped, the values that do not convert.  One
+    aggregation over the whole batch."""
+    have = {f.name: f.dataType.simpleString() for f in incoming.schema}
+    want = {f.name: f.dataType.simpleString() for f in target}
+    found = [(c, "missing", None, t, F.count(F.lit(1))) for c, t in want.items() if c not in have]
+    found += [(c, "extra", t, None, F.count(F.col(c))) for c, t in have.items() if c not in want]
+    found += [
+        (c, "retyped", t, want[c], F.count_if(F.col(c).isNotNull() & F.col(c).cast("string").try_cast(want[c]).isNull())) for c, t in have.items() if c in want and t != want[c]
+    ]
+    counts = incoming.agg(*[n.alias(f"_n{i}") for i, (*_, n) in enumerate(found)] or [F.count(F.lit(1)).alias("_n0")])
+    text = lambda x: F.lit(x).cast("string")
+    rows = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(change).alias("change"), text(a).alias("incoming_type"), text(b).alias("table_type"), F.col(f"_n{i}").alias("num_values"))
+        for i, (c, change, a, b, _) in enumerate(found)
+    ]
+    if not rows:
+        return counts.select(text(None).alias("column_name"), text(None).alias("change"), text(None).alias("incoming_type"), text(None).alias("table_type"), F.col("_n0").alias("num_values")).limit(0)
+    return counts.select(F.explode(F.array(*rows)).alias("c")).select("c.*")
+
+
 def assert_same_schema(incoming: DataFrame | T.StructType, target: T.StructType) -> None:
     """Append-time schema enforcement (S10): same column names, order and
     types.  Nullability is not compared: parquet reads every column back as

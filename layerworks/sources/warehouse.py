@@ -3,14 +3,17 @@
 Layout under ``root`` (a folder every executor can reach):
 
 * ``<name>/_ingest_batch=<id>/``  landed batches (bronze).  Landing a batch id again
-  replaces that batch only, so a replayed batch is not duplicated.
-* ``<name>/run=<n>/``  replaced tables (silver, dimensions, fact, aggregate): a run writes
+  replaces that batch only, so a replayed batch is not duplicated.  Ids stay the strings
+  they are ("01" and "1" are two batches); which there are is known from folder names.
+* ``<name>/run=<n>/``  replaced tables (silver, dimensions, aggregate): a run writes
   each of its tables whole into a new folder, and nobody reads it before its run is listed.
+* ``<name>/run=<n>/_bucket=<b>/``  tables in key buckets (fact): a run writes the buckets that its
+  batch touches; a run's table is, for each bucket, the newest folder up to that run.
 * ``_runs/``  one row for each published run of a layer.  Readers take the newest run, or an
   older one by number; an unlisted folder left by a failed attempt is written over.
 
-This is no table format: one writer, whole-table replacement, no row-level files.  Where
-these do not suffice, write the same DataFrames to a format that has them.
+This is no table format: one writer, folders replaced whole, no row-level files, no list of
+files.  Where these do not suffice, write the same DataFrames to a format that has them.
 """
 
 from __future__ import annotations
@@ -18,15 +21,23 @@ from __future__ import annotations
 import datetime as dt
 import json
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.merge import CHANGE, CHANGES, merge_upsert
 from .tables import assert_same_schema
 
-RUN_SCHEMA = "layer string, run int, source_run int, published_at timestamp_ntz"
+RUN_SCHEMA = "layer string, run int, source_run int, published_at timestamp_ntz, num_rows long, inserted long, updated long, kept long"
+BUCKET = "_bucket"
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a key: rows of a key meet in one, and many keys share each."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
 class Warehouse:
@@ -37,25 +48,38 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _or_none(self, read) -> DataFrame | None:
+    def _files(self, path: str):
+        """The file system of a path, and the path as it knows it."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(context._jsc.hadoopConfiguration()), folder
+
+    def _or_none(self, path: str, read) -> DataFrame | None:
+        files, folder = self._files(path)
+        if not files.exists(folder):
+            return None
         try:
-            return read()
+            return read(path)
         except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
                 return None
             raise
 
     # --- appends ----------------------------------------------------------------
 
+    def stored_schema(self, name: str) -> T.StructType | None:
+        """Columns and types of an appended table's first write."""
+        stored = self._or_none(f"{self.path(name)}/_schema", self.spark.read.text)
+        return None if stored is None else T.StructType.fromJson(json.loads(stored.first()[0]))
+
     def _enforce_schema(self, df: DataFrame, name: str) -> None:
         """An append must match the columns and types of the table's first write, which
         are kept as one JSON line beside the data (no data file is listed for it)."""
-        path = f"{self.path(name)}/_schema"
-        stored = self._or_none(lambda: self.spark.read.text(path))
+        stored = self.stored_schema(name)
         if stored is None:
-            self.spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.text(path)
+            self.spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.text(f"{self.path(name)}/_schema")
         else:
-            assert_same_schema(df.schema, T.StructType.fromJson(json.loads(stored.first()[0])))
+            assert_same_schema(df.schema, stored)
 
     def land(self, df: DataFrame, name: str, by: str = "_ingest_batch") -> int:
         """Append rows partitioned by ``by``; a value landed again replaces its own rows.
@@ -73,23 +97,92 @@ class Warehouse:
         df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(self.path(name))
         return int(seen.get["rows"])
 
+    def replace_part(self, df: DataFrame, name: str, by: str, value: int) -> int:
+        """The rows of one value of ``by`` replaced by ``df``, which may be empty (a partitioned
+        overwrite replaces only values that get rows); returns the rows written."""
+        self._enforce_schema(df.withColumn(by, F.lit(value)), name)
+        seen = Observation()
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{self.path(name)}/{by}={value}")
+        return int(seen.get["rows"])
+
     def read_landed(self, name: str) -> DataFrame | None:
-        """All rows of an appended table, None before its first append."""
-        return self._or_none(lambda: self.spark.read.parquet(self.path(name)))
+        """All rows of an appended table, None before its first append.  Its stored schema is
+        given to the reader, which would else take partition values such as "01" for numbers."""
+        schema = self.stored_schema(name)
+        if schema is None:
+            return None
+        return self._or_none(self.path(name), lambda path: self.spark.read.schema(schema).parquet(path).select(*schema.names))
+
+    def _folders(self, path: str, by: str) -> list[str]:
+        """Values of ``by`` among the folders ``<by>=<value>`` of a path, without opening files."""
+        files, folder = self._files(path)
+        names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+        return [unquote(n.partition("=")[2]) for n in names if n.startswith(f"{by}=")]
+
+    def landed_values(self, name: str, by: str = "_ingest_batch") -> list[str]:
+        """The values of ``by`` that have been landed, as they were given."""
+        return sorted(self._folders(self.path(name), by))
 
     # --- replaced tables ---------------------------------------------------------
 
-    def write_run(self, df: DataFrame, name: str, run: int, partition_by: Sequence[str] = ()) -> tuple[DataFrame, int]:
-        """Write a table whole into its folder of ``run``; (the rows read again, their count)."""
+    def write_run(
+        self, df: DataFrame, name: str, run: int, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), change: str | None = None
+    ) -> tuple[DataFrame, dict[str, int]]:
+        """Write a table whole into its folder of ``run``; (the rows read again, their counts).
+
+        ``cluster_by`` (K1) deals the rows by ranges of these columns (bounds are sampled) and sorts them
+        inside, so that each file spans a small range and a lookup skips most.  ``change`` names a
+        column of ``merge_upsert`` that is counted by value while writing, and not written."""
         path = f"{self.path(name)}/run={run}"
+        counts = [F.count(F.lit(1)).alias("rows")]
+        if change:
+            counts += [F.count_if(F.col(change) == kind).alias(kind) for kind in CHANGES]
         seen = Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        if cluster_by:
+            df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+        df = df.observe(seen, *counts)  # above the range exchange, whose sampling also reads what is below
+        df = df.drop(change) if change else df
+        writer = df.write.mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns), int(seen.get["rows"])
+        rows = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        return rows, {k: int(v) for k, v in seen.get.items()}
+
+    def _bucket_paths(self, name: str, run: int, layer: str, only: set[int] | None = None) -> list[str]:
+        """For each bucket its newest folder among published runs up to ``run``, and ``run`` itself."""
+        found: dict[int, str] = {}
+        listed = {r.run for r in self.runs(layer).filter(F.col("run") < run).select("run").collect()} | {run}
+        for n in sorted(listed, reverse=True):
+            for b in map(int, self._folders(f"{self.path(name)}/run={n}", BUCKET)):
+                if only is None or b in only:
+                    found.setdefault(b, f"{self.path(name)}/run={n}/{BUCKET}={b}")
+        return [found[b] for b in sorted(found)]
+
+    def read_buckets(self, name: str, run: int, layer: str, schema: T.StructType | None = None, only: set[int] | None = None) -> DataFrame | None:
+        """A bucketed table as of ``run``, or only some of its buckets; None if it has none."""
+        paths = self._bucket_paths(name, run, layer, only)
+        if not paths:
+            return None if schema is None else self.spark.createDataFrame([], schema)
+        return (self.spark.read if schema is None else self.spark.read.schema(schema)).parquet(*paths)
+
+    def merge_run(self, batch: DataFrame, name: str, run: int, layer: str, keys: Sequence[str], buckets: int) -> tuple[DataFrame, dict[str, int]]:
+        """V6 + J7: ``batch`` upserted into a bucketed table; (its rows as of ``run``, counts).
+
+        Only buckets that the batch touches are read, merged and written anew; the files of all others
+        stay.  The table's row count is that of the last run and what was inserted.  The merged
+        rows are dealt by bucket, large buckets to several files, and sorted by key inside."""
+        last = self.last_run(layer)
+        touched = {r[0] for r in batch.select(bucket_of(keys, buckets).alias(BUCKET)).distinct().collect()}  # <= buckets
+        target = None if last is None else self.read_buckets(name, last.run, layer, batch.schema, touched)
+        merged = merge_upsert(target, batch, keys, validate_source=False, change=CHANGE).withColumn(BUCKET, bucket_of(keys, buckets))
+        dealt = merged.hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, *keys)
+        _, counts = self.write_run(dealt, name, run, [BUCKET], change=CHANGE)
+        before = 0 if last is None else last.num_rows or 0
+        counts |= {"rows": before + counts["inserted"], "kept": before - counts["updated"]}
+        return self.read_buckets(name, run, layer, batch.schema), counts
 
     def runs(self, layer: str, limit: int | None = None) -> DataFrame:
         """K3: published runs of a layer, newest first."""
-        found = self._or_none(lambda: self.spark.read.schema(RUN_SCHEMA).parquet(self.path("_runs")))
+        found = self._or_none(self.path("_runs"), self.spark.read.schema(RUN_SCHEMA).parquet)
         if found is None:
             found = self.spark.createDataFrame([], RUN_SCHEMA)
         newest = found.filter(F.col("layer") == layer).orderBy(F.desc("run"))
@@ -103,11 +196,23 @@ class Warehouse:
         last = self.last_run(layer)
         return 0 if last is None else last.run + 1
 
-    def publish(self, layer: str, run: int, source_run: int | None = None) -> None:
+    def publish(self, layer: str, run: int, source_run: int | None = None, counts: dict[str, int] | None = None) -> None:
         """List a run: all tables that it wrote become visible together.  ``source_run``: the
-        run of the layer before."""
+        run of the layer before; ``counts``: rows, inserted, updated, kept of what it merged."""
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        self.spark.createDataFrame([(layer, run, source_run, now)], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path("_runs"))
+        metrics = [(counts or {}).get(k) for k in ("rows", *CHANGES)]
+        self.spark.createDataFrame([(layer, run, source_run, now, *metrics)], RUN_SCHEMA).coalesce(1).write.mode("append").parquet(self.path("_runs"))
+
+    def history(self, layer: str) -> DataFrame:
+        """V3: per published run its operation and what the merge did, as observed while writing."""
+        return self.runs(layer).select(
+            F.col("run").alias("version"),
+            F.when(F.col("run") == 0, F.lit("WRITE")).otherwise(F.lit("MERGE")).alias("operation"),
+            (F.col("inserted") + F.col("updated")).alias("num_written"),
+            F.col("inserted").alias("num_inserted"),
+            F.col("updated").alias("num_updated"),
+            F.col("num_rows"),
+        )
 
     def read(self, name: str, run: int) -> DataFrame:
         """V2: a table as ``run`` wrote it."""
@@ -115,4 +220,4 @@ class Warehouse:
 
     def read_or_none(self, name: str, run: int) -> DataFrame | None:
         """A table as ``run`` wrote it, None if it did not."""
-        return self._or_none(lambda: self.read(name, run))
+        return self._or_none(f"{self.path(name)}/run={run}", self.spark.read.parquet)

@@ -39,7 +39,7 @@ def test_full_run_matches_queries_and_reruns_write_nothing(spark, tmp_root):
     assert kept.filter(F.col("event_ts").isNull()).count() == 0
     first, last = kept.agg(F.min("event_ts"), F.max("event_ts")).first()
     assert first.year == 1995 and 2001 <= last.year <= 2030
-    fact = wh.read(layers.FACT, 0)
+    fact = layers.read_fact(wh, 0)
     assert report.rows[layers.FACT] == fact.count() == d.fact.count()
     assert wh.read(layers.MONTHLY, 0).count() == d.fact.groupBy("movie_key", "rated_month").count().count()
 
@@ -58,14 +58,14 @@ def test_second_gold_run_merges_and_keeps_keys_that_left_silver(spark, tmp_root)
     corrections = fixtures.corrections_text(spark, SF_SMALL, "20240116T000000Z", "2024-01-16 00:00:00")
     wh.land(corrections, layers.BRONZE_CORRECTIONS)
     layers.run_layers(spark, wh, clock=CLOCK)
-    fact, d = wh.read(layers.FACT, 1), Domain(spark, SF_SMALL)
+    fact, d = layers.read_fact(wh, 1), Domain(spark, SF_SMALL)
     want = gold.fact_stage(d.merged).drop("_ingest_batch")
     got = fact.select(*want.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert fact.count() > layers.read_silver(wh).count()  # rejected winners left silver, not the fact
     assert fact.groupBy(*config.FACT_KEYS).count().filter("count > 1").count() == 0
     # the run before is still readable, and both are listed
-    assert wh.read(layers.FACT, 0).filter("rating_source = 'correction'").count() == 0
+    assert layers.read_fact(wh, 0).filter("rating_source = 'correction'").count() == 0
     assert [r.run for r in wh.runs(layers.GOLD).collect()] == [1, 0]
     assert [r.run for r in wh.runs(layers.GOLD, 1).collect()] == [1]
 
@@ -255,3 +255,127 @@ def test_batches_with_older_or_equal_ingest_times_are_read(spark, tmp_root):
     land(layers.BRONZE_RATINGS, "b3", "2024-01-15 10:05:00", [("5", "1", "4.0", "964982703")])
     assert run() == {(1, 1), (3, 1), (5, 1)} and parked() == [2, 4, 6]
     assert run() == {(1, 1), (3, 1), (5, 1)} and wh_runs(wh) == [2, 1, 0]
+
+
+def rating_rows(spark, batch, values, clock="2024-01-15 10:00:00"):
+    raw = spark.createDataFrame(values, "userId string, movieId string, rating string, timestamp string")
+    raw = raw.withColumns({layers.CORRUPT_COLUMN: F.lit(None).cast("string"), "_source_key": F.lit(0)})
+    return stamp_provenance(raw, "f.csv", "primary", batch, clock)
+
+
+def item_rows(spark, batch, ids, clock="2024-01-15 10:00:00"):
+    raw = spark.createDataFrame([(str(i), f"Item {i} (1995)", "Drama") for i in ids], "movieId string, title string, genres string")
+    raw = raw.withColumns({layers.CORRUPT_COLUMN: F.lit(None).cast("string"), "_source_key": F.lit(0)})
+    return stamp_provenance(raw, "i.csv", "primary", batch, clock)
+
+
+def test_batch_ids_stay_strings_and_every_batch_is_read(spark, tmp_root):
+    """Ids that a reader would take for equal numbers or dates are batches of their own."""
+    wh = Warehouse(spark, tmp_root)
+    wh.land(item_rows(spark, "i", [1]), layers.BRONZE_ITEMS)
+    ids = ["1", "01", "0012", "12", "1e3", "1000.0", "2024-01-15", "-0", "a b/c=d%e", "20240115T000000Z"]
+    for user, batch in enumerate(ids):
+        wh.land(rating_rows(spark, batch, [(str(user), "1", "4.0", "964982703")]), layers.BRONZE_RATINGS)
+        layers.run_silver(spark, wh, CLOCK, expect_quarantine=False)
+        kept = {(r.user_id, r._ingest_batch) for r in layers.read_silver(wh).collect()}
+        assert kept == set(enumerate(ids[: user + 1]))
+    assert wh.landed_values(layers.BRONZE_RATINGS) == sorted(ids)
+    assert {r._ingest_batch for r in wh.read_landed(layers.BRONZE_RATINGS).collect()} == set(ids)
+
+
+def test_second_attempt_without_rejected_rows_leaves_none(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    wh.land(item_rows(spark, "i", [2]), layers.BRONZE_ITEMS)
+    wh.land(rating_rows(spark, "b", [("1", "1", "4.0", "964982703")]), layers.BRONZE_RATINGS)
+    with pytest.raises(quality.GateBlocked):  # silver would be empty
+        layers.run_silver(spark, wh, CLOCK)
+    assert wh.read_landed(layers.QUARANTINE).count() == 1
+    wh.land(item_rows(spark, "i", [1, 2]), layers.BRONZE_ITEMS)
+    layers.run_silver(spark, wh, CLOCK, expect_quarantine=False)
+    assert wh.read_landed(layers.QUARANTINE).count() == 0 and layers.read_silver(wh).count() == 1
+
+
+def files_of(root, name):
+    found = {}
+    for folder, _, names in os.walk(os.path.join(root, name)):
+        found |= {os.path.join(folder, n): os.stat(os.path.join(folder, n)).st_mtime_ns for n in names if n.endswith(".parquet")}
+    return found
+
+
+def test_fact_merge_rewrites_touched_buckets_only(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    wh.land(item_rows(spark, "i", range(1, 40)), layers.BRONZE_ITEMS)
+    wh.land(rating_rows(spark, "b0", [(str(u), str(m), "4.0", "964982703") for u in range(1, 20) for m in range(1, 40)]), layers.BRONZE_RATINGS)
+
+    def run():
+        layers.run_layers(spark, wh, clock=CLOCK, expect_quarantine=False, expect_corrections=False)
+
+    run()
+    before = files_of(tmp_root, layers.FACT)
+    assert len({os.path.dirname(f) for f in before}) == layers.FACT_BUCKETS
+    wh.land(rating_rows(spark, "b1", [("1", "1", "2.0", "964982999"), ("99", "2", "5.0", "964982999"), ("1", "2", "9.0", "964982999")]), layers.BRONZE_RATINGS)
+    run()
+    after = files_of(tmp_root, layers.FACT)
+    assert all(after[f] == t for f, t in before.items())
+    new = {os.path.basename(os.path.dirname(f)) for f in after.keys() - before.keys()}
+    assert 1 <= len(new) <= 2  # the buckets of (1, 1) and (2, 99); the rejected row touches none
+    fact = {(r.user_id, r.movie_id): r.rating for r in layers.read_fact(wh).collect()}
+    assert len(fact) == 19 * 39 + 1 and fact[1, 1] == 2.0 and fact[99, 2] == 5.0 and fact[1, 2] == 4.0
+    assert {(r.user_id, r.movie_id): r.rating for r in layers.read_fact(wh, 0).collect()}[1, 1] == 4.0
+    history = [(r.version, r.operation, r.num_inserted, r.num_updated, r.num_rows) for r in wh.history(layers.GOLD).collect()]
+    assert history == [(1, "MERGE", 1, 1, 742), (0, "WRITE", 741, 0, 741)]
+    assert [r.kept for r in wh.runs(layers.GOLD).collect()] == [740, 0]
+    # an attempt whose gate fails is not listed, and the next one writes over it
+    wh.land(rating_rows(spark, "b2", [("7", "7", "1.0", "964983999")]), layers.BRONZE_RATINGS)
+    layers.run_silver(spark, wh, CLOCK, expect_quarantine=False)
+    with pytest.raises(quality.GateBlocked):
+        layers.run_gold(spark, wh)
+    assert {(r.user_id, r.movie_id): r.rating for r in layers.read_fact(wh).collect()} == fact
+    layers.run_gold(spark, wh, expect_corrections=False)
+    assert {(r.user_id, r.movie_id): r.rating for r in layers.read_fact(wh).collect()} == {**fact, (7, 7): 1.0}
+    # a catalogue batch makes rows of older batches known: they are merged as well
+    wh.land(rating_rows(spark, "b3", [("5", "77", "3.0", "964983999")]), layers.BRONZE_RATINGS)
+    layers.run_silver(spark, wh, CLOCK)
+    layers.run_gold(spark, wh, expect_corrections=False)
+    wh.land(item_rows(spark, "i2", [77]), layers.BRONZE_ITEMS)
+    run()
+    assert layers.read_fact(wh).filter("movie_id = 77").count() == 1
+
+
+def test_buckets_of_a_corrected_feed_equal_the_whole_merge(spark, tmp_root):
+    from layerworks.plans.queries import QUERIES
+
+    got, want = QUERIES["fact_bucketed"](spark, SF_SMALL), QUERIES["fact_merged"](spark, SF_SMALL)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_run_history_equals_the_history_of_versions(spark):
+    from layerworks.operators.versions import version_history
+    from layerworks.plans import queries
+
+    d = Domain(spark, SF_SMALL)
+    runs = F.when(F.col("version") <= queries.AS_OF_VERSION, 0).when(F.col("version") <= queries.FEED_LAST_VERSION, 1).otherwise(2)
+    want = version_history(d.versioned().withColumn("version", runs), queries.KEYS).collect()
+    got = queries.QUERIES["run_history"](spark, SF_SMALL).drop("is_current").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+
+
+def test_clustered_files_are_skipped_by_point_lookups(spark, tmp_root):
+    import pyarrow.parquet as pq
+
+    wh = Warehouse(spark, tmp_root)
+    rows = spark.range(40_000).select(F.pmod(F.xxhash64("id"), F.lit(5000)).alias("movie_id"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(900)).alias("user_id"), F.lit(1.0).alias("rating"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        back, counts = wh.write_run(rows, "t", 0, cluster_by=["movie_id", "user_id"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert counts == {"rows": 40_000} and back.count() == 40_000
+    spans = []
+    for f in files_of(tmp_root, "t"):
+        column = pq.read_table(f, columns=["movie_id"]).column(0).to_numpy()
+        assert (column[1:] >= column[:-1]).all()
+        spans.append((column.min(), column.max()))
+    assert len(spans) >= 8
+    for movie in (3, 2500, 4999):
+        assert sum(a <= movie <= b for a, b in spans) <= 2

@@ -2,8 +2,10 @@
 
 import re
 
-from layerworks.plans import gold, quality, silver
+from layerworks.plans import gold, layers, silver
 from layerworks.plans.queries import QUERIES, Domain
+from layerworks.sources import fixtures
+from layerworks.sources.warehouse import Warehouse
 
 from .conftest import SF_SMALL
 
@@ -92,8 +94,30 @@ def test_history_and_diff_shuffle_the_rows_once(spark):
         assert len(re.findall(RATING_SHUFFLE, plan)) == 1, name
 
 
-def test_silver_report_shuffles_rating_rows_once(spark):
-    d = Domain(spark, SF_SMALL)
-    plan = plan_of(quality.silver_report(silver.route_ratings(d.typed, d.catalogue_ids, keep_known=True).filter("_route <> ''")))
-    assert len(re.findall(RATING_SHUFFLE, plan)) >= 1
-    assert "materialized" not in plan
+def scans(plan: str, prefix: str) -> int:
+    return len(re.findall(r"FileScan parquet \[[^\]]*" + prefix, plan))
+
+
+def test_rejected_rows_come_from_one_reading_of_the_input(spark):
+    """Feed and the corrections derived from it: two scans, with rows of NULL keys and without."""
+    for name in ("latest_wins", "validity_flag", "quarantine_invalid", "quarantine_all", "ref_integrity_semi", "dq_quarantine_kept"):
+        plan = plan_of(QUERIES[name](spark, SF_SMALL))
+        assert scans(plan, "l_") == 2, name
+        assert plan.count("WindowGroupLimit") == 2 and len(re.findall(RATING_SHUFFLE, plan)) == 1, name
+
+
+def test_two_states_come_from_one_grouped_pass(spark):
+    for name, parts in (("dq_report", 1), ("reconcile_counts", 1), ("monthly_agg", 1), ("fact_merged", 1), ("point_before_after", 0)):
+        plan = plan_of(QUERIES[name](spark, SF_SMALL))
+        assert scans(plan, "l_") == 2 and scans(plan, "p_") == parts, name
+        assert len(re.findall(RATING_SHUFFLE, plan)) == 1, name
+    assert len(re.findall("Exchange hashpartitioning", plan_of(QUERIES["monthly_agg"](spark, SF_SMALL)))) <= 4
+    assert len(re.findall("Exchange hashpartitioning", plan_of(QUERIES["dq_report"](spark, SF_SMALL)))) <= 2
+
+
+def test_new_batches_are_chosen_by_partition_filters(spark, tmp_root):
+    wh = Warehouse(spark, tmp_root)
+    for batch in ("01", "1", "02"):
+        wh.land(fixtures.feed_text(spark, SF_SMALL, batch), layers.BRONZE_RATINGS)
+    plan = plan_of(layers.rows_of(wh.read_landed(layers.BRONZE_RATINGS), ["01", "02"]))
+    assert re.search(r"PartitionFilters: \[[^\]]*_ingest_batch#\d+ IN \(01,02\)", plan)

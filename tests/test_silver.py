@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from layerworks import config
 from layerworks.operators.routing import ROUTE
 from layerworks.plans import silver
+from layerworks.plans.reconcile import reconcile_counts
 from layerworks.sources.ingest import stamp_provenance
 
 from .conftest import rows
@@ -133,3 +134,20 @@ def test_a_correction_wins_a_full_tie_whatever_the_union_order(spark):
     for both in (feed.unionByName(corr), corr.unionByName(feed)):
         out = silver.latest_per_pair(silver.conform_types(both))
         assert rows(out, "rating", "rating_source") == [(5.0, "correction")]
+
+
+def test_rows_with_null_keys_stay_one_by_one_and_spread(spark):
+    """A third of all rows without a key: each stays, equal rows too, and none decides for another."""
+    rows = [(None, 7, 4.0)] * 300 + [(5, None, 4.0)] * 300 + [(None, None, None)] * 300 + [(u, 1, 3.0) for u in range(300)] * 2
+    raw = spark.createDataFrame(rows, "u long, m long, r double").select(
+        F.col("u").cast("string").alias("userId"), F.col("m").cast("string").alias("movieId"), F.col("r").cast("string").alias("rating"), F.lit("964982703").alias("timestamp")
+    )
+    typed = silver.typed_ratings(stamp_provenance(raw.withColumn("_source_key", F.lit(1)), "f", "primary", "b", "2024-01-15 00:00:00"))
+    latest = silver.latest_per_pair(typed)
+    assert latest.count() == 900 + 300 and "_alone" not in latest.columns
+    ids = spark.createDataFrame([(1,)], "movie_id long")
+    routed = silver.route_ratings(typed, ids)
+    assert {r._route: r["count"] for r in routed.groupBy("_route").count().collect()} == {"invalid": 900, "clean": 300}
+    assert silver.route_ratings(typed, ids, keyless=False).count() == 300
+    counts = reconcile_counts(typed, ids).first()
+    assert (counts.input_rows, counts.superseded_rows, counts.latest_rows, counts.invalid_rows, counts.silver_rows, counts.balanced) == (1500, 300, 1200, 900, 300, True)
