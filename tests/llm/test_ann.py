@@ -91,3 +91,55 @@ def test_ids_with_several_vectors(spark, monkeypatch):
         best = {int(i): max(s[a, b] for a in np.flatnonzero(ids == q) for b in np.flatnonzero(ids == i)) for i in set(ids.tolist()) - {q}}
         want = dict(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:10])
         assert len(got[q]) == 10 and all(abs(best[i] - x) < 1e-12 for i, x in got[q].items()) and len(got[q].keys() & want.keys()) >= 9
+
+
+def test_cells_of_the_tree_hold_all_rows():
+    rng = np.random.default_rng(1)
+    points = rng.standard_normal((3000, ann.PROJECTED))
+    for cells in (1, 2, 7, 64):
+        found = ann.top_of(points[:1000], cells).cells(points)
+        assert set(found) == set(range(cells)) and np.bincount(found).max() < 3 * 3000 / cells
+    same = np.ones((500, ann.PROJECTED))
+    assert set(ann.top_of(same, 8).cells(same)) == {0} and set(ann.top_of(points[:0], 4).cells(points)) == {0}
+
+
+def test_clusters_are_searched_in_few_cells(spark, monkeypatch):
+    """Tight clusters over many blocks: most cells and leaves are never visited."""
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((60, 32))
+    v = centres[rng.integers(0, 60, 20_000)] + 0.05 * rng.standard_normal((20_000, 32))
+    v[:6000] = v[6000]  # a third of all rows are one vector
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 512)
+    sent = []
+    plain = ann._next_cells
+
+    def counted(*a, **b):
+        out = ann.written(plain(*a, **b), "counted")
+        sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(ann, "_next_cells", counted)
+    asked = df.filter("vec_id % 100 = 50 and vec_id >= 6000")
+    got = {}
+    for r in ann.search(df, asked, 10).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute(list(range(20_000)), v, sorted(got), 10)
+    assert len(got) == 140 and np.mean([len(got[q] & {i for i, _ in want[q]}) for q in want]) / 10 >= 0.9
+    print("cells sent to", sum(sent), "of", 140 * 40)
+    assert sum(sent) < 0.3 * 140 * 40
+
+
+def test_given_vectors_with_production_constants(spark):
+    """All vectors of the larger table against exact search, and the share of leaves visited."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()
+    ids, v = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    block = ann.Block(ids, v, float(np.sqrt((v**2).sum(1)).max()))
+    asked = np.flatnonzero(ids % 20 == 0)
+    q, found, _ = block.search(ids[asked], v[asked], 20, ann.CONFIDENCE)
+    want = brute(ids.tolist(), v, ids[asked].tolist(), 20)
+    recall = np.mean([len(set(found[q == i].tolist()) & {x for x, _ in want[ids[asked][i]]}) for i in range(len(asked))]) / 20
+    share = block.visited / (len(asked) * len(block.rows))
+    print("recall", recall, "leaves visited", share)
+    assert recall >= 0.9 and share < 1
