@@ -63,3 +63,24 @@ def test_every_capacity_holds(rule):
     for b in np.unique(bins):
         some = lengths[bins == b]
         assert some.sum() <= 100 and len(some) <= 6 and (some**2).sum() <= 4000
+
+
+def test_default_weights_leave_the_fewest_sequences():
+    """All three residuals have weight, and as few sequences come out as by tokens alone."""
+    rng = np.random.default_rng(2)
+    lengths = np.minimum(2048, rng.lognormal(6, 1.2, 6000).astype(int) + 1)
+    capacity = (2048, 2048, 2048.0**2)
+    plain, ours = (len(set(packing.best_fit(lengths, capacity, w, "norm")[0].tolist())) for w in ((1, 0, 0), packing.WEIGHTS))
+    assert min(packing.WEIGHTS) > 0 and ours <= plain <= -(-int(lengths.sum()) // 2048) + 3
+    # the sequence with more documents or the one with fewer tokens left, by what has weight
+    for weights, with_piece in (((1, 0, 0), 0), ((0, 1, 0), 1), ((0.1, 1, 0), 1)):
+        bins, _ = packing.best_fit(np.array([70, 31, 31, 10]), (100, 6, 10_000), weights, "norm")
+        assert bins[3] == bins[with_piece]
+
+
+def test_rows_equal_in_all_are_spread_over_groups(spark):
+    df = spark.range(5000).selectExpr("cast(null as long) as doc_id", "cast(null as string) as text")
+    out = packing.pack_documents(df, PATH, max_tokens=64, group_pieces=500)
+    rows = out.collect()
+    assert len(rows) == 5000 and len({r.sequence_id >> 32 for r in rows}) == 10
+    check(rows, [(None, None)] * 5000, 64)
