@@ -135,9 +135,13 @@ def _estimates(moments: DataFrame, share: float) -> DataFrame:
     return moments.mapInPandas(run, _FIT)
 
 
-def mcd(rows: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
+def mcd(rows: DataFrame, share: float = 0.75, settled: float = 1e-3, steps: int = 50) -> DataFrame:
     """Reweighted minimum-covariance-determinant estimate of each group ``g`` of ``rows``
-    (columns g, x0..x4): g, n (all its rows), mu, inv."""
+    (columns g, x0..x4): g, n (all its rows), mu, inv.
+
+    Three deterministic starts; C-steps go on for each group and start until the log determinant moves
+    by less than ``settled`` (the quantiles in a step are approximate, so it need not come to rest
+    exactly); ``steps`` only guards against an endless cycle, and reaching it is an error."""
     xs = [f"x{i}" for i in range(K)]
     rows = rows.select("g", *xs)
     # a row for each group is written before rows join it: small tables are then sent to the
@@ -155,12 +159,29 @@ def mcd(rows: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
     signs = rows.join(scale, "g").select("g", "mid", "mad", *[(v / length * F.col("mad")[i] * K**0.5).alias(xs[i]) for i, v in enumerate(z)])
     around = _moments(signs.withColumn("start", F.lit(1)), ["g", "start"])
     fit1 = _estimates(around, 1.0).drop("mu").join(scale.select("g", F.col("mid").alias("mu")), "g").select("g", "start", "n", "mu", "inv", "logdet")
-    fit = written(fit0.unionByName(fit1), "start")
-    for _ in range(steps):
-        near = rows.join(fit.select("g", "start", "mu", "inv"), "g").select("g", "start", *xs, _distance().alias("d2"))
+    # start 2: the half of the rows that is nearest to the medians, in MADs
+    ranked = rows.join(scale, "g").select("g", *xs, length.alias("d"))
+    middle = written(ranked.groupBy("g").agg(F.percentile_approx("d", 0.5, 2000).alias("limit")), "nearest")
+    inner = ranked.join(middle, "g").filter("d <= limit").withColumn("start", F.lit(2))
+    fit2 = _estimates(_moments(inner, ["g", "start"]), 0.5).select(*fit1.columns)
+    start = written(fit0.unionByName(fit1).unionByName(fit2), "start")
+    done, moving = None, start
+    for step in range(steps + 1):
+        if step == steps:
+            raise RuntimeError(f"C-steps have not settled after {steps}")
+        near = rows.join(moving.select("g", "start", "mu", "inv"), "g").select("g", "start", *xs, _distance().alias("d2"))
         limit = written(near.groupBy("g", "start").agg(F.percentile_approx("d2", share, 2000).alias("limit")), "limit")
         kept = near.join(limit, ["g", "start"]).filter("d2 <= limit")
-        fit = written(_estimates(_moments(kept, ["g", "start"]), share), "step")
+        fit = _estimates(_moments(kept, ["g", "start"]), share)
+        fit = written(fit.join(moving.select("g", "start", F.col("logdet").alias("before")), ["g", "start"]), "step")
+        # the starts' determinants are of other things than a share of the rows
+        rests = F.abs(F.col("logdet") - F.col("before")) < settled if step else F.lit(False)
+        rest = fit.filter(rests).drop("before")
+        done = rest if done is None else done.unionByName(rest)
+        moving = fit.filter(~rests).drop("before")
+        if moving.isEmpty():
+            break
+    fit = done
     best = written(fit.groupBy("g").agg(F.min_by(F.struct("mu", "inv"), F.struct("logdet", "start")).alias("f")).select("g", "f.*"), "best")
     near = rows.join(best, "g").select("g", *xs, _distance().alias("d2")).filter(F.col("d2") <= chi2_quantile(0.975, K))
     final = _estimates(_moments(near.withColumn("start", F.lit(0)), ["g", "start"]), 0.975)
@@ -172,7 +193,8 @@ def quality_rules(df: DataFrame, text: str = "text", lang: str = "lang", source:
     Mahalanobis distance; null if base_failed or no group is large enough) and kept.
 
     Null text is empty text: no words, base_failed.  Null language or source is a group of
-    its own.  Repeated rows and null ids count as rows."""
+    its own.  Repeated rows and null ids count as rows.  A distance equal to the cutoff is kept; texts of any length
+    are read whole; an empty table stays empty; other columns of ``df`` are read only if ``keep`` names them."""
     given = [F.col(c) for c in keep]
     stats = statistics(df.select(*given, F.col(lang).alias("_lang"), F.col(source).alias("_source"), F.col(text).alias("text")))
     stats = written(stats.withColumn("base_failed", base_failed()), "statistics")

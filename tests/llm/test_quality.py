@@ -1,10 +1,11 @@
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 from tests.llm.helpers import CASES, cases, documents, small, words
 
 from layerworks.llm import quality
-from layerworks.llm.chisquare import chi2_cdf, chi2_quantile
+from layerworks.llm.chisquare import chi2_cdf, chi2_quantile, consistency
 
 
 def plain(text):
@@ -49,3 +50,30 @@ def test_outliers_go_and_the_bulk_stays(spark):
 def test_chi_square():
     assert abs(chi2_cdf(3.841459, 1) - 0.95) < 1e-6
     assert abs(chi2_quantile(0.99, 5) - 15.08627) < 1e-4
+
+
+def exact_mcd(x, share):
+    """The least determinant over all subsets, floors and consistency as in the operator."""
+    h = int(np.ceil(share * len(x)))
+    floor, factor = np.diag(np.array(quality.FLOOR) ** 2), consistency(share, 5)
+    best = None
+    for some in combinations(range(len(x)), h):
+        part = x[list(some)]
+        value = np.linalg.slogdet(np.cov(part.T, bias=True) * factor + floor)[1]
+        if best is None or value < best[0]:
+            best = value, part.mean(0)
+    return best
+
+
+def test_estimates_come_near_the_exact_least_determinant(spark):
+    """Groups of 14 rows with outliers: all subsets of 11 rows against the operator's, before reweighting."""
+    rng = np.random.default_rng(7)
+    rows, want = [], {}
+    for g in range(6):
+        x = rng.standard_normal((14, 5)) * np.array([1, 0.3, 0.4, 1, 1]) + g
+        x[:3] += rng.choice([-6, 6], (3, 5))
+        rows += [((0, str(g), ""), *map(float, r)) for r in x]
+        want[str(g)] = exact_mcd(x, 0.75)
+    df = spark.createDataFrame(rows, "g struct<level:int,a:string,b:string>, x0 double, x1 double, x2 double, x3 double, x4 double")
+    for r in quality.mcd(df).collect():
+        assert r.n == 14 and np.abs(np.array(r.mu) - want[r.g.a][1]).max() < 0.8  # reweighting takes a few rows more
