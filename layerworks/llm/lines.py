@@ -131,7 +131,8 @@ def duplicate_lines(df: DataFrame, min_words: int = 10) -> DataFrame:
 
     names = [*LINE, "at", "line", "words"]
     kinds = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("at", pa.int64()), ("line", pa.int32()), ("words", pa.string())])
-    some = docs.join(asked, KEY).select("_llm_id", "text", "asked").mapInArrow(read, "k1 long, k2 long, at long, line int, words string")
+    # written, so that rows equal in id and text, which meet it, can be split
+    some = docs.join(written(asked, "asked"), KEY).select("_llm_id", "text", "asked").mapInArrow(read, "k1 long, k2 long, at long, line int, words string")
     # rows equal in id and text bring the same line twice
     some = written(some.dropDuplicates(LINE), "near")
 
@@ -186,7 +187,8 @@ def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text", min_w
     Lines without a word always stay, as does the first of each class.  Null text: no lines,
     null ``kept``; empty text: one line without a word.  Rows that share an id and text are the same place (both keep what
     is first there); rows that share an id only are ordered by line number, and equal line
-    numbers of theirs count as one place.  Null ids come last."""
+    numbers of theirs count as one place.  Null ids come last.  Texts and lines of any length are read whole; an
+    empty table stays empty."""
     new = ("n_lines", "n_removed", "removed", "kept")
     base = df.drop(*[c for c in df.columns if c in new])
     key = [F.coalesce(F.col(doc_id), F.lit(2**63 - 1)).alias("_llm_id"), F.xxhash64(F.col(text)).alias("_llm_th")]

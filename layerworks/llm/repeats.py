@@ -102,6 +102,7 @@ def repeated_spans(df: DataFrame, window: int = 35) -> DataFrame:
         .groupBy(*KEY)
         .agg(F.collect_list(F.struct("first", "n", "label", "path", "times")).alias("asked"))
     )
+    unroll = written(unroll, "unroll")  # so that rows equal in id and text, which meet it, can be split
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -150,7 +151,7 @@ def remove_repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", wi
     same text included; all is judged on the input, so a passage goes everywhere it stands.
     Null or empty text has no words and an empty ``kept``.  Texts shorter than a window keep
     all words.  Repeated rows are texts of their own (each repeats the other).  Null ids are
-    ids like any other."""
+    ids like any other.  Texts of any length are read whole; an empty table stays empty."""
     new = ("n_words", "n_removed", "kept")
     base = df.drop(*[c for c in df.columns if c in new])
     keyed = base.select("*", *row_key(base, doc_id, text))
