@@ -1,12 +1,14 @@
 """Language-model scores from a bigram trie in Elias-Fano levels.
 
-Words get numbers by the order of their 64-bit hashes.  The trie is cut into shards, each a
-range of hashes, with two files in the shared folder:
+Words get numbers by the order of their 64-bit hashes.  The trie is cut into files in the shared
+folder:
 
-* words: the shard's word hashes (Elias-Fano) and counts;
-* pairs: pointers from each word to its range of successors (Elias-Fano), the successors'
-  numbers, made monotone by adding the value that ends the range before (Elias-Fano),
+* words, by ranges of hashes: word hashes (Elias-Fano) and counts;
+* pairs, by ranges of (word, successor): pointers from each word to its range of successors (Elias-Fano), the
+  successors' numbers, made monotone by adding the value that ends the range before (Elias-Fano),
   and a code of 12 bits each for the discounted probability and the word's back-off weight.
+  A pair file's range is that of a word file, but a word with more tokens than a file is meant for has
+  its successors in as many files as it needs, cut by the successor's number, which is a hash's rank.
 
 A pair is found by its context's range: the range's base plus the successor's number is
 searched among the values that share its high part.  Smoothing is interpolated absolute
@@ -87,15 +89,18 @@ def _from_planes(raw: bytes, kind: str) -> np.ndarray:
 class Trie:
     """Reads the trie of a folder; files are mapped when first needed."""
 
-    def __init__(self, folder: str, bits: int, begins: np.ndarray, tokens: int, discount: float = 0.0):
+    def __init__(self, folder: str, bits: int, begins: np.ndarray, tokens: int, discount: float = 0.0, hot: dict[int, int] | None = None):
+        """``begins``: the first number in each word file; ``hot``: files for the pairs of a word."""
         self.folder, self.bits, self.begins = folder, bits, begins
         self.tokens, self.types = tokens, int(begins[-1])
-        self.discount = discount
+        self.discount, self.hot = discount, hot or {}
+        own = [(w << 32) + j * self.types // n for w, n in self.hot.items() for j in range(n)] + [(w + 1) << 32 for w in self.hot]
+        self.edges = np.unique(np.concatenate([begins.astype(np.uint64) << np.uint64(32), np.array(own, np.uint64)]))
         self._words: dict[int, tuple[EliasFano, np.ndarray]] = {}
         self._pairs: dict[int, dict] = {}
 
     def __reduce__(self):
-        return Trie, (self.folder, self.bits, self.begins, self.tokens, self.discount)
+        return Trie, (self.folder, self.bits, self.begins, self.tokens, self.discount, self.hot)
 
     def words(self, shard: int) -> tuple[EliasFano, np.ndarray]:
         if shard not in self._words:
@@ -126,13 +131,15 @@ class Trie:
 
     def pair(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(discounted probability of the successor, back-off weight) of pairs of word
-        numbers sorted by the first; (0, 1) after an unknown word."""
+        numbers sorted by both; (0, 1) after an unknown word."""
         p, back = np.zeros(len(first)), np.ones(len(first))
-        shard = np.searchsorted(self.begins, first, "right") - 1
-        for s in np.unique(shard[first >= 0]):
+        known = first >= 0
+        key = np.where(known, first, 0).astype(np.uint64) << np.uint64(32) | np.maximum(second, 0).astype(np.uint64)
+        shard = np.where(known, np.searchsorted(self.edges, key, "right") - 1, -1)
+        for s in np.unique(shard[known]):
             a, b = np.searchsorted(shard, [s, s + 1])
             t = self.pairs(int(s))
-            of, next_ = first[a:b] - self.begins[s], second[a:b]
+            of, next_ = first[a:b] - int(self.edges[s] >> np.uint64(32)), second[a:b]
             begin = t["pointers"].get(of).astype(np.int64)
             back[a:b] = t["back_book"][t["back"][of]]
             ask = np.flatnonzero(next_ >= 0)
@@ -151,10 +158,12 @@ def _write_words(folder: str, shard: int, hashes: np.ndarray, counts: np.ndarray
     write_arrays(folder, f"words-{shard}", EliasFano.build(hashes[order]) | {"counts": counts[order].astype(np.int64)})
 
 
-def _write_pairs(trie: Trie, shard: int, keys: np.ndarray, counts: np.ndarray) -> None:
-    """keys: first << 32 | second, sorted and distinct."""
-    own = int(trie.begins[shard + 1] - trie.begins[shard])
-    first = (keys >> np.uint64(32)).astype(np.int64) - int(trie.begins[shard])
+def _write_pairs(trie: Trie, shard: int, keys: np.ndarray, counts: np.ndarray, whole: dict[int, tuple[int, int]]) -> None:
+    """keys: first << 32 | second, sorted and distinct; ``whole``: successors and tokens that have one of
+    words whose pairs are in several files."""
+    low, high = int(trie.edges[shard] >> np.uint64(32)), int((trie.edges[shard + 1] - np.uint64(1)) >> np.uint64(32))
+    own = high - low + 1
+    first = (keys >> np.uint64(32)).astype(np.int64) - low
     second = keys & np.uint64(0xFFFFFFFF)
     fan = np.bincount(first, minlength=own)
     pointers = np.append(0, np.cumsum(fan))
@@ -162,11 +171,12 @@ def _write_pairs(trie: Trie, shard: int, keys: np.ndarray, counts: np.ndarray) -
     base = np.zeros(own, np.uint64)  # what ends the range before
     base[fan > 0] = np.append(np.zeros(1, np.uint64), np.cumsum(last)[:-1])
     successors = base[first] + second + np.uint64(1)
-    word_counts = trie.words(shard)[1] if own else np.zeros(0, np.int64)
-    seen = np.maximum(np.bincount(first, counts, own), 1)  # tokens that have a successor
+    seen = np.bincount(first, counts, own)  # tokens that have a successor
+    if low in whole:
+        fan[0], seen[0] = whole[low]
+    seen = np.maximum(seen, 1)
     codes, book = quantise((counts - trie.discount) / seen[first])
     back, back_book = quantise(np.where(fan > 0, trie.discount * fan / seen, 1.0))
-    assert len(word_counts) == own
     arrays = EliasFano.build(pointers, "p_") | EliasFano.build(successors, "s_")
     write_arrays(trie.folder, f"pairs-{shard}", arrays | {"codes": codes, "book": book, "back": back, "back_book": back_book})
 
@@ -198,9 +208,22 @@ def train(df: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS) -
     fill = np.zeros(shards, np.int64)  # one number for each shard
     for r in sizes:
         fill[r.shard] = r.n
-    trie = Trie(folder, bits, np.append(0, np.cumsum(fill)), int(tokens))
-    if trie.types >= 1 << 32:
+    begins = np.append(0, np.cumsum(fill))
+    if begins[-1] >= 1 << 32:
         raise ValueError("over 2**32 distinct words")
+    plain = Trie(folder, bits, begins, int(tokens))
+
+    def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            b = b.sort_by("u")
+            found = plain.lookup(b.column("u").to_numpy().astype(np.uint64) << np.uint64(32) | b.column("v").to_numpy().astype(np.uint64))[0]
+            yield pa.RecordBatch.from_arrays([pa.array(found), b.column("c")], names=["w", "c"])
+
+    # fewer than there are files; halves of the hash as sortable numbers
+    halves = [F.shiftrightunsigned("h", 32).alias("u"), F.col("h").bitwiseAND(0xFFFFFFFF).alias("v")]
+    often = words.filter(F.col("c") > shard_tokens).select(*halves, "c").mapInArrow(numbers, "w long, c long").collect()
+    trie = Trie(folder, bits, begins, int(tokens), 0.0, {r.w: -(-r.c // shard_tokens) for r in often})
+    shards = len(trie.edges) - 1
 
     def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def keys() -> Iterator[np.ndarray]:
@@ -213,7 +236,7 @@ def train(df: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS) -
                     yield (number[:-1][inside] << np.uint64(32)) | number[1:][inside]
 
         for pairs, counts in _gather(keys()):
-            edge = np.searchsorted(pairs, trie.begins.astype(np.uint64) << np.uint64(32))
+            edge = np.searchsorted(pairs, trie.edges)
             for s in range(shards):
                 a, b = edge[s], edge[s + 1]
                 if a < b:
@@ -229,18 +252,26 @@ def train(df: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS) -
     def combine(key: tuple, table: pa.Table) -> pa.Table:
         keys, counts = merge(table)
         steps = np.append(keys[:1], np.diff(keys))
-        row = {"shard": [key[0].as_py()], "keys": [_planes(steps)], "counts": [_planes(counts.astype("<u4"))], "once": [int((counts == 1).sum())], "twice": [int((counts == 2).sum())]}
-        return pa.table(row, schema=pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), ("once", pa.int64()), ("twice", pa.int64())]))
+        row = {"shard": [key[0].as_py()], "keys": [_planes(steps)], "counts": [_planes(counts.astype("<u4"))]}
+        row |= {"once": [int((counts == 1).sum())], "twice": [int((counts == 2).sum())], "n": [len(keys)], "seen": [int(counts.sum())]}
+        return pa.table(row, schema=pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), *[(c, pa.int64()) for c in ("once", "twice", "n", "seen")]]))
 
     sent = docs.mapInArrow(count_pairs, "shard long, keys binary, counts binary")
-    pairs = written(sent.groupBy("shard").applyInArrow(combine, "shard long, keys binary, counts binary, once long, twice long"), "pairs")
+    pairs = written(sent.groupBy("shard").applyInArrow(combine, "shard long, keys binary, counts binary, once long, twice long, n long, seen long"), "pairs")
     once, twice = pairs.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first()
     trie.discount = once / (once + 2 * twice) if once and twice else 0.5
 
+    whole: dict[int, tuple[int, int]] = {}
+    if trie.hot:
+        of = {s: int(e >> np.uint64(32)) for s, e in enumerate(trie.edges[:-1]) if int(e >> np.uint64(32)) in trie.hot}
+        for r in pairs.filter(F.col("shard").isin(list(of))).select("shard", "n", "seen").collect():  # files of frequent words
+            n, seen = whole.get(of[r.shard], (0, 0))
+            whole[of[r.shard]] = n + r.n, seen + r.seen
+
     def save_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(len(b)):
-                _write_pairs(trie, b.column("shard")[i].as_py(), *merge(pa.Table.from_batches([b.slice(i, 1)])))
+                _write_pairs(trie, b.column("shard")[i].as_py(), *merge(pa.Table.from_batches([b.slice(i, 1)])), whole)
             yield b.select(["shard"])
 
     every = spark.range(shards).select(F.col("id").alias("shard"))
@@ -256,7 +287,8 @@ def score(df: DataFrame, trie: Trie, text: str = "text", keep_text: bool = True)
     token by the unigram) to the rows of ``df``; columns of these names are replaced.
 
     Null and empty texts hold the end alone.  With an empty training set every token is
-    unknown and both scores are its only probability, 1 / (0 + 0 + 1)."""
+    unknown and both scores are its only probability, 1 / (0 + 0 + 1).  Repeated rows are scored alike, and
+    count in training as often as they occur; whole texts of any length are read; an empty table stays empty."""
     new = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     base = df.drop(*[c for c in df.columns if c in new])
     own = [c for c in base.columns if keep_text or c != text]
@@ -273,7 +305,7 @@ def score(df: DataFrame, trie: Trie, text: str = "text", keep_text: bool = True)
                 inside = np.flatnonzero(row[1:] == row[:-1]) + 1
                 pair, back = np.unique((which[inside - 1].astype(np.int64) << 32) | which[inside], return_inverse=True)
                 one, two = number[pair >> 32], number[pair & 0xFFFFFFFF]
-                order = np.argsort(one, kind="stable")
+                order = np.lexsort((two, one))
                 p, weight = np.zeros(len(pair)), np.zeros(len(pair))
                 p[order], weight[order] = trie.pair(one[order], two[order])
                 model = uni.copy()

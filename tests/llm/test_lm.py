@@ -83,3 +83,17 @@ def test_bits_and_codes():
     x = rng.random(10000)
     code, book = quantise(x)
     assert np.abs(book[code] - x).max() < 0.01
+
+
+def test_frequent_words_have_their_pairs_in_several_files(spark):
+    """One word is a third of all tokens: its successors are cut by number, and scores stay those of one file."""
+    rng = np.random.default_rng(5)
+    pairs = [(i, " ".join(w for x in rng.integers(0, 400, 60) for w in ("the", f"w{x}", f"v{x % 7}"))) for i in range(120)]
+    df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+    trie = lm.train(df, shard_tokens=1000)
+    assert len(trie.hot) >= 1 and max(trie.hot.values()) >= 6 and len(trie.edges) > len(trie.begins)
+    the = max(trie.hot, key=trie.hot.get)
+    sizes = [trie.pairs(s)["successors"].n for s, e in enumerate(trie.edges[:-1]) if int(e) >> 32 == the]
+    assert sum(sizes) == 400 and max(sizes) < 200
+    compare(df, pairs, 1000)
+    compare(df, pairs, 100)
