@@ -175,7 +175,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     smallest id reachable over links, its own included).
 
     Null and empty text: fingerprint zero, linked like any other.  Rows whose id is null
-    take part; a component of nulls only has a null component_id.  Repeated rows are kept."""
+    take part; a component of nulls only has a null component_id.  Repeated rows are kept.  Whole texts of any
+    length are read; an empty table stays empty."""
     prints = written(fingerprints(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", width), "fingerprints")
     classes = rooted(written(prints.groupBy("_fp").agg(F.min("doc_id").alias("least")), "distinct"), radius)
     least = written(classes.groupBy("root").agg(F.min("least").alias("component_id")), "least")

@@ -6,14 +6,15 @@ from layerworks.llm.queries import QUERIES, SQL
 
 
 def test_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(any(q.startswith(n) for q in QUERIES) for n in names) and "pipeline" in QUERIES
     assert QUERIES.keys() <= entry.queries().keys() and SQL.keys() <= entry.oracle_sql().keys()
 
 
 def test_sql_gives_the_same_rows(spark):
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "embeddings", "benchmark"):
+        con.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     for name, sql in SQL.items():
         df = entry.queries()[name](spark, SF)
         want = con.execute(sql).df()
@@ -28,6 +29,7 @@ def test_contract_columns(spark):
         "op6_quality_rules": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
         "op7_lm_scoring": {"doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"},
         "op10_simhash_near_dedup": {"doc_id", "fingerprint", "component_id"},
+        "op13_personal_data": {"doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"},
     }
     n = spark.read.parquet(f"{SF}/documents.parquet").count()
     for name, columns in wanted.items():
