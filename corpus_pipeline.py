@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept; all
 but the last return the columns of ``documents``.  ``run`` writes each stage's rows as Parquet
 in the shared folder and reads them again for the next one.
+
+What every stage does with awkward rows: null and empty texts stay (they score as a text without words,
+hold no lines, link by fingerprint zero, so that one of them stays, and pack as a single end token); rows without an id are
+kept like others, but give way to rows with one in near dedup; repeated rows leave one in near dedup; texts of any length
+are read whole; a score equal to TOXIC_AT goes; further columns are carried along; an empty table gives an empty result.
 """
 
 from __future__ import annotations
