@@ -23,6 +23,34 @@ FROM docs LEFT JOIN kept USING (r)
 """
 
 
+OP5 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS k, string_split(text, chr(10)) AS parts FROM documents
+),
+pieces AS (SELECT r, k, unnest(parts) AS line, generate_subscripts(parts, 1) - 1 AS i FROM docs WHERE parts IS NOT NULL),
+lines AS (
+    SELECT r, k, i, w, array_to_string(w, ' ') AS s, dense_rank() OVER (ORDER BY k, i) AS place
+    FROM (SELECT r, k, i, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM pieces) WHERE len(w) > 0
+),
+firsts AS (SELECT s, w, len(w) AS n, place FROM lines QUALIFY row_number() OVER (PARTITION BY s ORDER BY place) = 1),
+cut AS (
+    SELECT s, n, place, p, array_to_string(list_concat(w[1:p - 1], w[p + 1:]), ' ') AS v
+    FROM (SELECT *, unnest(range(1, n + 1)) AS p FROM firsts WHERE n >= 10)
+),
+near AS (
+    SELECT s FROM (SELECT s, place, min(place) OVER (PARTITION BY v, p, n) AS least FROM cut) WHERE place > least
+    UNION
+    SELECT CASE WHEN f.place > c.place THEN f.s ELSE c.s END FROM cut AS c JOIN firsts AS f ON f.s = c.v
+    WHERE c.n > 10 AND f.place <> c.place
+),
+gone AS (
+    SELECT r, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS removed, count(*) AS n
+    FROM (SELECT DISTINCT r, i FROM lines JOIN firsts USING (s) WHERE lines.place <> firsts.place OR s IN (SELECT s FROM near)) GROUP BY r
+)
+SELECT doc_id, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(removed, '') AS removed
+FROM docs LEFT JOIN gone USING (r)
+"""
+
 
 def _op11(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
     """Plain rounds: every part against every entry, one coordinate a row."""
@@ -92,4 +120,4 @@ WHERE rank <= 20
 """
 
 
-SQL: dict[str, str] = {"op4_substring_dedup": OP4, "op11_vector_codes": _op11(), "op12_lexical_search": OP12}
+SQL: dict[str, str] = {"op4_substring_dedup": OP4, "op5_line_dedup": OP5, "op11_vector_codes": _op11(), "op12_lexical_search": OP12}

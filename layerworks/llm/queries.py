@@ -57,7 +57,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.dedup_lines(read_documents(spark, sf_dir).select("doc_id", "text"), keep_text=False)
-    return out.select("doc_id", "n_lines", "n_removed", "removed")
+    return out.select("doc_id", "n_lines", "n_removed", F.array_join(F.transform("removed", lambda i: i.cast("string")), ",").alias("removed"))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
