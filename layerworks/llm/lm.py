@@ -1,23 +1,24 @@
-"""Language-model scores from a bigram trie in Elias-Fano levels.
+"""Language-model scores from an n-gram trie in Elias-Fano levels.
 
 Words get numbers by the order of their 64-bit hashes.  The trie is cut into files in the shared
 folder:
 
-* words, by ranges of hashes: word hashes (Elias-Fano) and counts;
-* pairs, by ranges of (word, successor): pointers from each word to its range of successors (Elias-Fano), the
-  successors' numbers, made monotone by adding the value that ends the range before (Elias-Fano),
-  and a code of 12 bits each for the discounted probability and the word's back-off weight.
-  A pair file's range is that of a word file, but a word with more tokens than a file is meant for has
-  its successors in as many files as it needs, cut by the successor's number, which is a hash's rank.
-
-A pair is found by its context's range: the range's base plus the successor's number is
-searched among the values that share its high part.  Smoothing is interpolated absolute
-discounting, with D from the pairs that occur once and twice; the lower order is
-(c + 1) / (N + V + 1), which leaves 1 / (N + V + 1) to any unknown word.
-
-Counting: each task combines its own counts before any shuffle; pair counts travel as sorted
-differences in byte planes, one row for each task and shard.  The number of shards follows
-the number of tokens, so a shard is merged in bounded memory.  Scoring tasks memory-map the
+* words (level 1), by ranges of hashes: word hashes (Elias-Fano) and counts;
+* each further level, by ranges of (context, word), a context being an entry's number one level up:
+  pointers from each context to its range of successors (Elias-Fano), the successors' numbers, made
+  monotone by adding the value that ends the range before (Elias-Fano), and a code of 12 bits
+  each for the discounted probability and the context's back-off weight.  A file's contexts are the entries of a file one
+  level up, but a context with more tokens than a file is meant for has its successors in as many files as it
+  needs, cut by the successor's number, which is a hash's rank.
+
+An n-gram is found by its context's range: the range's base plus the successor's number is
+searched among the values that share its high part; its place is the context of the next level.
+Smoothing is interpolated absolute discounting, with D of each level from its entries that occur once and twice; the
+lowest order is (c + 1) / (N + V + 1), which leaves 1 / (N + V + 1) to any unknown word.
+
+Counting: each task combines its own counts before any shuffle; counts of a level travel as sorted
+differences in byte planes, one row for each task and file.  The number of files follows
+the number of tokens, so a file is merged in bounded memory.  Scoring tasks memory-map the
 files; texts and tokens are never shuffled.
 """
 
@@ -37,6 +38,7 @@ from layerworks.llm.elias_fano import EliasFano, map_arrays, quantise, write_arr
 END = np.uint64(0x3C2F733E3C2F733E)
 SHARD_TOKENS = 4_000_000
 HELD = 2_000_000  # entries that a task combines before it passes them on
+ORDER = 2
 
 
 def token_table(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -51,29 +53,34 @@ def token_table(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return who, out
 
 
-def _combine(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+Counts = tuple[np.ndarray, np.ndarray, np.ndarray]  # files, keys, counts
 
 
-def _gather(parts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Combined (keys, counts) of the parts' entries, whenever enough have come together."""
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def _combine(parts: list[Counts]) -> Counts:
+    """Entries of all parts by (file, key), counts of equal ones added."""
+    file, keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((keys, file)) if len(file) and file[0] != file[-1] or (file != file[:1]).any() else np.argsort(keys, kind="stable")
+    file, keys, counts = file[order], keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (file[1:] != file[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return file[first], keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _gather(parts: Iterator[Counts]) -> Iterator[Counts]:
+    """Combined entries of the parts, whenever enough have come together."""
+    held: list[Counts] = []
     size = 0
-    for keys in parts:
-        held.append(np.unique(keys, return_counts=True))
-        size += len(held[-1][0])
+    for part in parts:
+        held.append(part)
+        size += len(part[1])
         if size >= HELD:
-            merged = _combine(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
-            if len(merged[0]) >= HELD // 2:
+            merged = _combine(held)
+            if len(merged[1]) >= HELD // 2:
                 yield merged
                 held, size = [], 0
             else:
-                held, size = [merged], len(merged[0])
+                held, size = [merged], len(merged[1])
     if held:
-        yield _combine(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held]))
+        yield _combine(held)
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -86,21 +93,53 @@ def _from_planes(raw: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
+class Level:
+    """Files of one order from 2 on.  ``context`` and ``word`` are the least keys of the files in order (a word other than 0 only
+    where a context has several files), ``begins`` the number of the first entry in each, and of all."""
+
+    def __init__(self, order: int, context: np.ndarray, word: np.ndarray, contexts: int, begins: np.ndarray | None = None, discount: float = 0.0):
+        self.order, self.context, self.word, self.contexts, self.begins, self.discount = order, context, word, contexts, begins, discount
+
+    @classmethod
+    def cut(cls, order: int, begins: np.ndarray, hot: dict[int, int], types: int) -> Level:
+        """Files by those one level up, whose entries begin at ``begins``; ``hot``: files of a context."""
+        keys = {(int(c), 0) for c in begins[:-1]} | {(c, j * types // n) for c, n in hot.items() for j in range(n)} | {(c + 1, 0) for c in hot}
+        keys = sorted(k for k in keys if k[0] < begins[-1])
+        return cls(order, np.array([c for c, _ in keys], np.int64), np.array([w for _, w in keys], np.int64), int(begins[-1]))
+
+    def files(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The file of each key."""
+        out = np.searchsorted(self.context, context, "right") - 1
+        for c in np.unique(self.context[np.flatnonzero(self.word)]):
+            some = np.flatnonzero(context == c)
+            a, b = np.searchsorted(self.context, [c, c + 1])
+            out[some] = a + np.searchsorted(self.word[a:b], word[some], "right") - 1
+        return out
+
+    def keys(self, file: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """Keys within their files: the context's place there, and the word."""
+        return (context - self.context[file]).astype(np.uint64) << np.uint64(32) | word.astype(np.uint64)
+
+    def own(self, file: int) -> int:
+        """How many contexts a file has."""
+        if file + 1 == len(self.context):
+            return self.contexts - int(self.context[file])
+        return int(self.context[file + 1] - self.context[file]) + (self.word[file + 1] > 0)
+
+
 class Trie:
     """Reads the trie of a folder; files are mapped when first needed."""
 
-    def __init__(self, folder: str, bits: int, begins: np.ndarray, tokens: int, discount: float = 0.0, hot: dict[int, int] | None = None):
-        """``begins``: the first number in each word file; ``hot``: files for the pairs of a word."""
+    def __init__(self, folder: str, bits: int, begins: np.ndarray, tokens: int, levels: list[Level] | None = None):
+        """``begins``: the first number in each word file, and the number of words."""
         self.folder, self.bits, self.begins = folder, bits, begins
         self.tokens, self.types = tokens, int(begins[-1])
-        self.discount, self.hot = discount, hot or {}
-        own = [(w << 32) + j * self.types // n for w, n in self.hot.items() for j in range(n)] + [(w + 1) << 32 for w in self.hot]
-        self.edges = np.unique(np.concatenate([begins.astype(np.uint64) << np.uint64(32), np.array(own, np.uint64)]))
+        self.levels = levels or []
         self._words: dict[int, tuple[EliasFano, np.ndarray]] = {}
-        self._pairs: dict[int, dict] = {}
+        self._files: dict[tuple[int, int], dict] = {}
 
     def __reduce__(self):
-        return Trie, (self.folder, self.bits, self.begins, self.tokens, self.discount, self.hot)
+        return Trie, (self.folder, self.bits, self.begins, self.tokens, self.levels)
 
     def words(self, shard: int) -> tuple[EliasFano, np.ndarray]:
         if shard not in self._words:
@@ -108,11 +147,11 @@ class Trie:
             self._words[shard] = EliasFano(a), a["counts"]
         return self._words[shard]
 
-    def pairs(self, shard: int) -> dict:
-        if shard not in self._pairs:
-            a = map_arrays(self.folder, f"pairs-{shard}")
-            self._pairs[shard] = a | {"pointers": EliasFano(a, "p_"), "successors": EliasFano(a, "s_")}
-        return self._pairs[shard]
+    def file(self, order: int, file: int) -> dict:
+        if (order, file) not in self._files:
+            a = map_arrays(self.folder, f"level{order}-{file}")
+            self._files[order, file] = a | {"pointers": EliasFano(a, "p_"), "successors": EliasFano(a, "s_")}
+        return self._files[order, file]
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(number, count) of sorted word hashes; number -1 and count 0 where unknown."""
@@ -129,28 +168,45 @@ class Trie:
             count[a:b][ok] = counts[at[ok]]
         return number, count
 
-    def pair(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(discounted probability of the successor, back-off weight) of pairs of word
-        numbers sorted by both; (0, 1) after an unknown word."""
-        p, back = np.zeros(len(first)), np.ones(len(first))
-        known = first >= 0
-        key = np.where(known, first, 0).astype(np.uint64) << np.uint64(32) | np.maximum(second, 0).astype(np.uint64)
-        shard = np.where(known, np.searchsorted(self.edges, key, "right") - 1, -1)
-        for s in np.unique(shard[known]):
-            a, b = np.searchsorted(shard, [s, s + 1])
-            t = self.pairs(int(s))
-            of, next_ = first[a:b] - int(self.edges[s] >> np.uint64(32)), second[a:b]
+    def entries(self, level: Level, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(number, discounted probability, the context's back-off weight) of a level's entries; (-1, 0, weight) where
+        the context has no such successor, (-1, 0, 1) where it is unknown itself."""
+        number, p, back = np.full(len(context), -1, np.int64), np.zeros(len(context)), np.ones(len(context))
+        known = np.flatnonzero(context >= 0)
+        context, word = context[known], word[known]
+        files = level.files(context, word)
+        order = np.lexsort((word, context, files))
+        ends = np.flatnonzero(np.diff(files[order])) + 1
+        for part in np.split(order, ends) if len(order) else ():
+            f = int(files[part[0]])
+            t, to = self.file(level.order, f), known[part]
+            of, next_ = context[part] - level.context[f], word[part]
             begin = t["pointers"].get(of).astype(np.int64)
-            back[a:b] = t["back_book"][t["back"][of]]
+            back[to] = t["back_book"][t["back"][of]]
             ask = np.flatnonzero(next_ >= 0)
             base = np.where(begin[ask] > 0, t["successors"].get(np.maximum(begin[ask] - 1, 0)) if t["successors"].n else 0, 0).astype(np.uint64)
             at = t["successors"].find(base + next_[ask].astype(np.uint64) + np.uint64(1))
             end = t["pointers"].get(of[ask] + 1).astype(np.int64)
             ok = (at >= begin[ask]) & (at < end)
-            value = np.zeros(len(ask))
-            value[ok] = t["book"][t["codes"][at[ok]]]
-            p[a:b][ask] = value
-        return p, back
+            p[to[ask[ok]]] = t["book"][t["codes"][at[ok]]]
+            if level.begins is not None:
+                number[to[ask[ok]]] = level.begins[f] + at[ok]
+        return number, p, back
+
+    def ngrams(self, row: np.ndarray, tokens: np.ndarray, levels: list[Level | None]) -> Iterator[tuple[Level | None, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per level: (level, places of tokens with a full context, which distinct n-gram stands there, the distinct ones' context and
+        word numbers, probabilities, weights); None in the last place of ``levels`` gives n-grams that are not looked up."""
+        distinct, which = np.unique(tokens, return_inverse=True)
+        number = self.lookup(distinct)[0]
+        at, local, known = np.arange(len(tokens)), which, number
+        for level in levels:
+            place = at[1:][(row[at[1:]] == row[at[1:] - 1]) & (np.diff(at) == 1)]
+            before = local[np.searchsorted(at, place - 1)]
+            grams, gram = np.unique((before.astype(np.int64) << 32) | which[place], return_inverse=True)
+            context, word = known[grams >> 32], number[grams & 0xFFFFFFFF]
+            found, p, back = self.entries(level, context, word) if level else (None, None, None)
+            yield level, place, gram, context, word, p, back
+            at, local, known = place, gram, found
 
 
 def _write_words(folder: str, shard: int, hashes: np.ndarray, counts: np.ndarray) -> None:
@@ -158,12 +214,11 @@ def _write_words(folder: str, shard: int, hashes: np.ndarray, counts: np.ndarray
     write_arrays(folder, f"words-{shard}", EliasFano.build(hashes[order]) | {"counts": counts[order].astype(np.int64)})
 
 
-def _write_pairs(trie: Trie, shard: int, keys: np.ndarray, counts: np.ndarray, whole: dict[int, tuple[int, int]]) -> None:
-    """keys: first << 32 | second, sorted and distinct; ``whole``: successors and tokens that have one of
-    words whose pairs are in several files."""
-    low, high = int(trie.edges[shard] >> np.uint64(32)), int((trie.edges[shard + 1] - np.uint64(1)) >> np.uint64(32))
-    own = high - low + 1
-    first = (keys >> np.uint64(32)).astype(np.int64) - low
+def _write_file(folder: str, level: Level, file: int, keys: np.ndarray, counts: np.ndarray, whole: dict[int, tuple[int, int]]) -> None:
+    """keys: sorted and distinct (see ``Level.keys``); ``whole``: successors and tokens that have one, of contexts
+    in several files."""
+    own = level.own(file)
+    first = (keys >> np.uint64(32)).astype(np.int64)
     second = keys & np.uint64(0xFFFFFFFF)
     fan = np.bincount(first, minlength=own)
     pointers = np.append(0, np.cumsum(fan))
@@ -172,24 +227,29 @@ def _write_pairs(trie: Trie, shard: int, keys: np.ndarray, counts: np.ndarray, w
     base[fan > 0] = np.append(np.zeros(1, np.uint64), np.cumsum(last)[:-1])
     successors = base[first] + second + np.uint64(1)
     seen = np.bincount(first, counts, own)  # tokens that have a successor
-    if low in whole:
+    if (low := int(level.context[file])) in whole:
         fan[0], seen[0] = whole[low]
     seen = np.maximum(seen, 1)
-    codes, book = quantise((counts - trie.discount) / seen[first])
-    back, back_book = quantise(np.where(fan > 0, trie.discount * fan / seen, 1.0))
+    codes, book = quantise((counts - level.discount) / seen[first])
+    back, back_book = quantise(np.where(fan > 0, level.discount * fan / seen, 1.0))
     arrays = EliasFano.build(pointers, "p_") | EliasFano.build(successors, "s_")
-    write_arrays(trie.folder, f"pairs-{shard}", arrays | {"codes": codes, "book": book, "back": back, "back_book": back_book})
+    write_arrays(folder, f"level{level.order}-{file}", arrays | {"codes": codes, "book": book, "back": back, "back_book": back_book})
 
 
-def train(df: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS) -> Trie:
-    """Counts all words and pairs of ``df``'s texts and writes their trie to the shared folder."""
+def train(df: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS, order: int = ORDER) -> Trie:
+    """Counts all n-grams up to ``order`` of ``df``'s texts and writes their trie to the shared folder."""
     spark = df.sparkSession
     docs = df.select(F.col(text).alias("text"))
     folder = shared_folder(spark)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices = (token_table(b.column("text"))[1] for whole in batches for b in text_slices(whole))
-        for keys, counts in _gather(slices):
+        def slices() -> Iterator[Counts]:
+            for whole in batches:
+                for b in text_slices(whole):
+                    keys, counts = np.unique(token_table(b.column("text"))[1], return_counts=True)
+                    yield np.zeros(len(keys), np.int64), keys, counts
+
+        for _, keys, counts in _gather(slices()):
             yield pa.RecordBatch.from_arrays([signed(keys), pa.array(counts.astype(np.int64))], names=["h", "c"])
 
     words = written(docs.mapInArrow(count_words, "h long, c long").groupBy("h").agg(F.sum("c").alias("c")), "words")
@@ -208,83 +268,93 @@ def train(df: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS) -
     fill = np.zeros(shards, np.int64)  # one number for each shard
     for r in sizes:
         fill[r.shard] = r.n
-    begins = np.append(0, np.cumsum(fill))
-    if begins[-1] >= 1 << 32:
+    trie = Trie(folder, bits, np.append(0, np.cumsum(fill)), int(tokens))
+    if trie.types >= 1 << 32:
         raise ValueError("over 2**32 distinct words")
-    plain = Trie(folder, bits, begins, int(tokens))
 
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            b = b.sort_by("u")
-            found = plain.lookup(b.column("u").to_numpy().astype(np.uint64) << np.uint64(32) | b.column("v").to_numpy().astype(np.uint64))[0]
-            yield pa.RecordBatch.from_arrays([pa.array(found), b.column("c")], names=["w", "c"])
-
-    # fewer than there are files; halves of the hash as sortable numbers
-    halves = [F.shiftrightunsigned("h", 32).alias("u"), F.col("h").bitwiseAND(0xFFFFFFFF).alias("v")]
-    often = words.filter(F.col("c") > shard_tokens).select(*halves, "c").mapInArrow(numbers, "w long, c long").collect()
-    trie = Trie(folder, bits, begins, int(tokens), 0.0, {r.w: -(-r.c // shard_tokens) for r in often})
-    shards = len(trie.edges) - 1
-
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def keys() -> Iterator[np.ndarray]:
+            hashes = b.column("h").to_numpy().view(np.uint64)
+            by = np.argsort(hashes)
+            yield pa.RecordBatch.from_arrays([pa.array(trie.lookup(hashes[by])[0]), b.column("c").take(pa.array(by))], names=["w", "c"])
+
+    often = words.filter(F.col("c") > shard_tokens).mapInArrow(numbers, "w long, c long").collect()  # fewer than there are files
+    begins, hot = trie.begins, {r.w: -(-r.c // shard_tokens) for r in often}
+    for n in range(2, order + 1):
+        level, hot = _train_level(docs, trie, Level.cut(n, begins, hot, trie.types), hot, shard_tokens)
+        begins = level.begins
+        trie = Trie(folder, bits, trie.begins, trie.tokens, [*trie.levels, level])
+    return trie
+
+
+def _train_level(docs: DataFrame, trie: Trie, level: Level, hot: dict[int, int], shard_tokens: int) -> tuple[Level, dict[int, int]]:
+    """Counts the level's n-grams and writes its files; the level, complete, and how many files each
+    of its entries needs one level down that needs several."""
+    spark, files = docs.sparkSession, len(level.context)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def slices() -> Iterator[Counts]:
             for whole in batches:
                 for b in text_slices(whole):
                     row, tokens = token_table(b.column("text"))
-                    distinct, which = np.unique(tokens, return_inverse=True)
-                    number = trie.lookup(distinct)[0].astype(np.uint64)[which]
-                    inside = row[1:] == row[:-1]
-                    yield (number[:-1][inside] << np.uint64(32)) | number[1:][inside]
-
-        for pairs, counts in _gather(keys()):
-            edge = np.searchsorted(pairs, trie.edges)
-            for s in range(shards):
-                a, b = edge[s], edge[s + 1]
-                if a < b:
-                    steps = np.append(pairs[a : a + 1], np.diff(pairs[a:b]))
-                    part = [s], [_planes(steps)], [_planes(counts[a:b].astype("<u4"))]
-                    yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int64()), pa.array(part[1], pa.binary()), pa.array(part[2], pa.binary())], names=["shard", "keys", "counts"])
+                    *_, (_, _, gram, context, word, _, _) = trie.ngrams(row, tokens, [*trie.levels, None])
+                    file = level.files(context, word)
+                    yield file, level.keys(file, context, word), np.bincount(gram, minlength=len(context))
+
+        for file, keys, counts in _gather(slices()):
+            edge = np.searchsorted(file, np.arange(files + 1))
+            for f in np.flatnonzero(np.diff(edge)):
+                a, b = edge[f], edge[f + 1]
+                steps = np.append(keys[a : a + 1], np.diff(keys[a:b]))
+                part = [int(f)], [_planes(steps)], [_planes(counts[a:b].astype("<u4"))]
+                yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int64()), pa.array(part[1], pa.binary()), pa.array(part[2], pa.binary())], names=["file", "keys", "counts"])
 
     def merge(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         keys = [np.cumsum(_from_planes(k, "<u8"), dtype=np.uint64) for k in table.column("keys").to_pylist()]
         counts = [_from_planes(c, "<u4").astype(np.int64) for c in table.column("counts").to_pylist()]
-        return _combine(np.concatenate(keys), np.concatenate(counts))
+        return _combine([(np.zeros(len(k), np.int64), k, c) for k, c in zip(keys, counts, strict=True)])[1:]
+
+    numbers = ("once", "twice", "n", "seen")
+    large = pa.list_(pa.int64())
 
     def combine(key: tuple, table: pa.Table) -> pa.Table:
         keys, counts = merge(table)
+        over = np.flatnonzero(counts > shard_tokens)
         steps = np.append(keys[:1], np.diff(keys))
-        row = {"shard": [key[0].as_py()], "keys": [_planes(steps)], "counts": [_planes(counts.astype("<u4"))]}
-        row |= {"once": [int((counts == 1).sum())], "twice": [int((counts == 2).sum())], "n": [len(keys)], "seen": [int(counts.sum())]}
-        return pa.table(row, schema=pa.schema([("shard", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), *[(c, pa.int64()) for c in ("once", "twice", "n", "seen")]]))
-
-    sent = docs.mapInArrow(count_pairs, "shard long, keys binary, counts binary")
-    pairs = written(sent.groupBy("shard").applyInArrow(combine, "shard long, keys binary, counts binary, once long, twice long, n long, seen long"), "pairs")
-    once, twice = pairs.agg(F.coalesce(F.sum("once"), F.lit(0)), F.coalesce(F.sum("twice"), F.lit(0))).first()
-    trie.discount = once / (once + 2 * twice) if once and twice else 0.5
-
+        row = {"file": [key[0].as_py()], "keys": [_planes(steps)], "counts": [_planes(counts.astype("<u4"))]}
+        row |= {"once": [int((counts == 1).sum())], "twice": [int((counts == 2).sum())], "n": [len(keys)], "seen": [int(counts.sum())], "at": [over.tolist()], "over": [counts[over].tolist()]}
+        return pa.table(row, schema=pa.schema([("file", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), *[(c, pa.int64()) for c in numbers], ("at", large), ("over", large)]))
+
+    schema = "file long, keys binary, counts binary, " + ", ".join(f"{c} long" for c in numbers) + ", at array<long>, over array<long>"
+    held = written(docs.mapInArrow(count, "file long, keys binary, counts binary").groupBy("file").applyInArrow(combine, schema), f"level{level.order}")
+    # numbers of each file, and its entries with more tokens than a file is meant for: fewer than files
+    found = {r.file: r for r in held.drop("keys", "counts").collect()}
+    once, twice = (sum(r[c] for r in found.values()) for c in ("once", "twice"))
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    begins = np.append(0, np.cumsum([found[f].n if f in found else 0 for f in range(files)]))
+    level = Level(level.order, level.context, level.word, level.contexts, begins, discount)
     whole: dict[int, tuple[int, int]] = {}
-    if trie.hot:
-        of = {s: int(e >> np.uint64(32)) for s, e in enumerate(trie.edges[:-1]) if int(e >> np.uint64(32)) in trie.hot}
-        for r in pairs.filter(F.col("shard").isin(list(of))).select("shard", "n", "seen").collect():  # files of frequent words
-            n, seen = whole.get(of[r.shard], (0, 0))
-            whole[of[r.shard]] = n + r.n, seen + r.seen
+    for f, r in found.items():
+        if (c := int(level.context[f])) in hot and (level.own(f) == 1):
+            n, seen = whole.get(c, (0, 0))
+            whole[c] = n + r.n, seen + r.seen
 
-    def save_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(len(b)):
-                _write_pairs(trie, b.column("shard")[i].as_py(), *merge(pa.Table.from_batches([b.slice(i, 1)])), whole)
-            yield b.select(["shard"])
+                _write_file(trie.folder, level, b.column("file")[i].as_py(), *merge(pa.Table.from_batches([b.slice(i, 1)])), whole)
+            yield b.select(["file"])
 
-    every = spark.range(shards).select(F.col("id").alias("shard"))
     empty = F.lit(b"")
-    full = every.join(pairs, "shard", "left").select("shard", F.coalesce("keys", empty).alias("keys"), F.coalesce("counts", empty).alias("counts"))
-    full.mapInArrow(save_pairs, "shard long").count()
-    return trie
+    full = spark.range(files).select(F.col("id").alias("file")).join(held, "file", "left").select("file", F.coalesce("keys", empty).alias("keys"), F.coalesce("counts", empty).alias("counts"))
+    full.mapInArrow(save, "file long").count()
+    return level, {int(begins[f]) + at: -(-c // shard_tokens) for f, r in found.items() for at, c in zip(r.at, r.over, strict=True)}
 
 
 def score(df: DataFrame, trie: Trie, text: str = "text", keep_text: bool = True) -> DataFrame:
     """Adds n_tokens, n_known (tokens that training has), train_tokens, base_score (log10 of
     the add-one unigram probability) and score (log10 probability by the trie; the first
-    token by the unigram) to the rows of ``df``; columns of these names are replaced.
+    tokens by the orders that their contexts allow) to the rows of ``df``; columns of these names are replaced.
 
     Null and empty texts hold the end alone.  With an empty training set every token is
     unknown and both scores are its only probability, 1 / (0 + 0 + 1).  Repeated rows are scored alike, and
@@ -300,16 +370,11 @@ def score(df: DataFrame, trie: Trie, text: str = "text", keep_text: bool = True)
                 n = len(b)
                 row, tokens = token_table(b.column(text))
                 distinct, which = np.unique(tokens, return_inverse=True)
-                number, count = trie.lookup(distinct)
-                count, uni = count[which], ((count + 1) / total)[which]
-                inside = np.flatnonzero(row[1:] == row[:-1]) + 1
-                pair, back = np.unique((which[inside - 1].astype(np.int64) << 32) | which[inside], return_inverse=True)
-                one, two = number[pair >> 32], number[pair & 0xFFFFFFFF]
-                order = np.lexsort((two, one))
-                p, weight = np.zeros(len(pair)), np.zeros(len(pair))
-                p[order], weight[order] = trie.pair(one[order], two[order])
+                count = trie.lookup(distinct)[1][which]
+                uni = (count + 1) / total
                 model = uni.copy()
-                model[inside] = p[back] + weight[back] * uni[inside]
+                for _, place, gram, _, _, p, weight in trie.ngrams(row, tokens, trie.levels):
+                    model[place] = p[gram] + weight[gram] * model[place]
                 sums = [np.bincount(row, np.log10(x), n) for x in (uni, model)]
                 added = [np.bincount(row, minlength=n), np.bincount(row, count > 0, n).astype(np.int64), np.full(n, trie.tokens), *sums]
                 yield pa.RecordBatch.from_arrays([*map(b.column, own), *map(pa.array, added)], names=[*own, *new])

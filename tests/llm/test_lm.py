@@ -14,35 +14,46 @@ def tokens(text):
     return [*words("".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")), "</end>"]
 
 
-def brute(train, pairs):
-    uni, bi, after = Counter(), Counter(), Counter()
+def brute(train, pairs, order=2):
+    count = [Counter() for _ in range(order + 1)]
     for t in train:
         w = tokens(t)
-        uni.update(w)
-        bi.update(zip(w, w[1:]))
-    fan = Counter(a for a, _ in bi)
-    for (a, _), c in bi.items():
-        after[a] += c
-    n, v = sum(uni.values()), len(uni)
-    once, twice = sum(c == 1 for c in bi.values()), sum(c == 2 for c in bi.values())
-    d = once / (once + 2 * twice) if once and twice else 0.5
+        for m in range(1, order + 1):
+            count[m].update(zip(*(w[i:] for i in range(m))))
+    n, v = sum(count[1].values()), len(count[1])
+    fan = [Counter(k[:-1] for k in c) for c in count]
+    after = [Counter() for _ in count]
+    for m in range(2, order + 1):
+        for k, c in count[m].items():
+            after[m][k[:-1]] += c
+
+    def discount(c):
+        once, twice = sum(x == 1 for x in c.values()), sum(x == 2 for x in c.values())
+        return once / (once + 2 * twice) if once and twice else 0.5
+
+    d = [discount(c) for c in count]
+
+    def p(w, i, m):
+        if m == 1 or i < m - 1:
+            return (count[1][w[i],] + 1) / (n + v + 1) if m == 1 else p(w, i, m - 1)
+        c, lower = tuple(w[i - m + 1 : i]), p(w, i, m - 1)
+        if not after[m][c]:
+            return lower
+        k = count[m][(*c, w[i])]
+        return (k - d[m]) / after[m][c] * (k > 0) + d[m] * fan[m][c] / after[m][c] * lower
+
     out = []
     for i, t in pairs:
         w = tokens(t)
-        p = [(uni[x] + 1) / (n + v + 1) for x in w]
-        model = math.log10(p[0])
-        for a, b, q in zip(w, w[1:], p[1:]):
-            seen = max(after[a], 1)
-            model += math.log10((bi[a, b] - d) / seen * (bi[a, b] > 0) + (d * fan[a] / seen if fan[a] else 1) * q)
-        out.append((i, len(w), sum(uni[x] > 0 for x in w), n, sum(map(math.log10, p)), model))
+        out.append((i, len(w), sum(count[1][x,] > 0 for x in w), n, sum(math.log10(p(w, j, 1)) for j in range(len(w))), sum(math.log10(p(w, j, order)) for j in range(len(w)))))
     return sorted(out, key=str)
 
 
-def compare(df, pairs, shard_tokens):
-    trie = lm.train(df.filter(~lm.held_out()), shard_tokens=shard_tokens)
+def compare(df, pairs, shard_tokens, order=2):
+    trie = lm.train(df.filter(~lm.held_out()), shard_tokens=shard_tokens, order=order)
     train = [t for d, t in pairs if d is None or zlib.crc32(str(d).encode()) % 7 != 2]
     got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in lm.score(df, trie).collect()), key=str)
-    for a, b in zip(got, brute(train, pairs), strict=True):
+    for a, b in zip(got, brute(train, pairs, order), strict=True):
         assert a[:4] == b[:4]
         assert a[4] == pytest.approx(b[4], rel=1e-9)
         assert a[5] == pytest.approx(b[5], rel=2e-3)
@@ -53,6 +64,12 @@ def test_documents(spark):
     compare(small(spark), documents(), 3000)
 
 
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_other_orders(spark, order):
+    compare(small(spark), documents(), 20_000, order)
+    compare(cases(spark), CASES, 500, order)
+
+
 def test_awkward(spark):
     compare(cases(spark), CASES, 500)
     trie = lm.train(cases(spark).limit(0))
@@ -91,9 +108,18 @@ def test_frequent_words_have_their_pairs_in_several_files(spark):
     pairs = [(i, " ".join(w for x in rng.integers(0, 400, 60) for w in ("the", f"w{x}", f"v{x % 7}"))) for i in range(120)]
     df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
     trie = lm.train(df, shard_tokens=1000)
-    assert len(trie.hot) >= 1 and max(trie.hot.values()) >= 6 and len(trie.edges) > len(trie.begins)
-    the = max(trie.hot, key=trie.hot.get)
-    sizes = [trie.pairs(s)["successors"].n for s, e in enumerate(trie.edges[:-1]) if int(e) >> 32 == the]
-    assert sum(sizes) == 400 and max(sizes) < 200
+    level = trie.levels[0]
+    several = level.context[np.flatnonzero(level.word)]
+    assert len(set(several.tolist())) >= 1 and len(level.context) > len(trie.begins)
+    the = max(set(several.tolist()), key=several.tolist().count)
+    sizes = [trie.file(2, f)["successors"].n for f in np.flatnonzero(level.context == the)]
+    assert len(sizes) >= 6 and sum(sizes) == 400 and max(sizes) < 200
     compare(df, pairs, 1000)
     compare(df, pairs, 100)
+    compare(df, pairs, 100, 3)
+    # a pair that is a third of all: its successors are in several files of the third level
+    pairs = [(i, " ".join(w for x in rng.integers(0, 300, 50) for w in ("of", "the", f"w{x}"))) for i in range(90)]
+    df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+    third = lm.train(df, shard_tokens=500, order=3).levels[1]
+    assert third.word.any()
+    compare(df, pairs, 500, 3)
