@@ -135,9 +135,9 @@ def _estimates(moments: DataFrame, share: float) -> DataFrame:
     return moments.mapInPandas(run, _FIT)
 
 
-def mcd(rows: DataFrame, share: float = 0.75, settled: float = 1e-3, steps: int = 50) -> DataFrame:
+def mcd(rows: DataFrame, share: float = 0.75, settled: float = 0.01, steps: int = 50, min_rows: int = 1) -> DataFrame:
     """Reweighted minimum-covariance-determinant estimate of each group ``g`` of ``rows``
-    (columns g, x0..x4): g, n (all its rows), mu, inv.
+    (columns g, x0..x4) with ``min_rows`` rows or more: g, n (all its rows), mu, inv.
 
     Three deterministic starts; C-steps go on for each group and start until the log determinant moves
     by less than ``settled`` (the quantiles in a step are approximate, so it need not come to rest
@@ -146,7 +146,7 @@ def mcd(rows: DataFrame, share: float = 0.75, settled: float = 1e-3, steps: int
     rows = rows.select("g", *xs)
     # a row for each group is written before rows join it: small tables are then sent to the
     # rows, and where they are not, a large group's rows can be split
-    halves = written(rows.groupBy("g").agg(F.count("*").alias("rows"), F.array(*[F.percentile_approx(x, 0.5, 2000) for x in xs]).alias("mid")), "middles")
+    halves = written(rows.groupBy("g").agg(F.count("*").alias("rows"), F.array(*[F.percentile_approx(x, 0.5, 2000) for x in xs]).alias("mid")).filter(F.col("rows") >= min_rows), "middles")
     away = rows.join(halves, "g").select("g", *[F.abs(F.col(x) - F.col("mid")[i]).alias(x) for i, x in enumerate(xs)])
     spread = away.groupBy("g").agg(F.array(*[F.greatest(1.4826 * F.percentile_approx(x, 0.5, 2000), F.lit(FLOOR[i])) for i, x in enumerate(xs)]).alias("mad"))
     scale = written(halves.join(spread, "g"), "scale")
@@ -200,7 +200,7 @@ def quality_rules(df: DataFrame, text: str = "text", lang: str = "lang", source:
     stats = written(stats.withColumn("base_failed", base_failed()), "statistics")
     vectors = [v.alias(f"x{i}") for i, v in enumerate(transformed())]
     rows = stats.withColumnsRenamed({"_lang": "lang", "_source": "source"})
-    fits = mcd(rows.filter(~F.col("base_failed")).select(F.explode(_levels()).alias("g"), *vectors)).filter(F.col("n") >= min_rows)
+    fits = mcd(rows.filter(~F.col("base_failed")).select(F.explode(_levels()).alias("g"), *vectors), min_rows=min_rows)
     # a group's widening is settled on group names, which are few beside the rows
     groups = rows.select(_levels().alias("gs")).distinct().select(F.col("gs")[0].alias("own"), F.explode("gs").alias("g"))
     fits = written(groups.join(fits, "g").groupBy("own").agg(F.min_by(F.struct("mu", "inv"), "g").alias("f")).select("own", "f.*"), "fits")
