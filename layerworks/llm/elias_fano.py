@@ -70,6 +70,7 @@ def map_arrays(folder: str, name: str) -> dict[str, np.ndarray]:
                 here.write(part)
             here.flush()
             raw = np.memmap(here, np.uint8, "r")
+    raw = raw.view(np.ndarray)  # plain arrays over the mapping
     size = int(raw[:8].view("<u8")[0])
     index = json.loads(raw[8 : 8 + size].tobytes())
     begin = 8 + size
@@ -80,18 +81,25 @@ def map_arrays(folder: str, name: str) -> dict[str, np.ndarray]:
     return out
 
 
+# Place of the set bit number r in each byte value, as _SELECT[8 * value + r].
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+_SELECT = np.argsort(1 - _BITS, axis=1, kind="stable").astype(np.uint8).ravel()
+_EVERY = np.uint64(0x0101010101010101)
+
+
 def select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Place of the set bit number ``rank`` (from 0) in each word."""
-    word, rank = word.copy(), rank.astype(np.int64)
-    at = np.zeros(len(word), np.int64)
-    for half in (32, 16, 8, 4, 2, 1):
-        low = word & np.uint64((1 << half) - 1)
-        ones = np.bitwise_count(low).astype(np.int64)
-        up = rank >= ones
-        rank = np.where(up, rank - ones, rank)
-        word = np.where(up, word >> np.uint64(half), low)
-        at += half * up
-    return at
+    """Place of the set bit number ``rank`` (from 0) in each word: counts of ones up to the end of each
+    byte, side by side in one word, tell the byte, and a table the bit.  Of a rank that a word does not
+    have, some place is given."""
+    rank = rank.astype(np.uint64) & np.uint64(63)
+    x = word - ((word >> np.uint64(1)) & np.uint64(0x5555555555555555))
+    x = (x & np.uint64(0x3333333333333333)) + ((x >> np.uint64(2)) & np.uint64(0x3333333333333333))
+    x = ((x + (x >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _EVERY
+    high = np.uint64(0x8080808080808080)
+    byte = np.minimum(np.bitwise_count((rank * _EVERY | high) - x & high), 7).astype(np.uint64) << np.uint64(3)
+    left = rank - ((x << np.uint64(8)) >> byte & np.uint64(0xFF)) & np.uint64(7)
+    value = word >> byte & np.uint64(0xFF)
+    return byte.astype(np.int64) + _SELECT[(value << np.uint64(3) | left).astype(np.int64)]
 
 
 def pack_bits(values: np.ndarray, width: int) -> np.ndarray:

@@ -38,7 +38,7 @@ from layerworks.llm.elias_fano import EliasFano, map_arrays, quantise, write_arr
 END = np.uint64(0x3C2F733E3C2F733E)
 SHARD_TOKENS = 4_000_000
 HELD = 2_000_000  # entries that a task combines before it passes them on
-ORDER = 2
+ORDER = 3
 
 
 def token_table(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -180,14 +180,16 @@ class Trie:
         for part in np.split(order, ends) if len(order) else ():
             f = int(files[part[0]])
             t, to = self.file(level.order, f), known[part]
-            of, next_ = context[part] - level.context[f], word[part]
-            begin = t["pointers"].get(of).astype(np.int64)
-            back[to] = t["back_book"][t["back"][of]]
+            one, same = np.unique(context[part], return_inverse=True)  # sorted, so that a context's range is read once
+            one -= level.context[f]
+            begin, end = t["pointers"].get(one).astype(np.int64), t["pointers"].get(one + 1).astype(np.int64)
+            base = np.where(begin > 0, t["successors"].get(np.maximum(begin - 1, 0)) if t["successors"].n else 0, 0).astype(np.uint64)
+            back[to] = t["back_book"][t["back"][one]][same]
+            next_ = word[part]
             ask = np.flatnonzero(next_ >= 0)
-            base = np.where(begin[ask] > 0, t["successors"].get(np.maximum(begin[ask] - 1, 0)) if t["successors"].n else 0, 0).astype(np.uint64)
+            begin, end, base = begin[same[ask]], end[same[ask]], base[same[ask]]
             at = t["successors"].find(base + next_[ask].astype(np.uint64) + np.uint64(1))
-            end = t["pointers"].get(of[ask] + 1).astype(np.int64)
-            ok = (at >= begin[ask]) & (at < end)
+            ok = (at >= begin) & (at < end)
             p[to[ask[ok]]] = t["book"][t["codes"][at[ok]]]
             if level.begins is not None:
                 number[to[ask[ok]]] = level.begins[f] + at[ok]

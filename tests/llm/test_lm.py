@@ -7,7 +7,7 @@ import pytest
 from tests.llm.helpers import CASES, cases, documents, small, words
 
 from layerworks.llm import lm
-from layerworks.llm.elias_fano import EliasFano, map_arrays, pack_bits, quantise, unpack_bits, write_arrays
+from layerworks.llm.elias_fano import EliasFano, map_arrays, pack_bits, quantise, select_in_word, unpack_bits, write_arrays
 
 
 def tokens(text):
@@ -49,7 +49,7 @@ def brute(train, pairs, order=2):
     return sorted(out, key=str)
 
 
-def compare(df, pairs, shard_tokens, order=2):
+def compare(df, pairs, shard_tokens, order=lm.ORDER):
     trie = lm.train(df.filter(~lm.held_out()), shard_tokens=shard_tokens, order=order)
     train = [t for d, t in pairs if d is None or zlib.crc32(str(d).encode()) % 7 != 2]
     got = sorted(((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score, r.score) for r in lm.score(df, trie).collect()), key=str)
@@ -64,7 +64,7 @@ def test_documents(spark):
     compare(small(spark), documents(), 3000)
 
 
-@pytest.mark.parametrize("order", [1, 3, 4])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_other_orders(spark, order):
     compare(small(spark), documents(), 20_000, order)
     compare(cases(spark), CASES, 500, order)
@@ -92,6 +92,14 @@ def test_elias_fano(tmp_path):
     assert (EliasFano(EliasFano.build(pointers)).get(np.arange(300)) == pointers).all()
 
 
+def test_select():
+    rng = np.random.default_rng(0)
+    words = np.concatenate([rng.integers(1, 1 << 64, 3000, dtype=np.uint64), np.array([1, 1 << 63, (1 << 64) - 1], np.uint64)])
+    ones = np.bitwise_count(words).astype(int)
+    for rank in (ones * 0, ones - 1, (ones - 1) // 2):
+        assert select_in_word(words, rank).tolist() == [[i for i in range(64) if int(w) >> i & 1][r] for w, r in zip(words, rank)]
+
+
 def test_bits_and_codes():
     rng = np.random.default_rng(3)
     for width in (1, 7, 20, 33, 63):
