@@ -36,9 +36,10 @@ from layerworks.llm.common import shared_folder, signed, text_slices, word_table
 from layerworks.llm.elias_fano import EliasFano, map_arrays, quantise, write_arrays
 
 END = np.uint64(0x3C2F733E3C2F733E)
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 2_000_000
 HELD = 2_000_000  # entries that a task combines before it passes them on
 ORDER = 3
+NARROW = 1 << 32  # contexts that fit beside a word in 64 bits
 
 
 def token_table(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +60,7 @@ Counts = tuple[np.ndarray, np.ndarray, np.ndarray]  # files, keys, counts
 def _combine(parts: list[Counts]) -> Counts:
     """Entries of all parts by (file, key), counts of equal ones added."""
     file, keys, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((keys, file)) if len(file) and file[0] != file[-1] or (file != file[:1]).any() else np.argsort(keys, kind="stable")
+    order = np.lexsort((keys, file)) if (file != file[:1]).any() else np.argsort(keys, kind="stable")
     file, keys, counts = file[order], keys[order], counts[order]
     first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (file[1:] != file[:-1]))) if len(keys) else np.zeros(0, np.int64)
     return file[first], keys[first], np.add.reduceat(counts, first) if len(first) else counts
@@ -168,9 +169,9 @@ class Trie:
             count[a:b][ok] = counts[at[ok]]
         return number, count
 
-    def entries(self, level: Level, context: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def entries(self, level: Level, context: np.ndarray, word: np.ndarray, scores: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(number, discounted probability, the context's back-off weight) of a level's entries; (-1, 0, weight) where
-        the context has no such successor, (-1, 0, 1) where it is unknown itself."""
+        the context has no such successor, (-1, 0, 1) where it is unknown itself.  Without ``scores`` numbers only."""
         number, p, back = np.full(len(context), -1, np.int64), np.zeros(len(context)), np.ones(len(context))
         known = np.flatnonzero(context >= 0)
         context, word = context[known], word[known]
@@ -184,18 +185,20 @@ class Trie:
             one -= level.context[f]
             begin, end = t["pointers"].get(one).astype(np.int64), t["pointers"].get(one + 1).astype(np.int64)
             base = np.where(begin > 0, t["successors"].get(np.maximum(begin - 1, 0)) if t["successors"].n else 0, 0).astype(np.uint64)
-            back[to] = t["back_book"][t["back"][one]][same]
+            if scores:
+                back[to] = t["back_book"][t["back"][one]][same]
             next_ = word[part]
             ask = np.flatnonzero(next_ >= 0)
             begin, end, base = begin[same[ask]], end[same[ask]], base[same[ask]]
             at = t["successors"].find(base + next_[ask].astype(np.uint64) + np.uint64(1))
             ok = (at >= begin) & (at < end)
-            p[to[ask[ok]]] = t["book"][t["codes"][at[ok]]]
+            if scores:
+                p[to[ask[ok]]] = t["book"][t["codes"][at[ok]]]
             if level.begins is not None:
                 number[to[ask[ok]]] = level.begins[f] + at[ok]
         return number, p, back
 
-    def ngrams(self, row: np.ndarray, tokens: np.ndarray, levels: list[Level | None]) -> Iterator[tuple[Level | None, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    def ngrams(self, row: np.ndarray, tokens: np.ndarray, levels: list[Level | None], scores: bool = True) -> Iterator[tuple[Level | None, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """Per level: (level, places of tokens with a full context, which distinct n-gram stands there, the distinct ones' context and
         word numbers, probabilities, weights); None in the last place of ``levels`` gives n-grams that are not looked up."""
         distinct, which = np.unique(tokens, return_inverse=True)
@@ -206,7 +209,7 @@ class Trie:
             before = local[np.searchsorted(at, place - 1)]
             grams, gram = np.unique((before.astype(np.int64) << 32) | which[place], return_inverse=True)
             context, word = known[grams >> 32], number[grams & 0xFFFFFFFF]
-            found, p, back = self.entries(level, context, word) if level else (None, None, None)
+            found, p, back = self.entries(level, context, word, scores) if level else (None, None, None)
             yield level, place, gram, context, word, p, back
             at, local, known = place, gram, found
 
@@ -249,7 +252,7 @@ def train(df: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS, o
             for whole in batches:
                 for b in text_slices(whole):
                     keys, counts = np.unique(token_table(b.column("text"))[1], return_counts=True)
-                    yield np.zeros(len(keys), np.int64), keys, counts
+                    yield np.zeros(len(keys), np.int8), keys, counts
 
         for _, keys, counts in _gather(slices()):
             yield pa.RecordBatch.from_arrays([signed(keys), pa.array(counts.astype(np.int64))], names=["h", "c"])
@@ -293,28 +296,42 @@ def _train_level(docs: DataFrame, trie: Trie, level: Level, hot: dict[int, int],
     """Counts the level's n-grams and writes its files; the level, complete, and how many files each
     of its entries needs one level down that needs several."""
     spark, files = docs.sparkSession, len(level.context)
+    # where context and word fit into one number, entries are sorted by it, else by file and key
+    narrow = level.contexts < NARROW
+    bounds = level.context.astype(np.uint64) << np.uint64(32) | level.word.astype(np.uint64) if narrow else None
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def slices() -> Iterator[Counts]:
             for whole in batches:
                 for b in text_slices(whole):
                     row, tokens = token_table(b.column("text"))
-                    *_, (_, _, gram, context, word, _, _) = trie.ngrams(row, tokens, [*trie.levels, None])
-                    file = level.files(context, word)
-                    yield file, level.keys(file, context, word), np.bincount(gram, minlength=len(context))
+                    *_, (_, _, gram, context, word, _, _) = trie.ngrams(row, tokens, [*trie.levels, None], False)
+                    n = np.bincount(gram, minlength=len(context))
+                    if narrow:
+                        yield np.zeros(len(n), np.int8), context.astype(np.uint64) << np.uint64(32) | word.astype(np.uint64), n
+                    else:
+                        file = level.files(context, word)
+                        yield file, level.keys(file, context, word), n
 
         for file, keys, counts in _gather(slices()):
-            edge = np.searchsorted(file, np.arange(files + 1))
+            edge = np.append(np.searchsorted(keys, bounds), len(keys)) if narrow else np.searchsorted(file, np.arange(files + 1))
             for f in np.flatnonzero(np.diff(edge)):
                 a, b = edge[f], edge[f + 1]
-                steps = np.append(keys[a : a + 1], np.diff(keys[a:b]))
+                first = keys[a : a + 1] - (level.context[f : f + 1].astype(np.uint64) << np.uint64(32)) if narrow else keys[a : a + 1]
+                steps = np.append(first, np.diff(keys[a:b]))
                 part = [int(f)], [_planes(steps)], [_planes(counts[a:b].astype("<u4"))]
                 yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int64()), pa.array(part[1], pa.binary()), pa.array(part[2], pa.binary())], names=["file", "keys", "counts"])
 
     def merge(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        keys = [np.cumsum(_from_planes(k, "<u8"), dtype=np.uint64) for k in table.column("keys").to_pylist()]
-        counts = [_from_planes(c, "<u4").astype(np.int64) for c in table.column("counts").to_pylist()]
-        return _combine([(np.zeros(len(k), np.int64), k, c) for k, c in zip(keys, counts, strict=True)])[1:]
+        keys = np.concatenate([np.cumsum(_from_planes(k, "<u8"), dtype=np.uint64) for k in table.column("keys").to_pylist()])
+        counts = np.concatenate([_from_planes(c, "<u4") for c in table.column("counts").to_pylist()])
+        if len(table) == 1:
+            return keys, counts.astype(np.int64)
+        order = np.argsort(keys, kind="stable")  # of sorted runs
+        keys, counts = keys[order], counts[order]
+        del order
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        return keys[first], np.add.reduceat(counts, first, dtype=np.int64)
 
     numbers = ("once", "twice", "n", "seen")
     large = pa.list_(pa.int64())

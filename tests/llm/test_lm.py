@@ -131,3 +131,9 @@ def test_frequent_words_have_their_pairs_in_several_files(spark):
     third = lm.train(df, shard_tokens=500, order=3).levels[1]
     assert third.word.any()
     compare(df, pairs, 500, 3)
+
+
+def test_contexts_beyond_32_bits(spark, monkeypatch):
+    """The way that keys go where context and word do not fit into one number."""
+    monkeypatch.setattr(lm, "NARROW", 0)
+    compare(small(spark), documents(), 20_000, 3)
