@@ -38,7 +38,7 @@ from layerworks.llm.elias_fano import EliasFano, map_arrays, quantise, write_arr
 END = np.uint64(0x3C2F733E3C2F733E)
 SHARD_TOKENS = 2_000_000
 HELD = 2_000_000  # entries that a task combines before it passes them on
-ORDER = 3
+ORDER = 2  # a third level takes more of an executor than 3 GB allow, see the README
 NARROW = 1 << 32  # contexts that fit beside a word in 64 bits
 
 
