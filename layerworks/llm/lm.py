@@ -109,12 +109,12 @@ class Level:
         return cls(order, np.array([c for c, _ in keys], np.int64), np.array([w for _, w in keys], np.int64), int(begins[-1]))
 
     def files(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The file of each key."""
+        """The file of each key; an unknown word (-1) has its context's first."""
         out = np.searchsorted(self.context, context, "right") - 1
         for c in np.unique(self.context[np.flatnonzero(self.word)]):
             some = np.flatnonzero(context == c)
             a, b = np.searchsorted(self.context, [c, c + 1])
-            out[some] = a + np.searchsorted(self.word[a:b], word[some], "right") - 1
+            out[some] = a + np.searchsorted(self.word[a:b], np.maximum(word[some], 0), "right") - 1
         return out
 
     def keys(self, file: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:

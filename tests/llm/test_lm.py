@@ -133,6 +133,16 @@ def test_frequent_words_have_their_pairs_in_several_files(spark):
     compare(df, pairs, 500, 3)
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_unknown_words_after_frequent_contexts(spark, order):
+    """Held-out texts put words that training lacks after contexts whose successors are in several files."""
+    rng = np.random.default_rng(7)
+    unseen = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(150)]
+    pairs = [(i, " ".join(w for x in rng.integers(0, 300, 50) for w in ("of", "the", f"w{x}", *(["of", "the", f"new{i}-{x}"] if unseen[i] else [])))) for i in range(150)]
+    df = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+    compare(df, pairs, 500, order)
+
+
 def test_contexts_beyond_32_bits(spark, monkeypatch):
     """The way that keys go where context and word do not fit into one number."""
     monkeypatch.setattr(lm, "NARROW", 0)
