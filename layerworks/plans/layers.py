@@ -211,7 +211,7 @@ def run_gold(spark: SparkSession, wh: Warehouse, expect_corrections: bool = True
 
     new = batches_since(wh, source.run, None if last is None else last.source_run)
     batch = ratings if last is None or new[BRONZE_ITEMS] else of_batches(ratings, new)
-    fact, counts = wh.merge_run(gold.fact_stage(batch, keep_natural=True), FACT, run, GOLD, FACT_IDS, FACT_BUCKETS)
+    fact, counts = wh.merge_run(gold.fact_stage(batch, keep_natural=True), FACT, run, GOLD, FACT_IDS, FACT_BUCKETS, gold.fact_keys())
     results = _gate(wh, GOLD, fact=fact, expect_corrections=expect_corrections)
     _, n_monthly = wh.write_run(gold.monthly_agg(fact, dim_item), MONTHLY, run)
     wh.publish(GOLD, run, source_run=source.run, counts=counts)

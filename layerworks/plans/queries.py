@@ -547,7 +547,7 @@ def q_fact_bucketed(spark, sf_dir):
     before = silver.silver_from_routed(silver.route_ratings(silver.typed_ratings(d.feed_text), d.catalogue_ids, keyless=False))
     corrected = d.silver.filter(F.col("rating_source") == config.SOURCE_CORRECTION)
     for run, rows in enumerate((before, corrected)):
-        fact, counts = wh.merge_run(gold.fact_stage(rows, keep_natural=True), "fact", run, "gold", KEYS, FACT_BUCKETS)
+        fact, counts = wh.merge_run(gold.fact_stage(rows, keep_natural=True), "fact", run, "gold", KEYS, FACT_BUCKETS, gold.fact_keys())
         wh.publish("gold", run, counts=counts)
     return fact.select(*gold.FACT_COLUMNS)
 

@@ -9,6 +9,7 @@ Layout under ``root`` (a folder every executor can reach):
   each of its tables whole into a new folder, and nobody reads it before its run is listed.
 * ``<name>/run=<n>/_bucket=<b>/``  tables in key buckets (fact): a run writes the buckets that its
   batch touches; a run's table is, for each bucket, the newest folder up to that run.
+* ``<name>/_batch/``  the batch that is being merged into a bucketed table; gone once it is.
 * ``_runs/``  one row for each published run of a layer.  Readers take the newest run, or an
   older one by number; an unlisted folder left by a failed attempt is written over.
 
@@ -20,7 +21,8 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -33,6 +35,10 @@ from .tables import assert_same_schema
 
 RUN_SCHEMA = "layer string, run int, source_run int, published_at timestamp_ntz, num_rows long, inserted long, updated long, kept long"
 BUCKET = "_bucket"
+PART = "_part"
+# Rows of a bucket that one part of it holds in a merge, about.
+PART_ROWS = 500_000
+STAGED = "_batch"
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -40,6 +46,19 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
+@contextmanager
+def joined_as_dealt(spark: SparkSession) -> Iterator[None]:
+    """Within, a join takes rows as they lie if both sides are dealt by some of its keys.  Otherwise Spark
+    deals them anew by all of them, lest few values make large tasks."""
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -126,7 +145,14 @@ class Warehouse:
     # --- replaced tables ---------------------------------------------------------
 
     def write_run(
-        self, df: DataFrame, name: str, run: int, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (), change: str | None = None
+        self,
+        df: DataFrame,
+        name: str,
+        run: int,
+        partition_by: Sequence[str] = (),
+        cluster_by: Sequence[str] = (),
+        change: str | None = None,
+        compression: str | None = None,
     ) -> tuple[DataFrame, dict[str, int]]:
         """Write a table whole into its folder of ``run``; (the rows read again, their counts).
 
@@ -143,6 +169,7 @@ class Warehouse:
         df = df.observe(seen, *counts)  # above the range exchange, whose sampling also reads what is below
         df = df.drop(change) if change else df
         writer = df.write.mode("overwrite")
+        writer = writer.option("compression", compression) if compression else writer
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
         rows = self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
         return rows, {k: int(v) for k, v in seen.get.items()}
@@ -164,19 +191,44 @@ class Warehouse:
             return None if schema is None else self.spark.createDataFrame([], schema)
         return (self.spark.read if schema is None else self.spark.read.schema(schema)).parquet(*paths)
 
-    def merge_run(self, batch: DataFrame, name: str, run: int, layer: str, keys: Sequence[str], buckets: int) -> tuple[DataFrame, dict[str, int]]:
+    def _stage(self, batch: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """A batch written beside its table, so that it is computed once; (its rows read again, their
+        number).  The next batch of the table is written over it."""
+        path, seen = f"{self.path(name)}/{STAGED}", Observation()
+        batch.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(batch.schema).parquet(path), int(seen.get["rows"])
+
+    def merge_run(
+        self, batch: DataFrame, name: str, run: int, layer: str, keys: Sequence[str], buckets: int, derived: dict[str, Column] | None = None
+    ) -> tuple[DataFrame, dict[str, int]]:
         """V6 + J7: ``batch`` upserted into a bucketed table; (its rows as of ``run``, counts).
 
         Only buckets that the batch touches are read, merged and written anew; the files of all others
         stay.  The table's row count is that of the last run and what was inserted.  The merged
-        rows are dealt by bucket, large buckets to several files, and sorted by key inside."""
-        last = self.last_run(layer)
-        touched = {r[0] for r in batch.select(bucket_of(keys, buckets).alias(BUCKET)).distinct().collect()}  # <= buckets
-        target = None if last is None else self.read_buckets(name, last.run, layer, batch.schema, touched)
-        merged = merge_upsert(target, batch, keys, validate_source=False, change=CHANGE).withColumn(BUCKET, bucket_of(keys, buckets))
-        dealt = merged.hint("rebalance", F.col(BUCKET)).sortWithinPartitions(BUCKET, *keys)
-        _, counts = self.write_run(dealt, name, run, [BUCKET], change=CHANGE)
+        rows are dealt by bucket, large buckets to several files, and sorted by key inside.
+
+        ``derived``: columns of the table that are functions of its others.  They cross no shuffle, but
+        are derived as the rows are written.  The rows of table and batch are dealt once, by bucket
+        and part of it: the join on these and the key, and the writer, take them as they lie."""
+        derived, last = derived or {}, self.last_run(layer)
         before = 0 if last is None else last.num_rows or 0
+        slim = batch.drop(*derived).withColumn(BUCKET, bucket_of(keys, buckets))
+        if last is None:
+            merged = merge_upsert(None, slim, keys, validate_source=False, change=CHANGE).hint("rebalance", F.col(BUCKET))
+        else:
+            staged, rows = self._stage(slim, name)
+            touched = {r[0] for r in staged.select(BUCKET).distinct().collect()}  # <= buckets
+            target = self.read_buckets(name, last.run, layer, batch.schema, touched).drop(*derived).withColumn(BUCKET, bucket_of(keys, buckets))
+            parts = 1 + int((before / buckets + rows / max(1, len(touched))) // PART_ROWS)
+            part = F.pmod(F.hash(*keys), F.lit(parts))
+            old, new = (rows.withColumn(PART, part).repartition(BUCKET, PART) for rows in (target, staged))
+            merged = merge_upsert(old, new, [BUCKET, PART, *keys], validate_source=False, change=CHANGE)
+        dealt = merged.sortWithinPartitions(BUCKET, *keys).withColumns(derived).select(*batch.columns, BUCKET, CHANGE)
+        with joined_as_dealt(self.spark):
+            _, counts = self.write_run(dealt, name, run, [BUCKET], change=CHANGE, compression="zstd")
+        if last is not None:
+            files, folder = self._files(f"{self.path(name)}/{STAGED}")
+            files.delete(folder, True)
         counts |= {"rows": before + counts["inserted"], "kept": before - counts["updated"]}
         return self.read_buckets(name, run, layer, batch.schema), counts
 

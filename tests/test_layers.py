@@ -12,7 +12,7 @@ from layerworks.sources import fixtures
 from layerworks.sources.ingest import stamp_provenance
 from layerworks.sources.warehouse import Warehouse
 
-from .conftest import SF_SMALL
+from .conftest import SF_SMALL, rows
 
 CLOCK = "2024-01-15 00:00:00"
 
@@ -349,6 +349,72 @@ def test_buckets_of_a_corrected_feed_equal_the_whole_merge(spark, tmp_root):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def written_plans(monkeypatch):
+    """The plans of what ``write_run`` is given from now on, as they are when it is."""
+    plans, write = [], Warehouse.write_run
+
+    def spy(self, df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, *args, **kwargs)
+
+    monkeypatch.setattr(Warehouse, "write_run", spy)
+    return plans
+
+
+def test_merge_computes_its_batch_once_and_deals_each_side_once(spark, tmp_root, monkeypatch):
+    wh, plans, seen = Warehouse(spark, tmp_root), written_plans(monkeypatch), spark.sparkContext.accumulator(0)
+
+    def counted(movie_id):
+        seen.add(1)
+        return movie_id >= 0
+
+    def batch(low, high, rating):
+        return spark.range(low, high).select(F.col("id").alias("movie_id"), (F.col("id") % 7).alias("user_id"), F.lit(rating).alias("rating"))
+
+    setting = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(setting)
+    monkeypatch.setattr("layerworks.sources.warehouse.PART_ROWS", 5, raising=False)
+    _, counts = wh.merge_run(batch(0, 100, 1.0), "t", 0, "gold", layers.FACT_IDS, 8)
+    wh.publish("gold", 0, counts=counts)
+    changed = batch(90, 110, 2.0).filter(F.udf(counted, "boolean")("movie_id"))
+    table, counts = wh.merge_run(changed, "t", 1, "gold", layers.FACT_IDS, 8)
+    assert seen.value == 20  # it was computed a second time for the buckets that it touches
+    assert counts == {"rows": 110, "inserted": 10, "updated": 10, "kept": 90}
+    assert plans[1].count("Exchange ") == plans[1].count("Exchange hashpartitioning(_bucket") == 2
+    assert {(r.movie_id, r.user_id): r.rating for r in table.collect()} == {(m, m % 7): 1.0 if m < 90 else 2.0 for m in range(110)}
+    assert spark.conf.get(setting) == before and not os.path.exists(os.path.join(tmp_root, "t", "_batch"))
+
+
+def test_hashed_keys_of_the_fact_cross_no_shuffle_of_its_merge(spark, monkeypatch):
+    from layerworks.plans.queries import QUERIES
+
+    plans = written_plans(monkeypatch)
+    got = QUERIES["fact_bucketed"](spark, SF_SMALL)
+    assert len(plans) == 2
+    for plan in plans:
+        written, dealt = plan.split("Exchange ", 1)
+        assert "user_key" in written and "movie_key" in written
+        assert "user_key" not in dealt and "movie_key" not in dealt
+    from layerworks.functions import item_key, user_key
+
+    want = Domain(spark, SF_SMALL).merged.select(user_key("user_id").alias("user_key"), item_key("movie_id").alias("movie_key"), "rating")
+    assert got.select(*want.columns).exceptAll(want).count() == 0 and want.exceptAll(got.select(*want.columns)).count() == 0
+
+
+def test_merge_run_takes_null_and_repeated_keys_as_the_full_join_does(spark, tmp_root):
+    from layerworks.operators.merge import merge_upsert
+
+    wh, schema = Warehouse(spark, tmp_root), "movie_id long, user_id long, rating double"
+    old = spark.createDataFrame([(1, 1, 1.0), (1, 1, 2.0), (2, 1, 3.0), (None, 1, 4.0), (3, None, 5.0), (4, 4, None)], schema)
+    new = spark.createDataFrame([(1, 1, 6.0), (2, 1, 7.0), (2, 1, 7.5), (None, 1, 8.0), (5, 5, None)], schema)
+    for run, batch in enumerate((old, new, new.limit(0))):
+        table, counts = wh.merge_run(batch, "t", run, "gold", layers.FACT_IDS, 4)
+        wh.publish("gold", run, counts=counts)
+        if run == 1:
+            assert counts["inserted"] == 2 and counts["updated"] == 4
+    assert rows(table) == rows(merge_upsert(old, new, layers.FACT_IDS, validate_source=False))
+
+
 def test_run_history_equals_the_history_of_versions(spark):
     from layerworks.operators.versions import version_history
     from layerworks.plans import queries
