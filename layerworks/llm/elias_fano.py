@@ -2,8 +2,10 @@
 
 A nondecreasing sequence of n values below u keeps the low l = log2(u / n) bits of each
 packed, and the high parts as a bit vector: a one for each value, a zero for each step of the
-high part.  Counts of ones before each word serve select.  Files are written under another
-name and renamed, so that a task that runs twice leaves one whole file.
+high part.  Counts of ones before each word serve select.  Sequences of many parts lie side by side
+in one file, so that values of any parts are read in one call, whose time does not grow with the
+number of parts.  Each part is written by one task to its own place in the file; a task that runs
+twice writes the same bytes there.  In other stores than folders each part is an object of its own.
 """
 
 from __future__ import annotations
@@ -117,77 +119,149 @@ def pack_bits(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def unpack_bits(words: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
-    """Values number ``at`` of a packed array."""
-    if not width:
-        return np.zeros(len(at), np.uint64)
-    bit = at.astype(np.uint64) * np.uint64(width)
-    i, shift = (bit >> np.uint64(6)).astype(np.int64), bit & np.uint64(63)
+def unpack_bits(words: np.ndarray, at: np.ndarray, width: int | np.ndarray, begin: int | np.ndarray = 0) -> np.ndarray:
+    """Values number ``at`` of a packed array that starts at word ``begin``; all of one width, or each of its own."""
+    width = np.asarray(width, np.uint64)
+    bit = at.astype(np.uint64) * width
+    i, shift = (bit >> np.uint64(6)).astype(np.int64) + begin, bit & np.uint64(63)
     low = words[i] >> shift
-    high = np.where(shift == 0, np.uint64(0), words[i + 1] << ((WORD - shift) & np.uint64(63)))
-    return (low | high) & np.uint64((1 << width) - 1)
+    ends = np.minimum(i + 1, len(words) - 1)  # only a width of 0 has no spare word
+    high = np.where(shift == 0, np.uint64(0), words[ends] << ((WORD - shift) & np.uint64(63)))
+    return (low | high) & ((_ONE << width) - _ONE)
+
+
+def shapes(n: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """Rows of (values, bits of a low part, words of all low parts, words of the high parts) of
+    sequences of ``n`` values up to ``top`` each."""
+    rows = []
+    for m, t in zip(map(int, n), map(int, top), strict=True):
+        l = max(0, (t // max(m, 1)).bit_length() - 1)
+        rows.append((m, l, -(-m * l // 64) + 1, -(-((t >> l) + m + 1) // 64)))
+    return np.array(rows, np.int64).reshape(-1, 4)
 
 
 class EliasFano:
-    """A nondecreasing sequence of unsigned 64-bit values."""
+    """Nondecreasing sequences of unsigned 64-bit values, one for each part, side by side in the same
+    arrays; ``shape`` has a row of ``shapes`` for each.  By default there is one."""
 
-    def __init__(self, arrays: dict[str, np.ndarray], prefix: str = ""):
-        self.n, self.l = (int(x) for x in arrays[f"{prefix}meta"])
+    def __init__(self, arrays: dict[str, np.ndarray], prefix: str = "", shape: np.ndarray | None = None):
         self.low, self.high = arrays[f"{prefix}low"], arrays[f"{prefix}high"]
         self.ones, self.zeros = arrays[f"{prefix}ones"], arrays[f"{prefix}zeros"]
+        if shape is None:
+            shape = np.append(arrays[f"{prefix}meta"], [len(self.low), len(self.high)])[None]
+        self.each, self.l = shape[:, 0], shape[:, 1].astype(np.uint64)
+        self.before, self.lows, self.highs = (np.append(0, np.cumsum(shape[:, c])) for c in (0, 2, 3))
+        self.n = int(self.before[-1])
 
     @staticmethod
-    def build(values: np.ndarray, prefix: str = "") -> dict[str, np.ndarray]:
+    def build(values: np.ndarray, prefix: str = "", top: int | None = None, before: int = 0, words: int = 0) -> dict[str, np.ndarray]:
+        """Arrays of one sequence; ``before`` and ``words``: values and words of high parts in the parts before it."""
         values = values.astype(np.uint64)
         n = len(values)
-        top = int(values[-1]) if n else 0
-        l = max(0, (top // max(n, 1)).bit_length() - 1)
-        up = (values >> np.uint64(l)).astype(np.int64)
-        size = (int(up[-1]) if n else 0) + n + 1
-        bits = np.zeros(-(-size // 64) * 64, np.uint8)
-        bits[up + np.arange(n)] = 1
+        top = top if top is not None else int(values[-1]) if n else 0
+        l, size = (int(x) for x in shapes([n], [top])[0, [1, 3]])
+        bits = np.zeros(64 * size, np.uint8)
+        bits[(values >> np.uint64(l)).astype(np.int64) + np.arange(n)] = 1
         high = np.packbits(bits, bitorder="little").view("<u8")
-        before = np.append(0, np.cumsum(np.bitwise_count(high).astype(np.int64)))[:-1]
+        ones = before + np.append(0, np.cumsum(np.bitwise_count(high).astype(np.int64)))[:-1]
         return {
             f"{prefix}meta": np.array([n, l], np.int64),
             f"{prefix}low": pack_bits(values, l),
             f"{prefix}high": high,
-            f"{prefix}ones": before,
-            f"{prefix}zeros": 64 * np.arange(len(high)) - before,
+            f"{prefix}ones": ones,
+            f"{prefix}zeros": 64 * (words + np.arange(len(high))) - ones,
         }
 
-    def _select(self, k: np.ndarray, zero: bool) -> np.ndarray:
-        index = self.zeros if zero else self.ones
+    def _select(self, k: np.ndarray, zero: bool, part: int | np.ndarray) -> np.ndarray:
+        """Place of a part's one or zero number ``k`` among the part's bits."""
+        index, at = (self.zeros, 64 * self.highs[part] - self.before[part]) if zero else (self.ones, self.before[part])
+        k = k + at
         i = np.searchsorted(index, k, "right") - 1
         word = self.high[i]
-        return 64 * i + select_in_word(~word if zero else word, k - index[i])
+        return 64 * (i - self.highs[part]) + select_in_word(~word if zero else word, k - index[i])
 
-    def get(self, i: np.ndarray) -> np.ndarray:
-        up = (self._select(i, False) - i).astype(np.uint64)
-        return up << np.uint64(self.l) | unpack_bits(self.low, i, self.l)
+    def get(self, i: np.ndarray, part: int | np.ndarray = 0) -> np.ndarray:
+        """Values number ``i`` of the parts."""
+        up = (self._select(i, False, part) - i).astype(np.uint64)
+        return up << self.l[part] | unpack_bits(self.low, i, self.l[part], self.lows[part])
 
-    def find(self, values: np.ndarray) -> np.ndarray:
-        """Places of values in a strictly increasing sequence; -1 where absent."""
+    def find(self, values: np.ndarray, part: int | np.ndarray = 0) -> np.ndarray:
+        """Places of values in the strictly increasing sequences of their parts; -1 where absent."""
         out = np.full(len(values), -1, np.int64)
-        if not self.n or not len(values):
+        values, part = values.astype(np.uint64), np.broadcast_to(part, len(values))
+        zeros = 64 * np.diff(self.highs) - self.each
+        some = np.flatnonzero((self.each[part] > 0) & (values >> self.l[part] < zeros[part].astype(np.uint64)))
+        if not len(some):
             return out
-        values = values.astype(np.uint64)
-        up = (values >> np.uint64(self.l)).astype(np.int64)
-        last = len(self.high) * 64 - self.n  # zeros of the bit vector
-        some = np.flatnonzero(up < last)
-        up, want = up[some], values[some] & np.uint64((1 << self.l) - 1)
-        end = np.minimum(self._select(up, True) - up, self.n)
-        begin = np.where(up > 0, self._select(np.maximum(up - 1, 0), True) + 1 - up, 0)
-        while (go := begin < end).any():  # lower bound among equal high parts
-            mid = (begin + end) >> 1
-            less = unpack_bits(self.low, np.minimum(mid, self.n - 1), self.l) < want
-            begin, end = np.where(go & less, mid + 1, begin), np.where(go & ~less, mid, end)
-        at = np.minimum(begin, self.n - 1)
-        same = self.get(at) == values[some]
+        values, part = values[some], part[some]
+        n, l, low = self.each[part], self.l[part], self.lows[part]
+        up, want = (values >> l).astype(np.int64), values & ((_ONE << l) - _ONE)
+        end = np.minimum(self._select(up, True, part) - up, n)
+        begin = np.where(up > 0, self._select(np.maximum(up - 1, 0), True, part) + 1 - up, 0)
+        go = np.flatnonzero(begin < end)
+        while len(go):  # lower bound among equal high parts
+            mid = (begin[go] + end[go]) >> 1
+            less = unpack_bits(self.low, mid, l[go], low[go]) < want[go]
+            begin[go[less]], end[go[~less]] = mid[less] + 1, mid[~less]
+            go = go[begin[go] < end[go]]
+        at = np.minimum(begin, n - 1)
+        same = self.get(at, part) == values
         out[some[same]] = at[same]
         return out
 
 
+class Layout:
+    """Where arrays of many parts lie in one file: those of one name side by side, in the order of the parts."""
+
+    def __init__(self, arrays: dict[str, tuple[str, np.ndarray]]):
+        """``arrays``: kind and each part's length, by name."""
+        self.kinds = {k: np.dtype(kind) for k, (kind, _) in arrays.items()}
+        self.begins = {k: np.append(0, np.cumsum(n, dtype=np.int64)) for k, (_, n) in arrays.items()}
+        self.at, self.size = {}, 0
+        for k, begins in self.begins.items():
+            self.at[k] = self.size
+            self.size += -(-int(begins[-1]) * self.kinds[k].itemsize // 8) * 8
+
+    @staticmethod
+    def sequences(shape: np.ndarray, prefix: str = "") -> dict[str, tuple[str, np.ndarray]]:
+        """The arrays of Elias-Fano sequences, one for each row of ``shape``."""
+        return {f"{prefix}low": ("<u8", shape[:, 2]), **{f"{prefix}{k}": (kind, shape[:, 3]) for k, kind in (("high", "<u8"), ("ones", "<i8"), ("zeros", "<i8"))}}
+
+    def _put(self, f, part: int, arrays: dict[str, np.ndarray]) -> None:
+        for k, kind in self.kinds.items():
+            begin, end = self.begins[k][part], self.begins[k][part + 1]
+            if len(arrays[k]) > end - begin:
+                raise ValueError(f"{k} of part {part} has {len(arrays[k])} values, its place {end - begin}")
+            f.seek(self.at[k] + int(begin) * kind.itemsize)
+            f.write(np.ascontiguousarray(arrays[k], kind).tobytes())
+
+    def write(self, folder: str, name: str, part: int, arrays: dict[str, np.ndarray]) -> None:
+        """Writes a part to its place; what its arrays don't fill is zero."""
+        if (local := _local(folder)) is None:
+            write_arrays(folder, f"{name}-{part}", arrays)
+            return
+        os.makedirs(local, exist_ok=True)
+        with open(os.open(f"{local}/{name}", os.O_RDWR | os.O_CREAT, 0o666), "r+b") as f:
+            if os.fstat(f.fileno()).st_size < self.size:
+                os.ftruncate(f.fileno(), self.size)  # the same size for all parts
+            self._put(f, part, arrays)
+
+    def map(self, folder: str, name: str) -> dict[str, np.ndarray]:
+        """The arrays of all parts, memory-mapped; parts in another store are fetched into a nameless local
+        file first, which goes with the mapping."""
+        if (local := _local(folder)) is not None:
+            raw = np.memmap(f"{local}/{name}", np.uint8, "r")
+        else:
+            with tempfile.TemporaryFile() as here:
+                here.truncate(self.size)
+                for part in np.flatnonzero(np.any([np.diff(b) > 0 for b in self.begins.values()], axis=0)):
+                    self._put(here, int(part), map_arrays(folder, f"{name}-{part}"))
+                here.flush()
+                raw = np.memmap(here, np.uint8, "r")
+        raw = raw.view(np.ndarray)  # plain arrays over the mapping
+        return {k: raw[at : at + int(self.begins[k][-1]) * self.kinds[k].itemsize].view(self.kinds[k]) for k, at in self.at.items()}
+
+
 LEVELS = 4096
 
 

@@ -1,7 +1,7 @@
 """Language-model scores from an n-gram trie in Elias-Fano levels.
 
-Words get numbers by the order of their 64-bit hashes.  The trie is cut into files in the shared
-folder:
+Words get numbers by the order of their 64-bit hashes.  Each level of the trie is a store in the shared
+folder, cut into files that lie side by side in it, each written by one task:
 
 * words (level 1), by ranges of hashes: word hashes (Elias-Fano) and counts;
 * each further level, by ranges of (context, word), a context being an entry's number one level up:
@@ -19,12 +19,14 @@ lowest order is (c + 1) / (N + V + 1), which leaves 1 / (N + V + 1) to any unkno
 Counting: each task combines its own counts before any shuffle; counts of a level travel as sorted
 differences in byte planes, one row for each task and file.  The number of files follows
 the number of tokens, so a file is merged in bounded memory.  Scoring tasks memory-map the
-files; texts and tokens are never shuffled.
+levels and look up all n-grams of a slice of texts at once, in whichever files they are, so the time for a text does not
+grow with the number of files; texts and tokens are never shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +35,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerworks.llm.common import shared_folder, signed, text_slices, word_table, written
-from layerworks.llm.elias_fano import EliasFano, map_arrays, quantise, write_arrays
+from layerworks.llm.elias_fano import LEVELS, EliasFano, Layout, quantise, shapes
 
 END = np.uint64(0x3C2F733E3C2F733E)
 SHARD_TOKENS = 2_000_000
 HELD = 2_000_000  # entries that a task combines before it passes them on
 ORDER = 2  # a third level takes more of an executor than 3 GB allow, see the README
 NARROW = 1 << 32  # contexts that fit beside a word in 64 bits
+SENT_BYTES = 1 << 22  # of rows that go to Spark together
 
 
 def token_table(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -96,10 +99,15 @@ def _from_planes(raw: bytes, kind: str) -> np.ndarray:
 
 class Level:
     """Files of one order from 2 on.  ``context`` and ``word`` are the least keys of the files in order (a word other than 0 only
-    where a context has several files), ``begins`` the number of the first entry in each, and of all."""
+    where a context has several files), ``begins`` the number of the first entry in each, and of all, ``tops`` the largest
+    successor in each, as they are stored."""
 
-    def __init__(self, order: int, context: np.ndarray, word: np.ndarray, contexts: int, begins: np.ndarray | None = None, discount: float = 0.0):
-        self.order, self.context, self.word, self.contexts, self.begins, self.discount = order, context, word, contexts, begins, discount
+    def __init__(self, order: int, context: np.ndarray, word: np.ndarray, contexts: int, begins: np.ndarray | None = None, tops: np.ndarray | None = None, discount: float = 0.0):
+        self.order, self.context, self.word, self.contexts = order, context, word, contexts
+        self.begins, self.tops, self.discount = begins, tops, discount
+
+    def __reduce__(self):
+        return Level, (self.order, self.context, self.word, self.contexts, self.begins, self.tops, self.discount)
 
     @classmethod
     def cut(cls, order: int, begins: np.ndarray, hot: dict[int, int], types: int) -> Level:
@@ -110,12 +118,18 @@ class Level:
 
     def files(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """The file of each key; an unknown word (-1) has its context's first."""
-        out = np.searchsorted(self.context, context, "right") - 1
-        for c in np.unique(self.context[np.flatnonzero(self.word)]):
-            some = np.flatnonzero(context == c)
-            a, b = np.searchsorted(self.context, [c, c + 1])
-            out[some] = a + np.searchsorted(self.word[a:b], np.maximum(word[some], 0), "right") - 1
-        return out
+        last = np.searchsorted(self.context, context, "right") - 1
+        if not self.word.any():
+            return last
+        first = np.minimum(np.searchsorted(self.context, context), last)
+        word = np.maximum(word, 0)
+        go = np.flatnonzero(first < last)
+        while len(go):  # the last file of the context's that begins at the word or before
+            mid = (first[go] + last[go] + 1) >> 1
+            before = self.word[mid] <= word[go]
+            first[go[before]], last[go[~before]] = mid[before], mid[~before] - 1
+            go = go[first[go] < last[go]]
+        return first
 
     def keys(self, file: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
         """Keys within their files: the context's place there, and the word."""
@@ -127,46 +141,95 @@ class Level:
             return self.contexts - int(self.context[file])
         return int(self.context[file + 1] - self.context[file]) + (self.word[file + 1] > 0)
 
+    @cached_property
+    def firsts(self) -> np.ndarray:
+        """Where each file's contexts begin among those of all files, and their number."""
+        return np.append(0, np.cumsum([self.own(f) for f in range(len(self.context))], dtype=np.int64))
+
+    @cached_property
+    def pointers(self) -> np.ndarray:
+        return shapes(np.diff(self.firsts) + 1, np.diff(self.begins))
+
+    @cached_property
+    def successors(self) -> np.ndarray:
+        return shapes(np.diff(self.begins), self.tops)
+
+    @cached_property
+    def layout(self) -> Layout:
+        n, own = np.diff(self.begins), np.diff(self.firsts)
+        books = np.full(len(n), LEVELS)
+        codes = {"codes": ("<u2", n), "book": ("<f8", books), "back": ("<u2", own), "back_book": ("<f8", books)}
+        return Layout(Layout.sequences(self.pointers, "p_") | Layout.sequences(self.successors, "s_") | codes)
+
+
+class Words:
+    """Where the words lie: ``begins`` is the first number in each file, and the number of words; a file has the hashes
+    of one value in their first ``bits`` bits."""
+
+    def __init__(self, bits: int, begins: np.ndarray):
+        self.bits, self.top = bits, (1 << (64 - bits)) - 1
+        self.shape = shapes(np.diff(begins), np.full(len(begins) - 1, self.top, np.uint64))
+        self.shape[np.diff(begins) == 0, 1:] = 0  # not written
+        self.layout = Layout(Layout.sequences(self.shape) | {"counts": ("<i8", np.diff(begins))})
+
+    def split(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The file of each hash, and the hash's value there."""
+        file = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
+        return file, hashes & np.uint64(self.top)
+
+    def write(self, folder: str, file: int, hashes: np.ndarray, counts: np.ndarray) -> None:
+        order = np.argsort(hashes)
+        values = self.split(hashes[order])[1]
+        before, words = self.shape[:file, [0, 3]].sum(axis=0)
+        self.layout.write(folder, "words", file, EliasFano.build(values, "", self.top, before, words) | {"counts": counts[order]})
+
 
 class Trie:
-    """Reads the trie of a folder; files are mapped when first needed."""
+    """Reads the trie of a folder; levels are mapped when first needed."""
 
     def __init__(self, folder: str, bits: int, begins: np.ndarray, tokens: int, levels: list[Level] | None = None):
         """``begins``: the first number in each word file, and the number of words."""
         self.folder, self.bits, self.begins = folder, bits, begins
         self.tokens, self.types = tokens, int(begins[-1])
         self.levels = levels or []
-        self._words: dict[int, tuple[EliasFano, np.ndarray]] = {}
-        self._files: dict[tuple[int, int], dict] = {}
+        self._levels: dict[int, dict] = {}
 
     def __reduce__(self):
         return Trie, (self.folder, self.bits, self.begins, self.tokens, self.levels)
 
-    def words(self, shard: int) -> tuple[EliasFano, np.ndarray]:
-        if shard not in self._words:
-            a = map_arrays(self.folder, f"words-{shard}")
-            self._words[shard] = EliasFano(a), a["counts"]
-        return self._words[shard]
+    @cached_property
+    def words(self) -> Words:
+        return Words(self.bits, self.begins)
+
+    @cached_property
+    def _words(self) -> tuple[EliasFano, np.ndarray]:
+        a = self.words.layout.map(self.folder, "words")
+        return EliasFano(a, "", self.words.shape), a["counts"]
+
+    def level(self, level: Level) -> dict:
+        if level.order not in self._levels:
+            a = level.layout.map(self.folder, f"level{level.order}")
+            self._levels[level.order] = a | {"pointers": EliasFano(a, "p_", level.pointers), "successors": EliasFano(a, "s_", level.successors)}
+        return self._levels[level.order]
 
     def file(self, order: int, file: int) -> dict:
-        if (order, file) not in self._files:
-            a = map_arrays(self.folder, f"level{order}-{file}")
-            self._files[order, file] = a | {"pointers": EliasFano(a, "p_"), "successors": EliasFano(a, "s_")}
-        return self._files[order, file]
+        """The sequences of one file alone, for a look into it."""
+        t, out = self.level(self.levels[order - 2]), {}
+        for name in ("pointers", "successors"):
+            n = int(t[name].each[file])
+            out[name] = EliasFano(EliasFano.build(t[name].get(np.arange(n), np.full(n, file))))
+        return out
 
     def lookup(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(number, count) of sorted word hashes; number -1 and count 0 where unknown."""
+        """(number, count) of word hashes; number -1 and count 0 where unknown."""
         number, count = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
-        shard = (hashes >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(hashes), np.int64)
-        for s in np.unique(shard):
-            if self.begins[s] == self.begins[s + 1]:
-                continue
-            a, b = np.searchsorted(shard, [s, s + 1])
-            index, counts = self.words(int(s))
-            at = index.find(hashes[a:b])
-            ok = at >= 0
-            number[a:b][ok] = self.begins[s] + at[ok]
-            count[a:b][ok] = counts[at[ok]]
+        if self.types:
+            index, counts = self._words
+            file, values = self.words.split(hashes)
+            at = index.find(values, file)
+            ok = np.flatnonzero(at >= 0)
+            number[ok] = self.begins[file[ok]] + at[ok]
+            count[ok] = counts[number[ok]]
         return number, count
 
     def entries(self, level: Level, context: np.ndarray, word: np.ndarray, scores: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,28 +237,31 @@ class Trie:
         the context has no such successor, (-1, 0, 1) where it is unknown itself.  Without ``scores`` numbers only."""
         number, p, back = np.full(len(context), -1, np.int64), np.zeros(len(context)), np.ones(len(context))
         known = np.flatnonzero(context >= 0)
+        if not len(known):
+            return number, p, back
         context, word = context[known], word[known]
-        files = level.files(context, word)
-        order = np.lexsort((word, context, files))
-        ends = np.flatnonzero(np.diff(files[order])) + 1
-        for part in np.split(order, ends) if len(order) else ():
-            f = int(files[part[0]])
-            t, to = self.file(level.order, f), known[part]
-            one, same = np.unique(context[part], return_inverse=True)  # sorted, so that a context's range is read once
-            one -= level.context[f]
-            begin, end = t["pointers"].get(one).astype(np.int64), t["pointers"].get(one + 1).astype(np.int64)
-            base = np.where(begin > 0, t["successors"].get(np.maximum(begin - 1, 0)) if t["successors"].n else 0, 0).astype(np.uint64)
-            if scores:
-                back[to] = t["back_book"][t["back"][one]][same]
-            next_ = word[part]
-            ask = np.flatnonzero(next_ >= 0)
-            begin, end, base = begin[same[ask]], end[same[ask]], base[same[ask]]
-            at = t["successors"].find(base + next_[ask].astype(np.uint64) + np.uint64(1))
-            ok = (at >= begin) & (at < end)
-            if scores:
-                p[to[ask[ok]]] = t["book"][t["codes"][at[ok]]]
-            if level.begins is not None:
-                number[to[ask[ok]]] = level.begins[f] + at[ok]
+        # sorted, so that a context's range is read once, and neighbours lie near each other
+        by = np.argsort(context.astype(np.uint64) << np.uint64(32) | (word + 1).astype(np.uint64)) if level.contexts < NARROW else np.lexsort((word, context))
+        known, context, word = known[by], context[by], word[by]
+        file = level.files(context, word)
+        new = np.append(True, (context[1:] != context[:-1]) | (file[1:] != file[:-1]))
+        same, first = np.cumsum(new) - 1, np.flatnonzero(new)
+        t, f = self.level(level), file[first]
+        one = context[first] - level.context[f]
+        begin, end = (t["pointers"].get(x, f).astype(np.int64) for x in (one, one + 1))
+        base = np.zeros(len(one), np.uint64)
+        some = np.flatnonzero(begin)
+        base[some] = t["successors"].get(begin[some] - 1, f[some])
+        if scores:
+            back[known] = t["back_book"][f * LEVELS + t["back"][level.firsts[f] + one]][same]
+        ask = np.flatnonzero(word >= 0)
+        of = same[ask]
+        at = t["successors"].find(base[of] + word[ask].astype(np.uint64) + np.uint64(1), file[ask])
+        ok = np.flatnonzero((at >= begin[of]) & (at < end[of]))
+        f, to = file[ask[ok]], known[ask[ok]]
+        number[to] = level.begins[f] + at[ok]
+        if scores:
+            p[to] = t["book"][f * LEVELS + t["codes"][number[to]]]
         return number, p, back
 
     def ngrams(self, row: np.ndarray, tokens: np.ndarray, levels: list[Level | None], scores: bool = True) -> Iterator[tuple[Level | None, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
@@ -214,11 +280,6 @@ class Trie:
             at, local, known = place, gram, found
 
 
-def _write_words(folder: str, shard: int, hashes: np.ndarray, counts: np.ndarray) -> None:
-    order = np.argsort(hashes)
-    write_arrays(folder, f"words-{shard}", EliasFano.build(hashes[order]) | {"counts": counts[order].astype(np.int64)})
-
-
 def _write_file(folder: str, level: Level, file: int, keys: np.ndarray, counts: np.ndarray, whole: dict[int, tuple[int, int]]) -> None:
     """keys: sorted and distinct (see ``Level.keys``); ``whole``: successors and tokens that have one, of contexts
     in several files."""
@@ -237,8 +298,9 @@ def _write_file(folder: str, level: Level, file: int, keys: np.ndarray, counts:
     seen = np.maximum(seen, 1)
     codes, book = quantise((counts - level.discount) / seen[first])
     back, back_book = quantise(np.where(fan > 0, level.discount * fan / seen, 1.0))
-    arrays = EliasFano.build(pointers, "p_") | EliasFano.build(successors, "s_")
-    write_arrays(folder, f"level{level.order}-{file}", arrays | {"codes": codes, "book": book, "back": back, "back_book": back_book})
+    before = [(int(x[:file, 0].sum()), int(x[:file, 3].sum())) for x in (level.pointers, level.successors)]
+    arrays = EliasFano.build(pointers, "p_", None, *before[0]) | EliasFano.build(successors, "s_", None, *before[1])
+    level.layout.write(folder, f"level{level.order}", file, arrays | {"codes": codes, "book": book, "back": back, "back_book": back_book})
 
 
 def train(df: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS, order: int = ORDER) -> Trie:
@@ -262,26 +324,23 @@ def train(df: DataFrame, text: str = "text", shard_tokens: int = SHARD_TOKENS, o
     bits = max(0, (-(-tokens // shard_tokens) - 1).bit_length())
     shards = 1 << bits
     shard = F.shiftrightunsigned("h", 64 - bits) if bits else F.lit(0).cast("long")
-
-    def save_words(key: tuple, table: pa.Table) -> pa.Table:
-        s = key[0].as_py()
-        hashes = table.column("h").to_numpy().view(np.uint64)
-        _write_words(folder, s, hashes, table.column("c").to_numpy())
-        return pa.table({"shard": pa.array([s], pa.int64()), "n": pa.array([len(hashes)], pa.int64())})
-
-    sizes = words.withColumn("shard", shard).groupBy("shard").applyInArrow(save_words, "shard long, n long").collect()
+    sharded = words.withColumn("shard", shard)
     fill = np.zeros(shards, np.int64)  # one number for each shard
-    for r in sizes:
+    for r in sharded.groupBy("shard").agg(F.count("*").alias("n")).collect():
         fill[r.shard] = r.n
     trie = Trie(folder, bits, np.append(0, np.cumsum(fill)), int(tokens))
     if trie.types >= 1 << 32:
         raise ValueError("over 2**32 distinct words")
 
+    def save_words(key: tuple, table: pa.Table) -> pa.Table:
+        trie.words.write(folder, key[0].as_py(), table.column("h").to_numpy().view(np.uint64), table.column("c").to_numpy())
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64())})
+
+    sharded.groupBy("shard").applyInArrow(save_words, "shard long").count()
+
     def numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hashes = b.column("h").to_numpy().view(np.uint64)
-            by = np.argsort(hashes)
-            yield pa.RecordBatch.from_arrays([pa.array(trie.lookup(hashes[by])[0]), b.column("c").take(pa.array(by))], names=["w", "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(trie.lookup(b.column("h").to_numpy().view(np.uint64))[0]), b.column("c")], names=["w", "c"])
 
     often = words.filter(F.col("c") > shard_tokens).mapInArrow(numbers, "w long, c long").collect()  # fewer than there are files
     begins, hot = trie.begins, {r.w: -(-r.c // shard_tokens) for r in often}
@@ -315,12 +374,16 @@ def _train_level(docs: DataFrame, trie: Trie, level: Level, hot: dict[int, int],
 
         for file, keys, counts in _gather(slices()):
             edge = np.append(np.searchsorted(keys, bounds), len(keys)) if narrow else np.searchsorted(file, np.arange(files + 1))
-            for f in np.flatnonzero(np.diff(edge)):
-                a, b = edge[f], edge[f + 1]
-                first = keys[a : a + 1] - (level.context[f : f + 1].astype(np.uint64) << np.uint64(32)) if narrow else keys[a : a + 1]
-                steps = np.append(first, np.diff(keys[a:b]))
-                part = [int(f)], [_planes(steps)], [_planes(counts[a:b].astype("<u4"))]
-                yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int64()), pa.array(part[1], pa.binary()), pa.array(part[2], pa.binary())], names=["file", "keys", "counts"])
+            some = np.flatnonzero(np.diff(edge))
+            steps = np.diff(keys, prepend=np.uint64(0))
+            first = edge[some]
+            steps[first] = keys[first] - (level.context[some].astype(np.uint64) << np.uint64(32) if narrow else np.uint64(0))
+            counts = counts.astype("<u4")
+            # rows of several files at once, as there may be many small ones
+            sent = (edge[some + 1] - edge[0]) * 12 // SENT_BYTES
+            for part in np.split(some, np.flatnonzero(np.diff(sent)) + 1) if len(some) else ():
+                rows = [[_planes(x[edge[f] : edge[f + 1]]) for f in part] for x in (steps, counts)]
+                yield pa.RecordBatch.from_arrays([pa.array(part), *(pa.array(x, pa.binary()) for x in rows)], names=["file", "keys", "counts"])
 
     def merge(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         keys = np.concatenate([np.cumsum(_from_planes(k, "<u8"), dtype=np.uint64) for k in table.column("keys").to_pylist()])
@@ -333,7 +396,7 @@ def _train_level(docs: DataFrame, trie: Trie, level: Level, hot: dict[int, int],
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         return keys[first], np.add.reduceat(counts, first, dtype=np.int64)
 
-    numbers = ("once", "twice", "n", "seen")
+    numbers = ("once", "twice", "n", "seen", "top")
     large = pa.list_(pa.int64())
 
     def combine(key: tuple, table: pa.Table) -> pa.Table:
@@ -342,6 +405,8 @@ def _train_level(docs: DataFrame, trie: Trie, level: Level, hot: dict[int, int],
         steps = np.append(keys[:1], np.diff(keys))
         row = {"file": [key[0].as_py()], "keys": [_planes(steps)], "counts": [_planes(counts.astype("<u4"))]}
         row |= {"once": [int((counts == 1).sum())], "twice": [int((counts == 2).sum())], "n": [len(keys)], "seen": [int(counts.sum())], "at": [over.tolist()], "over": [counts[over].tolist()]}
+        ends = keys[np.append(np.flatnonzero(keys[1:] >> np.uint64(32) != keys[:-1] >> np.uint64(32)), len(keys) - 1)]
+        row["top"] = [int(((ends & np.uint64(0xFFFFFFFF)) + np.uint64(1)).sum())]  # as _write_file adds them up
         return pa.table(row, schema=pa.schema([("file", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary()), *[(c, pa.int64()) for c in numbers], ("at", large), ("over", large)]))
 
     schema = "file long, keys binary, counts binary, " + ", ".join(f"{c} long" for c in numbers) + ", at array<long>, over array<long>"
@@ -350,8 +415,9 @@ def _train_level(docs: DataFrame, trie: Trie, level: Level, hot: dict[int, int],
     found = {r.file: r for r in held.drop("keys", "counts").collect()}
     once, twice = (sum(r[c] for r in found.values()) for c in ("once", "twice"))
     discount = once / (once + 2 * twice) if once and twice else 0.5
-    begins = np.append(0, np.cumsum([found[f].n if f in found else 0 for f in range(files)]))
-    level = Level(level.order, level.context, level.word, level.contexts, begins, discount)
+    n, tops = (np.array([found[f][c] if f in found else 0 for f in range(files)], np.int64) for c in ("n", "top"))
+    begins = np.append(0, np.cumsum(n))
+    level = Level(level.order, level.context, level.word, level.contexts, begins, tops, discount)
     whole: dict[int, tuple[int, int]] = {}
     for f, r in found.items():
         if (c := int(level.context[f])) in hot and (level.own(f) == 1):

@@ -6,8 +6,8 @@ import numpy as np
 import pytest
 from tests.llm.helpers import CASES, cases, documents, small, words
 
-from layerworks.llm import lm
-from layerworks.llm.elias_fano import EliasFano, map_arrays, pack_bits, quantise, select_in_word, unpack_bits, write_arrays
+from layerworks.llm import elias_fano, lm
+from layerworks.llm.elias_fano import EliasFano, Layout, map_arrays, pack_bits, quantise, select_in_word, shapes, unpack_bits, write_arrays
 
 
 def tokens(text):
@@ -147,3 +147,63 @@ def test_contexts_beyond_32_bits(spark, monkeypatch):
     """The way that keys go where context and word do not fit into one number."""
     monkeypatch.setattr(lm, "NARROW", 0)
     compare(small(spark), documents(), 20_000, 3)
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_lookups_do_not_grow_with_files(spark, monkeypatch, order):
+    """A slice of texts is looked up in all files of a level at once: calls of a search are as many for any number of files."""
+    rng = np.random.default_rng(11)
+    pairs = [(i, " ".join(w for x in rng.integers(0, 900, 60) for w in ("the", f"w{x}"))) for i in range(60)]
+    df = spark.createDataFrame(pairs, "doc_id long, text string")
+    calls, found = [], []
+    for name in ("find", "get"):
+        monkeypatch.setattr(EliasFano, name, lambda *a, f=getattr(EliasFano, name): calls.append(f) or f(*a))
+    who, words = lm.token_table(df.select("text").toArrow().column("text").combine_chunks())
+    for shard_tokens in (1_000_000, 50):
+        trie = lm.train(df, shard_tokens=shard_tokens, order=order)
+        calls.clear()
+        found.append([(x[4].tolist(), (x[5] > 0).tolist()) for x in trie.ngrams(who, words, trie.levels)])
+        files = len(trie.begins) - 1 + sum(len(x.context) for x in trie.levels)
+        assert len(calls) <= 2 + 5 * len(trie.levels)  # each find gets what it found
+    assert files > 100 and found[0] == found[1]
+    assert all(any(ok) for _, ok in found[0])
+
+
+def test_files_of_frequent_contexts_are_found_together():
+    rng = np.random.default_rng(13)
+    level = lm.Level.cut(2, np.array([0, 40, 40, 90, 200]), {7: 9, 40: 3, 41: 2, 199: 5}, 1000)
+    keys = [*zip(level.context.tolist(), level.word.tolist(), strict=True)]
+    context, word = rng.integers(0, 200, 5000), rng.integers(-1, 1000, 5000)
+    context[:1000] = rng.choice([7, 40, 41, 199, 8, 0], 1000)
+    want = [max(f for f, k in enumerate(keys) if k <= (c, max(w, 0))) for c, w in zip(context.tolist(), word.tolist(), strict=True)]
+    assert level.files(context, word).tolist() == want
+
+
+@pytest.mark.parametrize("local", [True, False])
+def test_sequences_side_by_side(tmp_path, monkeypatch, local):
+    """Parts of one file, written in any order and one of them twice, empty ones among them; in a folder, and as objects of a store."""
+    rng = np.random.default_rng(17)
+    parts = [np.unique(rng.integers(0, top, n, dtype=np.uint64)) for n, top in ((0, 9), (1, 1), (700, 1 << 62), (0, 9), (3000, 4000), (64, 64), (0, 9))]
+    shape = shapes([len(x) for x in parts], [x[-1] if len(x) else 0 for x in parts])
+    layout = Layout(Layout.sequences(shape) | {"more": ("<u2", np.array([len(x) + 3 for x in parts]))})
+    folder = str(tmp_path / "a")
+    if not local:
+        folder = f"file://{folder}"
+        monkeypatch.setattr(elias_fano, "_local", lambda path: None if path.startswith("file:") else path)
+    for k in (4, 2, 6, 0, 1, 5, 3, 2):
+        built = EliasFano.build(parts[k], "", None, int(shape[:k, 0].sum()), int(shape[:k, 3].sum()))
+        layout.write(folder, "x", k, built | {"more": np.full(len(parts[k]), k)})
+    arrays = layout.map(folder, "x")
+    assert arrays["more"].tolist() == [v for k, x in enumerate(parts) for v in [k] * len(x) + [0] * 3]
+    index = EliasFano(arrays, "", shape)
+    some = [(k, i) for k, x in enumerate(parts) for i in range(len(x))]
+    rng.shuffle(some)
+    part, i = np.array(some).T
+    assert index.get(i, part).tolist() == [int(parts[k][j]) for k, j in some]
+    value = np.concatenate([*parts, rng.integers(0, 5000, 3000, dtype=np.uint64), np.array([0, (1 << 64) - 1], np.uint64)])
+    for k, x in enumerate(parts):
+        want = {int(v): n for n, v in enumerate(x)}
+        assert index.find(value, np.full(len(value), k)).tolist() == [want.get(int(v), -1) for v in value]
+    if local:
+        with pytest.raises(ValueError, match="part 1"):
+            layout.write(folder, "x", 1, EliasFano.build(parts[2]) | {"more": np.zeros(1)})
