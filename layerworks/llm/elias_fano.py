@@ -198,15 +198,15 @@ class EliasFano:
         up, want = (values >> l).astype(np.int64), values & ((_ONE << l) - _ONE)
         end = np.minimum(self._select(up, True, part) - up, n)
         begin = np.where(up > 0, self._select(np.maximum(up - 1, 0), True, part) + 1 - up, 0)
-        go = np.flatnonzero(begin < end)
+        ends, go = end.copy(), np.flatnonzero(begin < end)
         while len(go):  # lower bound among equal high parts
             mid = (begin[go] + end[go]) >> 1
             less = unpack_bits(self.low, mid, l[go], low[go]) < want[go]
             begin[go[less]], end[go[~less]] = mid[less] + 1, mid[~less]
             go = go[begin[go] < end[go]]
-        at = np.minimum(begin, n - 1)
-        same = self.get(at, part) == values
-        out[some[same]] = at[same]
+        there = np.flatnonzero(begin < ends)  # a value whose high part is the same; the low part decides
+        there = there[unpack_bits(self.low, begin[there], l[there], low[there]) == want[there]]
+        out[some[there]] = begin[there]
         return out
 
 

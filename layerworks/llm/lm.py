@@ -264,20 +264,24 @@ class Trie:
             p[to] = t["book"][f * LEVELS + t["codes"][number[to]]]
         return number, p, back
 
-    def ngrams(self, row: np.ndarray, tokens: np.ndarray, levels: list[Level | None], scores: bool = True) -> Iterator[tuple[Level | None, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per level: (level, places of tokens with a full context, which distinct n-gram stands there, the distinct ones' context and
-        word numbers, probabilities, weights); None in the last place of ``levels`` gives n-grams that are not looked up."""
+    def known(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which distinct token each one is, and the distinct ones' numbers and counts (see ``lookup``)."""
         distinct, which = np.unique(tokens, return_inverse=True)
-        number = self.lookup(distinct)[0]
-        at, local, known = np.arange(len(tokens)), which, number
+        return which, *self.lookup(distinct)
+
+    def ngrams(self, row: np.ndarray, tokens: np.ndarray, levels: list[Level | None], scores: bool = True, known: tuple | None = None) -> Iterator[tuple[Level | None, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Per level: (level, places of tokens with a full context, which distinct n-gram stands there, the distinct ones' context and
+        word numbers, probabilities, weights); None in the last place of ``levels`` gives n-grams that are not looked up.  ``known``: of the tokens, where the caller has it."""
+        which, number, _ = known or self.known(tokens)
+        at, local, context_of = np.arange(len(tokens)), which, number
         for level in levels:
             place = at[1:][(row[at[1:]] == row[at[1:] - 1]) & (np.diff(at) == 1)]
             before = local[np.searchsorted(at, place - 1)]
             grams, gram = np.unique((before.astype(np.int64) << 32) | which[place], return_inverse=True)
-            context, word = known[grams >> 32], number[grams & 0xFFFFFFFF]
+            context, word = context_of[grams >> 32], number[grams & 0xFFFFFFFF]
             found, p, back = self.entries(level, context, word, scores) if level else (None, None, None)
             yield level, place, gram, context, word, p, back
-            at, local, known = place, gram, found
+            at, local, context_of = place, gram, found
 
 
 def _write_file(folder: str, level: Level, file: int, keys: np.ndarray, counts: np.ndarray, whole: dict[int, tuple[int, int]]) -> None:
@@ -454,11 +458,11 @@ def score(df: DataFrame, trie: Trie, text: str = "text", keep_text: bool = True)
             for b in text_slices(whole, text, 2 << 20):
                 n = len(b)
                 row, tokens = token_table(b.column(text))
-                distinct, which = np.unique(tokens, return_inverse=True)
-                count = trie.lookup(distinct)[1][which]
+                known = trie.known(tokens)
+                count = known[2][known[0]]
                 uni = (count + 1) / total
                 model = uni.copy()
-                for _, place, gram, _, _, p, weight in trie.ngrams(row, tokens, trie.levels):
+                for _, place, gram, _, _, p, weight in trie.ngrams(row, tokens, trie.levels, known=known):
                     model[place] = p[gram] + weight[gram] * model[place]
                 sums = [np.bincount(row, np.log10(x), n) for x in (uni, model)]
                 added = [np.bincount(row, minlength=n), np.bincount(row, count > 0, n).astype(np.int64), np.full(n, trie.tokens), *sums]
